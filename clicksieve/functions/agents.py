@@ -121,7 +121,7 @@ def browser_version(agent: Column, rule: Column) -> Column:
     of_rule = lambda values: F.get(F.array(*[F.lit(v) for v in values]), rule)
     pattern = of_rule([f"(?i){b.version}" if b.version else None for b in BROWSERS])
     has_minor = of_rule([_groups(b.version) > 2 for b in BROWSERS])
-    part = lambda n: F.regexp_extract(agent, pattern, F.lit(n))
+    part = lambda n: F.call_function("regexp_extract", agent, pattern, F.lit(n))
     minor = F.when(has_minor, part(3)).otherwise(F.lit("0"))
     found = F.when(F.regexp_like(agent, pattern), F.struct(
         part(1).alias("full"), part(2).alias("major"), F.when(minor != "", minor).alias("minor")))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from clicksieve.operators.aggregate import Keyed, Scalar, group_features, same_keys
 from clicksieve.plans import reports
+from clicksieve.session import cut_lineage
 from clicksieve.status import valid_rows
 
 
@@ -65,8 +66,12 @@ def join_judgements(log: DataFrame, group: DataFrame, dims: Sequence[str], cols:
     return same_keys(log, group.select(*dims, *cols), dims)
 
 
-def run(log: DataFrame, groups: Sequence[Group]) -> Result:
-    """Run the groups in order over a log."""
+def run(log: DataFrame, groups: Sequence[Group], materialize: bool = True) -> Result:
+    """Run the groups in order over a log.
+
+    A finished group frame is checkpointed, so that later groups read it
+    instead of aggregating the log for it again; the log itself stays a plan.
+    """
     frames: dict[str, DataFrame] = {}
     pending: dict[str, list[tuple[Model, DataFrame]]] = {}
     rules: list[str] = []
@@ -81,6 +86,8 @@ def run(log: DataFrame, groups: Sequence[Group]) -> Result:
                 frame = frame.withColumn(name, col)
         for model in group.models:
             table = model.fit(log if model.source == "global" else frame)
+            if materialize:
+                table = cut_lineage(table)
             for target in model.target:
                 if target == "local":
                     frame = model.apply(frame, table)
@@ -95,6 +102,8 @@ def run(log: DataFrame, groups: Sequence[Group]) -> Result:
                 frame = frame.withColumn(name, col)
         rules += list(group.rules)
         if frame is not None:
+            if materialize:
+                frame = cut_lineage(frame)
             frames[group.name] = frame
             cols = [*group.join_back, *group.rules]
             if cols:
@@ -126,14 +135,19 @@ def filter_types(log: DataFrame, most: str = "1", type_col: str = "tp") -> DataF
     return log.filter(F.col(type_col) <= most)
 
 
-def daily_reports(log: DataFrame, groups: Sequence[Group]) -> dict[str, DataFrame]:
+def daily_reports(
+    log: DataFrame, groups: Sequence[Group], judged_path: str, keep: Sequence[str] = ()
+) -> dict[str, DataFrame]:
     """All reports of a day: sheets, rule statistics, correlations, valid rows.
 
-    Several reports read the judged log. Persist or write ``judged`` first when
-    more than one of them is wanted.
+    The judged rows, cut to the columns of the reports and those in ``keep``,
+    are written once; every report reads that narrow table.
     """
     result = run(filter_types(log), groups)
-    judged, rules = result.log, result.rules
+    rules = result.rules
+    wanted = ["site", "srcg", "ctype", "sadspace", *keep, *rules]
+    result.log.select(*dict.fromkeys(wanted)).write.mode("overwrite").parquet(judged_path)
+    judged = log.sparkSession.read.parquet(judged_path)
     return {
         "judged": judged,
         "valid": valid_rows(judged, rules),

@@ -1 +1,141 @@
+"""Queries of the vector statistics and the isolation forest."""
 
+from pyspark.sql import functions as F
+
+from clicksieve.operators import forest, vectors
+from clicksieve.queries.base import VEC, ctes, query, rounded, table, vec
+
+X = ["x0", "x1", "x2", "x3"]
+
+
+@query("standard_score", ctes(VEC) + """
+, l AS (SELECT vec_id, "label" + 1 w, u.c, u.x FROM vec, LATERAL (VALUES ('x0', x0), ('x1', x1), ('x2', x2), ('x3', x3)) u(c, x))
+, m AS (SELECT c, sum(w * x) / sum(w) mean, sum(w) - sum(w * w) / sum(w) d FROM l GROUP BY c)
+, s AS (SELECT l.c, any_value(mean) mean, sqrt(sum(w * (x - mean) * (x - mean)) / any_value(d)) sd FROM l JOIN m USING (c) GROUP BY l.c)
+, z AS (SELECT vec_id, c, least(3 - least((x - mean) / sd, 3), 9) z, least(3 - least((x - mean) / (SELECT sd FROM s WHERE c = 'x0'), 3), 9) r FROM l JOIN s USING (c))
+SELECT vec_id, round(max(z) FILTER (c = 'x0'), 6) s0, round(max(z) FILTER (c = 'x1'), 6) s1, round(max(z) FILTER (c = 'x2'), 6) s2,
+       round(max(z) FILTER (c = 'x3'), 6) s3, round(max(r) FILTER (c = 'x3'), 6) r3 FROM z GROUP BY vec_id""")
+def standard_score(spark, folder):
+    rows = vec(spark, folder).withColumn("w", F.col("label") + 1)
+    model = vectors.fit_weighted(rows, X, "w")
+    own, first = model.score(), model.score(reference_mode=True)
+    return rows.select(
+        "vec_id", *[F.round(c, 6).alias(f"s{i}") for i, c in enumerate(own)], F.round(first[3], 6).alias("r3"))
+
+
+@query("mean_of_scores", ctes(VEC) + "SELECT vec_id, round((x0 + x1 + x2 + x3) / 4.0, 6) score FROM vec")
+def mean_of_scores(spark, folder):
+    return vec(spark, folder).select("vec_id", F.round(vectors.mean_of_scores([F.col(c) for c in X]), 6).alias("score"))
+
+
+@query("mahalanobis", ctes(VEC) + """
+, f AS (SELECT avg(x0) m0, avg(x1) m1, var_samp(x0) a, var_samp(x1) d, covar_samp(x0, x1) b FROM vec)
+, p AS (SELECT *, (x0 - m0 - 3 * sqrt(a)) u, (x1 - m1 - 3 * sqrt(d)) v, a * d - b * b det FROM vec, f)
+SELECT vec_id, round(sqrt(((d * u * u - 2 * b * u * v + a * v * v) / det) / ((d * a - 2 * b * sqrt(a) * sqrt(d) + a * d) / det)), 5) score FROM p""")
+def mahalanobis(spark, folder):
+    rows = vec(spark, folder)
+    model = vectors.fit_moments(rows, ["x0", "x1"])
+    return rows.select("vec_id", F.round(vectors.mahalanobis(model), 5).alias("score"))
+
+
+@query("euclid_outlier", ctes(VEC) + """
+, s AS (SELECT vec_id, abs(x0) * 60 a, abs(x1) * 60 b, abs(x2) * 60 c, abs(x3) * 60 d FROM vec)
+, n AS (SELECT *, sqrt(a * a + b * b + c * c + d * d) len, list_sort([a, b, c, d], 'DESC')[2] AS second_ FROM s)
+SELECT vec_id, round(CASE WHEN len > 15 AND second_ < 6 THEN 14.9 ELSE len END, 6) score FROM n""")
+def euclid_outlier(spark, folder):
+    rows = vec(spark, folder).select("vec_id", *[(F.abs(c) * 60).alias(c) for c in X])
+    return rows.select("vec_id", F.round(vectors.euclid_outlier(X, 15.0, 6.0), 6).alias("score"))
+
+
+@query("correlation_matrix", ctes(VEC) + """
+, l AS (SELECT vec_id, u.c, u.x FROM vec, LATERAL (VALUES ('x0', x0), ('x1', x1), ('x2', x2), ('x3', x3)) u(c, x))
+SELECT p.c a, q.c b, round(CASE WHEN p.c = q.c THEN 1.0 ELSE corr(p.x, q.x) END, 6) corr
+FROM l p JOIN l q ON p.vec_id = q.vec_id GROUP BY p.c, q.c""")
+def correlation_matrix(spark, folder):
+    return vectors.correlation_matrix(vec(spark, folder), X).select("a", "b", rounded("corr"))
+
+
+@query("skewness", """
+WITH m AS (SELECT l_returnflag site, avg(l_extendedprice) m FROM lineitem GROUP BY ALL)
+SELECT site, round(avg(pow(l_extendedprice - m, 3)) / pow(avg(pow(l_extendedprice - m, 2)), 1.5), 6) skewness
+FROM lineitem JOIN m ON l_returnflag = site GROUP BY site""")
+def skewness(spark, folder):
+    rows = table(spark, folder, "lineitem").select(F.col("l_returnflag").alias("site"), "l_extendedprice")
+    return vectors.skewness(rows, ["site"], "l_extendedprice").select("site", rounded("skewness"))
+
+
+@query("calinski_harabasz", """
+WITH l AS (SELECT "label" k, CAST(unnest(embedding) AS DOUBLE) x, generate_subscripts(embedding, 1) d FROM embeddings)
+, c AS (SELECT k, d, count(*) n, avg(x) m, coalesce(var_samp(x), 0) v FROM l GROUP BY ALL)
+, a AS (SELECT d, avg(x) m FROM l GROUP BY d)
+, t AS (SELECT sum(c.n * (c.m - a.m) * (c.m - a.m)) b, sum(c.n * c.v) w FROM c JOIN a USING (d))
+, z AS (SELECT count(*) n, count(DISTINCT "label") k FROM embeddings)
+SELECT z.n AS "rows", z.k AS clusters, round(b / w * (z.n - z.k) / (z.k - 1), 6) score FROM t, z""")
+def calinski_harabasz(spark, folder):
+    out = vectors.calinski_harabasz(table(spark, folder, "embeddings"), "label", "embedding")
+    return out.select("rows", "clusters", rounded("score"))
+
+
+# Forest ------------------------------------------------------------------------
+
+PARAMS = forest.ForestParams(trees=50, max_samples=128, max_depth=7)
+
+
+def _features(spark, folder):
+    cols = [f"cast(embedding[{i}] as double) f{i}" for i in range(8)]
+    return table(spark, folder, "embeddings").selectExpr("vec_id", *cols), [f"f{i}" for i in range(8)]
+
+
+@query("iforest_sample")
+def iforest_sample(spark, folder):
+    rows, cols = _features(spark, folder)
+    return forest.iforest_sample(rows, "vec_id", cols, PARAMS)
+
+
+@query("iforest_fit")
+def iforest_fit(spark, folder):
+    rows, cols = _features(spark, folder)
+    return forest.iforest_fit(forest.iforest_sample(rows, "vec_id", cols, PARAMS), cols, PARAMS)
+
+
+# A fixed forest: tree, node, feature, split, left, right, size, depth
+NODES = [
+    (0, 0, 0, 0.0, 1, 2, 64, 0), (0, 1, 1, 0.05, 3, 4, 30, 1), (0, 2, -1, None, -1, -1, 34, 1),
+    (0, 3, -1, None, -1, -1, 29, 2), (0, 4, -1, None, -1, -1, 1, 2),
+    (1, 0, 2, -0.02, 1, 2, 64, 0), (1, 1, -1, None, -1, -1, 2, 1), (1, 2, 3, 0.1, 3, 4, 62, 1),
+    (1, 3, 0, 0.03, 5, 6, 60, 2), (1, 4, -1, None, -1, -1, 2, 2), (1, 5, -1, None, -1, -1, 50, 3),
+    (1, 6, -1, None, -1, -1, 10, 3),
+    (2, 0, 1, 0.12, 1, 2, 64, 0), (2, 1, 0, -0.1, 3, 4, 63, 1), (2, 2, -1, None, -1, -1, 1, 1),
+    (2, 3, -1, None, -1, -1, 3, 2), (2, 4, -1, None, -1, -1, 60, 2),
+]
+_NODE_SQL = ", ".join(
+    "(" + ", ".join("NULL" if v is None else f"{v}::DOUBLE" if isinstance(v, float) else str(v) for v in n) + ")"
+    for n in NODES)
+_C = "CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + 0.5772156649::DOUBLE) - 2 * ({n} - 1) / {n} WHEN {n} = 2 THEN 1.0 ELSE 0.0 END"
+_SCORED = f"""nodes(tree, node, f, split, l, r, size, depth) AS (VALUES {_NODE_SQL})
+, walk AS (SELECT vec_id, [x0, x1, x2, x3] x, nodes.* FROM vec, nodes WHERE node = 0
+   UNION ALL SELECT walk.vec_id, walk.x, n.* FROM walk JOIN nodes n ON n.tree = walk.tree
+     AND n.node = CASE WHEN walk.x[walk.f + 1] < walk.split THEN walk.l ELSE walk.r END WHERE walk.f >= 0)
+, leaf AS (SELECT vec_id, depth + {_C.format(n='size::DOUBLE')} p FROM walk WHERE f < 0)
+, scored AS (SELECT vec_id, pow(2, -avg(CASE WHEN p <= 2 THEN 0 WHEN p <= 5 THEN p - 1 ELSE p END) / ({_C.format(n='64::DOUBLE')})) score FROM leaf GROUP BY vec_id)"""
+
+
+def _scored(spark, folder):
+    nodes = spark.createDataFrame(NODES, forest.NODE_SCHEMA)
+    return forest.iforest_score(vec(spark, folder), nodes, X, 64)
+
+
+@query("iforest_score", "WITH RECURSIVE " + VEC + ", " + _SCORED + " SELECT vec_id, round(score, 6) score FROM scored")
+def iforest_score(spark, folder):
+    return _scored(spark, folder).select("vec_id", rounded("score"))
+
+
+@query("anomaly_cut", """
+WITH s AS (SELECT l_orderkey, l_linenumber, l_extendedprice * (1 + l_tax) score FROM lineitem)
+, o AS (SELECT score, row_number() OVER (ORDER BY score) r, count(*) OVER () n FROM s)
+, c AS (SELECT min(score) cut FROM o WHERE r >= ceil((1.0::DOUBLE - 0.1::DOUBLE) * n))
+SELECT l_orderkey, l_linenumber, round(cut, 4) cut, CASE WHEN score > cut THEN 1 ELSE 0 END anomaly FROM s, c""")
+def anomaly_cut(spark, folder):
+    rows = table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_extendedprice * (1D + l_tax) score")
+    return vectors.anomaly_cut(rows, "score", 0.1).select("l_orderkey", "l_linenumber", rounded("cut", 4), "anomaly")

@@ -1 +1,326 @@
+"""Queries of timelines, gaps, tokens, Markov models and entropies."""
 
+from pyspark.sql import functions as F
+
+from clicksieve.operators import aggregate as agg
+from clicksieve.operators import distribution, entropy, sequence
+from clicksieve.queries.base import HIST, LOG, ctes, hist, log, query, rounded, table
+
+# Rows are searches; a row with event_id mod 3 = 0 (tp "0") or 1 (tp "1") has as
+# many clicks as the last digit of event_id mod 3, the second without a time.
+
+
+def _clicks():
+    return F.expr("""transform(filter(sequence(1, 2), j -> j <= event_id % 3),
+        j -> case when j = 2 then 'x' else concat(cast(t_ms + 1000 * j as string), '.5') end)""")
+
+
+def _ad_clicks():
+    return F.expr("""transform(filter(sequence(1, 1), j -> act = 'purchase'), j -> 'null')""")
+
+
+def _timeline(spark, folder):
+    rows = log(spark, folder)
+    return sequence.action_timeline(
+        rows, ["srcg", "guid"], F.concat(F.lit("search_"), F.substring("act", 1, 1)),
+        F.col("t_ms").cast("string"), _clicks(), _ad_clicks())
+
+
+TIMELINE = """ev AS (
+  SELECT srcg, guid, t_ms t, concat('search_', substr(act, 1, 1)) a FROM log WHERE tp <= '1'
+  UNION SELECT srcg, guid, t_ms + 1000, 'click' FROM log WHERE tp <= '1' AND event_id % 3 >= 1
+  UNION SELECT srcg, guid, t_ms + 10000, 'click' FROM log WHERE tp <= '1' AND event_id % 3 >= 2
+  UNION SELECT srcg, guid, t_ms + 10000 * (event_id % 3 + 1), 'adclick' FROM log WHERE tp <= '1' AND act = 'purchase'),
+tl AS (SELECT *, row_number() OVER (PARTITION BY srcg, guid ORDER BY t, a) r FROM ev QUALIFY r <= 200)"""
+
+
+@query("action_timeline", ctes(LOG, TIMELINE) + """
+SELECT srcg, guid, string_agg(a, '->' ORDER BY r) actions, string_agg(CAST(t AS VARCHAR), ',' ORDER BY r) times FROM tl GROUP BY ALL""")
+def action_timeline(spark, folder):
+    return _timeline(spark, folder).select(
+        "srcg", "guid", F.array_join("actions", "->").alias("actions"),
+        F.array_join(F.col("times").cast("array<string>"), ",").alias("times"))
+
+
+@query("time_gap_histogram", ctes(LOG) + """
+, g AS (SELECT guid, (t_ms - lag(t_ms) OVER (PARTITION BY guid ORDER BY t_ms, event_id)) // 3600000 s FROM log)
+SELECT guid, least(s, 9) gap, count(*) n FROM g WHERE s IS NOT NULL AND s <= 24 GROUP BY ALL""")
+def time_gap_histogram(spark, folder):
+    return sequence.time_gap_histogram(
+        log(spark, folder), ["guid"], "t_ms", step=3_600_000, session_gap=24, max_step=10)
+
+
+TOKENS = """nx AS (SELECT *, lead(t) OVER (PARTITION BY srcg, guid ORDER BY r) nt FROM tl),
+tk AS (SELECT srcg, guid, r, a, CASE WHEN nt IS NULL THEN NULL WHEN (nt - t) // 1000 = 0 THEN 't-1'
+  ELSE concat('t', CAST(least(CAST(floor(ln((nt - t) // 1000) / ln(6.0)) AS BIGINT), 5) AS VARCHAR)) END p FROM nx),
+tokens AS (SELECT srcg, guid, concat('start,', string_agg(concat(a, CASE WHEN p IS NULL THEN '' ELSE concat(',', p) END), ',' ORDER BY r), ',end') tokens
+  FROM tk GROUP BY srcg, guid)"""
+
+VOCABULARY = {t: i for i, t in enumerate(
+    ["start", "end", "click", "adclick", *(f"search_{c}" for c in "cepsv"), *(f"t{i}" for i in range(-1, 6))])}
+
+
+@query("think_time_tokens", ctes(LOG, TIMELINE, TOKENS) + "SELECT * FROM tokens")
+def think_time_tokens(spark, folder):
+    tokens = sequence.think_time_tokens(F.col("actions"), F.col("times"))
+    return _timeline(spark, folder).select("srcg", "guid", F.array_join(tokens, ",").alias("tokens"))
+
+
+@query("token_ids", ctes(LOG, TIMELINE, TOKENS) + ", v(w, i) AS (VALUES " + ", ".join(
+    f"('{w}', {i})" for w, i in VOCABULARY.items()) + """)
+, x AS (SELECT srcg, guid, unnest(string_split(tokens, ',')) w, generate_subscripts(string_split(tokens, ','), 1) p FROM tokens)
+SELECT srcg, guid, string_agg(CAST(i AS VARCHAR), ',' ORDER BY p) ids FROM x JOIN v USING (w) GROUP BY ALL""")
+def token_ids(spark, folder):
+    tokens = _timeline(spark, folder).select(
+        "srcg", "guid", sequence.think_time_tokens(F.col("actions"), F.col("times")).alias("tokens"))
+    ids = sequence.token_ids(F.col("tokens"), VOCABULARY)
+    return tokens.select("srcg", "guid", F.array_join(ids.cast("array<string>"), ",").alias("ids"))
+
+
+# Markov ------------------------------------------------------------------------
+
+DEPTH, MIN_COUNT, MIN_ROOT = 4, 20, 500
+_SEP_SQL = "chr(1)"
+
+# ctx lists the previous actions, oldest first
+GRAMS = "gr AS (" + " UNION ALL ".join(
+    f"SELECT srcg, guid, r, {n} len, "
+    + ("''" if n == 0 else f" || {_SEP_SQL} || ".join(f"lag(a, {k}) OVER w" for k in range(n, 0, -1)))
+    + ' ctx, a AS "next" FROM tl WINDOW w AS (PARTITION BY srcg, guid ORDER BY r)'
+    for n in range(DEPTH)) + f"""),
+cc AS (SELECT srcg, len, ctx, "next", count(*) n FROM gr WHERE ctx IS NOT NULL GROUP BY ALL),
+rt AS (SELECT srcg, sum(n) root FROM cc WHERE len = 0 GROUP BY srcg HAVING sum(n) > {MIN_ROOT}),
+counts AS (SELECT cc.* FROM cc JOIN rt USING (srcg)),
+tot AS (SELECT *, sum(n) OVER (PARTITION BY srcg, len, ctx) total FROM counts),
+probs AS (SELECT srcg, len, ctx, "next", n, n / total p FROM tot WHERE total > {MIN_COUNT})"""
+
+
+def _counts(timeline):
+    return sequence.context_counts(timeline, ["srcg"], "actions", DEPTH, MIN_ROOT)
+
+
+@query("context_counts", ctes(LOG, TIMELINE, GRAMS) + 'SELECT srcg, len, ctx, "next", n FROM counts')
+def context_counts(spark, folder):
+    return _counts(_timeline(spark, folder))
+
+
+@query("context_probs", ctes(LOG, TIMELINE, GRAMS) + 'SELECT srcg, len, ctx, "next", n, round(p, 6) p FROM probs')
+def context_probs(spark, folder):
+    probs = sequence.context_probs(_counts(_timeline(spark, folder)), ["srcg"], MIN_COUNT)
+    return probs.select("srcg", "len", "ctx", "next", "n", rounded("p"))
+
+
+PRIOR = {"click": 0.3, "adclick": 0.1, "search_c": 0.15, "search_e": 0.1, "search_p": 0.1, "search_s": 0.05, "search_v": 0.2}
+
+
+@query("sequence_likelihood", ctes(LOG, TIMELINE, GRAMS) + ", prior(\"next\", q) AS (VALUES " + ", ".join(
+    f"('{k}', {v}::DOUBLE)" for k, v in PRIOR.items()) + """)
+, best AS (SELECT gr.srcg, gr.guid, gr.r, any_value(gr."next") "next", max(gr.len) len
+   FROM gr JOIN (SELECT DISTINCT srcg, len, ctx FROM probs) k ON k.srcg = gr.srcg AND k.len = gr.len AND k.ctx = gr.ctx GROUP BY ALL)
+, pr AS (SELECT best.srcg, best.guid, best.r, coalesce(probs.p, 1e-7) p, prior.q
+   FROM best JOIN gr ON gr.srcg = best.srcg AND gr.guid = best.guid AND gr.r = best.r AND gr.len = best.len
+   JOIN prior ON prior."next" = best."next"
+   LEFT JOIN probs ON probs.srcg = best.srcg AND probs.len = best.len AND probs.ctx = gr.ctx AND probs."next" = best."next")
+, sz AS (SELECT srcg, guid, count(*) c FROM tl GROUP BY ALL)
+SELECT sz.srcg, sz.guid, round(CASE WHEN sz.srcg NOT IN (SELECT srcg FROM rt) THEN 0.0 WHEN c = 1 THEN 1.0
+   ELSE (SELECT exp(sum(ln(p / q)) / (sz.c - 1)) FROM pr WHERE pr.srcg = sz.srcg AND pr.guid = sz.guid) END, 5) score FROM sz""")
+def sequence_likelihood(spark, folder):
+    timeline = _timeline(spark, folder)
+    model = sequence.context_probs(_counts(timeline), ["srcg"], MIN_COUNT)
+    scored = sequence.sequence_likelihood(
+        timeline, ["srcg"], ["guid"], "actions", model, depth=DEPTH, prior=PRIOR)
+    return scored.select("srcg", "guid", rounded("score", 5))
+
+
+# Entropies -----------------------------------------------------------------------
+
+_ACT = "f AS (SELECT srcg, q k, count(*) n FROM log GROUP BY ALL)"
+
+
+def _queries(spark, folder):
+    return agg.histogram(log(spark, folder), ["srcg"], F.col("q"))
+
+
+@query("entropy", ctes(LOG, _ACT) + """
+, p AS (SELECT srcg, n / sum(n) OVER (PARTITION BY srcg) p FROM f)
+SELECT srcg, count(*) categories, round(-sum(p * log2(p)), 6) entropy, round(-sum(p * log2(p)) / log2(count(*)), 6) norm FROM p GROUP BY srcg""")
+def shannon(spark, folder):
+    out = entropy.entropy(_queries(spark, folder), ["srcg"])
+    return out.select("srcg", "categories", rounded("entropy"), rounded("norm"))
+
+
+@query("peel_entropy", ctes(LOG, _ACT) + """
+, o AS (SELECT *, row_number() OVER (PARTITION BY srcg ORDER BY n DESC, k) r, count(*) OVER (PARTITION BY srcg) c FROM f)
+, s AS (SELECT a.srcg, a.r, a.c, b.n, sum(b.n) OVER (PARTITION BY a.srcg, a.r) t FROM o a JOIN o b ON a.srcg = b.srcg AND b.r >= a.r)
+SELECT srcg, r - 1 removed, CAST(max(t) AS DOUBLE) remaining, abs(round(-sum(n / t * log2(n / t)), 6)) entropy,
+       round(CASE WHEN c - r + 1 <= 1 THEN 1.0 ELSE -sum(n / t * log2(n / t)) / log2(c - r + 1) END, 6) norm FROM s GROUP BY srcg, r, c""")
+def peel_entropy(spark, folder):
+    out = entropy.peel_entropy(_queries(spark, folder), ["srcg"])
+    return out.select("srcg", "removed", "remaining", rounded("entropy"), rounded("norm"))
+
+
+_SKEWED = "f AS (SELECT srcg, CAST(floor(ln(value + 1) * 2) AS INTEGER) k, count(*) n FROM log GROUP BY ALL)"
+
+
+@query("general_entropy", "WITH RECURSIVE " + ",\n".join([LOG, _SKEWED]) + """
+, o AS (SELECT srcg, k, n, row_number() OVER (PARTITION BY srcg ORDER BY n DESC, k) r FROM f)
+, h AS (SELECT a.srcg, a.k, a.n, a.r, (SELECT sum(b.n) FROM o b WHERE b.srcg = a.srcg AND b.r >= a.r) t,
+   (SELECT -sum(b.n / tt * log2(b.n / tt)) FROM o b, (SELECT sum(c.n) tt FROM o c WHERE c.srcg = a.srcg AND c.r >= a.r) WHERE b.srcg = a.srcg AND b.r >= a.r) e FROM o a)
+, walk AS (SELECT srcg, k, n, r, e FROM h WHERE r = 1 AND e < 3.4 AND t >= 20
+   UNION ALL SELECT h.srcg, h.k, h.n, h.r, h.e FROM walk JOIN h ON h.srcg = walk.srcg AND h.r = walk.r + 1 WHERE h.e < 3.4 AND h.t > 20)
+SELECT srcg, k, n, r "rank", abs(round(e, 6)) entropy FROM walk""")
+def general_entropy(spark, folder):
+    rows = log(spark, folder).withColumn("k", F.floor(F.ln(F.col("value") + 1) * 2).cast("int"))
+    counts = rows.groupBy("srcg", "k").agg(F.count(F.lit(1)).alias("n"))
+    out = entropy.general_entropy(counts, ["srcg"], "k", threshold=3.4, limit=20)
+    return out.select("srcg", "k", "n", F.col("rank").cast("bigint").alias("rank"), rounded("entropy"))
+
+
+# Chains of actions by day parts: few distinct ones, so that peeling has work to do.
+_CHAINS = """cu AS (SELECT srcg, guid, t_ms // 43200000 part, string_agg(act, '->' ORDER BY t_ms, act) chain,
+   count(*) c FROM log GROUP BY ALL),
+ch AS (SELECT srcg, chain, count(*) n FROM cu GROUP BY ALL)"""
+
+
+def _chains(spark, folder):
+    rows = log(spark, folder).select(
+        "srcg", "guid", F.floor(F.col("t_ms") / 43_200_000).alias("part"), F.col("t_ms").alias("time"),
+        F.col("act").alias("action"))
+    lists = sequence.first_actions(rows, ["srcg", "guid", "part"])
+    return lists, entropy.chain_counts(lists, ["srcg"], "actions")
+
+
+@query("action_entropy", "WITH RECURSIVE " + ",\n".join([LOG, _CHAINS]) + """
+, o AS (SELECT srcg, chain, n, row_number() OVER (PARTITION BY srcg ORDER BY n DESC, chain) r FROM ch)
+, g AS (SELECT srcg, CAST(sum(n) AS BIGINT) total, count(*) keys, greatest(count(*), CAST(sum(n) AS BIGINT) // 4) padded FROM ch GROUP BY srcg)
+, h AS (SELECT g.srcg, x.gone, g.padded - x.gone len,
+   (SELECT -sum(b.n / tt * log2(b.n / tt)) FROM o b, (SELECT sum(c.n) tt FROM o c WHERE c.srcg = g.srcg AND c.r > x.gone) WHERE b.srcg = g.srcg AND b.r > x.gone) e
+   FROM g, unnest(range(0, least(g.padded + 1, 2000))) AS x(gone))
+, nh AS (SELECT srcg, gone, CASE WHEN len <= 1 THEN 1.0 WHEN e IS NULL THEN 0.0 ELSE e / log2(len) END e FROM h)
+, walk AS (SELECT srcg, CAST(1 AS BIGINT) step, CAST(0 AS BIGINT) gone, e FROM nh WHERE gone = 0 AND e < 0.75
+   UNION ALL SELECT nh.srcg, walk.step + 1, nh.gone, nh.e FROM walk JOIN nh ON nh.srcg = walk.srcg AND nh.gone = walk.gone + greatest(1, walk.step // 2)
+   WHERE nh.e < 0.75)
+, top AS (SELECT o.srcg, o.chain, o.n, 0.75 - walk.e delta FROM o JOIN walk ON walk.srcg = o.srcg AND walk.step = o.r)
+SELECT cu.srcg, cu.guid, cu.part, round(coalesce(delta, 0.0), 6) user_score, total, keys "distinct",
+  round(nh.e, 6) entropy
+FROM cu JOIN g USING (srcg) JOIN nh ON nh.srcg = cu.srcg AND nh.gone = 0 LEFT JOIN top ON top.srcg = cu.srcg AND top.chain = cu.chain""")
+def action_entropy(spark, folder):
+    lists, chains = _chains(spark, folder)
+    channels, scored = entropy.action_entropy(chains, ["srcg"], "chain", threshold=0.75)
+    users = lists.select("srcg", "guid", "part", F.array_join("actions", "->").alias("chain"))
+    scored = scored.select("srcg", "chain", F.col("delta").alias("user_score"))
+    out = distribution.lookup(users, scored, ["srcg", "chain"], {"user_score": F.lit(0.0)})
+    return agg.same_keys(out, channels, ["srcg"]).select(
+        "srcg", "guid", "part", rounded("user_score"), "total", "distinct", rounded("entropy"))
+
+
+# Distributions ---------------------------------------------------------------------
+
+_LANGS = ["de", "en", "es", "fr"]
+_WORLD = "w AS (SELECT lang k, count(*) p FROM documents GROUP BY lang)"
+
+
+def _against_world(spark, folder):
+    world = table(spark, folder, "documents").groupBy(F.col("lang").alias("k")).agg(F.count(F.lit(1)).alias("p"))
+    own = distribution.complete_keys(hist(spark, folder), ["grp"], _LANGS)
+    return agg.same_keys(own, world, ["k"], "inner")
+
+
+_FULL = """, full_ AS (SELECT g.grp, w.k, w.p, coalesce(hist.n, 0) n FROM (SELECT DISTINCT grp FROM hist) g CROSS JOIN w
+   LEFT JOIN hist ON hist.grp = g.grp AND hist.k = w.k)
+, sh AS (SELECT grp, k, p / sum(p) OVER (PARTITION BY grp) p, n / sum(n) OVER (PARTITION BY grp) q FROM full_)"""
+
+
+@query("relative_entropy", ctes(HIST, _WORLD) + _FULL + """
+SELECT grp, round(sum(p * ln(p / (q + 1e-7::DOUBLE))), 5) kl FROM sh GROUP BY grp""")
+def relative_entropy(spark, folder):
+    out = distribution.relative_entropy(_against_world(spark, folder), ["grp"], "p", "n")
+    return out.select("grp", rounded("kl", 5))
+
+
+@query("share_excess", ctes(HIST, _WORLD) + _FULL + """
+SELECT grp, k, round(q - p, 6) excess FROM sh WHERE q - p > 0.05""")
+def share_excess(spark, folder):
+    out = distribution.share_excess(_against_world(spark, folder), ["grp"], "p", "n", 0.05)
+    return out.select("grp", "k", rounded("excess"))
+
+
+STANDARD = {"click": (0.15, 0.02), "error": (0.1, 0.02), "purchase": (0.1, 0.03), "signup": (0.25, 0.02), "view": (0.4, 0.05)}
+SECOND = {"click": (0.2, 0.02), "error": (0.2, 0.02), "purchase": (0.2, 0.02), "signup": (0.2, 0.02), "view": (0.2, 0.02)}
+REMIT = {"view": (0.05, 0.5), "click": (0.1, 0.2)}
+
+
+def _std_sql(name, std):
+    return f"{name}(k, mean, sd) AS (VALUES " + ", ".join(
+        f"('{k}', {m}::DOUBLE, {s}::DOUBLE)" for k, (m, s) in std.items()) + ")"
+
+
+def _distribution_sql(limit: int, remit: bool) -> str:
+    over = "CASE WHEN remit.k IS NOT NULL AND top_key = 'click' THEN remit.{c} ELSE s.{c} END" if remit else "s.{c}"
+    return ctes(LOG, _std_sql("std1", STANDARD), _std_sql("std2", SECOND), _std_sql("remit", REMIT)) + f"""
+, h AS (SELECT site, srcg, act k, count(*) n FROM log GROUP BY ALL)
+, g AS (SELECT site, srcg, CAST(sum(n) AS DOUBLE) total, arg_min(k, (-n, k)) top_key FROM h GROUP BY ALL)
+, s AS (SELECT 1 v, *, mean / sum(mean) OVER () p FROM std1 UNION ALL SELECT 2, *, mean / sum(mean) OVER () FROM std2)
+, x AS (SELECT g.site, g.srcg, g.total, s.v, s.k, s.p, coalesce(h.n, 0) / g.total q, coalesce(h.n, 0) / (g.total + 0.001) share_,
+     {over.format(c='mean')} mean, {over.format(c='sd')} sd
+   FROM g CROSS JOIN s LEFT JOIN h ON h.site = g.site AND h.srcg = g.srcg AND h.k = s.k LEFT JOIN remit ON remit.k = s.k)
+, kl AS (SELECT site, srcg, total, v, sum(p * ln(p / (q + 1e-7))) kl FROM x GROUP BY ALL)
+, pick AS (SELECT site, srcg, total, min(kl) score, CASE WHEN min(kl) FILTER (v = 2) < min(kl) FILTER (v = 1) THEN 2 ELSE 1 END v FROM kl GROUP BY ALL)
+, e AS (SELECT x.site, x.srcg, x.k, pick.total, CASE WHEN pick.total >= {limit} THEN score ELSE 0 END score,
+     CASE WHEN pick.total >= {limit} THEN greatest((share_ - mean) / (sd + 1e-7), 0) ELSE 0 END d
+   FROM x JOIN pick ON x.site = pick.site AND x.srcg = pick.srcg AND x.v = pick.v)
+, u AS (SELECT site, srcg, guid, act k, count(*) n FROM log GROUP BY ALL)
+SELECT u.site, u.srcg, u.guid, round(sum(u.n * e.d) / sum(u.n), 6) user_score, round(max(e.score), 5) group_score
+FROM u JOIN e ON u.site = e.site AND u.srcg = e.srcg AND u.k = e.k GROUP BY ALL"""
+
+
+def _distribution(spark, folder, limit, remit=None):
+    users = agg.histogram(log(spark, folder), ["site", "srcg", "guid"], F.col("act"))
+    groups = distribution.distribution_groups(
+        users, ["site", "srcg"], STANDARD, second=SECOND, limit=limit, remit=remit)
+    out = distribution.distribution_users(users, ["site", "srcg"], ["guid"], groups)
+    return out.select("site", "srcg", "guid", rounded("user_score"), rounded("group_score", 5))
+
+
+@query("distribution_feature", _distribution_sql(210, False))
+def distribution_feature(spark, folder):
+    return _distribution(spark, folder, 210)
+
+
+@query("distribution_feature_override", _distribution_sql(0, True))
+def distribution_feature_override(spark, folder):
+    return _distribution(spark, folder, 0, distribution.Remit(F.col("top_key") == "click", REMIT))
+
+
+@query("fit_standard", ctes(HIST) + """
+, ks(k) AS (VALUES ('de'), ('en'), ('es'), ('fr'))
+, s AS (SELECT g.grp, ks.k, coalesce(hist.n, 0) / (SELECT sum(n) FROM hist h2 WHERE h2.grp = g.grp) sh
+   FROM (SELECT DISTINCT grp FROM hist) g CROSS JOIN ks LEFT JOIN hist ON hist.grp = g.grp AND hist.k = ks.k)
+SELECT k, round(avg(sh), 6) mean, round(stddev_pop(sh), 6) std FROM s GROUP BY k""")
+def fit_standard(spark, folder):
+    return distribution.fit_standard(hist(spark, folder), ["grp"], _LANGS).select("k", rounded("mean"), rounded("std"))
+
+
+@query("redistribute_by_frequency", ctes(LOG) + """
+, u AS (SELECT srcg, guid, q k, count(*) n FROM log GROUP BY ALL)
+, z AS (SELECT srcg, count(*) "size" FROM log GROUP BY srcg)
+, t AS (SELECT u.srcg, k, sum(n) * 5000.0::DOUBLE / any_value("size") t FROM u JOIN z USING (srcg) GROUP BY ALL)
+SELECT u.srcg, u.guid, CASE WHEN t <= 10 THEN 10 WHEN t <= 40 THEN 40 WHEN t <= 60 THEN 60 ELSE 100 END bin, CAST(sum(n) AS BIGINT) n
+FROM u JOIN t ON u.srcg = t.srcg AND u.k = t.k GROUP BY ALL""")
+def redistribute_by_frequency(spark, folder):
+    rows = log(spark, folder)
+    users = agg.histogram(rows, ["srcg", "guid"], F.col("q"))
+    sizes = rows.groupBy("srcg").agg(F.count(F.lit(1)).alias("size"))
+    return distribution.redistribute_by_frequency(users, ["srcg"], ["guid"], [40, 10, 60, 100], sizes=sizes)
+
+
+@query("join_bin_dict", ctes(LOG) + """
+, t AS (SELECT srcg, q, count(*) t FROM log GROUP BY ALL)
+SELECT event_id, CASE WHEN t <= 5 THEN 5 WHEN t <= 15 THEN 15 ELSE 30 END bin FROM log LEFT JOIN t ON t.srcg = log.srcg AND t.q = log.q""")
+def join_bin_dict(spark, folder):
+    from clicksieve.functions.histogram import edge_bin
+
+    rows = log(spark, folder)
+    totals = agg.histogram(rows, ["srcg"], F.col("q"), clean=False).withColumn("bin", edge_bin(F.col("n"), [5, 15, 30]))
+    named = totals.select("srcg", F.col("k").alias("q"), "bin")
+    return distribution.lookup(rows, named, ["srcg", "q"], {"bin": F.lit(30)}).select("event_id", "bin")

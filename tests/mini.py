@@ -1,0 +1,28 @@
+"""Check the queries of named modules: python tests/mini.py sf0.01 groups sheets"""
+
+import importlib
+import sys
+import time
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).parent.parent))
+sys.path.insert(0, str(Path(__file__).parent))
+
+from compare import compare, duck  # noqa: E402
+from conftest import session  # noqa: E402
+
+from clicksieve.queries.base import ORACLES, QUERIES  # noqa: E402
+
+if __name__ == "__main__":
+    folder = f"/root/testdata/{sys.argv[1]}"
+    for m in sys.argv[2:]:
+        importlib.import_module(f"clicksieve.queries.{m}")
+    spark, con = session(), duck(folder)
+    for name in QUERIES:
+        start = time.time()
+        try:
+            df = QUERIES[name](spark, folder)
+            problem = compare(df, con, ORACLES[name]) if name in ORACLES else (None if df.count() else "no rows")
+        except Exception as e:
+            problem = f"{type(e).__name__}: {str(e)[:500]}"
+        print(f"{name} {time.time() - start:.1f}s {problem or 'ok'}", flush=True)
