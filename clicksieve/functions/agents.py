@@ -75,7 +75,9 @@ WEBKIT_SAFARI = dict(p.split() for p in rules.WEBKIT_SAFARI.replace("\n", " ").s
 
 
 def _has(text: Column, words: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [text.contains(w) for w in words])
+    if len(words) == 1:
+        return text.contains(words[0])
+    return text.rlike("|".join(f"\\Q{w}\\E" for w in words))
 
 
 def _first(cases: list[tuple[Column, Column]], default: Column) -> Column:
@@ -210,8 +212,9 @@ def versions(df: DataFrame, dims: Sequence[str], agent: str) -> DataFrame:
 
 def latest_version(df: DataFrame, agent: str) -> DataFrame:
     """Highest version seen per browser."""
-    seen = versions(df, [], agent).filter(F.col("full").isNotNull())
-    return seen.groupBy("browser").agg(F.max_by("full", version_key(F.col("full"))).alias("latest"))
+    best = versions(df, [], agent).groupBy("browser").agg(
+        F.max_by("full", version_key(F.col("full"))).alias("latest"))
+    return best.filter(F.col("latest").isNotNull())
 
 
 def referrer_mix(df: DataFrame, dims: Sequence[str], referrer: str) -> DataFrame:

@@ -12,7 +12,7 @@ AD_SCHEMA = (
     "array<struct<industry:string,sub_industry:string,location:string,pos:string,"
     "ad_clicknum:string,ad_clickdetails:array<struct<click_time:string>>>>"
 )
-_DIGITS = "^[0-9.]+$"
+_DIGITS = "0123456789."
 
 _OPS = {
     ">": lambda a, b: a > b,
@@ -26,7 +26,7 @@ _OPS = {
 
 def is_digital(text: Column) -> Column:
     """Only digits and dots, at least one character; null is not digital."""
-    return F.coalesce(text.rlike(_DIGITS), F.lit(False))
+    return F.coalesce((text != "") & (F.translate(text, _DIGITS, "") == ""), F.lit(False))
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,7 @@ class Condition:
         text = value.cast("string")
         literal = "" if self.literal == "''" else self.literal
         as_text = compare(text, F.lit(literal))
-        if not literal or set(literal) - set("0123456789."):
+        if not literal or set(literal) - set(_DIGITS):
             return F.coalesce(as_text, F.lit(False))
         as_number = compare(text.try_cast("double"), F.lit(float(literal)))
         return F.coalesce(F.when(is_digital(text), as_number).otherwise(as_text), F.lit(False))
@@ -55,15 +55,15 @@ def keep_where(values: Column, conditions: Column, cond: Condition) -> Column:
 
     With lists of unequal length one true condition keeps every value.
     """
-    pairs = F.arrays_zip(values.alias("v"), conditions.alias("c"))
-    pairwise = F.transform(F.filter(pairs, lambda p: cond.test(p["c"])), lambda p: p["v"])
-    any_true = F.exists(conditions, cond.test)
-    none = F.slice(values, 1, 0)
-    return (
-        F.when(F.size(values) == F.size(conditions), pairwise)
-        .when(any_true, values)
-        .otherwise(none)
-    )
+    # the lambda binds both lists once for all their uses
+    lists = F.array(F.struct(values.alias("v"), conditions.alias("c")))
+
+    def keep(p: Column) -> Column:
+        pairwise = F.filter(p["v"], lambda v, i: cond.test(F.get(p["c"], i)))
+        return F.when(F.size(p["v"]) == F.size(p["c"]), pairwise).otherwise(
+            F.filter(p["v"], lambda v: F.exists(p["c"], cond.test)))
+
+    return F.transform(lists, keep)[0]
 
 
 def parse_details(text: Column, schema: str = AD_SCHEMA) -> Column:

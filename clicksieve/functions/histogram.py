@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clicksieve.functions.unfold import unfold_structs
+
 
 def clean_key(key: Column) -> Column:
     """Key without white space and the separators of the text form."""
@@ -25,7 +27,7 @@ def entries(text: Column) -> Column:
 def explode_histogram(df: DataFrame, col: str, key: str = "k", n: str = "n") -> DataFrame:
     """One row per entry of a histogram text column, other columns kept."""
     rest = [c for c in df.columns if c != col]
-    return df.select(*rest, F.inline(entries(F.col(col)))).toDF(*rest, key, n)
+    return unfold_structs(df, rest, entries(F.col(col))).toDF(*rest, key, n)
 
 
 def write_entries(pairs: Column) -> Column:

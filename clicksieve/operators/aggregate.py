@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicksieve.functions.histogram import clean_key, entries, write_entries
+from clicksieve.functions.unfold import unfold_structs
 
 _STATS = {
     "Max": lambda n: F.max(n), "Min": lambda n: F.min(n),
@@ -257,7 +258,7 @@ def freq_of_freq_bins(
 def merge_histograms(df: DataFrame, dims: Sequence[str], text: str) -> DataFrame:
     """Sum of many histogram texts per group, as (dims, k, n)."""
     return (
-        df.select(*dims, F.inline(entries(F.col(text))))
+        unfold_structs(df, dims, entries(F.col(text)))
         .groupBy(*dims, F.col("key").alias("k")).agg(F.sum("n").alias("n"))
     )
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clicksieve.functions.unfold import unfold
 from clicksieve.operators.aggregate import same_keys
 from clicksieve.session import cut_lineage
 
@@ -96,7 +97,7 @@ def average_link_clusters(
             return tags
         move = lambda df, c: df.join(merges, df[c] == merges["old"], "left").withColumn(
             c, F.coalesce("new", c)).drop("old", "new")
-        tags = cut_lineage(move(tags, "tag"))
+        tags = move(tags, "tag")
         dist = cut_lineage(
             move(move(dist, "a"), "b").filter(F.col("a") != F.col("b"))
             .groupBy("a", "b").agg(F.sum("d").alias("d"), F.sum("m").alias("m")))
@@ -184,6 +185,6 @@ def keep_one_per_page(
             e["_last"].cast("string").alias("last"),
             F.when(same, acc["kept"]).otherwise(closed).alias("kept"))
 
-    kept = steps.groupBy(site).agg(walk.alias("_w")).select(site, F.explode(F.aggregate(
-        F.col("_w"), start, step, lambda acc: F.concat(acc["kept"], F.array(acc["last"])))).alias(channel))
+    kept = unfold(steps.groupBy(site).agg(walk.alias("_w")), [site], F.aggregate(
+        F.col("_w"), start, step, lambda acc: F.concat(acc["kept"], F.array(acc["last"]))), channel)
     return same_keys(known, kept, [site, channel], "left_semi").unionByName(df.filter(F.col(site) == unknown))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicksieve.functions.detail import is_digital
+from clicksieve.functions.unfold import unfold_structs
 from clicksieve.operators.aggregate import same_keys
 
 EPSILON = 1e-7
@@ -48,13 +49,13 @@ def action_timeline(
         whole_millis(t, F.col("_t") + 10000 * (F.size(clicks) + i + 1)).alias("time"),
         F.lit("adclick").alias("action")))
     own = F.array(F.struct(F.col("_t").alias("time"), F.col("_a").alias("action")))
-    events = (
+    rows = (
         df.filter(F.col(row_type) <= "1")
         .withColumn("_t", base.cast("bigint")).withColumn("_a", action)
         .filter(F.col("_t") != 0)
-        .select(*dims, F.inline(F.concat(own, click_time, ad_time)))
-        .dropDuplicates([*dims, "time", "action"])
     )
+    events = unfold_structs(rows, dims, F.concat(own, click_time, ad_time)).dropDuplicates(
+        [*dims, "time", "action"])
     return first_actions(events, dims, limit)
 
 
@@ -146,18 +147,16 @@ def context_counts(
 ) -> DataFrame:
     """Counts of the next action after each context of up to ``depth - 1`` actions.
 
-    With a limit, only groups whose root total exceeds it are kept.
+    With a limit, only groups with more actions than that are kept; the
+    others are dropped before their contexts are built.
     """
-    grams = (
-        df.filter(F.size(actions) > 0)
-        .select(*dims, F.inline(_grams(F.col(actions), depth)))
+    if limit is not None and dims:
+        actions_of = df.groupBy(*dims).agg(F.sum(F.size(actions)).alias("_root"))
+        df = same_keys(df, actions_of.filter(F.col("_root") > limit).select(*dims), dims, "left_semi")
+    return (
+        unfold_structs(df.filter(F.size(actions) > 0), dims, _grams(F.col(actions), depth))
         .groupBy(*dims, "len", "ctx", "next").agg(F.count(F.lit(1)).alias("n"))
     )
-    if limit is None:
-        return grams
-    roots = grams.filter(F.col("len") == 0).groupBy(*dims).agg(F.sum("n").alias("_root"))
-    kept = roots.filter(F.col("_root") > limit).select(*dims)
-    return same_keys(grams, kept, dims, "left_semi") if dims else grams
 
 
 def context_probs(counts: DataFrame, dims: Sequence[str], min_count: int = 20) -> DataFrame:
@@ -202,10 +201,8 @@ def sequence_likelihood(
         sequences = sequences.withColumn(
             "_root", F.create_map(*[F.lit(v) for pair in shares.items() for v in pair]))
     known = F.col("_root").isNotNull()
-    grams = (
-        sequences.filter(known & (F.size("_acts") > 1))
-        .select(*keys, "_root", F.inline(_grams(F.col("_acts"), depth)))
-    )
+    grams = unfold_structs(
+        sequences.filter(known & (F.size("_acts") > 1)), [*keys, "_root"], _grams(F.col("_acts"), depth))
     looked = same_keys(
         grams.filter(F.col("len") > 0).drop("_root"),
         nodes.filter(F.col("len") > 0).withColumnRenamed("_probs", "_found"), [*dims, "len", "ctx"], "inner")

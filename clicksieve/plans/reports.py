@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clicksieve.functions.unfold import unfold_structs
 from clicksieve.operators.aggregate import same_keys
 from clicksieve.status import ANOMALY, REAL, SPAM, STATUS, fired, worst
 
@@ -100,7 +101,7 @@ def rule_pairs(patterns: DataFrame, dims: Sequence[str] = ()) -> DataFrame:
     pairs = F.flatten(F.transform("fired", lambda a, i: F.transform(
         F.filter("fired", lambda b: (b > a) & (_family(a) != _family(b))),
         lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    return patterns.select(*dims, "n", F.inline(pairs)).groupBy(*dims, "a", "b").agg(F.sum("n").alias("joint"))
+    return unfold_structs(patterns, [*dims, "n"], pairs).groupBy(*dims, "a", "b").agg(F.sum("n").alias("joint"))
 
 
 def rule_cooccurrence(

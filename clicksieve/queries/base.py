@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicksieve.session import tune
+from clicksieve.session import spread, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -128,27 +128,32 @@ ADS = """ads AS (
 # was clicked (l_linenumber + k) mod 3 times. Rows with quantity 50 hold broken
 # JSON; clicks of rows with quantity 1 have no readable time.
 
+def _ad_text(k: int, location: str) -> str:
+    """SQL of the JSON text of ad k."""
+    clicks = f"(l_linenumber + {k}) % 3"
+    click = lambda j: f"""concat('{{"click_time":"', case when l_quantity = 1 then 'null' else
+        cast(day_ms + (l_linenumber * 7200 + {k * 600 + j * 3000}) * 1000L as string) end, '"}}')"""
+    return f"""concat('{{"industry":"i', cast(l_partkey % 25 as string), '","sub_industry":"u',
+        cast((l_partkey + {k}) % 40 as string), '","location":"{location}","pos":"',
+        cast({k} + l_linenumber % 2 as string), '","ad_clicknum":"', cast({clicks} as string),
+        '","ad_clickdetails":[', case {clicks} when 0 then '' when 1 then {click(0)}
+        else concat({click(0)}, ',', {click(1)}) end, ']}}')"""
+
+
 def adlog(spark: SparkSession, folder: str) -> DataFrame:
-    li = table(spark, folder, "lineitem")
-    detail = """to_json(transform(sequence(1, 1 + l_linenumber % 3), k -> named_struct(
-        'industry', concat('i', cast(l_partkey % 25 as string)),
-        'sub_industry', concat('u', cast((l_partkey + k) % 40 as string)),
-        'location', element_at(array('top', 'right', 'bottom'), k),
-        'pos', cast(k + l_linenumber % 2 as string),
-        'ad_clicknum', cast((l_linenumber + k) % 3 as string),
-        'ad_clickdetails', transform(
-            filter(sequence(0, 2), j -> j < (l_linenumber + k) % 3),
-            j -> named_struct('click_time', case when l_quantity = 1 then 'null' else
-                cast(unix_millis(cast(l_shipdate as timestamp))
-                     + (l_linenumber * 7200 + k * 600 + j * 3000) * 1000L as string) end)))))"""
+    li = spread(table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey", "l_suppkey", "l_partkey", "l_returnflag", "l_linenumber", "l_quantity",
+        "unix_millis(cast(l_shipdate as timestamp)) day_ms"))
+    shown = [f"case when l_linenumber % 3 >= {k - 1} then {_ad_text(k, place)} end"
+             for k, place in enumerate(["top", "right", "bottom"], 1)]
     return li.selectExpr(
         "cast(l_orderkey as string) guid",
         "concat('s', cast(l_suppkey % 20 as string)) srcg",
         "l_returnflag site",
-        f"case when l_quantity = 50 then '{{broken' else {detail} end ads_details",
-        """element_at(array('top|keyword|1|182,bottom|keyword|1', 'right|keyword|1', 'top',
-            '', 'top|keyword|1', 'bottom|keyword|2|7,top|keyword|1|3',
-            'right|keyword|1,bottom|keyword|1'), l_linenumber) tg""",
+        f"case when l_quantity = 50 then '{{broken' else concat('[', concat_ws(',', {', '.join(shown)}), ']') end ads_details",
+        """case l_linenumber when 1 then 'top|keyword|1|182,bottom|keyword|1' when 2 then 'right|keyword|1'
+            when 3 then 'top' when 4 then '' when 5 then 'top|keyword|1'
+            when 6 then 'bottom|keyword|2|7,top|keyword|1|3' else 'right|keyword|1,bottom|keyword|1' end tg""",
         "cast(l_quantity as string) qty",
     )
 

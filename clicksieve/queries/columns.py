@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from clicksieve.functions import agents, detail, histogram, text, times
+from clicksieve.functions.unfold import unfold, unfold_structs
 from clicksieve.operators import aggregate as agg
 from clicksieve.operators import distribution, features, sequence
 from clicksieve.plans import pipeline, reports
@@ -60,6 +61,10 @@ def conditional_feature(spark, folder):
     return features.conditional_feature(log(spark, folder), "feature", branches, "0D").select("event_id", "feature")
 
 
+def _tagged(tag, values):
+    return F.transform(values, lambda v: F.struct(F.lit(tag).alias("tag"), v.alias("value")))
+
+
 @query("inline_predicate", ctes(ADLOG) + """
 SELECT srcg, count(*) FILTER (clicknum > 0) clicked,
        count(DISTINCT CASE WHEN clicknum > 0 THEN industry END) clicked_kinds,
@@ -70,17 +75,17 @@ def inline_predicate(spark, folder):
     rows = adlog(spark, folder).select("srcg", "qty", detail.parse_details(F.col("ads_details")).alias("ads"))
     leaf = lambda path: detail.leaf_values(F.col("ads"), path)
     cond = detail.Condition
-    kept = rows.select(
-        "srcg",
-        detail.keep_where(leaf("industry"), leaf("ad_clicknum"), cond("ad_clicknum", ">", "0")).alias("c"),
-        detail.keep_where(leaf("sub_industry"), leaf("location"), cond("location", "!=", "top")).alias("s"),
-        detail.keep_where(leaf("industry"), F.array("qty"), cond("qty", ">", "20")).alias("g"))
-    counts = kept.groupBy("srcg").agg(
-        F.sum(F.size("c").cast("bigint")).alias("clicked"), F.sum(F.size("s").cast("bigint")).alias("side"),
-        F.sum(F.size("g").cast("bigint")).alias("guarded"))
-    kinds = agg.distinct_count(
-        kept.select("srcg", F.explode("c").alias("c")), ["srcg"], {"clicked_kinds": F.col("c")})
-    return agg.same_keys(counts, kinds, ["srcg"]).filter("clicked + side + guarded > 0")
+    kept = {
+        "clicked": detail.keep_where(leaf("industry"), leaf("ad_clicknum"), cond("ad_clicknum", ">", "0")),
+        "side": detail.keep_where(leaf("sub_industry"), leaf("location"), cond("location", "!=", "top")),
+        "guarded": detail.keep_where(leaf("industry"), F.array("qty"), cond("qty", ">", "20")),
+    }
+    tagged = F.concat(*[_tagged(n, v) for n, v in kept.items()])
+    counted = unfold_structs(rows, ["srcg"], tagged).groupBy("srcg", "tag", "value").agg(one())
+    of = lambda tag, col: F.when(F.col("tag") == tag, F.col(col))
+    return counted.groupBy("srcg").agg(
+        *[F.coalesce(F.sum(of(n, "n")), F.lit(0)).alias(n) for n in kept],
+        F.count(of("clicked", "value")).alias("clicked_kinds"))
 
 
 @query("select_pattern", """
@@ -223,7 +228,7 @@ def cluster_tag_join(spark, folder):
 SELECT a.site, a.rule a, b.rule b, count(*) n FROM r a JOIN r b ON a.id = b.id AND a.rule < b.rule GROUP BY ALL""")
 def pair_join(spark, folder):
     patterns = reports.fired_patterns(checks(spark, folder), RULES, ["site"])
-    pairs = patterns.select("site", "n", F.inline(features.rule_pairs_of_row(F.col("fired"))))
+    pairs = unfold_structs(patterns, ["site", "n"], features.rule_pairs_of_row(F.col("fired")))
     return pairs.groupBy("site", "a", "b").agg(F.sum("n").alias("n"))
 
 
@@ -263,7 +268,7 @@ SELECT srcg, CAST(hour(to_timestamp(epoch(l_shipdate) + l_linenumber * 7200 + k
 FROM adrows, unnest(range(0, clicknum)) AS c(j) WHERE l_quantity <> 1 GROUP BY ALL""")
 def click_hours(spark, folder):
     hours = detail.click_hours(detail.leaf_values(F.col("ads"), "ad_clickdetails.click_time"))
-    return _ads(spark, folder).select("srcg", F.explode(hours).alias("hour")).groupBy("srcg", "hour").agg(one())
+    return unfold(_ads(spark, folder), ["srcg"], hours, "hour").groupBy("srcg", "hour").agg(one())
 
 
 @query("day_of_week", ctes(LOG) + """
@@ -466,7 +471,7 @@ def json_path_values(spark, folder):
         F.transform(detail.leaf_values(F.col("ads"), "industry"), lambda v: F.struct(F.lit("industry").alias("leaf"), v.alias("value"))),
         F.transform(F.filter(times_, lambda v: v == "null"),
                     lambda v: F.struct(F.lit("ad_clickdetails.click_time").alias("leaf"), v.alias("value"))))
-    return _ads(spark, folder).select("srcg", F.inline(parts)).groupBy("srcg", "leaf", "value").agg(one())
+    return unfold_structs(_ads(spark, folder), ["srcg"], parts).groupBy("srcg", "leaf", "value").agg(one())
 
 
 @query("click_location", ctes(ADLOG) + """
@@ -474,7 +479,7 @@ SELECT srcg, concat("location", '(', CAST(pos AS VARCHAR), ')') loc, CAST(sum(cl
 FROM adrows WHERE clicknum > 0 GROUP BY ALL""")
 def click_location(spark, folder):
     places = detail.click_locations(F.col("ads"))
-    return _ads(spark, folder).select("srcg", F.explode(places).alias("loc")).groupBy("srcg", "loc").agg(one())
+    return unfold(_ads(spark, folder), ["srcg"], places, "loc").groupBy("srcg", "loc").agg(one())
 
 
 @query("action_count_token", ctes(LOG) + """

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from clicksieve.functions import detail
+from clicksieve.functions.unfold import unfold_structs
 from clicksieve.operators import aggregate as agg
 from clicksieve.queries.base import ADLOG, CHECKS, LOG, RULES, adlog, checks, ctes, log, query, rounded, table
 
@@ -63,7 +64,7 @@ def distinct_count_if(spark, folder):
 , p AS (SELECT srcg, v, count(*) n FROM (SELECT srcg, industry v FROM adrows UNION ALL SELECT srcg, sub_industry FROM adrows) GROUP BY ALL)
 SELECT srcg, count(*) pooled, CAST(max(n) AS DOUBLE) pooledMax, round(avg(n), 6) pooledMean FROM p GROUP BY srcg""")
 def pooled_distinct(spark, folder):
-    rows = adlog(spark, folder).select("srcg", F.inline(detail.parse_details(F.col("ads_details"))))
+    rows = unfold_structs(adlog(spark, folder), ["srcg"], detail.parse_details(F.col("ads_details")))
     out = agg.pooled_distinct(rows, ["srcg"], [F.col("industry"), F.col("sub_industry")], "pooled", ["Max", "Mean"])
     return out.select("srcg", "pooled", "pooledMax", rounded("pooledMean"))
 
@@ -85,7 +86,7 @@ def numeric_count_sum(spark, folder):
 , w AS (SELECT srcg, industry, sum(clicknum) w FROM adrows WHERE clicknum > 0 GROUP BY ALL)
 SELECT srcg, count(*) keys, CAST(max(w) AS DOUBLE) "max", round(max(w) / sum(w), 6) max_share FROM w GROUP BY srcg""")
 def weighted_histogram(spark, folder):
-    rows = adlog(spark, folder).select("srcg", F.inline(detail.parse_details(F.col("ads_details"))))
+    rows = unfold_structs(adlog(spark, folder), ["srcg"], detail.parse_details(F.col("ads_details")))
     clicks = F.col("ad_clicknum").cast("int")
     out = agg.weighted_histogram(rows, ["srcg"], F.col("industry"), clicks, clicks > 0)
     return out.filter("keys > 0").select("srcg", "keys", "max", rounded("max_share"))
@@ -157,7 +158,7 @@ def majority_blacklist(spark, folder):
 , t AS (SELECT guid, pos, n / sum(n) OVER (PARTITION BY guid) s, row_number() OVER (PARTITION BY guid ORDER BY n DESC, pos) r FROM c)
 SELECT guid, CAST(pos AS INTEGER) "position", round(s, 6) "share" FROM t WHERE r = 1 AND s > 0.5""")
 def dominant_position(spark, folder):
-    rows = adlog(spark, folder).select("guid", F.inline(detail.parse_details(F.col("ads_details"))))
+    rows = unfold_structs(adlog(spark, folder), ["guid"], detail.parse_details(F.col("ads_details")))
     clicked = rows.filter(F.col("ad_clicknum").cast("int") > 0)
     out = agg.dominant_position(clicked, ["guid"], F.col("pos").cast("int"), 0.5)
     return out.select("guid", "position", rounded("share"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from clicksieve.operators import aggregate as agg
 from clicksieve.operators import distribution, entropy, sequence
 from clicksieve.queries.base import HIST, LOG, ctes, hist, log, query, rounded, table
+from clicksieve.session import cut_lineage
 
 # Rows are searches; a row with event_id mod 3 = 0 (tp "0") or 1 (tp "1") has as
 # many clicks as the last digit of event_id mod 3, the second without a time.
@@ -99,14 +100,20 @@ def _counts(timeline):
     return sequence.context_counts(timeline, ["srcg"], "actions", DEPTH, MIN_ROOT)
 
 
+def _saved_timeline(spark, folder):
+    """The timelines as a table: fitting and scoring read them several times."""
+    return cut_lineage(_timeline(spark, folder))
+
+
 @query("context_counts", ctes(LOG, TIMELINE, GRAMS) + 'SELECT srcg, len, ctx, "next", n FROM counts')
 def context_counts(spark, folder):
-    return _counts(_timeline(spark, folder))
+    return _counts(_saved_timeline(spark, folder))
 
 
 @query("context_probs", ctes(LOG, TIMELINE, GRAMS) + 'SELECT srcg, len, ctx, "next", n, round(p, 6) p FROM probs')
 def context_probs(spark, folder):
-    probs = sequence.context_probs(_counts(_timeline(spark, folder)), ["srcg"], MIN_COUNT)
+    counts = cut_lineage(_counts(_saved_timeline(spark, folder)))
+    probs = sequence.context_probs(counts, ["srcg"], MIN_COUNT)
     return probs.select("srcg", "len", "ctx", "next", "n", rounded("p"))
 
 
@@ -125,8 +132,8 @@ PRIOR = {"click": 0.3, "adclick": 0.1, "search_c": 0.15, "search_e": 0.1, "searc
 SELECT sz.srcg, sz.guid, round(CASE WHEN sz.srcg NOT IN (SELECT srcg FROM rt) THEN 0.0 WHEN c = 1 THEN 1.0
    ELSE (SELECT exp(sum(ln(p / q)) / (sz.c - 1)) FROM pr WHERE pr.srcg = sz.srcg AND pr.guid = sz.guid) END, 5) score FROM sz""")
 def sequence_likelihood(spark, folder):
-    timeline = _timeline(spark, folder)
-    model = sequence.context_probs(_counts(timeline), ["srcg"], MIN_COUNT)
+    timeline = _saved_timeline(spark, folder)
+    model = cut_lineage(sequence.context_probs(cut_lineage(_counts(timeline)), ["srcg"], MIN_COUNT))
     scored = sequence.sequence_likelihood(
         timeline, ["srcg"], ["guid"], "actions", model, depth=DEPTH, prior=PRIOR)
     return scored.select("srcg", "guid", rounded("score", 5))
@@ -191,19 +198,18 @@ def _chains(spark, folder):
 
 
 @query("action_entropy", "WITH RECURSIVE " + ",\n".join([LOG, _CHAINS]) + """
-, o AS (SELECT srcg, chain, n, row_number() OVER (PARTITION BY srcg ORDER BY n DESC, chain) r FROM ch)
+, o AS (SELECT srcg, chain, n, row_number() OVER w r, sum(n) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) s,
+   sum(n * log2(n)) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) l FROM ch WINDOW w AS (PARTITION BY srcg ORDER BY n DESC, chain))
 , g AS (SELECT srcg, CAST(sum(n) AS BIGINT) total, count(*) keys, greatest(count(*), CAST(sum(n) AS BIGINT) // 4) padded FROM ch GROUP BY srcg)
-, h AS (SELECT g.srcg, x.gone, g.padded - x.gone len,
-   (SELECT -sum(b.n / tt * log2(b.n / tt)) FROM o b, (SELECT sum(c.n) tt FROM o c WHERE c.srcg = g.srcg AND c.r > x.gone) WHERE b.srcg = g.srcg AND b.r > x.gone) e
-   FROM g, unnest(range(0, least(g.padded + 1, 2000))) AS x(gone))
-, nh AS (SELECT srcg, gone, CASE WHEN len <= 1 THEN 1.0 WHEN e IS NULL THEN 0.0 ELSE e / log2(len) END e FROM h)
-, walk AS (SELECT srcg, CAST(1 AS BIGINT) step, CAST(0 AS BIGINT) gone, e FROM nh WHERE gone = 0 AND e < 0.75
-   UNION ALL SELECT nh.srcg, walk.step + 1, nh.gone, nh.e FROM walk JOIN nh ON nh.srcg = walk.srcg AND nh.gone = walk.gone + greatest(1, walk.step // 2)
-   WHERE nh.e < 0.75)
-, top AS (SELECT o.srcg, o.chain, o.n, 0.75 - walk.e delta FROM o JOIN walk ON walk.srcg = o.srcg AND walk.step = o.r)
-SELECT cu.srcg, cu.guid, cu.part, round(coalesce(delta, 0.0), 6) user_score, total, keys "distinct",
-  round(nh.e, 6) entropy
-FROM cu JOIN g USING (srcg) JOIN nh ON nh.srcg = cu.srcg AND nh.gone = 0 LEFT JOIN top ON top.srcg = cu.srcg AND top.chain = cu.chain""")
+, st AS (SELECT srcg, padded, CAST(1 AS BIGINT) step, CAST(0 AS BIGINT) gone FROM g
+   UNION ALL SELECT srcg, padded, step + 1, least(gone + greatest(1, step // 2), padded) FROM st WHERE gone < padded)
+, h AS (SELECT st.srcg, step, gone, CASE WHEN padded - gone <= 1 THEN 1.0 WHEN s IS NULL THEN 0.0
+   ELSE greatest(log2(s) - l / s, 0) / log2(padded - gone) END e FROM st LEFT JOIN o ON o.srcg = st.srcg AND o.r = gone + 1)
+, stop AS (SELECT srcg, min(step) step FROM h WHERE e >= 0.75 GROUP BY srcg)
+, top AS (SELECT o.srcg, o.chain, 0.75 - h.e delta FROM o JOIN h ON h.srcg = o.srcg AND h.step = o.r
+   LEFT JOIN stop ON stop.srcg = h.srcg WHERE stop.step IS NULL OR h.step < stop.step)
+SELECT cu.srcg, cu.guid, cu.part, round(coalesce(delta, 0.0), 6) user_score, total, keys "distinct", round(h.e, 6) entropy
+FROM cu JOIN g USING (srcg) JOIN h ON h.srcg = cu.srcg AND h.step = 1 LEFT JOIN top ON top.srcg = cu.srcg AND top.chain = cu.chain""")
 def action_entropy(spark, folder):
     lists, chains = _chains(spark, folder)
     channels, scored = entropy.action_entropy(chains, ["srcg"], "chain", threshold=0.75)
@@ -239,9 +245,9 @@ def relative_entropy(spark, folder):
 
 
 @query("share_excess", ctes(HIST, _WORLD) + _FULL + """
-SELECT grp, k, round(q - p, 6) excess FROM sh WHERE q - p > 0.05""")
+SELECT grp, k, round(q - p, 6) excess FROM sh WHERE q - p > 0.001""")
 def share_excess(spark, folder):
-    out = distribution.share_excess(_against_world(spark, folder), ["grp"], "p", "n", 0.05)
+    out = distribution.share_excess(_against_world(spark, folder), ["grp"], "p", "n", 0.001)
     return out.select("grp", "k", rounded("excess"))
 
 
