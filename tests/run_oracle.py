@@ -15,6 +15,7 @@ if __name__ == "__main__":
     import __spark_entry__ as entry
 
     folder = f"/root/testdata/{sys.argv[1]}"
+    # names of queries may follow; without them all run
     names = sys.argv[2:]
     spark = session()
     con = duck(folder)
