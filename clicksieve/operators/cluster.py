@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from clicksieve.functions.unfold import unfold
 from clicksieve.operators.aggregate import same_keys
+from clicksieve.operators.distribution import complete_keys
 from clicksieve.session import cut_lineage
 
 MAX_GROUPS = 50_000
@@ -26,13 +27,11 @@ def histogram_vectors(hist: DataFrame, group: str, key: str = "k", n: str = "n")
     if len(found) > MAX_KEYS:
         raise ValueError(f"more than {MAX_KEYS} keys do not fit a dense vector")
     names = [r[0] for r in found]
-    try:
-        names.sort(key=int)
-    except ValueError:
-        names.sort()
-    summed = hist.groupBy(group, key).agg(F.sum(n).cast("double").alias("_n"))
-    return summed.groupBy(group).agg(F.array(*[
-        F.coalesce(F.sum(F.when(F.col(key) == k, F.col("_n"))), F.lit(0.0)) for k in names]).alias("vec"))
+    numbers = all(str(k).lstrip("-").isdigit() for k in names)
+    place = F.col("k").cast("bigint") if numbers else F.col("k")
+    full = complete_keys(hist.select(group, F.col(key).alias("k"), F.col(n).alias("n")), [group], names)
+    cells = F.array_sort(F.collect_list(F.struct(place.alias("k"), F.col("n").cast("double").alias("n"))))
+    return full.groupBy(group).agg(cells.alias("_c")).select(group, F.col("_c.n").alias("vec"))
 
 
 def kl(p: Column, q: Column, smooth: float = 0.0001) -> Column:

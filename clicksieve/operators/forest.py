@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clicksieve.session import cut_lineage
+
 EULER = 0.5772156649  # fixed value
 MAX_TREE_ROWS = 1_000_000
 NODE_SCHEMA = (
@@ -54,19 +56,23 @@ def iforest_sample(df: DataFrame, id_col: str, cols: Sequence[str], params: Fore
     A pool of trees x max_samples rows with the smallest hashes is a uniform
     sample of the table; each tree draws its rows from the pool by hashes of
     its own. Only the pool, whose size the parameters set, meets the trees.
+    The pool is sorted out of the rows below a hash bound that should leave
+    twice as many; should it leave too few, all rows are sorted.
     """
     rows = df.count()
     n = tree_rows(rows, params)
     seed = F.lit(params.seed)
-    pool = (
-        df.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(c) for c in cols])
-        .withColumn("_h", F.xxhash64(seed, "_id"))
-        .orderBy("_h", "_id").limit(min(rows, n * params.trees))
-    )
+    size = min(rows, n * params.trees)
+    hashed = df.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(c) for c in cols]).withColumn(
+        "_h", _unit(seed, F.col("_id")))
+    bound = (2 * size + 100) / rows
+    if bound < 1:
+        near = cut_lineage(hashed.filter(F.col("_h") < bound))
+        hashed = near if near.count() >= size else hashed
+    pool = hashed.orderBy("_h", "_id").limit(size)
     trees = F.explode(F.sequence(F.lit(0), F.lit(params.trees - 1))).alias("tree")
     if params.bootstrap:
         numbered = pool.withColumn("_i", F.row_number().over(Window.orderBy("_h", "_id")) - 1)
-        size = min(rows, n * params.trees)
         draws = df.sparkSession.range(params.trees * n).select(
             F.floor(F.col("id") / n).cast("int").alias("tree"),
             F.floor(_unit(seed, F.col("id"), F.lit("draw")) * size).cast("int").alias("_i"),

@@ -76,28 +76,27 @@ def time_gap_histogram(
 
     Gaps above ``session_gap`` steps are dropped, the others capped at
     ``max_step - 1``. Equal times are counted first: n of them make n-1 zero
-    gaps. Times are then cut into buckets, and only the first and last time of
-    a bucket meet their neighbours, so no task sees all events of a group.
+    gaps. Times are then cut into buckets; a bucket passes on its first and
+    last time and its gap counts, so no task sees all events of a group.
     """
-    bucket = F.floor(F.col(time) / bucket_millis)
-    counted = df.groupBy(*dims, F.col(time).alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
-    counted = counted.withColumn("_b", F.floor(F.col("_t") / bucket_millis))
+    steps = lambda gap: F.floor(gap / step)
+    counted = df.groupBy(*dims, F.floor(F.col(time) / bucket_millis).alias("_b"), F.col(time).alias("_t")).agg(
+        F.count(F.lit(1)).alias("_n"))
     inside = Window.partitionBy(*dims, "_b").orderBy("_t")
-    near = counted.select(
-        *dims, (F.col("_t") - F.lag("_t").over(inside)).alias("_gap"), F.lit(1).cast("bigint").alias("_n"))
-    same = counted.filter(F.col("_n") > 1).select(
-        *dims, F.lit(0).cast("bigint").alias("_gap"), (F.col("_n") - 1).alias("_n"))
-    edges = df.groupBy(*dims, bucket.alias("_b")).agg(F.min(time).alias("_lo"), F.max(time).alias("_hi"))
+    near = counted.withColumn("_s", steps(F.col("_t") - F.lag("_t").over(inside)))
+    kept = F.when(F.col("_s") <= session_gap, F.least("_s", F.lit(max_step - 1)))
+    buckets = near.withColumn("_s", kept).groupBy(*dims, "_b").agg(
+        F.min("_t").alias("_lo"), F.max("_t").alias("_hi"),
+        *[F.sum((F.col("_s") == i).cast("bigint")).alias(f"_h{i}") for i in range(1, max_step)],
+        # equal times are gaps of no step
+        (F.coalesce(F.sum((F.col("_s") == 0).cast("bigint")), F.lit(0)) + F.sum(F.col("_n") - 1)).alias("_h0"))
     across = Window.partitionBy(*dims).orderBy("_b")
-    far = edges.select(
-        *dims, (F.col("_lo") - F.lag("_hi").over(across)).alias("_gap"), F.lit(1).cast("bigint").alias("_n"))
-    steps = F.floor(F.col("_gap") / step)
-    return (
-        near.unionByName(same).unionByName(far)
-        .filter(F.col("_gap").isNotNull() & (steps <= session_gap))
-        .groupBy(*dims, F.least(steps, F.lit(max_step - 1)).alias("gap"))
-        .agg(F.sum("_n").alias("n"))
-    )
+    far = buckets.withColumn("_s", steps(F.col("_lo") - F.lag("_hi").over(across))).withColumn("_s", kept)
+    total = lambda i: F.sum(F.coalesce(F.col(f"_h{i}"), F.lit(0)) + F.coalesce(
+        (F.col("_s") == i).cast("bigint"), F.lit(0)))
+    wide = far.groupBy(*dims).agg(F.array(*[
+        F.struct(F.lit(i).cast("bigint").alias("gap"), total(i).alias("n")) for i in range(max_step)]).alias("_g"))
+    return unfold_structs(wide, dims, F.filter("_g", lambda e: e["n"] > 0))
 
 
 def think_time_tokens(actions: Column, times: Column, include_time: bool = True) -> Column:

@@ -68,3 +68,30 @@ def test_same_result_for_any_partition_count(spark, name):
         rows.append(sorted(map(str, entry.queries()[name](spark, FOLDER).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", before)
     assert rows[0] == rows[1]
+
+
+def test_a_hot_key_is_split_at_the_join(spark):
+    from clicksieve.plans.pipeline import join_judgements
+
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        log = spark.range(0, 400_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("g"), F.rand(1).alias("v"))
+        groups = log.groupBy("g").agg(F.count(F.lit(1)).alias("rows"))
+        joined = join_judgements(log, groups, ["g"], ["rows"])
+        assert joined.filter("g = 'hot'").agg(F.min("rows")).first()[0] == 133_334
+        joined.write.format("noop").mode("overwrite").save()
+        assert joined.count() == 400_000
+        final = joined.select(F.xxhash64("g", "v", "rows").alias("h"))
+        final.collect()
+        assert "isSkew=true" in final._jdf.queryExecution().executedPlan().toString().replace("skew=true", "isSkew=true")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
