@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicksieve.functions import agent_rules as rules
+from clicksieve.functions.unfold import bind
 
 UNKNOWN = "Unknown"
 ROBOT = "Robot/Spider"
@@ -200,10 +201,9 @@ def os_mix(df: DataFrame, dims: Sequence[str], agent: str) -> DataFrame:
 def versions(df: DataFrame, dims: Sequence[str], agent: str) -> DataFrame:
     """Rows per (dims, browser, full, major, minor)."""
     names = F.array(*[F.lit(b.name) for b in BROWSERS])
-    # the lambda binds the rule once for all its uses
-    found = F.transform(F.array(browser_rule(F.col("agent"))), lambda r: F.struct(
+    found = bind(browser_rule(F.col("agent")), lambda r: F.struct(
         F.coalesce(F.get(names, r), F.lit(UNKNOWN)).alias("browser"),
-        browser_version(F.col("agent"), r).alias("version")))[0]
+        browser_version(F.col("agent"), r).alias("version")))
     counted = per_agent(df, dims, agent).withColumn("_v", found)
     return _mix(counted, dims, {
         "browser": F.col("_v.browser"), "full": F.col("_v.version.full"),

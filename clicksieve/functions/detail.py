@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from clicksieve.functions.unfold import bind
+
 # A field such as ``ads_details.industry`` is read once with a minimal schema.
 AD_SCHEMA = (
     "array<struct<industry:string,sub_industry:string,location:string,pos:string,"
@@ -55,15 +57,13 @@ def keep_where(values: Column, conditions: Column, cond: Condition) -> Column:
 
     With lists of unequal length one true condition keeps every value.
     """
-    # the lambda binds both lists once for all their uses
-    lists = F.array(F.struct(values.alias("v"), conditions.alias("c")))
 
     def keep(p: Column) -> Column:
         pairwise = F.filter(p["v"], lambda v, i: cond.test(F.get(p["c"], i)))
         return F.when(F.size(p["v"]) == F.size(p["c"]), pairwise).otherwise(
             F.filter(p["v"], lambda v: F.exists(p["c"], cond.test)))
 
-    return F.transform(lists, keep)[0]
+    return bind(F.struct(values.alias("v"), conditions.alias("c")), keep)
 
 
 def parse_details(text: Column, schema: str = AD_SCHEMA) -> Column:

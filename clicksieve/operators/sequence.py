@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicksieve.functions.detail import is_digital
-from clicksieve.functions.unfold import unfold_structs
+from clicksieve.functions.unfold import bind, unfold_structs
 from clicksieve.operators.aggregate import same_keys
 
 EPSILON = 1e-7
@@ -43,15 +43,16 @@ def action_timeline(
     shuffle, so a very active user costs no more than any other.
     """
     base = whole_millis(time, F.lit(0))
-    click_time = F.transform(clicks, lambda t, i: F.struct(
+    click_time = F.transform("_clicks", lambda t, i: F.struct(
         whole_millis(t, F.col("_t") + 5000 * (i + 1)).alias("time"), F.lit("click").alias("action")))
-    ad_time = F.transform(ad_clicks, lambda t, i: F.struct(
-        whole_millis(t, F.col("_t") + 10000 * (F.size(clicks) + i + 1)).alias("time"),
+    ad_time = F.transform("_ad_clicks", lambda t, i: F.struct(
+        whole_millis(t, F.col("_t") + 10000 * (F.size("_clicks") + i + 1)).alias("time"),
         F.lit("adclick").alias("action")))
     own = F.array(F.struct(F.col("_t").alias("time"), F.col("_a").alias("action")))
     rows = (
         df.filter(F.col(row_type) <= "1")
-        .withColumn("_t", base.cast("bigint")).withColumn("_a", action)
+        .select(*dims, base.cast("bigint").alias("_t"), action.alias("_a"),
+                clicks.alias("_clicks"), ad_clicks.alias("_ad_clicks"))
         .filter(F.col("_t") != 0)
     )
     events = unfold_structs(rows, dims, F.concat(own, click_time, ad_time)).dropDuplicates(
@@ -101,13 +102,13 @@ def time_gap_histogram(
 
 def think_time_tokens(actions: Column, times: Column, include_time: bool = True) -> Column:
     """``start, a1, t<p>, a2, ..., end`` with p the log-6 class of the pause."""
-    pause = lambda i: F.floor(F.abs(F.element_at(times, i + 2) - F.element_at(times, i + 1)) / 1000)
-    period = lambda i: F.when(pause(i) == 0, F.lit(-1)).otherwise(
-        F.least(F.floor(F.ln(pause(i)) / F.ln(F.lit(6.0))), F.lit(5)))
-    token = lambda i: F.concat(F.lit("t"), period(i).cast("string"))
-    if include_time:
-        body = F.flatten(F.transform(actions, lambda a, i: F.when(
-            i + 1 < F.size(actions), F.array(a, token(i))).otherwise(F.array(a))))
+    rest = F.greatest(F.size(times) - 1, F.lit(0))
+    seconds = F.zip_with(
+        F.slice(times, 2, rest), F.slice(times, 1, rest), lambda after, before: F.floor(F.abs(after - before) / 1000))
+    pauses = F.transform(seconds, lambda s: F.concat(F.lit("t"), F.when(s == 0, F.lit(-1)).otherwise(
+        F.least(F.floor(F.ln(s) / F.ln(F.lit(6.0))), F.lit(5))).cast("string")))
+    if include_time:  # the last action has no pause: its partner is null
+        body = F.flatten(F.zip_with(actions, pauses, lambda a, t: F.when(t.isNull(), F.array(a)).otherwise(F.array(a, t))))
     else:
         body = actions
     ends = lambda word: F.array(F.lit(word))
@@ -132,13 +133,13 @@ _SEP = "\u0001"
 
 def _grams(actions: Column, depth: int) -> Column:
     """All (pos, len, ctx, next) of a sequence with len < depth."""
-    at = lambda i, n: F.struct(
+    at = lambda acts, i, n: F.struct(
         i.alias("pos"), n.alias("len"),
-        F.array_join(F.slice(actions, i - n + 1, n), _SEP).alias("ctx"),
-        F.element_at(actions, i + 1).alias("next"))
-    return F.flatten(F.transform(
-        F.sequence(F.lit(0), F.size(actions) - 1),
-        lambda i: F.transform(F.sequence(F.lit(0), F.least(i, F.lit(depth - 1))), lambda n: at(i, n))))
+        F.array_join(F.slice(acts, i - n + 1, n), _SEP).alias("ctx"),
+        F.element_at(acts, i + 1).alias("next"))
+    return bind(actions, lambda acts: F.flatten(F.transform(
+        F.sequence(F.lit(0), F.size(acts) - 1),
+        lambda i: F.transform(F.sequence(F.lit(0), F.least(i, F.lit(depth - 1))), lambda n: at(acts, i, n)))))
 
 
 def context_counts(
