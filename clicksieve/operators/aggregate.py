@@ -216,7 +216,11 @@ def value_distribution(
     df: DataFrame, dims: Sequence[str], key: Column, *, limit: int | None = None,
     bernoulli: bool = False, **options,
 ) -> DataFrame:
-    """Histogram text by falling count, total, and share of the top value."""
+    """Histogram text by falling count, total, and share of the top value.
+
+    Without a limit the text of a group holds all its keys: for keys of many
+    values (queries, addresses) give one, or use the long ``histogram``.
+    """
     hist = histogram(df, dims, key, **options)
     pairs = _sorted_entries()
     if bernoulli:

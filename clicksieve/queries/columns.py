@@ -91,7 +91,7 @@ def inline_predicate(spark, folder):
 @query("select_pattern", """
 SELECT l_orderkey ad_click_id, l_returnflag site, l_quantity qtyCount, l_tax taxScore,
        CASE WHEN l_discount >= 0.09 OR ((CASE WHEN l_tax >= 0.07 THEN 1 ELSE 0 END)
-         + (CASE WHEN l_quantity >= 30 THEN 1 ELSE 0 END)) >= 3 THEN 1 ELSE 0 END antispam_label
+         + (CASE WHEN l_quantity >= 30 THEN 1 ELSE 0 END)) >= 3 THEN 1 ELSE 0 END spam_label
 FROM lineitem""")
 def select_pattern(spark, folder):
     df = table(spark, folder, "lineitem").selectExpr(
@@ -100,7 +100,7 @@ def select_pattern(spark, folder):
         "case when l_tax >= 0.07 then 4 else 3 end taxCheck",
         "case when l_quantity >= 30 then 4 else 3 end qtyCountCheck")
     label = status_label(check_columns(df))
-    return features.select_pattern(df, ["ad_click_id", "site"], labels={"antispam_label": label})
+    return features.select_pattern(df, ["ad_click_id", "site"], labels={"spam_label": label})
 
 
 @query("arrays_to_text", """

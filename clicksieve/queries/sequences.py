@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from clicksieve.operators import aggregate as agg
 from clicksieve.operators import distribution, entropy, sequence
 from clicksieve.queries.base import HIST, LOG, ctes, hist, log, query, rounded, table
-from clicksieve.session import cut_lineage
+from clicksieve.session import cut_lineage, spread
 
 # Rows are searches; a row with event_id mod 3 = 0 (tp "0") or 1 (tp "1") has as
 # many clicks as the last digit of event_id mod 3, the second without a time.
@@ -21,7 +21,7 @@ def _ad_clicks():
 
 
 def _timeline(spark, folder):
-    rows = log(spark, folder)
+    rows = spread(log(spark, folder))
     return sequence.action_timeline(
         rows, ["srcg", "guid"], F.concat(F.lit("search_"), F.substring("act", 1, 1)),
         F.col("t_ms").cast("string"), _clicks(), _ad_clicks())
