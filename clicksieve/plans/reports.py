@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicksieve.functions.unfold import unfold_structs
+from clicksieve.functions.unfold import unfold, unfold_structs
 from clicksieve.operators.aggregate import same_keys
 from clicksieve.status import ANOMALY, REAL, SPAM, STATUS, fired, worst
 
@@ -117,7 +117,8 @@ def rule_cooccurrence(
     two_of_one = (F.size("fired") == 2) & (
         _family(F.get("fired", F.lit(0))) == _family(F.get("fired", F.lit(1))))
     alone = ((F.size("fired") == 1) | two_of_one) & (F.col("rule") == F.get("fired", F.lit(0)))
-    totals = patterns.select(*dims, "n", "fired", F.explode("fired").alias("rule")).groupBy(*dims, "rule").agg(
+    fired_rows = unfold(patterns.withColumn("_f", F.col("fired")), [*dims, "n", "fired"], F.col("_f"), "rule")
+    totals = fired_rows.groupBy(*dims, "rule").agg(
         F.sum("n").alias("checked"), F.sum(F.when(alone, F.col("n")).otherwise(0)).alias("independent"))
     pairs = rule_pairs(patterns, dims)
     mirrored = pairs.select(*dims, F.inline(F.array(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from clicksieve.operators import aggregate as agg
 from clicksieve.operators import cluster
 from clicksieve.queries.base import CHECKS, HIST, checks, ctes, hist, query, rounded
+from clicksieve.session import cut_lineage
 
 KEYS = ["de", "en", "es", "fr"]
 
@@ -16,10 +17,15 @@ CHANNELS = """chan AS (
 
 
 def _channels(spark, folder):
-    return checks(spark, folder).groupBy("site", "srcg", "ctype").agg(
+    """The group frame as a table: clustering reads it several times."""
+    return cut_lineage(checks(spark, folder).groupBy("site", "srcg", "ctype").agg(
         F.count(F.lit(1)).alias("spv"),
         F.when(F.avg("l_quantity") > 25.5, "big").otherwise("small").alias("qty_tag"),
-        F.when(F.avg("l_discount") > 0.05, 1).otherwise(0).alias("disc_tag"))
+        F.when(F.avg("l_discount") > 0.05, 1).otherwise(0).alias("disc_tag")))
+
+
+def _histograms(spark, folder):
+    return cut_lineage(hist(spark, folder))
 
 
 @query("histogram_vectors", ctes(HIST) + """
@@ -27,7 +33,7 @@ def _channels(spark, folder):
    LEFT JOIN hist ON hist.grp = g.grp AND hist.k = ks.k)
 SELECT grp, string_agg(CAST(n AS VARCHAR), ',' ORDER BY k) vec FROM f GROUP BY grp""")
 def histogram_vectors(spark, folder):
-    out = cluster.histogram_vectors(hist(spark, folder), "grp")
+    out = cluster.histogram_vectors(_histograms(spark, folder), "grp")
     return out.select("grp", F.array_join(F.col("vec").cast("array<bigint>").cast("array<string>"), ",").alias("vec"))
 
 
@@ -39,12 +45,12 @@ _DIST = """, f AS (SELECT g.grp, ks.k, coalesce(n, 0) + 0.0001 n FROM (SELECT DI
 
 @query("pairwise_kl", ctes(HIST) + _DIST + " SELECT a, b, round(kl, 6) kl FROM dist")
 def pairwise_kl(spark, folder):
-    out = cluster.pairwise_kl(cluster.histogram_vectors(hist(spark, folder), "grp"), "grp")
+    out = cluster.pairwise_kl(cluster.histogram_vectors(_histograms(spark, folder), "grp"), "grp")
     return out.select("a", "b", rounded("kl"))
 
 
 def _members(spark, folder):
-    rows = hist(spark, folder)
+    rows = _histograms(spark, folder)
     sizes = rows.groupBy("grp").agg(F.sum("n").alias("volume"))
     vectors = agg.same_keys(cluster.histogram_vectors(rows, "grp"), sizes, ["grp"])
     return rows, vectors

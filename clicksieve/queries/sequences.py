@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from clicksieve.operators import aggregate as agg
 from clicksieve.operators import distribution, entropy, sequence
-from clicksieve.queries.base import HIST, LOG, ctes, hist, log, query, rounded, table
+from clicksieve.queries.base import HIST, LOG, ctes, hist, log, query, rounded
 from clicksieve.session import cut_lineage, spread
 
 # Rows are searches; a row with event_id mod 3 = 0 (tp "0") or 1 (tp "1") has as
@@ -227,8 +227,8 @@ _WORLD = "w AS (SELECT lang k, count(*) p FROM documents GROUP BY lang)"
 
 
 def _against_world(spark, folder):
-    world = table(spark, folder, "documents").groupBy(F.col("lang").alias("k")).agg(F.count(F.lit(1)).alias("p"))
     own = distribution.complete_keys(hist(spark, folder), ["grp"], _LANGS)
+    world = own.groupBy("k").agg(F.sum("n").alias("p"))
     return agg.same_keys(own, world, ["k"], "inner")
 
 
