@@ -11,6 +11,7 @@ from clicksieve.session import scratch_path
 
 # Fixed value: what separates words. Everything else belongs to a word.
 BLANK = r"[\x20\x09-\x0D]"
+BLANKS = " \t\n\x0b\x0c\r"
 
 
 def keep_table(df: DataFrame, name: str) -> DataFrame:
@@ -27,7 +28,7 @@ def keep_table(df: DataFrame, name: str) -> DataFrame:
 
 def words_of(text: Column) -> Column:
     """Words of a text as an array; a null or blank text has none."""
-    clean = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{BLANK}+|{BLANK}+$", "")
+    clean = F.trim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
     return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, f"{BLANK}+"))
 
 

@@ -40,13 +40,16 @@ def template_keys(line: Column, depth: int = DEPTH, parts: int = PARTS) -> Colum
         n = F.size(tokens)
         rest = n - depth
         at = [F.lit(depth + 1) + F.floor(rest * i / parts).cast("int") for i in range(parts + 1)]
-        piece = [F.xxhash64(F.slice(tokens, at[i], at[i + 1] - at[i])) for i in range(parts)]
-        leaf = [n] + [F.element_at(tokens, i + 1) for i in range(depth)]
-        whole = F.xxhash64(F.lit(-1), *leaf, *piece)
-        opened = [F.xxhash64(F.lit(i), *leaf, *[p for j, p in enumerate(piece) if j != i]) for i in range(parts)]
+        pieces = F.array(*[F.xxhash64(F.slice(tokens, at[i], at[i + 1] - at[i])) for i in range(parts)],
+                         F.xxhash64(n, *[F.element_at(tokens, i + 1) for i in range(depth)]))
+
+        def combine(p: Column) -> Column:
+            opened = [F.xxhash64(F.lit(i), p[parts], *[p[j] for j in range(parts) if j != i]) for i in range(parts)]
+            return F.array(F.xxhash64(F.lit(-1), p), *opened)
+
         none = F.array().cast("array<bigint>")
         return F.when(n < max(MIN_TOKENS, depth + 1), none).when(
-            rest < 2 * parts, F.array(F.xxhash64(F.lit(-1), n, tokens))).otherwise(F.array(whole, *opened))
+            rest < 2 * parts, F.array(F.xxhash64(F.lit(-1), n, tokens))).otherwise(bind(pieces, combine))
 
     return bind(words_of(masked), keys)
 

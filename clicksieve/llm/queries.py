@@ -8,12 +8,18 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clicksieve.llm.common import documents, held_out
+from clicksieve.llm.id_store import scan_store, write_store
+from clicksieve.llm.language_id import fit_languages, identify_language
 from clicksieve.llm.line_crf import fit_on_labels, quality_score
 from clicksieve.llm.line_dedup import MIN_DOCS, drop_recurring_lines
 from clicksieve.llm.mixing import mix_sources
 from clicksieve.llm.near_dedup import near_duplicates
+from clicksieve.llm.quality_rules import fit_ratio, judge, trusted_ids
+from clicksieve.llm.repeated_windows import remove_repeated
 from clicksieve.llm.sentencepiece_codec import encode_documents
+from clicksieve.llm.vantage_points import nearest
 from clicksieve.queries.base import query
+from clicksieve.session import scratch_path
 
 OP1_SQL = f"""
 WITH lines AS (
@@ -122,3 +128,51 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     field = fit_on_labels(docs, spark.read.parquet(f"{folder}/labels.parquet"))
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), quality_score(F.col("text"), field).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op3_repeated_windows")
+def op3_repeated_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeated(documents(spark, folder)).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    found = identify_language(F.col("text"), fit_languages(docs))
+    return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), found.alias("found")).select(
+        "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+
+
+@query("op6_quality_rules")
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    ratio = fit_ratio(docs, trusted_ids(spark.read.parquet(f"{folder}/labels.parquet")))
+    return judge(docs, ratio).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                     "base_failed", "ratio_score", "kept")
+
+
+@query("op8_id_store")
+def op8_id_store(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "id-store")
+    write_store(documents(spark, folder), path, public_tokenizers.path("word_bpe_49k.json"))
+    return scan_store(spark, path).withColumnRenamed("id", "doc_id")
+
+
+OP9_SQL = """
+WITH rows AS (
+  SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id query_id, c.vec_id vec_id,
+         sqrt(list_reduce(list_transform(range(1, len(q.v) + 1), lambda i: (q.v[i] - c.v[i]) * (q.v[i] - c.v[i])), lambda a, b: a + b)) score
+  FROM rows q JOIN rows c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INT) "rank" FROM pairs)
+SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 10"""
+
+
+@query("op9_vantage_points", OP9_SQL)
+def op9_vantage_points(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(spark.read.parquet(f"{folder}/embeddings.parquet"), F.col("vec_id") % 100 == 0, k=10, factor=1.0)
