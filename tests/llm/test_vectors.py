@@ -12,11 +12,18 @@ def rows_of(vectors):
     return [(i, v.astype(np.float32).tolist()) for i, v in enumerate(vectors)]
 
 
+def distance(v, w):
+    total = 0.0
+    for a, b in zip(v, w):  # in order; sum() would compensate
+        total += (a - b) * (a - b)
+    return math.sqrt(total)
+
+
 def brute(rows, asked, k):
     out = {}
     for i, v in rows:
         if i in asked:
-            d = sorted((math.sqrt(sum((a - b) ** 2 for a, b in zip(v, w))), j) for j, w in rows if j != i)
+            d = sorted((distance(v, w), j) for j, w in rows if j != i)
             out[i] = d[:k]
     return out
 
