@@ -15,6 +15,7 @@ them is encoded for itself, and a worker remembers what it gave for short ones.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,7 +28,7 @@ from clicksieve.llm.common import replace_columns
 
 BLANK = "▁"  # fixed value: stands for a blank in pieces
 UNKNOWN_BELOW = 10.0  # fixed value: an uncovered character scores this much below the worst piece
-REMEMBERED = 300_000  # segments a worker remembers
+REMEMBERED = 300_000  # segments in a generation of what a worker remembers
 SHORT = 48  # characters of a segment worth remembering
 
 
@@ -52,7 +53,8 @@ class Codec:
                 self.scores[piece] = (vocab.get_score(i), i)
                 self.bytes_of.append(piece.replace(BLANK, " ").encode())
         self.unknown = vocab.unk_id()
-        self.starts = {p[:k] for p in self.scores for k in range(1, len(p) + 1)}
+        # every beginning of a piece; the value is the piece's score and id, None where it only begins one
+        self.table = {p[:k]: None for p in self.scores for k in range(1, len(p) + 1)} | self.scores
         self.longest = max(map(len, self.scores), default=1)
         self.floor = min((s for s, _ in self.scores.values()), default=0.0) - UNKNOWN_BELOW
         long = [p for p in self.scores if len(p) > 1]
@@ -62,6 +64,7 @@ class Codec:
                  (False, True): f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+"}.get((over_blank, over_line), r"(?s:.+)")
         self.parts = re.compile(parts)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _fallback(self, char: str) -> list[int]:
         ids = [self.byte_ids.get(b, self.unknown) for b in char.encode("utf-8", "surrogatepass")]
@@ -69,7 +72,7 @@ class Codec:
 
     def stream(self, text: str) -> Iterator[int]:
         """Ids of one segment, each committed as soon as no later character can change it."""
-        n, longest, scores, starts = len(text), self.longest, self.scores, self.starts
+        n, longest, table = len(text), self.longest, self.table
         best = {0: 0.0}  # open position -> best score of a path to it
         back: dict[int, tuple[int, int]] = {}  # position -> (start, id) of its last piece; -1 for bytes
         done = 0  # boundary up to which ids are committed
@@ -79,10 +82,9 @@ class Codec:
                 continue
             single = False
             for end in range(i + 1, min(i + longest, n) + 1):
-                part = text[i:end]
-                if part not in starts:
+                found = table.get(text[i:end], False)
+                if found is False:
                     break
-                found = scores.get(part)
                 if found is not None:
                     single |= end == i + 1
                     if end not in best or here + found[0] > best[end]:
@@ -116,12 +118,50 @@ class Codec:
         for ids in reversed(path):
             yield from ids
 
+    def window(self, text: str) -> list[int]:
+        """Ids of a segment that fits into the window: nothing can be final before its end."""
+        n, longest, table, floor = len(text), self.longest, self.table, self.floor
+        best: list[float | None] = [0.0] + [None] * n
+        back = [(0, -1)] * (n + 1)
+        for i in range(n):
+            here = best[i]
+            if here is None:
+                continue
+            single = False
+            for end in range(i + 1, min(i + longest, n) + 1):
+                found = table.get(text[i:end], False)
+                if found is False:
+                    break
+                if found is not None:
+                    single = single or end == i + 1
+                    score = here + found[0]
+                    if best[end] is None or score > best[end]:
+                        best[end] = score
+                        back[end] = (i, found[1])
+            if not single and (best[i + 1] is None or here + floor > best[i + 1]):
+                best[i + 1] = here + floor
+                back[i + 1] = (i, -1)
+        ids: list[int] = []
+        while n > 0:
+            start, piece = back[n]
+            if piece < 0:
+                ids += self._fallback(text[start:n])[::-1]
+            else:
+                ids.append(piece)
+            n = start
+        return ids[::-1]
+
     def segment(self, part: str) -> bytes:
-        ids = np.fromiter(self.stream(part), np.int32).tobytes()
-        if len(part) <= SHORT:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[part] = ids
+        """Packed ids of a segment, remembered when it is short."""
+        if len(part) > SHORT:
+            return np.fromiter(self.stream(part), np.int32).tobytes()
+        ids = self.older.get(part)
+        if ids is None:
+            ids = array("i", self.window(part) if len(part) <= 2 * self.longest else self.stream(part)).tobytes()
+        if len(self.known) >= REMEMBERED:  # keep the last two generations
+            self.older = dict(self.known)
+            self.known.clear()
+        self.known[part] = ids
         return ids
 
     def encode(self, text: str) -> np.ndarray:
