@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicksieve.functions import agent_rules as rules
@@ -21,58 +21,43 @@ UNKNOWN = "Unknown"
 ROBOT = "Robot/Spider"
 
 
-def _words(cell: str) -> tuple[str, ...]:
-    # "~" stands for a space at the edge of a word
-    return tuple(w.replace("~", " ").lower() for w in cell.strip().split(";") if w.strip())
-
-
-def _lines(text: str) -> list[list[str]]:
-    return [line.split(" |", 5) for line in text.strip().splitlines()]
-
-
-@dataclass(frozen=True)
-class Browser:
-    name: str
-    aliases: tuple[str, ...]
-    excludes: tuple[str, ...]
-    kind: str
-    engine: str
-    version: str
-
-
 @dataclass(frozen=True)
 class System:
     name: str
-    required: tuple[tuple[str, ...], ...]  # own aliases and those of every ancestor
+    required: tuple[tuple[str, ...], ...]  # own aliases and those of every parent
     excludes: tuple[str, ...]
     device: str
 
 
-BROWSERS = [
-    Browser(c[0].strip(), _words(c[1]), _words(c[2]), c[3].strip(), c[4].strip(), c[5].strip())
-    for c in _lines(rules.BROWSERS)
-]
+def _lower(words: Sequence[str]) -> tuple[str, ...]:
+    return tuple(w.lower() for w in words)
+
+
+BROWSERS = [b._replace(aliases=_lower(b.aliases), excludes=_lower(b.excludes)) for b in rules.BROWSERS]
+WEBMAIL = [(name, _lower(words)) for name, words in rules.WEBMAIL]
+WEBKIT_SAFARI = rules.WEBKIT_SAFARI
 
 
 def _systems() -> list[System]:
     """Rules in the order they are tried: children before their parent."""
-    order: list[System] = []
-    waiting: list[tuple[int, System]] = []
-    for cells in _lines(rules.SYSTEMS):
-        head = cells[0].strip()
-        depth = len(head) - len(head.lstrip("-"))
-        while waiting and waiting[-1][0] >= depth:
-            order.append(waiting.pop()[1])
-        above = waiting[-1][1].required if waiting else ()
-        waiting.append((depth, System(
-            head[depth:].strip(), (*above, _words(cells[1])), _words(cells[2]), cells[3].strip())))
-    order += [s for _, s in reversed(waiting)]
-    return order
+    place: dict[str, int] = {}  # the last rule of each name so far
+    children: dict[int | None, list[int]] = {}
+    for i, rule in enumerate(rules.SYSTEMS):
+        children.setdefault(None if rule.parent is None else place[rule.parent], []).append(i)
+        place[rule.name] = i
+
+    def under(parent: int | None, above: tuple[tuple[str, ...], ...]) -> list[System]:
+        out: list[System] = []
+        for i in children.get(parent, []):
+            rule = rules.SYSTEMS[i]
+            required = (*above, _lower(rule.aliases))
+            out += [*under(i, required), System(rule.name, required, _lower(rule.excludes), rule.device)]
+        return out
+
+    return under(None, ())
 
 
 SYSTEMS = _systems()
-WEBMAIL = [(c[0].strip(), _words(c[1])) for c in _lines(rules.WEBMAIL)]
-WEBKIT_SAFARI = dict(p.split() for p in rules.WEBKIT_SAFARI.replace("\n", " ").split(";"))
 
 
 def _has(text: Column, words: Sequence[str]) -> Column:
@@ -123,7 +108,7 @@ def browser_version(agent: Column, rule: Column) -> Column:
     """
     of_rule = lambda values: F.get(F.array(*[F.lit(v) for v in values]), rule)
     pattern = of_rule([f"(?i){b.version}" if b.version else None for b in BROWSERS])
-    has_minor = of_rule([_groups(b.version) > 2 for b in BROWSERS])
+    has_minor = of_rule([pattern_groups(b.version) > 2 for b in BROWSERS])
     part = lambda n: F.call_function("regexp_extract", agent, pattern, F.lit(n))
     minor = F.when(has_minor, part(3)).otherwise(F.lit("0"))
     found = F.when(F.regexp_like(agent, pattern), F.struct(
@@ -137,7 +122,7 @@ def browser_version(agent: Column, rule: Column) -> Column:
     return F.coalesce(found, by_engine)
 
 
-def _groups(pattern: str) -> int:
+def pattern_groups(pattern: str) -> int:
     return re.compile(pattern).groups
 
 
@@ -184,12 +169,10 @@ def _mix(counted: DataFrame, dims: Sequence[str], cols: dict[str, Column]) -> Da
 
 
 def browser_mix(df: DataFrame, dims: Sequence[str], agent: str) -> DataFrame:
+    """Rows and share of each browser; the total of a group comes from its few browsers."""
     named = per_agent(df, dims, agent).withColumn("browser", browser_name(F.col("agent")))
     mix = _mix(named, dims, {"browser": F.col("browser")})
-    from clicksieve.operators.aggregate import same_keys
-
-    totals = mix.groupBy(*dims).agg(F.sum("n").alias("_total"))
-    return same_keys(mix, totals, dims).withColumn("share", F.col("n") / F.col("_total")).drop("_total")
+    return mix.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(*dims)))
 
 
 def os_mix(df: DataFrame, dims: Sequence[str], agent: str) -> DataFrame:
@@ -199,14 +182,15 @@ def os_mix(df: DataFrame, dims: Sequence[str], agent: str) -> DataFrame:
 
 
 def versions(df: DataFrame, dims: Sequence[str], agent: str) -> DataFrame:
-    """Rows per (dims, browser, full, major, minor)."""
+    """Rows per (dims, browser, kind, engine, full, major, minor)."""
     names = F.array(*[F.lit(b.name) for b in BROWSERS])
     found = bind(browser_rule(F.col("agent")), lambda r: F.struct(
         F.coalesce(F.get(names, r), F.lit(UNKNOWN)).alias("browser"),
+        browser_type(r).alias("kind"), browser_engine(r).alias("engine"),
         browser_version(F.col("agent"), r).alias("version")))
     counted = per_agent(df, dims, agent).withColumn("_v", found)
     return _mix(counted, dims, {
-        "browser": F.col("_v.browser"), "full": F.col("_v.version.full"),
+        "browser": F.col("_v.browser"), "kind": F.col("_v.kind"), "engine": F.col("_v.engine"), "full": F.col("_v.version.full"),
         "major": F.col("_v.version.major"), "minor": F.col("_v.version.minor")})
 
 
