@@ -2,7 +2,9 @@
 
 A pipeline is a list of groups. Each group aggregates the log once, computes
 features and rules on the group frame, and joins chosen columns back to the
-log. Everything is a lazy plan; the caller writes the frames it wants.
+log. A group reads the raw rows and only those columns of earlier groups that
+it names; all judgements are attached once, at the end. Everything is a lazy
+plan; the caller writes the frames it wants.
 """
 
 from __future__ import annotations
@@ -37,7 +39,11 @@ class Model:
 
 @dataclass(frozen=True)
 class Group:
-    """One grouping of the log. Without ``dims`` its rules work on log rows."""
+    """One grouping of the log. Without ``dims`` its rules work on log rows.
+
+    ``uses`` names the columns of earlier groups that this group's own columns,
+    statistics or global models read. ``export`` gets the finished group frame.
+    """
 
     name: str
     dims: Sequence[str] = ()
@@ -48,6 +54,8 @@ class Group:
     rules: dict[str, Column] = field(default_factory=dict)
     models: Sequence[Model] = ()
     join_back: Sequence[str] = ()
+    uses: Sequence[str] = ()
+    export: Callable[[DataFrame], None] | None = None
 
 
 @dataclass
@@ -66,51 +74,90 @@ def join_judgements(log: DataFrame, group: DataFrame, dims: Sequence[str], cols:
     return same_keys(log, group.select(*dims, *cols), dims)
 
 
+@dataclass
+class _Rows:
+    """The raw rows, and what earlier groups can add to them when it is asked for."""
+
+    base: DataFrame
+    joins: list[tuple[DataFrame, Sequence[str], list[str]]] = field(default_factory=list)
+    later: list[tuple[str, Column, Sequence[str]]] = field(default_factory=list)
+
+    def having(self, names: Sequence[str]) -> DataFrame:
+        """The rows with the named columns of earlier groups; no other join is made."""
+        wanted = set(names)
+        for name, _, uses in reversed(self.later):
+            if name in wanted:
+                wanted |= set(uses)
+        return self._with(wanted)
+
+    def complete(self) -> DataFrame:
+        return self._with({c for _, _, cols in self.joins for c in cols} | {n for n, _, _ in self.later})
+
+    def _with(self, wanted: set[str]) -> DataFrame:
+        out = self.base
+        # joins that start with one key stand side by side
+        for frame, dims, cols in sorted(self.joins, key=lambda j: list(j[1])):
+            chosen = [c for c in cols if c in wanted]
+            if chosen:
+                out = join_judgements(out, frame, dims, chosen)
+        for name, col, _ in self.later:
+            if name in wanted:
+                out = out.withColumn(name, col)
+        return out
+
+
 def run(log: DataFrame, groups: Sequence[Group], materialize: bool = True) -> Result:
     """Run the groups in order over a log.
 
-    A finished group frame is checkpointed, so that later groups read it
-    instead of aggregating the log for it again; the log itself stays a plan.
+    A finished group frame is checkpointed, so that later groups and the rows
+    read it instead of aggregating the log for it again; the log stays a plan.
     """
     frames: dict[str, DataFrame] = {}
     pending: dict[str, list[tuple[Model, DataFrame]]] = {}
     rules: list[str] = []
+    rows = _Rows(log)
     for group in groups:
-        for name, col in group.row_columns.items():
-            log = log.withColumn(name, col)
-        frame = group_features(log, group.dims, group.scalars, group.keyed) if group.dims else None
+        if group.uses:  # columns that may read joined ones are made where they are wanted
+            rows.later += [(n, c, group.uses) for n, c in group.row_columns.items()]
+        else:
+            rows.base = rows.base.withColumns(group.row_columns)
+        frame = None
+        if group.dims:
+            own = rows.having([*group.uses, *group.row_columns])
+            frame = group_features(own, group.dims, group.scalars, group.keyed)
         for model, table in pending.pop(group.name, []):
             frame = model.apply(frame, table)
         if frame is not None:
             for name, col in group.features.items():
                 frame = frame.withColumn(name, col)
         for model in group.models:
-            table = model.fit(log if model.source == "global" else frame)
+            table = model.fit(rows.having([*group.uses, *group.row_columns]) if model.source == "global" else frame)
             if materialize:
                 table = cut_lineage(table)
             for target in model.target:
                 if target == "local":
                     frame = model.apply(frame, table)
                 elif target == "global":
-                    log = model.apply(log, table)
+                    rows.base = model.apply(rows.base, table)
                 else:
                     pending.setdefault(target, []).append((model, table))
-        for name, col in group.rules.items():
-            if frame is None:
-                log = log.withColumn(name, col)
-            else:
+        if frame is None:
+            rows.later += [(n, c, group.uses) for n, c in group.rules.items()]
+        else:
+            for name, col in group.rules.items():
                 frame = frame.withColumn(name, col)
-        rules += list(group.rules)
-        if frame is not None:
             if materialize:
                 frame = cut_lineage(frame)
             frames[group.name] = frame
             cols = [*group.join_back, *group.rules]
             if cols:
-                log = join_judgements(log, frame, group.dims, cols)
+                rows.joins.append((frame, group.dims, cols))
+            if group.export is not None:
+                group.export(frame)
+        rules += list(group.rules)
     if pending:
         raise ValueError(f"models wait for groups that did not follow: {sorted(pending)}")
-    return Result(log, frames, rules)
+    return Result(rows.complete(), frames, rules)
 
 
 def export_frame(

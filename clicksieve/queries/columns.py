@@ -80,12 +80,17 @@ def inline_predicate(spark, folder):
         "side": detail.keep_where(leaf("sub_industry"), leaf("location"), cond("location", "!=", "top")),
         "guarded": detail.keep_where(leaf("industry"), F.array("qty"), cond("qty", ">", "20")),
     }
-    tagged = F.concat(*[_tagged(n, v) for n, v in kept.items()])
-    counted = unfold_structs(rows, ["srcg"], tagged).groupBy("srcg", "tag", "value").agg(one())
-    of = lambda tag, col: F.when(F.col("tag") == tag, F.col(col))
+    # plain counts are sizes, summed by row; only what is counted distinct is unfolded
+    sized = rows.select("srcg", *[v.alias(n) for n, v in kept.items()]).select(
+        "srcg", "clicked", F.size("side").alias("side"), F.size("guarded").alias("guarded"))
+    kinds = F.coalesce(F.transform("clicked", lambda v: F.struct(v.alias("kind"), F.lit(0).alias("side"), F.lit(0).alias("guarded"))),
+                       F.array().cast("array<struct<kind: string, side: int, guarded: int>>"))
+    entries = F.concat(F.array(F.struct(F.lit(None).cast("string").alias("kind"), "side", "guarded")), kinds)
+    counted = unfold_structs(sized, ["srcg"], entries).groupBy("srcg", "kind").agg(
+        one(), F.sum("side").alias("side"), F.sum("guarded").alias("guarded"))
     return counted.groupBy("srcg").agg(
-        *[F.coalesce(F.sum(of(n, "n")), F.lit(0)).alias(n) for n in kept],
-        F.count(of("clicked", "value")).alias("clicked_kinds"))
+        F.coalesce(F.sum(F.when(F.col("kind").isNotNull(), F.col("n"))), F.lit(0)).alias("clicked"),
+        F.count("kind").alias("clicked_kinds"), F.sum("side").alias("side"), F.sum("guarded").alias("guarded"))
 
 
 @query("select_pattern", """

@@ -41,8 +41,11 @@ def read_sheet(spark: SparkSession, path: str | Sequence[str], columns: Sequence
 
 
 def write_sheet(df: DataFrame, path: str, one_file: bool = True) -> None:
-    """CSV with a header, replacing what was there. One file is for small reports only."""
-    out = df.coalesce(1) if one_file else df
+    """CSV with a header, replacing what was there. One file is for small reports only.
+
+    The rows of the report move to one task; what makes them stays spread.
+    """
+    out = df.repartition(1) if one_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
