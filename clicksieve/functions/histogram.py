@@ -59,7 +59,7 @@ def log_gap_bucket(gap: Column) -> Column:
     return F.floor(F.ln(number) + 0.5)
 
 
-def action_count_token(actions: Column, most: int = 20) -> Column:
-    """``n:1`` for a list of n actions, n capped; empty for an empty list."""
-    size = F.least(F.size(actions), F.lit(most))
+def action_count_token(count: Column, most: int = 20) -> Column:
+    """``n:1`` for n actions, n capped; empty for none."""
+    size = F.least(count, F.lit(most))
     return F.when(size > 0, F.concat(size.cast("string"), F.lit(":1"))).otherwise(F.lit(""))

@@ -12,7 +12,6 @@ from clicksieve.functions.unfold import bind, unfold_structs
 from clicksieve.operators.aggregate import same_keys
 
 EPSILON = 1e-7
-MAX_ACTIONS = 200  # fixed value: actions kept per user
 
 # The action classes of a search entry, in order (fixed values).
 ACTION_RULES = [
@@ -25,24 +24,32 @@ ACTION_RULES = [
 ]
 
 
+def search_class(source: Column) -> Column:
+    """Class of a search by its whole source text, in the order of the rules; null without one."""
+    fits = lambda patterns: source.rlike("^(?:" + "|".join(patterns) + ")$")
+    out = F.when(fits(ACTION_RULES[0][1]), ACTION_RULES[0][0])
+    for name, patterns in ACTION_RULES[1:]:
+        out = out.when(fits(patterns), name)
+    return out
+
+
 def whole_millis(time: Column, fallback: Column) -> Column:
     """Time text cut at its first dot; the fallback when it is not a number."""
     return F.when(is_digital(time), F.split(time, r"\.")[0].try_cast("bigint")).otherwise(fallback)
 
 
-def action_timeline(
+def timeline_events(
     df: DataFrame, dims: Sequence[str], action: Column, time: Column,
-    clicks: Column, ad_clicks: Column, *, row_type: str = "tp", limit: int = MAX_ACTIONS,
+    clicks: Column, ad_clicks: Column, *, second_time: Column | None = None, row_type: str = "tp",
 ) -> DataFrame:
-    """First actions of each group in time order, as arrays of actions and times.
+    """Events (dims, time, action) of the rows, repeated ones included.
 
-    A row gives its search, its clicks and its ad clicks. A click without a
-    readable time gets the search time plus 5 s per click number, an ad click
-    plus 10 s; numbers run on from clicks to ad clicks. Equal (time, action)
-    pairs count once. Spark cuts each group to ``limit`` rows before the
-    shuffle, so a very active user costs no more than any other.
+    A row gives its search, its clicks and its ad clicks. A search without a
+    readable time takes the second time; one without either is left out. A click
+    without a readable time gets the search time plus 5 s per click number, an
+    ad click plus 10 s; numbers run on from clicks to ad clicks.
     """
-    base = whole_millis(time, F.lit(0))
+    base = whole_millis(time, F.lit(0) if second_time is None else whole_millis(second_time, F.lit(0)))
     click_time = F.transform("_clicks", lambda t, i: F.struct(
         whole_millis(t, F.col("_t") + 5000 * (i + 1)).alias("time"), F.lit("click").alias("action")))
     ad_time = F.transform("_ad_clicks", lambda t, i: F.struct(
@@ -55,15 +62,35 @@ def action_timeline(
                 clicks.alias("_clicks"), ad_clicks.alias("_ad_clicks"))
         .filter(F.col("_t") != 0)
     )
-    events = unfold_structs(rows, dims, F.concat(own, click_time, ad_time)).dropDuplicates(
-        [*dims, "time", "action"])
+    return unfold_structs(rows, dims, F.concat(own, click_time, ad_time))
+
+
+def action_timeline(
+    df: DataFrame, dims: Sequence[str], action: Column, time: Column,
+    clicks: Column, ad_clicks: Column, *, second_time: Column | None = None, row_type: str = "tp",
+    limit: int | None = None,
+) -> DataFrame:
+    """All actions of each group in time order, as arrays of actions and times.
+
+    Equal (time, action) pairs count once. ``limit`` keeps the first so many and
+    is for exports that want lists of a bounded length; models read the events.
+    """
+    events = timeline_events(df, dims, action, time, clicks, ad_clicks, second_time=second_time, row_type=row_type)
     return first_actions(events, dims, limit)
 
 
-def first_actions(events: DataFrame, dims: Sequence[str], limit: int = MAX_ACTIONS) -> DataFrame:
-    """Arrays of the first ``limit`` distinct (time, action) events per group."""
-    w = Window.partitionBy(*dims).orderBy("time", "action")
-    kept = events.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= limit)
+def first_actions(events: DataFrame, dims: Sequence[str], limit: int | None = None) -> DataFrame:
+    """Arrays of the distinct (time, action) events per group, or of the first ``limit``.
+
+    One shuffle: repeated events have the same dense rank and are dropped where
+    they meet, and the arrays are collected in the same partition.
+    """
+    order = Window.partitionBy(*dims).orderBy("time", "action")
+    ranked = events.select(*dims, "time", "action", F.dense_rank().over(order).alias("_rank"),
+                           F.lag(F.struct("time", "action")).over(order).alias("_before"))
+    kept = ranked.filter(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.struct("time", "action")))
+    if limit is not None:
+        kept = kept.filter(F.col("_rank") <= limit)
     return kept.groupBy(*dims).agg(
         F.array_sort(F.collect_list(F.struct("time", "action"))).alias("_e")
     ).select(*dims, F.col("_e.action").alias("actions"), F.col("_e.time").alias("times"))
@@ -125,38 +152,72 @@ def token_ids(tokens: Column, vocabulary: dict[str, int]) -> Column:
 
 
 # Variable-order Markov model ---------------------------------------------------
-# The model is a table (dims, ctx, next, n). ``ctx`` lists the previous actions,
-# oldest first, joined by the separator; the empty context is the root.
+# The model is a table (dims, len, ctx, next, n). ``ctx`` lists the previous
+# actions, oldest first, joined by the separator; the empty context is the root.
+# It is counted from contexts: one row (keys, prev, next) per action, ``prev``
+# being the up to depth - 1 actions before it.
 
 _SEP = "\u0001"
 
 
-def _grams(actions: Column, depth: int) -> Column:
-    """All (pos, len, ctx, next) of a sequence with len < depth."""
-    at = lambda acts, i, n: F.struct(
-        i.alias("pos"), n.alias("len"),
-        F.array_join(F.slice(acts, i - n + 1, n), _SEP).alias("ctx"),
-        F.element_at(acts, i + 1).alias("next"))
-    return bind(actions, lambda acts: F.flatten(F.transform(
-        F.sequence(F.lit(0), F.size(acts) - 1),
-        lambda i: F.transform(F.sequence(F.lit(0), F.least(i, F.lit(depth - 1))), lambda n: at(acts, i, n)))))
-
-
-def context_counts(
-    df: DataFrame, dims: Sequence[str], actions: str, depth: int, limit: int | None = None
+def event_contexts(
+    events: DataFrame, keys: Sequence[str], depth: int, bucket_millis: int = 600_000
 ) -> DataFrame:
+    """Contexts of the distinct (time, action) events of each sequence.
+
+    Times are cut into buckets. Inside a bucket the actions before an event are
+    neighbours; what its first events lack is handed over by the buckets before
+    it, which pass on their last actions only. No task sees all events of a user.
+    """
+    back = depth - 1
+    distinct = events.groupBy(*keys, F.floor(F.col("time") / bucket_millis).alias("_b"), "time", "action").agg(
+        F.lit(1).alias("_one"))
+    inside = Window.partitionBy(*keys, "_b").orderBy("time", "action")
+    none = F.array().cast("array<string>")
+    before = lambda what, window: F.array_compact(F.array(*[F.lag(what, k).over(window) for k in range(back, 0, -1)])) \
+        if back else none
+    rows = distinct.select(*keys, "_b", F.col("action").alias("next"), before("action", inside).alias("_near"),
+                           F.lead("action").over(inside).isNull().alias("_last"))
+    if not back:
+        return rows.select(*keys, F.col("_near").alias("prev"), "next")
+    ends = rows.filter("_last").select(*keys, "_b", _last_of(F.concat("_near", F.array("next")), back).alias("_tail"))
+    carried = ends.select(*keys, "_b", _last_of(F.flatten(before(
+        "_tail", Window.partitionBy(*keys).orderBy("_b"))), back).alias("_far"))
+    full = same_keys(rows.drop("_last"), carried, [*keys, "_b"], "inner")
+    return full.select(*keys, _last_of(F.concat("_far", "_near"), back).alias("prev"), "next")
+
+
+def _last_of(values: Column, n: int) -> Column:
+    return bind(values, lambda v: F.slice(v, F.greatest(F.size(v) - n + 1, F.lit(1)), n))
+
+
+def list_contexts(df: DataFrame, keys: Sequence[str], actions: str, depth: int) -> DataFrame:
+    """Contexts of sequences that are arrays; an empty one gives a row without an action."""
+    rows = df.select(*keys, F.col(actions).alias("_acts"), F.posexplode_outer(actions).alias("_i", "next"))
+    n = F.least(F.col("_i"), F.lit(depth - 1))
+    prev = F.when(F.col("_i").isNotNull(), F.slice("_acts", F.col("_i") - n + 1, n)).otherwise(F.array().cast("array<string>"))
+    return rows.select(*keys, prev.alias("prev"), "next")
+
+
+def _suffixes(grams: DataFrame, keep: Sequence[str], depth: int) -> DataFrame:
+    """Each (prev, next) with every context that ends where it does."""
+    prev = F.col("prev")
+    lens = F.sequence(F.lit(0), F.least(F.size(prev), F.lit(depth - 1)))
+    return unfold_structs(grams, keep, bind(prev, lambda p: F.transform(lens, lambda n: F.struct(
+        n.alias("len"), F.array_join(F.slice(p, F.size(p) - n + 1, n), _SEP).alias("ctx")))))
+
+
+def context_counts(contexts: DataFrame, dims: Sequence[str], depth: int, limit: int | None = None) -> DataFrame:
     """Counts of the next action after each context of up to ``depth - 1`` actions.
 
-    With a limit, only groups with more actions than that are kept; the
-    others are dropped before their contexts are built.
+    The longest contexts are counted first, so only distinct ones are unfolded
+    into their suffixes. With a limit, only groups with more actions are kept.
     """
+    grams = contexts.filter(F.col("next").isNotNull()).groupBy(*dims, "prev", "next").agg(F.count(F.lit(1)).alias("_n"))
     if limit is not None and dims:
-        actions_of = df.groupBy(*dims).agg(F.sum(F.size(actions)).alias("_root"))
-        df = same_keys(df, actions_of.filter(F.col("_root") > limit).select(*dims), dims, "left_semi")
-    return (
-        unfold_structs(df.filter(F.size(actions) > 0), dims, _grams(F.col(actions), depth))
-        .groupBy(*dims, "len", "ctx", "next").agg(F.count(F.lit(1)).alias("n"))
-    )
+        roots = grams.groupBy(*dims).agg(F.sum("_n").alias("_root"))
+        grams = same_keys(grams, roots.filter(F.col("_root") > limit).select(*dims), dims, "left_semi")
+    return _suffixes(grams, [*dims, "next", "_n"], depth).groupBy(*dims, "len", "ctx", "next").agg(F.sum("_n").alias("n"))
 
 
 def context_probs(counts: DataFrame, dims: Sequence[str], min_count: int = 20) -> DataFrame:
@@ -172,7 +233,7 @@ def context_probs(counts: DataFrame, dims: Sequence[str], min_count: int = 20) -
     if dims:
         with_root = same_keys(totals, roots, dims)
     else:  # one model for the whole log: its root total is a single number
-        with_root = totals.withColumn("_root", F.lit(roots.first()["_root"]))
+        with_root = totals.withColumn("_root", F.lit(roots.agg(F.coalesce(F.max("_root"), F.lit(0))).first()[0]))
     raw = F.col("_root") <= min_count
     prob = F.when(raw, F.col("n").cast("double")).otherwise(F.col("n") / F.col("_total"))
     return with_root.filter(raw | (F.col("_total") > min_count)).select(
@@ -180,7 +241,7 @@ def context_probs(counts: DataFrame, dims: Sequence[str], min_count: int = 20) -
 
 
 def sequence_likelihood(
-    df: DataFrame, dims: Sequence[str], user: Sequence[str], actions: str, model: DataFrame, *,
+    contexts: DataFrame, dims: Sequence[str], user: Sequence[str], model: DataFrame, *,
     depth: int, prior: dict[str, float] | None = None,
 ) -> DataFrame:
     """Score of each sequence: geometric mean of p(action | context) / prior.
@@ -188,46 +249,36 @@ def sequence_likelihood(
     Each action uses its longest context in the model. Without a prior the
     root shares of the model serve. One action scores 1, none ln(1e-7), and a
     group without a model 0. ``user`` with ``dims`` must name a sequence.
+
+    Contexts are counted per sequence, and each distinct one of a group is looked
+    up once, so frequent short contexts meet the model as single rows.
     """
     keys = [*dims, *user]
+    own = contexts.groupBy(*keys, "prev", "next").agg(F.count("next").alias("_n"))
     table = F.map_from_entries(F.collect_list(F.struct("next", "p")))
     nodes = model.groupBy(*dims, "len", "ctx").agg(table.alias("_probs"))
-    root = nodes.filter(F.col("len") == 0).select(*dims, F.col("_probs").alias("_root"))
-    sequences = df.select(*keys, F.col(actions).alias("_acts"))
-    if dims:
-        sequences = same_keys(sequences, root, dims)
-    else:  # one root for all: at most one entry per action
-        shares = root.first()["_root"]
-        sequences = sequences.withColumn(
-            "_root", F.create_map(*[F.lit(v) for pair in shares.items() for v in pair]))
-    known = F.col("_root").isNotNull()
-    grams = unfold_structs(
-        sequences.filter(known & (F.size("_acts") > 1)), [*keys, "_root"], _grams(F.col("_acts"), depth))
-    looked = same_keys(
-        grams.filter(F.col("len") > 0).drop("_root"),
-        nodes.filter(F.col("len") > 0).withColumnRenamed("_probs", "_found"), [*dims, "len", "ctx"], "inner")
-    # The root answers for every position, so it travels with the sequence
-    # and never meets the join: all positions would share its key.
-    prob = lambda table: F.coalesce(F.try_element_at(table, F.col("next")), F.lit(EPSILON))
-    chances = (
-        looked.select(*keys, "pos", "next", "len", prob(F.col("_found")).alias("_p"),
-                      F.lit(None).cast("double").alias("_q"))
-        .unionByName(grams.filter(F.col("len") == 0).select(
-            *keys, "pos", "next", "len", prob(F.col("_root")).alias("_p"), prob(F.col("_root")).alias("_q")))
-        .groupBy(*keys, "pos").agg(
-            F.max_by("_p", "len").alias("_p"), F.max("_q").alias("_q"), F.max("next").alias("next"))
-    )
+    distinct = own.filter(F.col("next").isNotNull()).select(*dims, "prev", "next").distinct()
+    looked = same_keys(_suffixes(distinct, [*dims, "prev", "next"], depth), nodes, [*dims, "len", "ctx"], "inner")
+    chance = F.coalesce(F.try_element_at("_probs", F.col("next")), F.lit(EPSILON))
+    solved = looked.withColumn("_p", chance).groupBy(*dims, "prev", "next").agg(
+        F.max_by("_p", "len").alias("_p"), F.max_by("_p", -F.col("len")).alias("_q"))
     if prior is None:
         base = F.col("_q")
     else:
         given = F.create_map(*[F.lit(v) for pair in prior.items() for v in pair])
         base = F.try_element_at(given, F.col("next"))
-    logs = chances.groupBy(*keys).agg(F.sum(F.ln(F.col("_p") / base)).alias("_log"))
-    scored = same_keys(sequences, logs, keys)
-    size = F.size("_acts")
-    return scored.select(
+    rated = solved.select(*dims, "prev", "next", F.ln(F.col("_p") / base).alias("_rate"))
+    sums = same_keys(own, rated, [*dims, "prev", "next"]).groupBy(*keys).agg(
+        F.sum("_n").alias("_size"), F.sum(F.col("_n") * F.col("_rate")).alias("_log"))
+    if dims:
+        roots = model.filter(F.col("len") == 0).select(*dims, F.lit(True).alias("_known")).distinct()
+        sums = same_keys(sums, roots, dims)
+    else:
+        sums = sums.withColumn("_known", F.lit(not model.isEmpty()))
+    size = F.col("_size")
+    return sums.select(
         *keys,
-        F.when(~known, F.lit(0.0))
+        F.when(F.col("_known").isNull() | ~F.col("_known"), F.lit(0.0))
         .when(size == 0, F.ln(F.lit(EPSILON)))
         .when(size == 1, F.lit(1.0))
         .otherwise(F.exp(F.col("_log") / (size - 1))).alias("score"),

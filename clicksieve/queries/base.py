@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicksieve.session import spread, tune
+from clicksieve.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -141,9 +141,9 @@ def _ad_text(k: int, location: str) -> str:
 
 
 def adlog(spark: SparkSession, folder: str) -> DataFrame:
-    li = spread(table(spark, folder, "lineitem").selectExpr(
+    li = table(spark, folder, "lineitem").selectExpr(
         "l_orderkey", "l_suppkey", "l_partkey", "l_returnflag", "l_linenumber", "l_quantity",
-        "unix_millis(cast(l_shipdate as timestamp)) day_ms"))
+        "unix_millis(cast(l_shipdate as timestamp)) day_ms")
     shown = [f"case when l_linenumber % 3 >= {k - 1} then {_ad_text(k, place)} end"
              for k, place in enumerate(["top", "right", "bottom"], 1)]
     return li.selectExpr(

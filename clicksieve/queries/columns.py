@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from clicksieve.functions import agents, detail, histogram, text, times
 from clicksieve.functions.unfold import unfold, unfold_structs
 from clicksieve.operators import aggregate as agg
-from clicksieve.operators import distribution, features, sequence
+from clicksieve.operators import distribution, features
 from clicksieve.plans import pipeline, reports
 from clicksieve.queries.base import (
     ADLOG, CHECKS, HIST, LOG, RULES, adlog, checks, ctes, hist, log, query, rounded, table,
@@ -512,13 +512,8 @@ def click_location(spark, folder):
 , u AS (SELECT guid, least(count(*) FILTER (act = 'click'), 15) c FROM log GROUP BY guid)
 SELECT guid, CASE WHEN c > 0 THEN concat(CAST(c AS VARCHAR), ':1') ELSE '' END token FROM u""")
 def action_count_token(spark, folder):
-    clicks = log(spark, folder).select(
-        "guid", F.col("t_ms").alias("time"), F.concat("act", F.col("event_id").cast("string")).alias("action"), "act")
-    users = clicks.select("guid").distinct()
-    lists = sequence.first_actions(clicks.filter("act = 'click'").drop("act"), ["guid"], 15)
-    joined = agg.same_keys(users, lists, ["guid"])
-    acts = F.coalesce("actions", F.array().cast("array<string>"))
-    return joined.select("guid", histogram.action_count_token(acts, 15).alias("token"))
+    users = log(spark, folder).groupBy("guid").agg(F.count_if(F.col("act") == "click").alias("n"))
+    return users.select("guid", histogram.action_count_token(F.col("n"), 15).alias("token"))
 
 
 @query("top_ad_missing", ctes(ADLOG) + """

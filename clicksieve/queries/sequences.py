@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from clicksieve.operators import aggregate as agg
 from clicksieve.operators import distribution, entropy, sequence
 from clicksieve.queries.base import HIST, LOG, ctes, hist, log, query, rounded
-from clicksieve.session import cut_lineage, spread
+from clicksieve.session import keep_table
 
 # Rows are searches; a row with event_id mod 3 = 0 (tp "0") or 1 (tp "1") has as
 # many clicks as the last digit of event_id mod 3, the second without a time.
@@ -20,11 +20,13 @@ def _ad_clicks():
     return F.expr("""transform(filter(sequence(1, 1), j -> act = 'purchase'), j -> 'null')""")
 
 
+def _rows(spark, folder):
+    return log(spark, folder), F.concat(F.lit("search_"), F.substring("act", 1, 1)), F.col("t_ms").cast("string")
+
+
 def _timeline(spark, folder):
-    rows = spread(log(spark, folder))
-    return sequence.action_timeline(
-        rows, ["srcg", "guid"], F.concat(F.lit("search_"), F.substring("act", 1, 1)),
-        F.col("t_ms").cast("string"), _clicks(), _ad_clicks())
+    rows, action, time = _rows(spark, folder)
+    return sequence.action_timeline(rows, ["srcg", "guid"], action, time, _clicks(), _ad_clicks())
 
 
 TIMELINE = """ev AS (
@@ -32,7 +34,7 @@ TIMELINE = """ev AS (
   UNION SELECT srcg, guid, t_ms + 1000, 'click' FROM log WHERE tp <= '1' AND event_id % 3 >= 1
   UNION SELECT srcg, guid, t_ms + 10000, 'click' FROM log WHERE tp <= '1' AND event_id % 3 >= 2
   UNION SELECT srcg, guid, t_ms + 10000 * (event_id % 3 + 1), 'adclick' FROM log WHERE tp <= '1' AND act = 'purchase'),
-tl AS (SELECT *, row_number() OVER (PARTITION BY srcg, guid ORDER BY t, a) r FROM ev QUALIFY r <= 200)"""
+tl AS (SELECT *, row_number() OVER (PARTITION BY srcg, guid ORDER BY t, a) r FROM ev)"""
 
 
 @query("action_timeline", ctes(LOG, TIMELINE) + """
@@ -43,6 +45,17 @@ def action_timeline(spark, folder):
         F.array_join(F.col("times").cast("array<string>"), ",").alias("times"))
 
 
+_SOURCES = ["lm", "home_a", "se9|_", "srp_paging", "srp_x", "tab_", "know_side_nl", "related_", "pdr_guide1", "other", "xlm"]
+
+
+@query("search_classes", ctes(LOG) + ", s AS (SELECT srcg, [" + ", ".join(f"'{x}'" for x in _SOURCES) + f"][1 + event_id % {len(_SOURCES)}] src FROM log)"
+       + " SELECT srcg, CASE " + " ".join(f"WHEN regexp_full_match(src, '{'|'.join(p)}') THEN '{n}'" for n, p in sequence.ACTION_RULES)
+       + " END kind, count(*) n FROM s GROUP BY ALL")
+def search_classes(spark, folder):
+    source = F.element_at(F.array(*[F.lit(x) for x in _SOURCES]), (F.col("event_id") % len(_SOURCES) + 1).cast("int"))
+    return log(spark, folder).groupBy("srcg", sequence.search_class(source).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("time_gap_histogram", ctes(LOG) + """
 , g AS (SELECT guid, (t_ms - lag(t_ms) OVER (PARTITION BY guid ORDER BY t_ms, event_id)) // 3600000 s FROM log)
 SELECT guid, least(s, 9) gap, count(*) n FROM g WHERE s IS NOT NULL AND s <= 24 GROUP BY ALL""")
@@ -96,24 +109,25 @@ tot AS (SELECT *, sum(n) OVER (PARTITION BY srcg, len, ctx) total FROM counts),
 probs AS (SELECT srcg, len, ctx, "next", n, n / total p FROM tot WHERE total > {MIN_COUNT})"""
 
 
-def _counts(timeline):
-    return sequence.context_counts(timeline, ["srcg"], "actions", DEPTH, MIN_ROOT)
+def _contexts(spark, folder):
+    """One row per action with the actions before it, as a table: fitting and scoring read it."""
+    rows, action, time = _rows(spark, folder)
+    events = sequence.timeline_events(rows, ["srcg", "guid"], action, time, _clicks(), _ad_clicks())
+    return keep_table(sequence.event_contexts(events, ["srcg", "guid"], DEPTH), "contexts")
 
 
-def _saved_timeline(spark, folder):
-    """The timelines as a table: fitting and scoring read them several times."""
-    return cut_lineage(_timeline(spark, folder))
+def _counts(contexts):
+    return sequence.context_counts(contexts, ["srcg"], DEPTH, MIN_ROOT)
 
 
 @query("context_counts", ctes(LOG, TIMELINE, GRAMS) + 'SELECT srcg, len, ctx, "next", n FROM counts')
 def context_counts(spark, folder):
-    return _counts(_saved_timeline(spark, folder))
+    return _counts(_contexts(spark, folder))
 
 
 @query("context_probs", ctes(LOG, TIMELINE, GRAMS) + 'SELECT srcg, len, ctx, "next", n, round(p, 6) p FROM probs')
 def context_probs(spark, folder):
-    counts = cut_lineage(_counts(_saved_timeline(spark, folder)))
-    probs = sequence.context_probs(counts, ["srcg"], MIN_COUNT)
+    probs = sequence.context_probs(_counts(_contexts(spark, folder)), ["srcg"], MIN_COUNT)
     return probs.select("srcg", "len", "ctx", "next", "n", rounded("p"))
 
 
@@ -132,10 +146,9 @@ PRIOR = {"click": 0.3, "adclick": 0.1, "search_c": 0.15, "search_e": 0.1, "searc
 SELECT sz.srcg, sz.guid, round(CASE WHEN sz.srcg NOT IN (SELECT srcg FROM rt) THEN 0.0 WHEN c = 1 THEN 1.0
    ELSE (SELECT exp(sum(ln(p / q)) / (sz.c - 1)) FROM pr WHERE pr.srcg = sz.srcg AND pr.guid = sz.guid) END, 5) score FROM sz""")
 def sequence_likelihood(spark, folder):
-    timeline = _saved_timeline(spark, folder)
-    model = cut_lineage(sequence.context_probs(cut_lineage(_counts(timeline)), ["srcg"], MIN_COUNT))
-    scored = sequence.sequence_likelihood(
-        timeline, ["srcg"], ["guid"], "actions", model, depth=DEPTH, prior=PRIOR)
+    contexts = _contexts(spark, folder)
+    model = keep_table(sequence.context_probs(_counts(contexts), ["srcg"], MIN_COUNT), "model")
+    scored = sequence.sequence_likelihood(contexts, ["srcg"], ["guid"], model, depth=DEPTH, prior=PRIOR)
     return scored.select("srcg", "guid", rounded("score", 5))
 
 

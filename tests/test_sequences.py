@@ -99,7 +99,7 @@ def brute_score(seq, counts, depth, min_count, prior):
 
 def test_context_counts_of_a_known_sequence(spark):
     df = frame(spark, [("g", list("1000100110"))], "g string, acts array<string>")
-    rows = sequence.context_counts(df, ["g"], "acts", 3).collect()
+    rows = sequence.context_counts(sequence.list_contexts(df, ["g"], "acts", 3), ["g"], 3).collect()
     want = brute_counts(["1000100110"], 3)
     assert {(tuple(r.ctx.split("\u0001")) if r.ctx else (), r.next): r.n for r in rows} == {
         (c, a): n for c, v in want.items() for a, n in v.items()}
@@ -111,9 +111,10 @@ def test_likelihood_equals_a_tree_walk(spark, seed, prior, min_count):
     data = {(g, f"u{i}"): [rng.choice("aaabc") for _ in range(rng.randrange(0, 9))] for g in "xy" for i in range(25)}
     data["z", "u0"] = list("ab")  # too few actions for a model
     df = frame(spark, [(g, u, s) for (g, u), s in data.items()], "g string, u string, acts array<string>")
-    counts = sequence.context_counts(df, ["g"], "acts", 4, limit=10)
+    contexts = sequence.list_contexts(df, ["g", "u"], "acts", 4)
+    counts = sequence.context_counts(contexts, ["g"], 4, limit=10)
     model = sequence.context_probs(counts, ["g"], min_count)
-    got = sequence.sequence_likelihood(df, ["g"], ["u"], "acts", model, depth=4, prior=prior)
+    got = sequence.sequence_likelihood(contexts, ["g"], ["u"], model, depth=4, prior=prior)
     brute = {g: brute_counts([s for (h, _), s in data.items() if h == g], 4) for g in "xy"}
     for r in got.collect():
         want = brute_score(data[r.g, r.u], brute[r.g], 4, min_count, prior) if r.g in brute else 0.0
@@ -123,13 +124,31 @@ def test_likelihood_equals_a_tree_walk(spark, seed, prior, min_count):
 def test_one_model_for_the_whole_log(spark):
     data = {"u1": list("abab"), "u2": list("aab"), "u3": ["a"], "u4": []}
     df = frame(spark, list(data.items()), "u string, acts array<string>")
-    model = sequence.context_probs(sequence.context_counts(df, [], "acts", 3), [], 1)
-    got = sequence.sequence_likelihood(df, [], ["u"], "acts", model, depth=3)
+    contexts = sequence.list_contexts(df, ["u"], "acts", 3)
+    model = sequence.context_probs(sequence.context_counts(contexts, [], 3), [], 1)
+    got = sequence.sequence_likelihood(contexts, [], ["u"], model, depth=3)
     counts = brute_counts(data.values(), 3)
     for r in got.collect():
         assert r.score == pytest.approx(brute_score(data[r.u], counts, 3, 1, None))
 
 
+def test_contexts_of_events_cross_buckets(spark):
+    """A user with more than 1,000 events, some far apart, some repeated: no event is left out."""
+    rng = random.Random(9)
+    times = sorted(rng.choice([rng.randrange(10**6), rng.randrange(10**9)]) for _ in range(1500))
+    events = {(u, t, rng.choice("abc")) for u in "xy" for t in times[:1500 if u == "x" else 3]}
+    df = frame(spark, list(events) * 2, "u string, time bigint, action string")
+    for depth in (1, 2, 4):
+        got = Counter((r.u, tuple(r.prev), r.next) for r in sequence.event_contexts(df, ["u"], depth).collect())
+        want = Counter()
+        for u in "xy":
+            acts = [a for _, a in sorted((t, a) for v, t, a in events if v == u)]
+            want.update((u, tuple(acts[max(0, i - depth + 1):i]), a) for i, a in enumerate(acts))
+        assert got == want
+    lists = {r.u: r.actions for r in sequence.first_actions(df, ["u"]).collect()}
+    assert lists["x"] == [a for _, a in sorted((t, a) for v, t, a in events if v == "x")] and len(lists["x"]) > 1000
+
+
 # entropies -----------------------------------------------------------------------
 
 

@@ -172,7 +172,7 @@ def test_holidays(spark):
 def test_agents_by_the_rule_tables(spark):
     """Every browser and system rule is found by its own words, unless an earlier rule takes them."""
     texts = [f"{w}/7.1 ({s.required[-1][0]})" for b in agents.BROWSERS for w in b.aliases for s in agents.SYSTEMS[::9]]
-    texts += [" ".join(w[-1] for w in s.required) for s in agents.SYSTEMS] + ["", "nothing known"]
+    texts += [" ".join(w[-1] for w in s.required) + end for s in agents.SYSTEMS for end in ("", " mobile")] + ["", "nothing known"]
     has = lambda t, words: any(w in t.lower() for w in words)
     browser = lambda t: next((b for b in agents.BROWSERS if has(t, b.aliases) and not has(t, b.excludes)), None)
     system = lambda t: next((s for s in agents.SYSTEMS if all(has(t, w) for w in s.required) and not has(t, s.excludes)), None)
@@ -274,7 +274,17 @@ def test_euclid_outlier(spark):
 def test_exact_quantile(spark, values, q):
     df = frame(spark, [(float(v),) for v in values], "v double")
     want = sorted(values)[max(1, math.ceil(q * len(values))) - 1]
-    assert vectors.exact_quantile(df, "v", q, bins=8, enough=10) == want
+    assert vectors.exact_quantile(df, "v", q) == want
+
+
+def test_exact_quantile_of_odd_values(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "FEW", 5)
+    rng = np.random.default_rng(3)
+    base = [*rng.normal(size=3000), *[0.25] * 2000, 1e300, math.inf, -math.inf, -math.inf]
+    df = frame(spark, [(float(v),) for v in base] + [(math.nan,), (None,)], "v double")
+    for q in (0.0001, 0.3, 0.5, 0.55, 0.9, 0.9999, 1.0):
+        assert vectors.exact_quantile(df, "v", q) == sorted(base)[max(1, math.ceil(q * len(base))) - 1], q
+    assert {r.anomaly for r in vectors.anomaly_cut(df, "v", 0.1).filter("v is null or isnan(v)").collect()} == {0}
 
 
 # forest -----------------------------------------------------------------------------
