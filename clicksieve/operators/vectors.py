@@ -1,117 +1,157 @@
-"""Statistics and outlier scores over feature columns.
+"""Statistics and outlier scores over feature vectors.
 
-A fit is one aggregation that returns a few numbers per feature to the driver;
-a score is an expression over each row.
+A fit is an aggregation that returns a few numbers per component to the driver;
+a score is an expression over each row's array. No width is written down.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _sum(cols: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a + b, cols)
+def _literal(values: Sequence[float]) -> Column:
+    return F.array(*[F.lit(float(v)) for v in values])
+
+
+def _by_component(df: DataFrame, vector: str, *keep: Column) -> DataFrame:
+    """One row per component: (kept columns, dim, x)."""
+    return df.select(*keep, F.posexplode(vector).alias("dim", "_v")).select("*", F.col("_v").cast("double").alias("x"))
 
 
 @dataclass(frozen=True)
 class StandardModel:
-    cols: tuple[str, ...]
+    """Mean and deviation of each component of a vector."""
+
     mean: tuple[float, ...]
     sigma: tuple[float, ...]
 
-    def score(self, reference_mode: bool = False) -> list[Column]:
-        """``min(3 - min((v - mean) / sigma, 3), 9)`` per component.
+    def score(self, vector: Column, reference_mode: bool = False) -> Column:
+        """``min(3 - min((v - mean) / sigma, 3), 9)`` of each component, as an array.
 
         Reference mode divides every component by the first deviation.
         """
-        out = []
-        for c, mean, sigma in zip(self.cols, self.mean, self.sigma):
-            sd = self.sigma[0] if reference_mode else sigma
-            z = F.least(F.try_divide(F.col(c) - mean, F.lit(sd)), F.lit(3.0))
-            out.append(F.least(3.0 - z, F.lit(9.0)))
-        return out
+        mean = _literal(self.mean)
+        sigma = _literal([self.sigma[0]] * len(self.sigma) if reference_mode else self.sigma)
+        z = lambda v, i: F.least(F.try_divide(v - mean[i], sigma[i]), F.lit(3.0))
+        return F.transform(vector, lambda v, i: F.least(3.0 - z(v.cast("double"), i), F.lit(9.0)))
 
 
-def fit_weighted(df: DataFrame, cols: Sequence[str], weight: str) -> StandardModel:
-    """Weighted mean and unbiased weighted deviation of each column."""
-    w = F.col(weight).cast("double")
-    sums = df.agg(
-        F.sum(w).alias("w"), F.sum(w * w).alias("w2"),
-        *[F.sum(w * F.col(c)).alias(f"s{i}") for i, c in enumerate(cols)]).first()
-    means = [sums[f"s{i}"] / sums["w"] for i in range(len(cols))]
-    dev = df.agg(*[
-        F.sum(w * (F.col(c) - m) * (F.col(c) - m)).alias(f"d{i}") for i, (c, m) in enumerate(zip(cols, means))
-    ]).first()
-    scale = sums["w"] - sums["w2"] / sums["w"]
-    return StandardModel(
-        tuple(cols), tuple(means), tuple(float(np.sqrt(dev[f"d{i}"] / scale)) for i in range(len(cols))))
+def fit_weighted(df: DataFrame, vector: str, weight: str) -> StandardModel:
+    """Weighted mean and unbiased weighted deviation of each component."""
+    long = _by_component(df, vector, F.col(weight).cast("double").alias("w"))
+    w, x = F.col("w"), F.col("x")
+    sums = long.groupBy("dim").agg(
+        F.sum(w).alias("w"), F.sum(w * w).alias("w2"), F.sum(w * x).alias("s")).orderBy("dim").collect()
+    means = [r.s / r.w for r in sums]
+    off = x - _literal(means)[F.col("dim")]
+    dev = long.groupBy("dim").agg(F.sum(w * off * off).alias("d")).orderBy("dim").collect()
+    return StandardModel(tuple(means), tuple(
+        float(np.sqrt(d.d / (r.w - r.w2 / r.w))) for d, r in zip(dev, sums)))
 
 
-def mean_of_scores(cols: Sequence[Column]) -> Column:
-    return _sum(cols) / F.lit(float(len(cols)))
+def mean_of_scores(vector: Column) -> Column:
+    return F.aggregate(vector, F.lit(0.0), lambda a, v: a + v) / F.size(vector)
 
 
 @dataclass(frozen=True)
 class Moments:
-    cols: tuple[str, ...]
     mean: tuple[float, ...]
     sigma: tuple[float, ...]
     cov: np.ndarray
 
 
-def fit_moments(df: DataFrame, cols: Sequence[str]) -> Moments:
-    """Means, sample deviations and sample covariances in one aggregation."""
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    row = df.agg(
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-        *[F.covar_samp(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
-    cov = np.zeros((len(cols), len(cols)))
-    for i, j in pairs:
-        cov[i, j] = cov[j, i] = row[f"c{i}_{j}"]
-    return Moments(
-        tuple(cols), tuple(row[f"m{i}"] for i in range(len(cols))),
-        tuple(float(v) for v in np.sqrt(np.diag(cov))), cov)
+def _products(df: DataFrame, vector: str) -> tuple[list[float], int, DataFrame]:
+    """Means, number of rows, and the centred product sums (i, j, s) with i <= j.
 
+    A task multiplies its rows as one matrix and passes on one row per pair of
+    components; the pairs are then summed.
+    """
+    per = _by_component(df, vector).groupBy("dim").agg(F.avg("x").alias("m"), F.count("x").alias("n")).orderBy("dim").collect()
+    mean = np.array([r.m for r in per])
 
-def mahalanobis(model: Moments) -> Column:
-    """Distance to mean + 3 sigma, relative to the distance of mean + 2 sigma."""
+    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(mean), len(mean)))
+        for batch in batches:
+            if len(batch):
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1) - mean
+                total += x.T @ x
+        i, j = np.triu_indices(len(mean))
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(total[i, j])], ["i", "j", "s"])
+
+    rows = df.select(F.col(vector).cast("array<double>").alias("v")).filter(F.col("v").isNotNull())
+    pairs = rows.mapInArrow(gram, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
+    return mean.tolist(), per[0].n if per else 0, pairs
+
+
+def fit_moments(df: DataFrame, vector: str) -> Moments:
+    """Means, sample deviations and sample covariances; the vectors have one length and no nulls."""
+    mean, rows, pairs = _products(df, vector)
+    cov = np.zeros((len(mean), len(mean)))
+    for r in pairs.collect():  # half the square of the width
+        cov[r.i, r.j] = cov[r.j, r.i] = r.s / (rows - 1)
+    return Moments(tuple(mean), tuple(float(v) for v in np.sqrt(np.diag(cov))), cov)
+
+
+def squared_distance(model: Moments, vector: Column, offset: float = 0.0) -> Column:
+    """Squared Mahalanobis distance to the mean plus ``offset`` deviations; null for a null vector.
+
+    The form has as many terms as the width squared, so a batch of vectors is
+    multiplied as one matrix.
+    """
+    at = np.array(model.mean) + offset * np.array(model.sigma)
     inverse = np.linalg.inv(model.cov)
-    mean, sigma = np.array(model.mean), np.array(model.sigma)
-    metric = float(sigma @ inverse @ sigma)  # (mean + 2s) - (mean + 3s) = -s
-    x = [F.col(c) - float(b) for c, b in zip(model.cols, mean + 3.0 * sigma)]
-    form = _sum([float(inverse[i, j]) * x[i] * x[j] for i in range(len(x)) for j in range(len(x))])
-    return F.sqrt(form / metric)
+
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            valid = batch.is_valid().to_numpy(zero_copy_only=False)
+            x = batch.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(at)) - at
+            out = np.zeros(len(batch))
+            out[valid] = np.einsum("ij,ij->i", x @ inverse, x)
+            yield pa.array(out, pa.float64(), mask=~valid)
+
+    return run(vector.cast("array<double>"))
+
+
+def mahalanobis(model: Moments, vector: Column) -> Column:
+    """Distance to mean + 3 sigma, relative to the distance of mean + 2 sigma."""
+    sigma = np.array(model.sigma)
+    metric = float(sigma @ np.linalg.inv(model.cov) @ sigma)  # (mean + 2s) - (mean + 3s) = -s
+    return F.sqrt(squared_distance(model, vector, 3.0) / metric)
+
+
+def fit_euclid(df: DataFrame, vector: str) -> StandardModel:
+    """Mean and sample deviation of each component, kept with the model."""
+    stats = _by_component(df, vector).groupBy("dim").agg(
+        F.avg("x").alias("m"), F.stddev_samp("x").alias("d")).orderBy("dim").collect()
+    return StandardModel(tuple(r.m for r in stats), tuple(float(r.d) for r in stats))
 
 
-def euclid_outlier(cols: Sequence[str], spam_threshold: float = 15.0, sigma_offset: float = 3.0) -> Column:
+def euclid_outlier(vector: Column, spam_threshold: float = 15.0, sigma_offset: float = 3.0) -> Column:
     """Length of the score vector; one single large score stays below the threshold."""
-    length = F.sqrt(_sum([F.col(c) * F.col(c) for c in cols]))
-    second = F.get(F.sort_array(F.array(*[F.col(c) for c in cols]), asc=False), F.lit(1))
+    length = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, v: a + v * v))
+    second = F.get(F.sort_array(vector, asc=False), F.lit(1))
     return F.when(
         (length > spam_threshold) & (second < sigma_offset), F.lit(spam_threshold - 0.1)).otherwise(length)
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlations as (a, b, corr); NaN beside a column without variance."""
-    pairs = list(combinations(range(len(cols)), 2))
-    row = df.agg(
-        *[F.var_samp(c).alias(f"v{i}") for i, c in enumerate(cols)],
-        *[F.covar_samp(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs])
-    flat = lambda i: F.coalesce(F.col(f"v{i}"), F.lit(0.0)) <= 1e-12
-    cell = lambda i, j: F.when(flat(i) | flat(j), F.lit(float("nan"))).otherwise(
-        F.col(f"c{i}_{j}") / F.sqrt(F.col(f"v{i}") * F.col(f"v{j}")))
-    entry = lambda a, b, v: F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), v.alias("corr"))
-    cells = [entry(c, c, F.lit(1.0)) for c in cols]
-    for i, j in pairs:
-        cells += [entry(cols[i], cols[j], cell(i, j)), entry(cols[j], cols[i], cell(i, j))]
-    return row.select(F.inline(F.array(*cells)))
+def correlation_matrix(df: DataFrame, vector: str) -> DataFrame:
+    """Pearson correlations of components as (a, b, corr); NaN beside one without variance."""
+    _, rows, pairs = _products(df, vector)
+    own = pairs.filter("i = j").select(F.col("i").alias("_k"), (F.col("s") / (rows - 1)).alias("_var"))
+    cells = pairs.join(own.withColumnsRenamed({"_k": "i", "_var": "_vi"}), "i").join(
+        own.withColumnsRenamed({"_k": "j", "_var": "_vj"}), "j")
+    flat = (F.col("_vi") <= 1e-12) | (F.col("_vj") <= 1e-12)
+    corr = F.when(F.col("i") == F.col("j"), F.lit(1.0)).when(flat, F.lit(float("nan"))).otherwise(
+        F.col("s") / (rows - 1) / F.sqrt(F.col("_vi") * F.col("_vj")))
+    half = cells.select(F.col("i").alias("a"), F.col("j").alias("b"), corr.alias("corr"))
+    return half.union(half.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "corr"))
 
 
 def skewness(df: DataFrame, dims: Sequence[str], col: str) -> DataFrame:

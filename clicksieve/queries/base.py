@@ -184,17 +184,6 @@ def hist(spark: SparkSession, folder: str) -> DataFrame:
 HIST = "hist AS (SELECT source grp, lang k, count(*) n FROM documents GROUP BY source, lang)"
 
 
-def vec(spark: SparkSession, folder: str) -> DataFrame:
-    cols = [f"cast(embedding[{i}] as double) x{i}" for i in range(4)]
-    return table(spark, folder, "embeddings").selectExpr("vec_id", "label", *cols)
-
-
-VEC = """vec AS (
-  SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) x0, CAST(embedding[2] AS DOUBLE) x1,
-         CAST(embedding[3] AS DOUBLE) x2, CAST(embedding[4] AS DOUBLE) x3
-  FROM embeddings)"""
-
-
 def ctes(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 

@@ -3,56 +3,82 @@
 from pyspark.sql import functions as F
 
 from clicksieve.operators import forest, vectors
-from clicksieve.queries.base import VEC, ctes, query, rounded, table, vec
+from clicksieve.queries.base import ctes, query, rounded, table
+from clicksieve.session import keep_table
 
-X = ["x0", "x1", "x2", "x3"]
+# Every component of the vectors is read; ``c`` numbers them from 0.
+CELLS = """l AS (SELECT vec_id, "label" + 1 w, generate_subscripts(embedding, 1) - 1 c, CAST(unnest(embedding) AS DOUBLE) x FROM embeddings)"""
 
 
-@query("standard_score", ctes(VEC) + """
-, l AS (SELECT vec_id, "label" + 1 w, u.c, u.x FROM vec, LATERAL (VALUES ('x0', x0), ('x1', x1), ('x2', x2), ('x3', x3)) u(c, x))
+def _vectors(spark, folder):
+    return table(spark, folder, "embeddings").withColumn("v", F.col("embedding").cast("array<double>"))
+
+
+@query("standard_score", ctes(CELLS) + """
 , m AS (SELECT c, sum(w * x) / sum(w) mean, sum(w) - sum(w * w) / sum(w) d FROM l GROUP BY c)
 , s AS (SELECT l.c, any_value(mean) mean, sqrt(sum(w * (x - mean) * (x - mean)) / any_value(d)) sd FROM l JOIN m USING (c) GROUP BY l.c)
-, z AS (SELECT vec_id, c, least(3 - least((x - mean) / sd, 3), 9) z, least(3 - least((x - mean) / (SELECT sd FROM s WHERE c = 'x0'), 3), 9) r FROM l JOIN s USING (c))
-SELECT vec_id, round(max(z) FILTER (c = 'x0'), 6) s0, round(max(z) FILTER (c = 'x1'), 6) s1, round(max(z) FILTER (c = 'x2'), 6) s2,
-       round(max(z) FILTER (c = 'x3'), 6) s3, round(max(r) FILTER (c = 'x3'), 6) r3 FROM z GROUP BY vec_id""")
+SELECT vec_id, CAST(c AS INT) c, round(least(3 - least((x - mean) / sd, 3), 9), 6) z,
+       round(least(3 - least((x - mean) / (SELECT sd FROM s WHERE c = 0), 3), 9), 6) r FROM l JOIN s USING (c)""")
 def standard_score(spark, folder):
-    rows = vec(spark, folder).withColumn("w", F.col("label") + 1)
-    model = vectors.fit_weighted(rows, X, "w")
-    own, first = model.score(), model.score(reference_mode=True)
-    return rows.select(
-        "vec_id", *[F.round(c, 6).alias(f"s{i}") for i, c in enumerate(own)], F.round(first[3], 6).alias("r3"))
+    rows = _vectors(spark, folder).withColumn("w", F.col("label") + 1)
+    model = vectors.fit_weighted(rows, "v", "w")
+    both = F.arrays_zip(model.score(F.col("v")).alias("z"), model.score(F.col("v"), reference_mode=True).alias("r"))
+    return rows.select("vec_id", F.posexplode(both).alias("c", "_s")).select(
+        "vec_id", "c", F.round(F.col("_s")["z"], 6).alias("z"), F.round(F.col("_s")["r"], 6).alias("r"))
 
 
-@query("mean_of_scores", ctes(VEC) + "SELECT vec_id, round((x0 + x1 + x2 + x3) / 4.0, 6) score FROM vec")
+@query("mean_of_scores", ctes(CELLS) + "SELECT vec_id, round(sum(x ORDER BY c) / count(*), 6) score FROM l GROUP BY vec_id")
 def mean_of_scores(spark, folder):
-    return vec(spark, folder).select("vec_id", F.round(vectors.mean_of_scores([F.col(c) for c in X]), 6).alias("score"))
+    return _vectors(spark, folder).select("vec_id", F.round(vectors.mean_of_scores(F.col("v")), 6).alias("score"))
 
 
-@query("mahalanobis", ctes(VEC) + """
-, f AS (SELECT avg(x0) m0, avg(x1) m1, var_samp(x0) a, var_samp(x1) d, covar_samp(x0, x1) b FROM vec)
-, p AS (SELECT *, (x0 - m0 - 3 * sqrt(a)) u, (x1 - m1 - 3 * sqrt(d)) v, a * d - b * b det FROM vec, f)
-SELECT vec_id, round(sqrt(((d * u * u - 2 * b * u * v + a * v * v) / det) / ((d * a - 2 * b * sqrt(a) * sqrt(d) + a * d) / det)), 5) score FROM p""")
+# Over the rows a distance was fitted on, squared distances to the mean add up to
+# (rows - 1) x width, and those to mean + 3 sigma, in units of sigma's own, to the
+# same over that unit plus 9 x rows. SQL knows both without inverting a matrix.
+@query("mahalanobis", ctes(CELLS) + """
+, n AS (SELECT count(DISTINCT vec_id) "rows", count(DISTINCT c) width FROM l)
+SELECT "rows", width, round(CAST(("rows" - 1) * width AS DOUBLE), 3) squares, round(9.0::DOUBLE * "rows", 3) shifted FROM n""")
 def mahalanobis(spark, folder):
-    rows = vec(spark, folder)
-    model = vectors.fit_moments(rows, ["x0", "x1"])
-    return rows.select("vec_id", F.round(vectors.mahalanobis(model), 5).alias("score"))
+    rows = _vectors(spark, folder)
+    model = vectors.fit_moments(rows, "v")
+    return _mahalanobis_sums(rows, model)
+
+
+def _mahalanobis_sums(rows, model):
+    scored = rows.select(
+        F.size("v").alias("width"), vectors.mahalanobis(model, F.col("v")).alias("score"),
+        vectors.squared_distance(model, F.col("v")).alias("near"), vectors.squared_distance(model, F.col("v"), 3.0).alias("far"))
+    unit = F.max(F.col("far") / (F.col("score") * F.col("score")))
+    sums = scored.agg(F.count(F.lit(1)).alias("rows"), F.max("width").cast("bigint").alias("width"), F.sum("near").alias("_n"),
+                      F.sum(F.col("score") * F.col("score")).alias("_s"), unit.alias("_u"))
+    return sums.select("rows", "width", F.round("_n", 3).alias("squares"), F.round(F.col("_s") - F.col("_n") / F.col("_u"), 3).alias("shifted"))
+
 
+@query("mahalanobis_scores")
+def mahalanobis_scores(spark, folder):
+    rows = _vectors(spark, folder)
+    model = vectors.fit_moments(rows, "v")
+    return rows.select("vec_id", F.round(vectors.mahalanobis(model, F.col("v")), 5).alias("score"))
 
-@query("euclid_outlier", ctes(VEC) + """
-, s AS (SELECT vec_id, abs(x0) * 60 a, abs(x1) * 60 b, abs(x2) * 60 c, abs(x3) * 60 d FROM vec)
-, n AS (SELECT *, sqrt(a * a + b * b + c * c + d * d) len, list_sort([a, b, c, d], 'DESC')[2] AS second_ FROM s)
+
+@query("euclid_outlier", ctes(CELLS) + """
+, m AS (SELECT c, avg(x) m, stddev_samp(x) d FROM l GROUP BY c)
+, z AS (SELECT vec_id, abs((x - m) / d) * 2 s FROM l JOIN m USING (c))
+, n AS (SELECT vec_id, sqrt(sum(s * s)) len, list_sort(list(s), 'DESC')[2] AS second_ FROM z GROUP BY vec_id)
 SELECT vec_id, round(CASE WHEN len > 15 AND second_ < 6 THEN 14.9 ELSE len END, 6) score FROM n""")
 def euclid_outlier(spark, folder):
-    rows = vec(spark, folder).select("vec_id", *[(F.abs(c) * 60).alias(c) for c in X])
-    return rows.select("vec_id", F.round(vectors.euclid_outlier(X, 15.0, 6.0), 6).alias("score"))
+    rows = _vectors(spark, folder)
+    model = vectors.fit_euclid(rows, "v")
+    mean, sd = (F.array(*[F.lit(x) for x in values]) for values in (model.mean, model.sigma))
+    scores = F.transform("v", lambda v, i: F.abs((v - mean[i]) / sd[i]) * 2)
+    return rows.select("vec_id", F.round(vectors.euclid_outlier(scores, 15.0, 6.0), 6).alias("score"))
 
 
-@query("correlation_matrix", ctes(VEC) + """
-, l AS (SELECT vec_id, u.c, u.x FROM vec, LATERAL (VALUES ('x0', x0), ('x1', x1), ('x2', x2), ('x3', x3)) u(c, x))
-SELECT p.c a, q.c b, round(CASE WHEN p.c = q.c THEN 1.0 ELSE corr(p.x, q.x) END, 6) corr
+@query("correlation_matrix", ctes(CELLS) + """
+SELECT CAST(p.c AS INT) a, CAST(q.c AS INT) b, round(CASE WHEN p.c = q.c THEN 1.0 ELSE corr(p.x, q.x) END, 6) corr
 FROM l p JOIN l q ON p.vec_id = q.vec_id GROUP BY p.c, q.c""")
 def correlation_matrix(spark, folder):
-    return vectors.correlation_matrix(vec(spark, folder), X).select("a", "b", rounded("corr"))
+    return vectors.correlation_matrix(_vectors(spark, folder), "v").select("a", "b", rounded("corr"))
 
 
 @query("skewness", """
@@ -82,8 +108,11 @@ PARAMS = forest.ForestParams(trees=50, max_samples=128, max_depth=7)
 
 
 def _features(spark, folder):
-    cols = [f"cast(embedding[{i}] as double) f{i}" for i in range(8)]
-    return table(spark, folder, "embeddings").selectExpr("vec_id", *cols), [f"f{i}" for i in range(8)]
+    """All components as columns f0, f1, ...; their number comes from the table."""
+    rows = table(spark, folder, "embeddings")
+    width = rows.agg(F.max(F.size("embedding"))).first()[0] or 0
+    cols = [f"f{i}" for i in range(width)]
+    return rows.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(cols)]), cols
 
 
 @query("iforest_sample")
@@ -100,7 +129,7 @@ def iforest_fit(spark, folder):
 
 # A fixed forest: tree, node, feature, split, left, right, size, depth
 NODES = [
-    (0, 0, 0, 0.0, 1, 2, 64, 0), (0, 1, 1, 0.05, 3, 4, 30, 1), (0, 2, -1, None, -1, -1, 34, 1),
+    (0, 0, 40, 0.0, 1, 2, 64, 0), (0, 1, 63, 0.05, 3, 4, 30, 1), (0, 2, -1, None, -1, -1, 34, 1),
     (0, 3, -1, None, -1, -1, 29, 2), (0, 4, -1, None, -1, -1, 1, 2),
     (1, 0, 2, -0.02, 1, 2, 64, 0), (1, 1, -1, None, -1, -1, 2, 1), (1, 2, 3, 0.1, 3, 4, 62, 1),
     (1, 3, 0, 0.03, 5, 6, 60, 2), (1, 4, -1, None, -1, -1, 2, 2), (1, 5, -1, None, -1, -1, 50, 3),
@@ -113,7 +142,7 @@ _NODE_SQL = ", ".join(
     for n in NODES)
 _C = "CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + 0.5772156649::DOUBLE) - 2 * ({n} - 1) / {n} WHEN {n} = 2 THEN 1.0 ELSE 0.0 END"
 _SCORED = f"""nodes(tree, node, f, split, l, r, size, depth) AS (VALUES {_NODE_SQL})
-, walk AS (SELECT vec_id, [x0, x1, x2, x3] x, nodes.* FROM vec, nodes WHERE node = 0
+, walk AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) x, nodes.* FROM embeddings, nodes WHERE node = 0
    UNION ALL SELECT walk.vec_id, walk.x, n.* FROM walk JOIN nodes n ON n.tree = walk.tree
      AND n.node = CASE WHEN walk.x[walk.f + 1] < walk.split THEN walk.l ELSE walk.r END WHERE walk.f >= 0)
 , leaf AS (SELECT vec_id, depth + {_C.format(n='size::DOUBLE')} p FROM walk WHERE f < 0)
@@ -122,14 +151,24 @@ _SCORED = f"""nodes(tree, node, f, split, l, r, size, depth) AS (VALUES {_NODE_S
 
 def _scored(spark, folder):
     nodes = spark.createDataFrame(NODES, forest.NODE_SCHEMA)
-    return forest.iforest_score(vec(spark, folder), nodes, X, 64)
+    rows, cols = _features(spark, folder)
+    return forest.iforest_score(rows, nodes, cols, 64)
 
 
-@query("iforest_score", "WITH RECURSIVE " + VEC + ", " + _SCORED + " SELECT vec_id, round(score, 6) score FROM scored")
+@query("iforest_score", "WITH RECURSIVE " + _SCORED + " SELECT vec_id, round(score, 6) score FROM scored")
 def iforest_score(spark, folder):
     return _scored(spark, folder).select("vec_id", rounded("score"))
 
 
+@query("iforest_detect")
+def iforest_detect(spark, folder):
+    """Sample, fit, score and cut on one table."""
+    rows, cols = _features(spark, folder)
+    nodes = keep_table(forest.iforest_fit(forest.iforest_sample(rows, "vec_id", cols, PARAMS), cols, PARAMS), "forest")
+    scored = keep_table(forest.iforest_score(rows, nodes, cols, int(PARAMS.max_samples)).select("vec_id", "score"), "scores")
+    return vectors.anomaly_cut(scored, "score", 0.05)
+
+
 @query("anomaly_cut", """
 WITH s AS (SELECT l_orderkey, l_linenumber, l_extendedprice * (1 + l_tax) score FROM lineitem)
 , o AS (SELECT score, row_number() OVER (ORDER BY score) r, count(*) OVER () n FROM s)
