@@ -12,10 +12,11 @@ No bucket is expanded into all its pairs. Documents of one set are one node. In
 each bucket every node is first compared with one node picked at random, which
 makes a star; the links found are contracted to components. Then only buckets
 that still hold nodes of several components are searched again, for pairs across
-components, since pairs within one can add nothing to the result.
+components, since pairs within one can add nothing to the result. In a bucket of
+more than ``SMALL`` nodes these are not listed either: see ``_far_pairs``.
 
-At similarity 0.8, a pair shares no bucket with probability (1 - 0.8^5)^40, about
-1e-7; the margin of the estimate is six standard deviations.
+At similarity 0.8, a pair shares no bucket with probability (1 - 0.8^6)^48, below
+1e-6; the margin of the estimate is six standard deviations.
 """
 
 from __future__ import annotations
@@ -26,13 +27,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicksieve.llm.common import keep_table, replace_columns
 from clicksieve.llm.components import connected_components
 
-BANDS, ROWS, BITS = 40, 5, 2
+BANDS, ROWS, BITS = 48, 6, 2
+SMALL = 8  # nodes of a bucket whose pairs are listed, 28 at most
+CENTRES = 5  # nodes that stand for a component
 CHUNK = 1 << 16  # shingles hashed together
 WORD_CACHE = 200_000  # word hashes a worker remembers
 
@@ -206,11 +209,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # what a star may have missed: pairs of different components that share a bucket
     named = member.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
+    mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")) \
+        .filter("lo <> hi").select("key", "size")
     open_ = keep_table(named.join(mixed, "key"), "open")
-    x = open_.select("key", F.col("node").alias("a"), F.col("label").alias("la"))
-    y = open_.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
-    across = x.join(y, "key").filter("a < b and la <> lb").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
+    few = open_.filter(F.col("size") <= SMALL)
+    x = few.select("key", F.col("node").alias("a"), F.col("label").alias("la"))
+    y = few.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
+    near = x.join(y, "key").filter("a < b and la <> lb").select("a", "b")
+    far = _far_pairs(open_.filter(F.col("size") > SMALL), links, labels, sets, percent)
+    across = near.union(far).distinct().join(star, ["a", "b"], "left_anti")
     more = keep_table(_confirmed(plausible(across), sets, percent), "confirmed")
     if not more.isEmpty():
         labels = connected_components(links.union(more))
@@ -225,6 +232,59 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
+def _far_pairs(rows: DataFrame, links: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) across components that may be linked, from large buckets (key, node, label).
+
+    A bucket's nodes are set against a reference: the union of the sets of the
+    most linked nodes of its largest component. A node has n shingles, f of them
+    in the reference. Two nodes either share a shingle outside it, and those are
+    rare, so they are joined on it; or all they share lies inside, at most
+    min(f, f'), and that must reach the similarity. The second test needs n and f
+    alone, so it runs on distinct (component, n, f) and only what passes is
+    expanded. No pair of the two kinds is left out.
+    """
+    main = rows.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(
+        F.max(F.struct("c", "label"))["label"].alias("main"))
+    group = keep_table(rows.join(main, "key").select("main", "node", "label").distinct(), "group")
+    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
+    degree = ends.groupBy("node").agg(F.count("*").alias("degree")).join(labels, "node")
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("degree"), "node"))
+    central = degree.withColumn("rank", rank).filter(F.col("rank") <= CENTRES).select(F.col("label").alias("main"), "node")
+    mains = group.select("main").distinct()
+    alone = mains.join(central.select("main").distinct(), "main", "left_anti").select("main", F.col("main").alias("node"))
+    centres = central.join(mains, "main", "left_semi").union(alone)
+    reference = centres.join(sets, "node").groupBy("main").agg(F.collect_list("set").alias("reference"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, f, rare = [], [], []
+            for mine, parts in zip(batch.column(3), batch.column(4)):
+                own = np.frombuffer(mine.as_py(), np.int64)
+                inside = np.isin(own, np.concatenate([np.frombuffer(x, np.int64) for x in parts.as_py()]))
+                n.append(len(own))
+                f.append(int(inside.sum()))
+                rare.append(own[~inside])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n, pa.int64()), pa.array(f, pa.int64()),
+                                              pa.array(rare, pa.list_(pa.int64()))], ["main", "node", "label", "n", "f", "rare"])
+
+    placed = keep_table(group.join(sets, "node").join(reference, "main").select("main", "node", "label", "set", "reference")
+                        .mapInArrow(run, "main binary, node binary, label binary, n long, f long, rare array<long>"), "placed")
+    side = lambda df, mark, *keep: df.select(*keep, *[F.col(c).alias(f"{c}_{mark}") for c in df.columns if c not in keep])
+    shared = placed.select("main", "node", "label", F.explode("rare").alias("s"))
+    outside = side(shared, "x", "main", "s").join(side(shared, "y", "main", "s"), ["main", "s"]) \
+        .filter("node_x < node_y and label_x <> label_y").select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
+
+    kinds = placed.select("main", "label", "n", "f").distinct()
+    least = F.least("f_x", "f_y")
+    pair = side(kinds, "x", "main").join(side(kinds, "y", "main"), "main").filter(
+        (F.col("label_x") < F.col("label_y")) & (100 * least >= percent * (F.col("n_x") + F.col("n_y") - least)))
+    nodes = placed.select("main", "node", "label", "n", "f")
+    inside = pair.join(side(nodes, "x", "main"), ["main", "label_x", "n_x", "f_x"]) \
+        .join(side(nodes, "y", "main"), ["main", "label_y", "n_y", "f_y"]) \
+        .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+    return outside.union(inside)
+
+
 def _full_sets(docs: DataFrame, sketch: DataFrame, involved: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """(node, set) of the nodes that have a candidate; one document stands for its node."""
     chosen = sketch.join(involved, "node").groupBy("node").agg(F.min("id").alias("id")).select(F.col("id").alias("__of")).distinct()

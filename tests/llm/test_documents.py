@@ -12,6 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from clicksieve.llm import near_dedup
 from clicksieve.llm import queries  # noqa: F401  registers the queries
 from clicksieve.llm.components import connected_components
 from clicksieve.llm.id_store import PerfectHash, Shard, fingerprints, lookup, scan_store, write_store
@@ -98,6 +99,24 @@ def test_near_duplicates(spark, texts, width):
     assert all(r.kept == (r.id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_duplicates_in_one_large_group(spark, monkeypatch, seed):
+    """Changed copies of one text, many of them just below the similarity, with every mixed bucket searched as a large one."""
+    monkeypatch.setattr(near_dedup, "SMALL", 1)
+    rng = np.random.default_rng(seed)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for k in range(160):
+        words = list(base)
+        for at in rng.integers(0, len(words), int(rng.integers(0, 16))):
+            words[at] = f"x{rng.integers(0, 40)}"
+        if k % 9 == 0:
+            words = words[:int(rng.integers(110, 150))]
+        rows.append((k, " ".join(words)))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=2).collect()
+    assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 2)
+
+
 def test_near_duplicates_awkward(spark, awkward, nothing):
     got = near_duplicates(awkward, width=2).collect()
     assert len(got) == len(AWKWARD)
