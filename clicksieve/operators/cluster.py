@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,65 +67,93 @@ def pairwise_kl(vectors: DataFrame, group: str, vec: str = "vec", keep: Sequence
         kl(F.col(f"a_{vec}"), F.col(f"b_{vec}")).alias("kl"))
 
 
+def near_pairs(vectors: DataFrame, group: str, below: float, vec: str = "vec", smooth: float = 0.0001) -> DataFrame:
+    """The ordered pairs of groups whose KL divergence is under ``below`` nats, as (a, b, kl).
+
+    A divergence under t moves no share by more than sqrt(t / 2) (Pinsker), so
+    both groups lie in the same or neighbouring cells of that width, in every
+    component. Cells of the two widest-spread components are the join keys;
+    distant groups never meet and no pair below the threshold is missed.
+    """
+    total = F.aggregate(vec, F.lit(0.0), lambda a, x: a + x + smooth)
+    rows = vectors.select(F.col(group).alias("_g"), F.col(vec).alias("_v"), total.alias("_t")).select(
+        "_g", "_v", F.transform("_v", lambda x: (x + smooth) / F.col("_t")).alias("_s"))
+    spread = rows.select(F.posexplode("_s").alias("i", "x")).groupBy("i").agg(F.var_pop("x").alias("d"))
+    widest = [r.i for r in spread.orderBy(F.desc("d"), "i").limit(2).collect()]
+    width = float(np.sqrt(below / 2)) * (1 + 1e-9)
+    cells = [F.floor(F.get("_s", F.lit(i)) / width) for i in widest]
+    names = [f"_c{k}" for k in range(len(cells))]
+    a = rows.select(F.col("_g").alias("a"), F.col("_v").alias("_p"), *[c.alias(n) for c, n in zip(cells, names)])
+    b = rows.select(F.col("_g").alias("b"), F.col("_v").alias("_q"), *[c.alias(n) for c, n in zip(cells, names)])
+    for n in names:
+        b = b.withColumn(n, F.explode(F.array(F.col(n) - 1, F.col(n), F.col(n) + 1)))
+    met = a.join(b, names).filter(F.col("a") != F.col("b"))
+    return met.select("a", "b", kl(F.col("_p"), F.col("_q"), smooth).alias("kl")).filter(F.col("kl") < below)
+
+
 def average_link_clusters(
-    vectors: DataFrame, group: str, volume: str, threshold: float, vec: str = "vec", max_rounds: int = 200
+    vectors: DataFrame, group: str, volume: str, threshold: float, vec: str = "vec"
 ) -> DataFrame:
     """Agglomerative clusters by average linkage below a distance threshold.
 
     KL is not symmetric; the distance of a pair is the one with the larger
     group first. Each round merges all pairs that are nearest to each other,
-    which gives the same tree as merging one pair at a time. The table of
-    cluster distances is checkpointed and shrinks with every round. Returns
-    (group, tag), the tag being the smallest group of the cluster.
+    which gives the same tree as merging one pair at a time. A pair of clusters
+    is one row, read from both sides, and equal distances go by the names, so the
+    nearest of all pairs always merges: no round ends early. The tables of a round
+    are checkpointed and shrink. Returns (group, tag), the tag being the smallest
+    group of the cluster.
     """
     first = (F.col(f"a_{volume}") > F.col(f"b_{volume}")) | (
         (F.col(f"a_{volume}") == F.col(f"b_{volume}")) & (F.col("a") < F.col("b")))
-    one_way = pairwise_kl(vectors, group, vec, [volume]).filter(first).select("a", "b", "kl")
-    both = one_way.unionByName(one_way.select(F.col("b").alias("a"), F.col("a").alias("b"), "kl"))
-    dist = cut_lineage(both.select("a", "b", F.col("kl").alias("d"), F.lit(1).cast("bigint").alias("m")))
+    one_way = pairwise_kl(vectors, group, vec, [volume]).filter(first)
+    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    dist = cut_lineage(one_way.select(low, high, F.col("kl").alias("d"), F.lit(1).cast("bigint").alias("m")))
     tags = vectors.select(F.col(group), F.col(group).alias("tag"))
-    for _ in range(max_rounds):
-        mean = F.col("d") / F.col("m")
-        near = dist.groupBy("a").agg(
-            F.min(F.struct(mean.alias("v"), F.col("b").alias("b"))).alias("_n")
-        ).select("a", F.col("_n.b").alias("b"), F.col("_n.v").alias("v"))
-        back = near.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    while True:
+        key = F.named_struct(F.lit("v"), F.col("d") / F.col("m"), F.lit("a"), F.col("a"), F.lit("b"), F.col("b"))
+        near = dist.select(F.explode(F.array("a", "b")).alias("own"), key.alias("_k")).groupBy("own").agg(F.min("_k").alias("_k"))
         merges = cut_lineage(
-            near.filter(F.col("v") < threshold).join(back, ["a", "b"])
-            .filter(F.col("a") < F.col("b")).select(F.col("b").alias("old"), F.col("a").alias("new")))
+            near.filter(F.col("_k.v") < threshold).groupBy(F.col("_k.a").alias("new"), F.col("_k.b").alias("old"))
+            .agg(F.count(F.lit(1)).alias("_both")).filter(F.col("_both") == 2).select("old", "new"))
         if merges.isEmpty():
             return tags
         move = lambda df, c: df.join(merges, df[c] == merges["old"], "left").withColumn(
             c, F.coalesce("new", c)).drop("old", "new")
-        tags = move(tags, "tag")
+        tags = cut_lineage(move(tags, "tag"))
         dist = cut_lineage(
             move(move(dist, "a"), "b").filter(F.col("a") != F.col("b"))
-            .groupBy("a", "b").agg(F.sum("d").alias("d"), F.sum("m").alias("m")))
-    raise RuntimeError(f"clusters still merge after {max_rounds} rounds")
+            .groupBy(low, high).agg(F.sum("d").alias("d"), F.sum("m").alias("m")))
 
 
 def cluster_stats(
-    members: DataFrame, hist: DataFrame, group: str, tag: str, volume: str, distances: DataFrame,
-    keys: Sequence[str], key: str = "k", n: str = "n",
+    members: DataFrame, hist: DataFrame, group: str, tag: str, volume: str,
+    keys: Sequence[str], key: str = "k", n: str = "n", smooth: float = 0.0001,
 ) -> DataFrame:
     """Per cluster and key the mean and deviation, with size, volume and density.
 
-    ``members`` has (group, tag, volume), ``distances`` the pairwise (a, b, kl)
-    with the later group first. A group without a key counts 0 there.
+    ``members`` has (group, tag, volume). A group without a key counts 0 there.
+    The density is the mean KL divergence of the pairs of a cluster, the later
+    group first. It needs no pairs: in the order of the groups, a group at place
+    i adds its own sum of p ln p once for each of the i groups before it, less
+    p times the running sum of their ln q.
     """
     sizes = members.groupBy(tag).agg(F.count(F.lit(1)).alias("nodes"), F.sum(volume).alias("volume"))
     full = members.select(group, tag, F.explode(F.array(*[F.lit(k) for k in keys])).alias(key))
     cells = full.join(hist.select(group, key, n), [group, key], "left").withColumn(
         "_v", F.coalesce(F.col(n).cast("double"), F.lit(0.0)))
     per_key = cells.groupBy(tag, key).agg(F.avg("_v").alias("mean"), F.stddev_pop("_v").alias("std"))
-    side = lambda s: members.select(F.col(group).alias(s), F.col(tag).alias(f"_{s}"))
-    inner = (
-        distances.filter(F.col("a") > F.col("b")).join(side("a"), "a").join(side("b"), "b")
-        .filter(F.col("_a") == F.col("_b")).groupBy(F.col("_a").alias(tag)).agg(F.avg("kl").alias("_density")))
+    share = (F.col("_v") + smooth) / F.sum(F.col("_v") + smooth).over(Window.partitionBy(tag, group))
+    order = Window.partitionBy(tag, key).orderBy(group)
+    before = F.coalesce(F.sum(F.ln("_p")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    terms = cells.withColumn("_p", share).select(
+        tag, (F.col("_p") * (F.ln("_p") * (F.row_number().over(order) - 1) - before)).alias("_term"))
+    sums = terms.groupBy(tag).agg(F.sum("_term").alias("_sum"))
+    pairs = F.col("nodes") * (F.col("nodes") - 1) / 2
     return (
-        per_key.join(sizes, tag).join(inner, tag, "left")
+        per_key.join(sizes, tag).join(sums, tag)
         .select(tag, key, "mean", "std", "nodes", "volume",
-                F.coalesce("_density", F.lit(0.0)).alias("density")))
+                F.coalesce(F.try_divide(F.col("_sum"), pairs), F.lit(0.0)).alias("density")))
 
 
 def sort_by_volume(df: DataFrame, volume: str, limit: int, tie: Sequence[str] = ()) -> DataFrame:

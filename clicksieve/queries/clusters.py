@@ -43,6 +43,12 @@ _DIST = """, f AS (SELECT g.grp, ks.k, coalesce(n, 0) + 0.0001 n FROM (SELECT DI
 , dist AS (SELECT a.grp a, b.grp b, sum(a.p * ln(a.p / b.p)) kl FROM p a JOIN p b ON a.k = b.k AND a.grp <> b.grp GROUP BY ALL)"""
 
 
+@query("near_pairs", ctes(HIST) + _DIST + " SELECT a, b, round(kl, 6) kl FROM dist WHERE kl < 0.05")
+def near_pairs(spark, folder):
+    out = cluster.near_pairs(cluster.histogram_vectors(_histograms(spark, folder), "grp"), "grp", below=0.05)
+    return out.select("a", "b", rounded("kl"))
+
+
 @query("pairwise_kl", ctes(HIST) + _DIST + " SELECT a, b, round(kl, 6) kl FROM dist")
 def pairwise_kl(spark, folder):
     out = cluster.pairwise_kl(cluster.histogram_vectors(_histograms(spark, folder), "grp"), "grp")
@@ -72,12 +78,12 @@ SELECT v.tag, k, round(avg(n), 6) mean, round(stddev_pop(n), 6) std, any_value(n
        round(coalesce(any_value(dens), 0), 6) density
 FROM fz JOIN v USING (grp) JOIN sz ON sz.tag = v.tag LEFT JOIN dn ON dn.tag = v.tag GROUP BY v.tag, k""")
 def cluster_stats(spark, folder):
-    rows, vectors = _members(spark, folder)
+    rows = _histograms(spark, folder)
     english = rows.groupBy("grp").agg(
         F.coalesce(F.sum(F.when(F.col("k") == "en", F.col("n"))), F.lit(0)).alias("e"), F.sum("n").alias("volume"))
     members = english.select(
         "grp", "volume", F.when(F.col("e") * 2 >= F.col("volume"), "english").otherwise("mixed").alias("tag"))
-    out = cluster.cluster_stats(members, rows, "grp", "tag", "volume", cluster.pairwise_kl(vectors, "grp"), KEYS)
+    out = cluster.cluster_stats(members, rows, "grp", "tag", "volume", KEYS)
     return out.select("tag", "k", rounded("mean"), rounded("std"), "nodes", "volume", rounded("density"))
 
 
