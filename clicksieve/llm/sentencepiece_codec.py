@@ -28,7 +28,7 @@ from clicksieve.llm.common import replace_columns
 
 BLANK = "▁"  # fixed value: stands for a blank in pieces
 UNKNOWN_BELOW = 10.0  # fixed value: an uncovered character scores this much below the worst piece
-REMEMBERED = 300_000  # segments in a generation of what a worker remembers
+REMEMBERED = 250_000  # segments in a generation of what a worker remembers
 SHORT = 48  # characters of a segment worth remembering
 
 
@@ -184,6 +184,11 @@ def codec(model: str) -> Codec:
     return Codec(model)
 
 
+def _ids_array(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0] + [len(x) for x in ids], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else [], pa.int32()))
+
+
 def encode_column(text: Column, model: str) -> Column:
     """Array of ids; an empty array for a null or empty text."""
 
@@ -191,9 +196,7 @@ def encode_column(text: Column, model: str) -> Column:
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(model)
         for batch in texts:
-            ids = [own.encode(t or "") for t in batch.to_pylist()]
-            ends = np.cumsum([0] + [len(x) for x in ids], dtype=np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else [], pa.int32()))
+            yield _ids_array([own.encode(t.as_py() or "") for t in batch])
 
     return run(text)
 
@@ -212,6 +215,20 @@ def decode_column(ids: Column, model: str) -> Column:
     return run(ids)
 
 
+def round_trip_column(text: Column, model: str) -> Column:
+    """Struct (ids, decoded): a text encoded, and its ids decoded again, by one worker."""
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = codec(model)
+        for batch in texts:
+            ids = [own.encode(t.as_py() or "") for t in batch]
+            yield pa.StructArray.from_arrays(
+                [_ids_array(ids), pa.array((own.decode(x) for x in ids), pa.string())], ["ids", "decoded"])
+
+    return run(text)
+
+
 def encode_documents(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
     """Documents with ids, n_tokens and decoded added.
 
@@ -222,5 +239,7 @@ def encode_documents(docs: DataFrame, model: str, text_col: str = "text") -> Dat
     else its unknown id. Input columns named as the results are replaced. An
     empty table gives an empty table.
     """
-    out = replace_columns(docs, {"ids": encode_column(F.col(text_col), model)})
-    return replace_columns(out, {"n_tokens": F.size("ids").cast("long"), "decoded": decode_column(F.col("ids"), model)})
+    both = docs.withColumn("__coded", round_trip_column(F.col(text_col), model))
+    ids = F.col("__coded.ids")
+    return replace_columns(both, {
+        "ids": ids, "n_tokens": F.size(ids).cast("long"), "decoded": F.col("__coded.decoded")}).drop("__coded")
