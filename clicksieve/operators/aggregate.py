@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicksieve.functions.histogram import clean_key, entries, write_entries
+from clicksieve.functions.histogram import clean_key, entries, write_entries, write_shares
 from clicksieve.functions.unfold import unfold_structs
 
 _STATS = {
@@ -216,7 +216,7 @@ def value_distribution(
     df: DataFrame, dims: Sequence[str], key: Column, *, limit: int | None = None,
     bernoulli: bool = False, **options,
 ) -> DataFrame:
-    """Histogram text by falling count, total, and share of the top value.
+    """Histogram and share texts by falling count, total, and share of the top value.
 
     Without a limit the text of a group holds all its keys: for keys of many
     values (queries, addresses) give one, or use the long ``histogram``.
@@ -226,11 +226,11 @@ def value_distribution(
     if bernoulli:
         pairs = F.transform(pairs, lambda e: F.struct(e["key"].alias("key"), F.lit(1).alias("n")))
     totals = [F.sum("n").cast("double").alias("total"), (F.max("n") / F.sum("n")).alias("top_share")]
-    text = write_entries(F.col("_p")).alias("hist")
+    texts = [write_entries(F.col("_p")).alias("hist"), write_shares(F.col("_p"), F.col("total")).alias("shares")]
     if limit is None:
-        return hist.groupBy(*dims).agg(*totals, pairs.alias("_p")).select(*dims, "total", "top_share", text)
+        return hist.groupBy(*dims).agg(*totals, pairs.alias("_p")).select(*dims, "total", "top_share", *texts)
     shown = top_entries(hist, dims, limit).groupBy(*dims).agg(pairs.alias("_p"))
-    return same_keys(hist.groupBy(*dims).agg(*totals), shown.select(*dims, text), dims)
+    return same_keys(hist.groupBy(*dims).agg(*totals), shown, dims).select(*dims, "total", "top_share", *texts)
 
 
 def bin_edges(style: str, spec: str) -> list[int]:

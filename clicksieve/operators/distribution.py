@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clicksieve.functions.histogram import write_entries, write_shares
 from clicksieve.operators.aggregate import same_keys
 
 EPSILON = 1e-7
@@ -68,7 +69,8 @@ def distribution_groups(
     per group, so the standard itself is never joined. Returns per group
     ``total``, ``score`` (the smaller KL of the standards) and ``excess``, a
     map key -> max(0, (share - mean) / deviation). Groups below the limit have
-    score 0 and no excess.
+    score 0 and no excess. ``hist`` and ``shares`` are the texts of the standard
+    keys by falling count, ``excess_text`` that of the excess by falling value.
     """
     keys = sorted(standard)
     if second is not None and sorted(second) != keys:
@@ -109,10 +111,18 @@ def distribution_groups(
         chosen = F.when(kl(second) < score, excess(second)).otherwise(chosen)
         score = F.least(score, kl(second))
     enough = F.col("total") >= limit
-    return groups.select(
+    parts = F.transform(F.array(*[F.lit(k) for k in keys]), lambda k, i: F.struct(
+        (-F.get("_c", i)).alias("order"), k.alias("key"), F.get("_c", i).cast("bigint").alias("n")))
+    pairs = F.filter(F.array_sort(parts), lambda e: e["n"] > 0)
+    out = groups.select(
         *dims, "total", "top_key",
         F.when(enough, score).otherwise(F.lit(0.0)).alias("score"),
-        F.when(enough, chosen).otherwise(F.create_map().cast("map<string,double>")).alias("excess"))
+        F.when(enough, chosen).otherwise(F.create_map().cast("map<string,double>")).alias("excess"),
+        write_entries(pairs).alias("hist"), write_shares(pairs, F.col("total")).alias("shares"))
+    above = F.transform(F.filter(F.map_entries("excess"), lambda e: e["value"] > 0), lambda e: F.struct(
+        (-e["value"]).alias("order"), e["key"].alias("key")))
+    text = F.transform(F.array_sort(above), lambda e: F.format_string("%s:%.3f", e["key"], -e["order"]))
+    return out.withColumn("excess_text", F.array_join(text, "|"))
 
 
 def distribution_users(

@@ -140,6 +140,22 @@ def general_entropy(
     return same_keys(ranked, peeled.select(*dims, "rank", "entropy"), [*dims, "rank"], "inner")
 
 
+def entropy_scores(counts: DataFrame, peeled: DataFrame, dims: Sequence[str], key: str) -> DataFrame:
+    """Every key with its score: the entropy at the step that peeled it, 100 for all others."""
+    found = peeled.select(*dims, key, "entropy")
+    return same_keys(counts, found, [*dims, key]).withColumn("score", F.coalesce("entropy", F.lit(100.0))).drop("entropy")
+
+
+def peeled_text(peeled: DataFrame, dims: Sequence[str], key: str) -> DataFrame:
+    """Per group the peeled keys with their entropies, ``key:%.3f`` in the order they went.
+
+    At most 2^threshold keys are open at a step, so the list is short.
+    """
+    steps = F.array_sort(F.collect_list(F.struct("rank", F.col(key).cast("string").alias("k"), "entropy")))
+    texts = F.transform(steps, lambda e: F.format_string("%s:%.3f", e["k"], e["entropy"]))
+    return peeled.groupBy(*dims).agg(F.array_join(texts, "|").alias("peeled"))
+
+
 def action_entropy(
     chains: DataFrame, dims: Sequence[str], key: str, *, threshold: float, n: str = "n", salts: int = 16,
 ) -> tuple[DataFrame, DataFrame]:

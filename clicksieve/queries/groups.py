@@ -95,11 +95,13 @@ def weighted_histogram(spark, folder):
 @query("value_distribution", ctes(LOG) + """
 , d AS (SELECT site, srcg, CASE WHEN act IN ('view', 'click', 'purchase') THEN act ELSE 'other' END k, count(*) n FROM log GROUP BY ALL)
 SELECT site, srcg, CAST(sum(n) AS DOUBLE) total, round(max(n) / sum(n), 6) top_share,
-       string_agg(concat(k, ':', CAST(n AS VARCHAR)), '|' ORDER BY n DESC, k) hist FROM d GROUP BY site, srcg""")
+       string_agg(concat(k, ':', CAST(n AS VARCHAR)), '|' ORDER BY n DESC, k) hist,
+       string_agg(concat(k, ':', format('{:.3f}', n / t + 1e-12)), '|' ORDER BY n DESC, k) shares
+FROM (SELECT *, sum(n) OVER (PARTITION BY site, srcg) t FROM d) GROUP BY site, srcg""")
 def value_distribution(spark, folder):
     noisy = F.concat(F.lit(" "), F.col("act"), F.lit("|"))
     out = agg.value_distribution(log(spark, folder), DIMS, noisy, valid=["view", "click", "purchase"])
-    return out.select(*DIMS, "total", rounded("top_share"), "hist")
+    return out.select(*DIMS, "total", rounded("top_share"), "hist", "shares")
 
 
 @query("freq_of_freq_bins", ctes(LOG) + """

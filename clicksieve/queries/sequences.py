@@ -182,20 +182,40 @@ def peel_entropy(spark, folder):
 _SKEWED = "f AS (SELECT srcg, CAST(floor(ln(value + 1) * 2) AS INTEGER) k, count(*) n FROM log GROUP BY ALL)"
 
 
-@query("general_entropy", "WITH RECURSIVE " + ",\n".join([LOG, _SKEWED]) + """
+_WALK = "WITH RECURSIVE " + ",\n".join([LOG, _SKEWED]) + """
 , o AS (SELECT srcg, k, n, row_number() OVER (PARTITION BY srcg ORDER BY n DESC, k) r FROM f)
 , h AS (SELECT a.srcg, a.k, a.n, a.r, (SELECT sum(b.n) FROM o b WHERE b.srcg = a.srcg AND b.r >= a.r) t,
    (SELECT -sum(b.n / tt * log2(b.n / tt)) FROM o b, (SELECT sum(c.n) tt FROM o c WHERE c.srcg = a.srcg AND c.r >= a.r) WHERE b.srcg = a.srcg AND b.r >= a.r) e FROM o a)
 , walk AS (SELECT srcg, k, n, r, e FROM h WHERE r = 1 AND e < 3.4 AND t >= 20
-   UNION ALL SELECT h.srcg, h.k, h.n, h.r, h.e FROM walk JOIN h ON h.srcg = walk.srcg AND h.r = walk.r + 1 WHERE h.e < 3.4 AND h.t > 20)
+   UNION ALL SELECT h.srcg, h.k, h.n, h.r, h.e FROM walk JOIN h ON h.srcg = walk.srcg AND h.r = walk.r + 1 WHERE h.e < 3.4 AND h.t > 20)"""
+
+
+def _peeled(spark, folder):
+    rows = log(spark, folder).withColumn("k", F.floor(F.ln(F.col("value") + 1) * 2).cast("int"))
+    counts = keep_table(rows.groupBy("srcg", "k").agg(F.count(F.lit(1)).alias("n")), "counts")
+    return counts, entropy.general_entropy(counts, ["srcg"], "k", threshold=3.4, limit=20)
+
+
+@query("general_entropy", _WALK + """
 SELECT srcg, k, n, r "rank", abs(round(e, 6)) entropy FROM walk""")
 def general_entropy(spark, folder):
-    rows = log(spark, folder).withColumn("k", F.floor(F.ln(F.col("value") + 1) * 2).cast("int"))
-    counts = rows.groupBy("srcg", "k").agg(F.count(F.lit(1)).alias("n"))
-    out = entropy.general_entropy(counts, ["srcg"], "k", threshold=3.4, limit=20)
+    _, out = _peeled(spark, folder)
     return out.select("srcg", "k", "n", F.col("rank").cast("bigint").alias("rank"), rounded("entropy"))
 
 
+@query("entropy_scores", _WALK + """
+SELECT f.srcg, f.k, f.n, coalesce(abs(round(e, 6)), 100.0::DOUBLE) score FROM f LEFT JOIN walk ON walk.srcg = f.srcg AND walk.k = f.k""")
+def entropy_scores(spark, folder):
+    counts, out = _peeled(spark, folder)
+    return entropy.entropy_scores(counts, out, ["srcg"], "k").select("srcg", "k", "n", F.abs(F.round("score", 6)).alias("score"))
+
+
+@query("peeled_text", _WALK + """
+SELECT srcg, string_agg(concat(CAST(k AS VARCHAR), ':', format('{:.3f}', abs(e) + 1e-12)), '|' ORDER BY r) peeled FROM walk GROUP BY srcg""")
+def peeled_text(spark, folder):
+    return entropy.peeled_text(_peeled(spark, folder)[1], ["srcg"], "k")
+
+
 # Chains of actions by day parts: few distinct ones, so that peeling has work to do.
 _CHAINS = """cu AS (SELECT srcg, guid, t_ms // 43200000 part, string_agg(act, '->' ORDER BY t_ms, act) chain,
    count(*) c FROM log GROUP BY ALL),
@@ -311,6 +331,23 @@ def distribution_feature_override(spark, folder):
     return _distribution(spark, folder, 0, distribution.Remit(F.col("top_key") == "click", REMIT))
 
 
+def _groups_sql():
+    body = _distribution_sql(210, False)
+    return body[:body.index(", u AS (SELECT site, srcg, guid")] + """
+SELECT g.site, g.srcg, g.total, (SELECT round(any_value(score), 5) FROM e WHERE e.site = g.site AND e.srcg = g.srcg) score,
+  (SELECT string_agg(concat(k, ':', CAST(n AS VARCHAR)), '|' ORDER BY n DESC, k) FROM h WHERE h.site = g.site AND h.srcg = g.srcg) hist,
+  (SELECT string_agg(concat(k, ':', format('{:.3f}', n / g.total + 1e-12)), '|' ORDER BY n DESC, k) FROM h WHERE h.site = g.site AND h.srcg = g.srcg) shares,
+  coalesce((SELECT string_agg(concat(k, ':', format('{:.3f}', d + 1e-12)), '|' ORDER BY d DESC, k) FROM e WHERE e.site = g.site AND e.srcg = g.srcg AND d > 0), '') excess_text
+FROM g"""
+
+
+@query("distribution_groups", _groups_sql())
+def distribution_groups(spark, folder):
+    users = agg.histogram(log(spark, folder), ["site", "srcg", "guid"], F.col("act"))
+    out = distribution.distribution_groups(users, ["site", "srcg"], STANDARD, second=SECOND, limit=210)
+    return out.select("site", "srcg", "total", rounded("score", 5), "hist", "shares", "excess_text")
+
+
 @query("fit_standard", ctes(HIST) + """
 , ks(k) AS (VALUES ('de'), ('en'), ('es'), ('fr'))
 , s AS (SELECT g.grp, ks.k, coalesce(hist.n, 0) / (SELECT sum(n) FROM hist h2 WHERE h2.grp = g.grp) sh

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -15,6 +16,7 @@ def session() -> SparkSession:
         SparkSession.builder.master("local[8]").appName("clicksieve-tests")
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="clicksieve-tests-"))
         .config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC")
         .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
