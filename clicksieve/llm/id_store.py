@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 END_ID = 2
-REMEMBERED = 400_000  # encoded words a worker remembers
+REMEMBERED = 700_000  # encoded words in a generation of what a worker remembers
+ENDS = b".,!?;:*#$%&"  # no apostrophe: with letters behind it, it is a piece of its own
 SHORT = 48  # bytes of a word worth remembering
 PER_BUCKET = 2  # keys per bucket of the hash, on average
 SHARDS = "id int, name string, first long, last long, docs long, tokens long, width int"
@@ -104,39 +105,57 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
     return (_mix(keys, 5) >> np.uint64(32)).astype(np.uint32)
 
 
+class Words(dict):
+    """Packed ids of words; a word asked for the first time is encoded.
+
+    A tokenizer that ends a run of letters at punctuation gives a word and such an
+    end the ids they have apart, so both may be known already.
+    """
+
+    def __init__(self, tokenizer, dtype: np.dtype):
+        super().__init__()
+        self.tokenizer, self.dtype = tokenizer, dtype
+        self.older: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            start = word.rstrip(ENDS)
+            if start and len(start) < len(word) and start[-1:].isalnum() and b"<|" not in word:
+                ids = self[start] + self[word[len(start):]]
+            else:
+                ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, self.dtype).tobytes()
+        if len(word) <= SHORT:
+            self[word] = ids
+        return ids
+
+    def age(self) -> None:
+        """Forget what the last two generations did not meet."""
+        if len(self) > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+
+
 class WordEncoder:
     """Ids of whole texts with a tokenizer that never looks across blanks.
 
-    Pieces between ASCII blanks are encoded once and remembered; the tokenizer's
-    pattern drops white space and matches none, so joined pieces give the ids of
-    the whole text.
+    Pieces between ASCII blanks are encoded once and remembered, in lower case as
+    the tokenizer takes them. Its pattern drops white space and matches none, so
+    joined pieces give the ids of the whole text.
     """
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(tokenizer)
-        top = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.dtype = np.dtype("<u2") if top <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        raw = [(t or "").encode("utf-8", "replace") for t in texts]
-        new = sorted({w for t in raw for w in set(t.split()).difference(known)})
-        for k in range(0, len(new), 4096):
-            part = new[k:k + 4096]
-            coded = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            known.update(zip(part, (np.array(c.ids, self.dtype).tobytes() for c in coded)))
-        get = known.__getitem__
-        for t in raw:
-            yield b"".join(map(get, t.split()))
-        for w in new:
-            if len(w) > SHORT:
-                del known[w]
+        own = Tokenizer.from_file(tokenizer)
+        self.dtype = np.dtype("<u2") if own.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
+        self.words = Words(own, self.dtype)
+
+    def encode(self, text: str | None) -> bytes:
+        ids = b"".join(map(self.words.__getitem__, (text or "").encode("utf-8", "replace").lower().split()))
+        self.words.age()
+        return ids
 
 
 @lru_cache(maxsize=2)
@@ -164,15 +183,14 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_i
         keys, sizes = [], []
         out = None
         for batch in batches:
-            for start in range(0, len(batch), 2000):
-                part = batch.slice(start, 2000)
-                if out is None:
-                    store.create_dir(folder, recursive=True)
-                    out = store.open_output_stream(f"{folder}/{name}.ids")
-                for ids in own.encode(part.column(1).to_pylist()):
-                    out.write(ids + end)
-                    sizes.append(len(ids + end) // own.dtype.itemsize)
-                keys.append(part.column(0))
+            if out is None:
+                store.create_dir(folder, recursive=True)
+                out = store.open_output_stream(f"{folder}/{name}.ids")
+            for text in batch.column(1):
+                ids = own.encode(text.as_py()) + end
+                out.write(ids)
+                sizes.append(len(ids) // own.dtype.itemsize)
+            keys.append(batch.column(0))
         if out is None:
             return
         out.close()
