@@ -6,20 +6,26 @@ import pytest
 
 import __spark_entry__ as entry
 from clicksieve.operators import aggregate as agg
+from clicksieve.operators import sequence
+from clicksieve.plans import pipeline
 from clicksieve.plans.pipeline import filter_types
 from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.001"
-PYTHON = {"iforest_fit", "iforest_score"}
+PYTHON = {"iforest_fit", "iforest_score", "iforest_detect", "mahalanobis", "mahalanobis_scores", "correlation_matrix"}
+NAMES = sorted(q for q in entry.queries() if not re.match(r"op\d+_|pipeline$", q))
+ALL_PAIRS = {"pairwise_kl"}  # the distances of all groups are what it is asked for
 
 
 def plan(df, mode="formatted"):
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(entry.queries()[name](spark, FOLDER), "simple")
+    if name not in ALL_PAIRS:  # a cross join in the form of blocks that all meet all
+        assert not re.search(r"Join \[_i#\d+, _j#\d+\]", text)
     assert "CartesianProduct" not in text
     assert "NestedLoopJoin" not in text
     if name not in PYTHON:
@@ -95,3 +101,29 @@ def test_a_hot_key_is_split_at_the_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_group_reads_only_the_joins_it_names(spark):
+    """The channel frame reads no column of the user group, so the log is not joined for it."""
+    log = spark.createDataFrame([("u", "s", 1, 2.0)], "guid string, srcg string, h int, value double")
+    count = lambda name: agg.Scalar(name, "count", F.lit(1))
+    user = pipeline.Group("user", ["guid"], scalars=[count("spv")], join_back=["spv"])
+    plain = pipeline.Group("channel", ["srcg"], scalars=[count("n")], join_back=["n"])
+    asking = pipeline.Group("busy", ["srcg"], scalars=[agg.Scalar("most", "max", F.col("spv"))], uses=["spv"])
+    seen = []
+    last = pipeline.Group("hour", ["h"], scalars=[count("m")], export=lambda frame: seen.append(frame.columns))
+    out = pipeline.run(log, [user, plain, asking, last], materialize=False)
+    assert "Join" not in plan(out.frames["channel"], "simple") and "Join" not in plan(out.frames["hour"], "simple")
+    assert plan(out.frames["busy"], "simple").count("Join") == 1
+    assert plan(out.log, "simple").count("Join") == 2 and seen == [["h", "m"]]
+    assert out.frames["busy"].first().most == 1 and out.log.first().n == 1
+
+
+def test_timeline_shuffles_once(spark):
+    rows = spark.createDataFrame([("u", 1, "a")], "u string, time long, action string")
+    assert exchanges(sequence.first_actions(rows, ["u"])) == 1
+
+
+def test_mix_reads_the_log_once(spark):
+    text = plan(entry.queries()["browser_mix"](spark, FOLDER), "simple")
+    assert text.count("FileScan") == 1
