@@ -103,36 +103,41 @@ def _sketch(sets: list[np.ndarray], bands: int, rows: int, bits: int) -> tuple[n
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int,
              bands: int = BANDS, rows: int = ROWS, bits: int = BITS) -> DataFrame:
-    """(id, n, node, keys, planes) per document; node is a digest of the set, null when it is empty."""
+    """(id, text_hash, n, node, keys, planes) per document; node is a digest of the set, null when it is empty."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
 
-        def emit(ids, sets):
+        def emit(ids, hashes, sets):
             full = [i for i, s in enumerate(sets) if len(s)]
             keys, planes = _sketch([sets[i] for i in full], bands, rows, bits) if full else ((), ())
             at = {i: k for k, i in enumerate(full)}
             of = lambda values: pa.array([values[at[i]] if i in at else None for i in range(len(sets))], pa.list_(pa.int64()))
             return pa.RecordBatch.from_arrays([
-                ids, pa.array([len(s) for s in sets], pa.int64()),
+                ids, hashes, pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_name(s) if len(s) else None for s in sets], pa.binary()), of(keys), of(planes),
-            ], ["id", "n", "node", "keys", "planes"])
+            ], ["id", "text_hash", "n", "node", "keys", "planes"])
 
         for batch in batches:
-            ids, texts = batch.columns
+            ids, hashes, texts = batch.columns
             start, sets, held = 0, [], 0
             for i, text in enumerate(texts):
                 sets.append(shingler.shingles(text.as_py()))
                 held += len(sets[-1])
                 if held >= CHUNK:
-                    yield emit(ids.slice(start, len(sets)), sets)
+                    yield emit(ids.slice(start, len(sets)), hashes.slice(start, len(sets)), sets)
                     start, sets, held = i + 1, [], 0
             if sets:
-                yield emit(ids.slice(start, len(sets)), sets)
+                yield emit(ids.slice(start, len(sets)), hashes.slice(start, len(sets)), sets)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {id_type}, n long, node binary, keys array<long>, planes array<long>")
+    return docs.select(F.col(id_col).alias("id"), text_hash(text_col), F.col(text_col).alias("text")).mapInArrow(
+        run, f"id {id_type}, text_hash long, n long, node binary, keys array<long>, planes array<long>")
+
+
+def text_hash(text_col: str) -> Column:
+    """Tells rows apart that share an id; null and empty texts differ."""
+    return F.xxhash64(F.col(text_col)).alias("text_hash")
 
 
 def estimate(a: Column, b: Column, perms: int, bits: int) -> Column:
@@ -169,7 +174,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                     percent: int = 80) -> DataFrame:
-    """(id, n_shingles, component_id, kept) per row of ``docs``.
+    """(id, text_hash, n_shingles, component_id, kept) per row of ``docs``.
 
     Documents are linked when ``100 * intersection >= percent * union`` of their
     shingle sets; a component is what links reach, named by its smallest id, and
@@ -228,7 +233,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_node = named.select("node", "label").distinct().join(first, "label").select("node", "component_id")
     out = sketch.join(of_node, "node", "left")
     component = F.coalesce("component_id", "id")
-    return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), component).alias("component_id"),
+    return out.select("id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), component).alias("component_id"),
                       F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
@@ -309,5 +314,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Rows of one id and one text are one document: they stay or go together.
     """
     gone = near_duplicates(docs, id_col, text_col, width, percent).filter(~F.col("kept")).select(
-        F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+        F.col("id").alias("__gone"), F.col("text_hash").alias("__text")).distinct()
+    same = (docs[id_col] == gone["__gone"]) & (F.xxhash64(docs[text_col]) == gone["__text"])
+    return docs.join(gone, same, "left_anti")

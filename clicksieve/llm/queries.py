@@ -83,7 +83,8 @@ GROUP BY d.doc_id, n"""
 
 @query("op2_minhash_near_dedup", OP2_SQL)
 def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(documents(spark, folder), width=2, percent=80).withColumnRenamed("id", "doc_id")
+    found = near_duplicates(documents(spark, folder), width=2, percent=80)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
 OP5_SQL = r"""

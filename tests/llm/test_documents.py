@@ -126,7 +126,12 @@ def test_near_duplicates_awkward(spark, awkward, nothing):
     assert [r.component_id for r in by_id[7]] == [1] and not by_id[7][0].kept and by_id[6][0].component_id == 5
     assert [r.n_shingles for r in by_id[2] + by_id[3] + by_id[4]] == [0, 0, 0] and by_id[None][0].kept
     assert near_duplicates(nothing).count() == 0
-    assert drop_near_duplicates(awkward).columns == awkward.columns
+    kept = drop_near_duplicates(awkward)
+    assert kept.columns == awkward.columns
+    left = Counter((r.doc_id, r.text) for r in kept.select("doc_id", "text").collect())
+    assert left[(9, "x")] == left[(9, "y")] == 1 and left[AWKWARD[0][:2]] == 2 and (7, AWKWARD[0][1]) not in left
+    again = spark.createDataFrame([(1, "a b"), (9, "a b"), (9, "c d")], "doc_id long, text string")
+    assert sorted(drop_near_duplicates(again, width=2).collect()) == [(1, "a b"), (9, "c d")]
 
 
 def test_components_of_a_long_chain(spark):
