@@ -153,7 +153,10 @@ class WordEncoder:
         self.words = Words(own, self.dtype)
 
     def encode(self, text: str | None) -> bytes:
-        ids = b"".join(map(self.words.__getitem__, (text or "").encode("utf-8", "replace").lower().split()))
+        raw = (text or "").encode("utf-8", "replace")
+        # special tokens are found before lower case, so what may hold one stays as it is
+        words = raw.lower().split() if b"<|" not in raw else [w if b"<|" in w else w.lower() for w in raw.split()]
+        ids = b"".join(map(self.words.__getitem__, words))
         self.words.age()
         return ids
 

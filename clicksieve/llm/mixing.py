@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from clicksieve.llm.common import null_join, replace_columns, words_of
 
-NEWTON_STEPS = 12  # quadratic from the first steps on; 12 reach double precision
+NEWTON_STEPS = 64  # about one per unit of ln(target / words), then a few that double the digits
 BLOCK = 256  # documents ranked together
 
 

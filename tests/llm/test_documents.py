@@ -380,7 +380,9 @@ def test_store(spark, texts, awkward):
 
     model = public_tokenizers.path("word_bpe_49k.json")
     plain = Tokenizer.from_file(model)
-    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5).union(awkward.select("doc_id", "text"))
+    odd = [(900, "don't. can't, it's! ab-. 'tis, 12.5% a1. É, naïve; <|endoftext|>. A<|startoftext|> K. \x1c. <| a. a|> a世. ²."),
+           (901, "<|ENDOFTEXT|> <|endoftext|>THE <|Endoftext|>"), (902, "The the THE. thE, tHE!")]
+    docs = spark.createDataFrame([*texts, *odd], "doc_id long, text string").repartition(5).union(awkward.select("doc_id", "text"))
     path = scratch_path(spark, "store-test")
     write_store(docs, path, model)
     rows = docs.collect()
