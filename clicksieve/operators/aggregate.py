@@ -344,6 +344,29 @@ def channel_features(
     return volumes.select("*", *[ratio(a, b).alias(n) for n, (a, b) in ratios.items()])
 
 
+def channel_catalogue(
+    df: DataFrame, dims: Sequence[str], user: Column, classes: dict[str, Column], tops: dict[str, Column],
+    per_value: dict[str, Column],
+) -> DataFrame:
+    """The shares of a channel's catalogue, from one scan.
+
+    ``classes`` are conditions: the share of rows that meet them (second search,
+    suggestion, paging). ``tops`` are keys: the share of the most frequent value
+    (click position, ad-click hour, industry, query). ``per_value`` are keys: the
+    users per distinct value (users per address, per query).
+    """
+    scalars = [Scalar("_rows", "count", F.lit(1))]
+    scalars += [Scalar(f"_c_{n}", "sum", F.when(c, 1).otherwise(0)) for n, c in classes.items()]
+    keyed = [Keyed("_user", user, {"_users": "distinct"})]
+    keyed += [Keyed(n, c, {f"{n}TopRatio": "share"}) for n, c in tops.items()]
+    keyed += [Keyed(f"_v_{n}", c, {f"_v_{n}": "distinct"}) for n, c in per_value.items()]
+    out = group_features(df, dims, scalars, keyed)
+    return out.select(
+        *dims, *[F.try_divide(F.col(f"_c_{n}"), F.col("_rows")).alias(f"{n}Ratio") for n in classes],
+        *[f"{n}TopRatio" for n in tops],
+        *[F.try_divide(F.col("_users"), F.col(f"_v_{n}")).alias(f"usersPer{n}") for n in per_value])
+
+
 def user_features(
     df: DataFrame, user: str, counts: dict[str, Column], distinct: dict[str, Column],
     frequencies: dict[str, Column],

@@ -196,15 +196,35 @@ def channel_ratio_features(spark, folder):
     return out.select(*[F.col(c) if c in plain else rounded(c) for c in out.columns])
 
 
+@query("channel_catalogue", ctes(LOG) + f"""
+, top AS (SELECT site, srcg, 'q' what, CAST(q AS VARCHAR) v, count(*) n FROM log GROUP BY ALL
+  UNION ALL SELECT site, srcg, 'h', CAST({_HOUR_SQL} AS VARCHAR), count(*) FROM log WHERE act = 'click' GROUP BY ALL)
+, share AS (SELECT site, srcg, what, max(n) / sum(n) s FROM top WHERE v IS NOT NULL GROUP BY ALL)
+SELECT site, srcg, round(count(*) FILTER (act = 'signup') / count(*), 6) secondSearchRatio,
+       round(count(*) FILTER (act = 'error') / count(*), 6) suggestionRatio,
+       (SELECT round(any_value(s), 6) FROM share WHERE share.site = log.site AND share.srcg = log.srcg AND what = 'q') queryTopRatio,
+       coalesce((SELECT round(any_value(s), 6) FROM share WHERE share.site = log.site AND share.srcg = log.srcg AND what = 'h'), 0) clickHourTopRatio,
+       round(count(DISTINCT guid) / nullif(count(DISTINCT q), 0), 6) "usersPerQuery"
+FROM log GROUP BY site, srcg""")
+def channel_catalogue(spark, folder):
+    is_ = lambda act: F.col("act") == act
+    out = agg.channel_catalogue(
+        log(spark, folder), DIMS, F.col("guid"), {"secondSearch": is_("signup"), "suggestion": is_("error")},
+        {"query": F.col("q"), "clickHour": F.when(is_("click"), _hour())}, {"Query": F.col("q")})
+    return out.select(*DIMS, *[rounded(c) for c in out.columns if c not in DIMS])
+
+
 @query("user_features", ctes(LOG) + f"""
 , hq AS (SELECT guid, q, count(*) n FROM log GROUP BY ALL)
 , fq AS (SELECT guid, count(*) queryCount, CAST(max(n) AS DOUBLE) queryCountMax, CAST(min(n) AS DOUBLE) queryCountMin FROM hq GROUP BY guid)
+, hc AS (SELECT guid, srcg, count(*) n FROM log GROUP BY ALL)
+, fc AS (SELECT guid, count(*) channelCount, CAST(max(n) AS DOUBLE) channelCountMax, CAST(min(n) AS DOUBLE) channelCountMin FROM hc GROUP BY guid)
 SELECT guid, CAST(count(*) AS DOUBLE) spv, CAST(count(*) FILTER (act = 'click') AS DOUBLE) cpv, count(DISTINCT {_HOUR_SQL}) hourCount,
        count(DISTINCT CASE WHEN act = 'click' THEN q END) clickedQueryCount,
-       queryCount, queryCountMax, queryCountMin
-FROM log JOIN fq USING (guid) GROUP BY ALL""")
+       queryCount, queryCountMax, queryCountMin, channelCount, channelCountMax, channelCountMin
+FROM log JOIN fq USING (guid) JOIN fc USING (guid) GROUP BY ALL""")
 def user_features(spark, folder):
     clicked = F.when(F.col("act") == "click", F.col("q"))
     return agg.user_features(
         log(spark, folder), "guid", {"spv": F.lit(1), "cpv": F.when(F.col("act") == "click", 1).otherwise(0)},
-        {"hourCount": _hour(), "clickedQueryCount": clicked}, {"queryCount": F.col("q")})
+        {"hourCount": _hour(), "clickedQueryCount": clicked}, {"queryCount": F.col("q"), "channelCount": F.col("srcg")})
