@@ -35,7 +35,7 @@ from clicksieve.llm.components import connected_components
 
 BANDS, ROWS, BITS = 48, 6, 2
 SMALL = 8  # nodes of a bucket whose pairs are listed, 28 at most
-CENTRES = 5  # nodes that stand for a component
+CENTRES = 6  # nodes of a component, and of its buckets, in a reference
 CHUNK = 1 << 16  # shingles hashed together
 WORD_CACHE = 200_000  # word hashes a worker remembers
 
@@ -241,7 +241,8 @@ def _far_pairs(rows: DataFrame, links: DataFrame, labels: DataFrame, sets: DataF
     """Pairs (a, b) across components that may be linked, from large buckets (key, node, label).
 
     A bucket's nodes are set against a reference: the union of the sets of the
-    most linked nodes of its largest component. A node has n shingles, f of them
+    most linked nodes of its largest component and of a few nodes by hash. Any
+    reference gives all pairs; a good one few others. A node has n shingles, f of them
     in the reference. Two nodes either share a shingle outside it, and those are
     rare, so they are joined on it; or all they share lies inside, at most
     min(f, f'), and that must reach the similarity. The second test needs n and f
@@ -255,9 +256,10 @@ def _far_pairs(rows: DataFrame, links: DataFrame, labels: DataFrame, sets: DataF
     degree = ends.groupBy("node").agg(F.count("*").alias("degree")).join(labels, "node")
     rank = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("degree"), "node"))
     central = degree.withColumn("rank", rank).filter(F.col("rank") <= CENTRES).select(F.col("label").alias("main"), "node")
-    mains = group.select("main").distinct()
-    alone = mains.join(central.select("main").distinct(), "main", "left_anti").select("main", F.col("main").alias("node"))
-    centres = central.join(mains, "main", "left_semi").union(alone)
+    # what one node has lost of a common text, others still hold: some nodes of the bucket itself join in
+    turn = F.row_number().over(Window.partitionBy("main").orderBy(F.xxhash64("node"), "node"))
+    some = group.select("main", "node").withColumn("turn", turn).filter(F.col("turn") <= CENTRES).select("main", "node")
+    centres = central.join(group.select("main").distinct(), "main", "left_semi").union(some).distinct()
     reference = centres.join(sets, "node").groupBy("main").agg(F.collect_list("set").alias("reference"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
