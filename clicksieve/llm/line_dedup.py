@@ -6,6 +6,8 @@ digit or an @) replaced by a wildcard. Below a leaf the rest of the line is cut
 into ``PARTS`` parts of almost equal length. A template of the leaf fixes all
 parts, or all but one, which then stands for a field that varies: lines of a
 leaf that agree outside one part share a template, whatever the part holds.
+Where fewer than ``MIN_CONSTANT`` of the tokens are constant (rows of numbers),
+the wildcards would say nothing: such a line recurs by its unmasked text only.
 
 A template that occurs in at least ``min_docs`` documents recurs. Its lines are
 dropped from every document but the first (smallest id), so a text that many
@@ -24,6 +26,7 @@ WILDCARD = "<*>"  # fixed value
 DEPTH = 3  # leading tokens that are levels of the tree
 PARTS = 4  # parts of the rest; one of them may vary
 MIN_TOKENS = 4  # shorter lines are never dropped
+MIN_CONSTANT = 0.5  # least share of constant tokens in a masked template
 MIN_DOCS = 5
 
 
@@ -31,7 +34,8 @@ def template_keys(line: Column, depth: int = DEPTH, parts: int = PARTS) -> Colum
     """Hashes of the templates a line belongs to; none for a short line.
 
     The first is the line with its variable fields as wildcards, the others leave
-    one part open. Lines without at least two tokens a part have the first only.
+    one part open. Lines without at least two tokens a part have the first only,
+    lines of mostly variable fields the hash of their unmasked tokens.
     """
     variable = r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*"
     masked = F.when(line.rlike("[0-9@]"), F.regexp_replace(line, variable, WILDCARD)).otherwise(line)
@@ -48,7 +52,9 @@ def template_keys(line: Column, depth: int = DEPTH, parts: int = PARTS) -> Colum
             return F.array(F.xxhash64(F.lit(-1), p), *opened)
 
         none = F.array().cast("array<bigint>")
+        constant = F.size(F.array_remove(tokens, WILDCARD))
         return F.when(n < max(MIN_TOKENS, depth + 1), none).when(
+            constant < n * MIN_CONSTANT, F.array(F.xxhash64(F.lit(-2), words_of(line)))).when(
             rest < 2 * parts, F.array(F.xxhash64(F.lit(-1), n, tokens))).otherwise(bind(pieces, combine))
 
     return bind(words_of(masked), keys)

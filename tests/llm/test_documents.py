@@ -53,6 +53,14 @@ def test_lines_below_the_count_and_short_lines_stay(spark):
     assert {r.doc_id: r.text for r in out.collect()} == dict(rows)
 
 
+def test_rows_of_numbers_recur_by_their_text_only(spark):
+    rows = [(i, "\n".join([f"201{i} 1{i}.5 13.{i} 9.2", " ".join(f"{i}{k}.5" for k in range(14)), "2019 12.5 13.1 9.2",
+                           f"sum of the year {i}"])) for i in range(7)]
+    out = {r.doc_id: r for r in drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_docs=5).collect()}
+    assert out[0].text == rows[0][1]
+    assert all(out[i].text.split("\n") == rows[i][1].split("\n")[:2] for i in range(1, 7))
+
+
 def test_lines_awkward(spark, awkward, nothing):
     out = drop_recurring_lines(awkward, min_docs=2)
     assert out.count() == len(AWKWARD)
