@@ -14,8 +14,10 @@ same and a worker remembers its counts.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from clicksieve.llm.common import held_out
 
 SAMPLE_DOCS = 240  # labelled documents per language a fit may read, by least hash of their id
-SAMPLE_CHARS = 100_000  # whole texts per language are taken up to so many characters
+SAMPLE_CHARS = 100_000  # distinct words per language are learned up to so many characters
 REMEMBERED = 300_000  # words a worker remembers
 UNKNOWN = "und"  # fixed value
 
@@ -125,40 +127,72 @@ class Identifier:
         return self.model.languages[best], float(1.0 - need[best] / second)
 
 
+def leading_words(text: str | None, chars: int) -> list[tuple[str, int]]:
+    """Distinct words of a text with their counts, first ones first, up to so many characters."""
+    out = []
+    for word, n in Counter(words_of(text)).items():
+        if chars <= 0:
+            break
+        out.append((word[:chars], n))
+        chars -= len(word)
+    return out
+
+
+def learn_language(docs: list[list[tuple[str, int]]], chars: int) -> tuple[str, float]:
+    """Words to learn and the own rate, of documents as words with counts.
+
+    The documents that are learned from take turns with their words, so that
+    no long one fills the budget alone.
+    """
+    learn: set[str] = set()
+    turns = zip_longest(*[d for k, d in enumerate(docs) if k % 3 or len(docs) < 3])
+    for word, _ in (entry for turn in turns for entry in turn if entry):
+        if chars > 0 and word not in learn:
+            learn.add(word[:chars])
+            chars -= len(word)
+    text = "".join(sorted(learn))
+    automaton = SuffixAutomaton(text)
+    check = [entry for k, d in enumerate(docs) if not k % 3 or len(docs) < 3 for entry in d]
+    return text, sum(n * automaton.phrases(w) for w, n in check) / sum(n * len(w) for w, n in check)
+
+
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                   sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> LanguageModel:
     """Model of the labelled, not held-out documents.
 
-    Reads at most ``sample_docs`` documents of a language, those with the least
-    hashes of their ids, and of these whole texts up to ``sample_chars``
-    characters. Two thirds of the texts go into the automaton, the others measure
-    the language's own rate. Languages are few; the driver holds their samples.
+    Reads at most ``sample_docs`` documents with letters of a language, of any
+    length, those with the least hashes of their ids. Two thirds of them go into
+    the automaton, as distinct words of ``sample_chars`` characters together; the
+    others measure the language's own rate, each by its first distinct words up
+    to as many characters. Every label with letters is learned. A language is
+    fitted in one task; the driver holds the words to learn.
     """
-    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
+    letters = F.col(text_col).rlike(r"[\p{L}\p{Cn}]")  # Cn: letters that Java does not know yet
+    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)) & letters)
     counts = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n"))
     unit = F.pmod(F.xxhash64(F.col(id_col), F.lit(9)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+    @F.arrow_udf("array<struct<word: string, n: bigint>>")
+    def counted(texts: pa.Array) -> pa.Array:
+        return pa.array([[{"word": w, "n": n} for w, n in leading_words(t.as_py(), sample_chars)] for t in texts],
+                        pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))
+
+    once = counted.asNondeterministic()  # else the filter on words moves below the join, to all documents
+
+    def fit(group: pa.Table) -> pa.Table:
+        own = sorted(group.select(["rank", "words"]).to_pylist(), key=lambda r: r["rank"])
+        text, rate = learn_language([[(e["word"], e["n"]) for e in r["words"]] for r in own], sample_chars)
+        return pa.table({"lang": group["lang"][:1], "text": pa.array([text]), "rate": pa.array([rate])})
+
     # about twice the documents wanted pass by their hash, then the least are taken
     picked = rows.select(F.col(lang_col).alias("lang"), unit.alias("at"), F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
-        .join(F.broadcast(counts), "lang").filter(F.col("at") * F.col("n") < 2 * sample_docs + 20)
+        .join(F.broadcast(counts), "lang").filter(F.col("at") * F.col("n") < 2 * sample_docs + 20) \
+        .select("lang", "at", "id", once("text").alias("words")).filter(F.size("words") > 0)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("at", "id"))
-    chosen = picked.withColumn("rank", rank).filter(F.col("rank") <= sample_docs).filter(
-        F.length("text") <= sample_chars // 8).select("lang", "rank", "text").collect()
-    texts: dict[str, list[str]] = {}
-    held: dict[str, int] = {}
-    for row in sorted(chosen, key=lambda r: (r.lang, r.rank)):
-        if held.get(row.lang, 0) + len(row.text) <= sample_chars and words_of(row.text):
-            texts.setdefault(row.lang, []).append(row.text)
-            held[row.lang] = held.get(row.lang, 0) + len(row.text)
-    languages, words, rates = [], [], []
-    for lang, own in sorted(texts.items()):
-        learn = {w for k, t in enumerate(own) if k % 3 or len(own) < 3 for w in words_of(t)}
-        text = "".join(sorted(learn))
-        automaton = SuffixAutomaton(text)
-        check = [w for k, t in enumerate(own) if not k % 3 or len(own) < 3 for w in words_of(t)]
-        languages.append(lang)
-        words.append(text)
-        rates.append(sum(map(automaton.phrases, check)) / sum(map(len, check)))
-    return LanguageModel(tuple(languages), tuple(words), tuple(rates))
+    fitted = picked.withColumn("rank", rank).filter(F.col("rank") <= sample_docs).select("lang", "rank", "words") \
+        .groupBy("lang").applyInArrow(fit, "lang string, text string, rate double").collect()
+    fitted.sort(key=lambda r: r.lang)
+    return LanguageModel(tuple(r.lang for r in fitted), tuple(r.text for r in fitted), tuple(r.rate for r in fitted))
 
 
 _READY: dict[LanguageModel, Identifier] = {}

@@ -235,6 +235,22 @@ def test_language_awkward(spark, awkward, nothing):
     assert awkward.select(identify_language(F.col("text"), none)["lang"].alias("l")).distinct().collect()[0].l == "und"
 
 
+def test_language_of_long_documents_only(spark):
+    """Long texts and such behind many empty ones are learned from like others."""
+    words = {"aa": ["kolo", "moko", "loko", "komo"], "bb": ["sitz", "titz", "zist", "tisz"], "cc": ["brar", "arbr", "rabr", "barb"]}
+    rows = [(i, " ".join(words["aa"][(i + k) % 4] for k in range(30)), "aa") for i in range(60)]
+    rows += [(100 + i, " ".join(words["bb"][(i * k) % 4] for k in range(6000)), "bb") for i in range(6)]
+    rows += [(200 + i, None if i % 2 else "12 34", "cc") for i in range(1500)]
+    rows += [(2000 + i, " ".join(words["cc"][(i + k) % 4] for k in range(30)), "cc") for i in range(4)]
+    rows += [(3000 + i, "x" * 150_000, "dd") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_languages(docs)
+    assert model.languages == ("aa", "bb", "cc", "dd")
+    assert all(0 < len(w) <= 100_000 for w in model.words) and all(0 < r <= 1 for r in model.own_rate)
+    found = docs.select("lang", "text", identify_language(F.col("text"), model)["lang"].alias("got")).collect()
+    assert all(r.got == r.lang for r in found if re.search("[a-z]", r.text or ""))
+
+
 # mixing ---------------------------------------------------------------------------
 
 def test_mixing(spark, texts):
