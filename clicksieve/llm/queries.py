@@ -12,6 +12,7 @@ from clicksieve.llm.id_store import scan_store, write_store
 from clicksieve.llm.language_id import fit_languages, identify_language
 from clicksieve.llm.line_crf import fit_on_labels, quality_score
 from clicksieve.llm.line_dedup import MIN_DOCS, drop_recurring_lines
+from clicksieve.llm.merkle_manifest import audit
 from clicksieve.llm.mixing import mix_sources
 from clicksieve.llm.near_dedup import near_duplicates
 from clicksieve.llm.quality_rules import fit_ratio, judge, trusted_ids
@@ -177,3 +178,67 @@ SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 10"""
 @query("op9_vantage_points", OP9_SQL)
 def op9_vantage_points(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(spark.read.parquet(f"{folder}/embeddings.parquet"), F.col("vec_id") % 100 == 0, k=10, factor=1.0)
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned crc32 of a decimal number's text, bit by bit, as DuckDB SQL."""
+    step = "xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)"
+    byte = f"list_reduce([xor(c, b)] || [0::BIGINT FOR i IN range(8)], lambda x, y: {step})"
+    codes = f"[CAST(ascii(d) AS BIGINT) FOR d IN string_split({text}, '')]"
+    return f"xor(list_reduce([4294967295::BIGINT] || {codes}, lambda c, b: {byte}), 4294967295)"
+
+
+def _leaf_sql(text: str) -> str:
+    parts = [f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(octet_length(encode(CAST({c} AS VARCHAR))), ':', {c}) END"
+             for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256(concat({', '.join(parts)}))"
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE bent AS (
+  SELECT *, CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 5 = 0
+                 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END other
+  FROM documents),
+leaves AS (
+  SELECT doc_id, {_leaf_sql("text")} leaf, {_leaf_sql("other")} changed,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 tree FROM bent),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 place,
+         count(*) OVER (PARTITION BY tree) n FROM leaves),
+sized AS (SELECT *, CAST(ceil(round(log(n) / log(16), 9)) AS INT) height FROM placed),
+nodes AS (
+  SELECT 0 lvl, tree, place, leaf digest, height FROM sized
+  UNION ALL
+  SELECT lvl + 1, tree, place // 16, sha256(string_agg(digest, '' ORDER BY place)), height FROM nodes
+  WHERE lvl < height GROUP BY lvl, tree, place // 16, height),
+subroots AS (SELECT tree, digest FROM nodes WHERE lvl = height),
+tops AS (
+  SELECT 0 lvl, tree place, digest, (SELECT CAST(ceil(round(log(count(*)) / log(16), 9)) AS INT) FROM subroots) height FROM subroots
+  UNION ALL
+  SELECT lvl + 1, place // 16, sha256(string_agg(digest, '' ORDER BY place)), height FROM tops
+  WHERE lvl < height GROUP BY lvl, place // 16, height),
+root AS (SELECT digest, height FROM tops WHERE lvl = height),
+segs AS (
+  SELECT lvl, tree, place,
+         coalesce(string_agg(digest, '') OVER (PARTITION BY lvl, tree, place // 16 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') l,
+         coalesce(string_agg(digest, '') OVER (PARTITION BY lvl, tree, place // 16 ORDER BY place ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') r
+  FROM (SELECT lvl, tree, place, digest FROM nodes WHERE lvl < height
+        UNION ALL SELECT lvl, -1, place, digest FROM tops WHERE lvl < height)),
+steps AS (
+  SELECT s.tree, s.place, lvl step, l, r FROM sized s JOIN segs ON segs.tree = s.tree AND lvl < height AND segs.place = s.place // CAST(pow(16, lvl) AS BIGINT)
+  UNION ALL
+  SELECT s.tree, s.place, s.height + lvl, l, r FROM sized s JOIN segs ON segs.tree = -1 AND segs.place = s.tree // CAST(pow(16, lvl) AS BIGINT)),
+proofs AS (SELECT tree, place, sha256(string_agg(concat(l, r), '' ORDER BY step)) proof FROM steps GROUP BY tree, place),
+folds AS (
+  SELECT tree, place, 0 step, changed acc FROM sized
+  UNION ALL
+  SELECT f.tree, f.place, f.step + 1, sha256(concat(l, acc, r)) FROM folds f JOIN steps s ON s.tree = f.tree AND s.place = f.place AND s.step = f.step)
+SELECT doc_id, leaf, subroots.digest subroot, root.digest root, coalesce(proof, sha256('')) proof_sha256, acc folded_root,
+       acc = root.digest verified
+FROM sized s JOIN subroots ON subroots.tree = s.tree CROSS JOIN root LEFT JOIN proofs p ON p.tree = s.tree AND p.place = s.place
+JOIN folds f ON f.tree = s.tree AND f.place = s.place AND f.step = s.height + root.height"""
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return audit(documents(spark, folder)).drop("tampered")
