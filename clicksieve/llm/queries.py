@@ -15,6 +15,7 @@ from clicksieve.llm.line_dedup import MIN_DOCS, drop_recurring_lines
 from clicksieve.llm.merkle_manifest import audit
 from clicksieve.llm.mixing import mix_sources
 from clicksieve.llm.near_dedup import near_duplicates
+from clicksieve.llm.prefix_trie import conversation_turns, prefix_trie, share_heads
 from clicksieve.llm.quality_rules import fit_ratio, judge, trusted_ids
 from clicksieve.llm.repeated_windows import remove_repeated
 from clicksieve.llm.sentencepiece_codec import encode_documents
@@ -242,3 +243,42 @@ JOIN folds f ON f.tree = s.tree AND f.place = s.place AND f.step = s.height + ro
 @query("op11_merkle_manifest", OP11_SQL)
 def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return audit(documents(spark, folder)).drop("tampered")
+
+
+OP13_SQL = rf"""
+WITH turns AS (
+  SELECT conv_id c, coalesce(role, '') role, coalesce(text, '') txt,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) p
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, c - c % 100 base, {_crc32_sql("CAST(c AS VARCHAR)")} % 6 h, count(*) n FROM turns GROUP BY c),
+heads AS (SELECT v.*, least(v.h, coalesce(w.n, 0)) m FROM convs v LEFT JOIN convs w ON w.c = v.base),
+rebuilt AS (
+  SELECT v.c, t.p d, role, txt FROM heads v JOIN turns t ON t.c = v.base AND t.p <= v.h
+  UNION ALL
+  SELECT v.c, t.p - v.h + v.m, role, txt FROM heads v JOIN turns t ON t.c = v.c AND t.p > v.h),
+paths AS (
+  SELECT c, d, length(txt) chars,
+         string_agg(concat(length(role), ':', role, '|', md5(txt)), '#') OVER (PARTITION BY c ORDER BY d) id
+  FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM convs),
+lengths AS (SELECT c, max(d) len FROM paths GROUP BY c),
+nodes AS (
+  SELECT id, d, min(c) rep, count(*) n, any_value(chars) chars,
+         coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (d = len), '') ends
+  FROM paths JOIN lengths USING (c) GROUP BY id, d),
+links AS (SELECT nodes.id, nodes.d, p.id pid FROM nodes JOIN paths p ON p.c = rep AND p.d = nodes.d - 1),
+kids AS (SELECT pid id, count(*) k FROM links GROUP BY pid),
+totals AS (
+  SELECT p.id, sum(CASE WHEN k IS NULL THEN 1 ELSE 0 END) leaves, sum((n - 1) * w.chars) saved
+  FROM nodes w LEFT JOIN kids USING (id) JOIN paths p ON p.c = w.rep AND p.d <= w.d GROUP BY p.id)
+SELECT n.rep conv_id, n.d depth, u.rep parent_conv_id, n.n n_convs, coalesce(k, 0) n_children,
+       CAST(leaves AS BIGINT) n_leaves, CAST(saved AS BIGINT) saved_tokens, sha256(n.ends) ends_sha256
+FROM nodes n JOIN totals USING (id) LEFT JOIN kids USING (id)
+LEFT JOIN links ON links.id = n.id AND n.d > 0 LEFT JOIN nodes u ON u.id = links.pid AND u.d = n.d - 1"""
+
+
+@query("op13_prefix_trie", OP13_SQL)
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/conversations.parquet")
+    return prefix_trie(share_heads(conversation_turns(rows)))
