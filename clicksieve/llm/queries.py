@@ -10,6 +10,7 @@ import corpus_pipeline
 from clicksieve.llm.common import documents, held_out
 from clicksieve.llm.id_store import scan_store, write_store
 from clicksieve.llm.language_id import fit_languages, identify_language
+from clicksieve.llm.licence_scan import scan_licences
 from clicksieve.llm.line_crf import fit_on_labels, quality_score
 from clicksieve.llm.line_dedup import MIN_DOCS, drop_recurring_lines
 from clicksieve.llm.merkle_manifest import audit
@@ -282,3 +283,11 @@ LEFT JOIN links ON links.id = n.id AND n.d > 0 LEFT JOIN nodes u ON u.id = links
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.read.parquet(f"{folder}/conversations.parquet")
     return prefix_trie(share_heads(conversation_turns(rows)))
+
+
+@query("op12_licence_scan")
+def op12_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = documents(spark, folder).select("doc_id", scan_licences(F.col("text")).alias("f"))
+    return found.select(
+        "doc_id", "f.n_words", "f.n_base", "f.first_word", "f.last_word", F.array_join("f.base_labels", ",").alias("base_labels"),
+        F.array_join("f.labels", ",").alias("labels"), "f.score")
