@@ -63,7 +63,8 @@ def share_heads(turns: DataFrame, span: int = 100, heads: int = 6) -> DataFrame:
     """Turns (conv, depth, t1, t2, chars, length) of conversations that start with another's first turns.
 
     Conversation c takes the first h turns of c - c % span, h = crc32(c) % heads, then
-    its own turns after its first h. Each conversation adds a row of depth 0.
+    its own turns after its first h. The remainder has the sign of c, as in SQL. Each
+    conversation adds a row of depth 0.
     """
     convs = turns.groupBy("conv").agg((F.max("place") + 1).alias("n")).withColumns({
         "base": F.col("conv") - F.col("conv") % span,
