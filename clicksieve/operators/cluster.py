@@ -1,159 +1,398 @@
 """Clustering of groups by their histograms.
 
-Inputs are one row per group, after small groups were dropped. The distances
-between all groups are what these operators compute, so their number is
-quadratic in the groups (never in log rows); a limit on the groups guards it.
+Histograms stay in long form (group, key, n) or as sparse profiles, one row per
+group with its own keys. Smoothing adds the same small count to every key, so a
+share is a background value of the group plus a correction on the group's own
+keys; sums over all keys follow from both, and the number of keys has no limit.
+
+Divergences of groups are computed in cells: groups are numbered and cut into
+blocks, two blocks meet in one task, and the task hands on only what is asked:
+all pairs, the near ones, or the nearest cluster of each cluster.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicksieve.functions.unfold import unfold
 from clicksieve.operators.aggregate import same_keys
-from clicksieve.operators.distribution import complete_keys
-from clicksieve.session import cut_lineage
+from clicksieve.operators.ranks import number_rows, running
+from clicksieve.session import keep_table
 
-MAX_GROUPS = 50_000
-MAX_KEYS = 10_000
+SMOOTH = 0.0001  # fixed value
+# Groups in a block; two blocks and the matrix between them are held by a task.
+BLOCK = 1024
+
+
+# long and sparse histograms --------------------------------------------------------
+
+def key_places(hist: DataFrame, key: str = "k") -> DataFrame:
+    """(key, place) of all keys in order, from 0; whole-number keys order as numbers."""
+    keys = keep_table(hist.select(F.col(key).alias("k")).distinct(), "keys")
+    texts = F.col("k").cast("string")
+    numbers = keys.agg(F.coalesce(F.bool_and(texts.rlike("^-*[0-9]+$")), F.lit(False))).first()[0]
+    return number_rows(keys, [], [texts.cast("bigint"), F.col("k")] if numbers else ["k"])
+
+
+def histogram_places(hist: DataFrame, group: str, key: str = "k", n: str = "n") -> DataFrame:
+    """Long vectors (group, k, place, n): the entries that are not zero, with the place of their key."""
+    places = key_places(hist, key)
+    rows = hist.select(group, F.col(key).alias("k"), F.col(n).alias("n")).filter(F.col("n") != 0)
+    return same_keys(rows, places, ["k"], "inner").select(group, "k", "place", "n")
 
 
 def histogram_vectors(hist: DataFrame, group: str, key: str = "k", n: str = "n") -> DataFrame:
-    """Dense vector per group over all keys in order; whole-number keys order as numbers."""
-    found = hist.select(key).distinct().limit(MAX_KEYS + 1).collect()
-    if len(found) > MAX_KEYS:
-        raise ValueError(f"more than {MAX_KEYS} keys do not fit a dense vector")
-    names = [r[0] for r in found]
-    numbers = all(str(k).lstrip("-").isdigit() for k in names)
-    place = F.col("k").cast("bigint") if numbers else F.col("k")
-    full = complete_keys(hist.select(group, F.col(key).alias("k"), F.col(n).alias("n")), [group], names)
-    cells = F.array_sort(F.collect_list(F.struct(place.alias("k"), F.col("n").cast("double").alias("n"))))
-    return full.groupBy(group).agg(cells.alias("_c")).select(group, F.col("_c.n").alias("vec"))
-
-
-def kl(p: Column, q: Column, smooth: float = 0.0001) -> Column:
-    """KL divergence of two vectors in nats after smoothing and normalising."""
-    total = lambda v: F.aggregate(v, F.lit(0.0), lambda a, x: a + x + smooth)
-    sp, sq = total(p), total(q)
-    terms = F.zip_with(p, q, lambda a, b: (a + smooth) / sp * F.ln((a + smooth) / sp / ((b + smooth) / sq)))
-    return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
-
-
-def group_pairs(df: DataFrame, group: str, cols: Sequence[str], blocks: int = 16) -> DataFrame:
-    """Every ordered pair of different groups, as columns a_*, b_*.
-
-    Groups fall into hash blocks and each pair of blocks is one equi-join key,
-    so the pairs spread over blocks^2 tasks.
+    """Dense vector per group over all keys in order, for exports; whole-number keys order as numbers."""
+    places = keep_table(key_places(hist, key), "places")
+    size = places.count()
+    rows = same_keys(hist.select(group, F.col(key).alias("k"), F.col(n).cast("double").alias("n")), places, ["k"], "inner")
+    cells = F.map_from_entries(F.collect_list(F.struct("place", "n")))
+    steps = F.sequence(F.lit(0), F.lit(size - 1)).cast("array<bigint>")
+    vec = F.transform(steps, lambda i: F.coalesce(F.try_element_at("_c", i), F.lit(0.0)))
+    summed = rows.groupBy(group, "place").agg(F.sum("n").alias("n"))
+    return summed.groupBy(group).agg(cells.alias("_c")).select(group, vec.alias("vec"))
+
+
+def profiles(hist: DataFrame, group: str, key: str = "k", n: str = "n", smooth: float = SMOOTH) -> DataFrame:
+    """One row per group: its share of every key as a background and corrections.
+
+    A key's share is ``base``, plus ``c`` where the group has the key; its logarithm
+    is ``log_base``, plus ``e`` there. ``keys`` are places, ``c_sum`` and ``e_sum`` sums,
+    ``entropy`` the sum of p ln p over all keys, ``n_keys`` their number.
+    """
+    places = keep_table(key_places(hist, key), "places")
+    rows = same_keys(hist.select(group, F.col(key).alias("k"), F.col(n).cast("double").alias("n")), places, ["k"], "inner")
+    return _profiles(rows.select(F.col(group).alias("g"), "place", "n"), places.count(), smooth)
+
+
+def _profiles(rows: DataFrame, n_keys: int, smooth: float) -> DataFrame:
+    """Profiles of (g, place, n)."""
+    size = F.lit(float(n_keys))
+    lists = rows.groupBy("g", "place").agg(F.sum("n").alias("n")).groupBy("g").agg(
+        F.sort_array(F.collect_list(F.when(F.col("n") != 0, F.struct("place", "n")))).alias("cells"),
+        (F.sum("n") + smooth * size).alias("total"))
+    lists = lists.withColumns({"base": F.lit(smooth) / F.col("total"), "keys": F.col("cells.place")})
+    share = F.transform("cells.n", lambda x: x / F.col("total"))
+    raised = F.transform("cells.n", lambda x: F.ln((x + smooth) / smooth))
+    add = lambda values: F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+    lists = lists.withColumns({"c": share, "e": raised, "log_base": F.ln("base")})
+    own = F.zip_with("c", "e", lambda c, e: (c + F.col("base")) * (e + F.col("log_base")))
+    return lists.select(
+        "g", "keys", "c", "e", "base", "log_base", add(F.col("c")).alias("c_sum"), add(F.col("e")).alias("e_sum"),
+        (add(own) + (size - F.size("keys")) * F.col("base") * F.col("log_base")).alias("entropy"), size.alias("n_keys"))
+
+
+# cells of two blocks -----------------------------------------------------------------
+
+class Block:
+    """Profiles of a block as arrays."""
+
+    def __init__(self, table: pa.Table):
+        self.table = table
+        self.size = table.num_rows
+        for name in ("base", "log_base", "c_sum", "e_sum", "entropy", "n_keys"):
+            setattr(self, name, table.column(name).to_numpy())
+        self.keys, self.c, self.e = (self._flat(n) for n in ("keys", "c", "e"))
+        lengths = table.column("keys").combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
+        self.rows = np.repeat(np.arange(self.size), lengths)
+
+    def _flat(self, name: str) -> np.ndarray:
+        return self.table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+
+    def matrix(self, values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Rows by the given sorted keys."""
+        at = np.searchsorted(keys, self.keys)
+        here = (at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == self.keys)
+        out = np.zeros((self.size, len(keys)))
+        out[self.rows[here], at[here]] = values[here]
+        return out
+
+
+def divergence(a: Block, b: Block, chunk: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """KL(a || b) and KL(b || a) of every row of a with every row of b, both indexed [a, b]."""
+    common = np.intersect1d(a.keys, b.keys)
+    ab, ba = np.zeros((a.size, b.size)), np.zeros((a.size, b.size))
+    for k in range(0, len(common), chunk):
+        keys = common[k:k + chunk]
+        ab += a.matrix(a.c, keys) @ b.matrix(b.e, keys).T
+        ba += a.matrix(a.e, keys) @ b.matrix(b.c, keys).T
+
+    def rest(p: Block, q: Block) -> np.ndarray:
+        return (p.base[:, None] * q.e_sum + p.c_sum[:, None] * q.log_base + (p.n_keys * p.base)[:, None] * q.log_base)
+
+    ab += rest(a, b)
+    ba += rest(b, a).T
+    return a.entropy[:, None] - ab, b.entropy[None, :] - ba
+
+
+def in_cells(
+    rows: DataFrame, links: DataFrame, what: Callable[[pa.Table, pa.Table | None], Iterator[pa.Table]], schema: str,
+) -> DataFrame:
+    """``what(rows of block i, rows of block j)`` for each link (i, j), i <= j; the second is None where i = j.
+
+    ``rows`` have a column ``block``. A row goes to as many tasks as its block has links.
     """
-    if df.select(group).limit(MAX_GROUPS + 1).count() > MAX_GROUPS:
-        raise ValueError(f"pairs of more than {MAX_GROUPS} groups: raise the volume limit first")
-    own = F.pmod(F.xxhash64(group), F.lit(blocks)).cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    a = df.select(own.alias("_i"), others.alias("_j"), *[F.col(c).alias(f"a_{c}") for c in (group, *cols)])
-    b = df.select(others.alias("_i"), own.alias("_j"), *[F.col(c).alias(f"b_{c}") for c in (group, *cols)])
-    return a.join(b, ["_i", "_j"]).filter(F.col(f"a_{group}") != F.col(f"b_{group}")).drop("_i", "_j")
+    left = rows.join(links, rows["block"] == links["i"]).withColumn("side", F.lit(0))
+    right = rows.join(links.filter("i < j"), rows["block"] == F.col("j")).withColumn("side", F.lit(1))
+
+    def run(table: pa.Table) -> pa.Table:
+        side = table.column("side").to_numpy()
+        second = table.filter(pa.array(side == 1))
+        return pa.concat_tables(what(table.filter(pa.array(side == 0)), second if second.num_rows else None))
+
+    return left.unionByName(right).groupBy("i", "j").applyInArrow(run, schema)
+
+
+def _all_links(rows: DataFrame, blocks: int) -> DataFrame:
+    return rows.sparkSession.range(blocks).select(
+        F.col("id").alias("i"), F.explode(F.sequence(F.col("id"), F.lit(blocks - 1))).alias("j"))
+
+
+def _near_links(spans: DataFrame, width: float) -> DataFrame:
+    """Links (i, j) of blocks whose intervals (block, lo, hi) are at most ``width`` apart."""
+    cell = lambda c: F.floor(F.col(c) / width).cast("bigint")
+    a = spans.select(F.col("block").alias("i"), F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"),
+                     F.explode(F.sequence(cell("lo") - 1, cell("hi") + 1)).alias("cell"))
+    b = spans.select(F.col("block").alias("j"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"),
+                     F.explode(F.sequence(cell("lo"), cell("hi"))).alias("cell"))
+    met = a.join(b, "cell").filter((F.col("i") <= F.col("j")) & (F.col("b_lo") - F.col("a_hi") <= width) & (
+        F.col("a_lo") - F.col("b_hi") <= width))
+    return met.select("i", "j").distinct()
+
+
+def _pairs_of(below: float | None) -> Callable[[pa.Table, pa.Table | None], Iterator[pa.Table]]:
+    def what(first: pa.Table, second: pa.Table | None) -> Iterator[pa.Table]:
+        a = Block(first)
+        b = a if second is None else Block(second)
+        one, two = divergence(a, b)
+        for d, p, q in [(one, a, b)] if second is None else [(one, a, b), (two.T, b, a)]:
+            x, y = np.nonzero(np.isfinite(d) if below is None else d < below)
+            if second is None:
+                x, y = x[x != y], y[x != y]
+            yield pa.table({"a": p.table.column("g").take(pa.array(x)), "b": q.table.column("g").take(pa.array(y)),
+                            "kl": pa.array(d[x, y])})
+
+    return what
+
+
+def pairwise_kl(hist: DataFrame, group: str, key: str = "k", n: str = "n", smooth: float = SMOOTH) -> DataFrame:
+    """KL divergence in nats between every two groups, as (a, b, kl): all pairs are the result asked for."""
+    rows = keep_table(profiles(hist, group, key, n, smooth), "profiles")
+    rows = number_rows(rows, [], ["g"]).withColumn("block", F.floor(F.col("place") / (BLOCK // 2)))
+    kind = rows.schema["g"].dataType.simpleString()
+    links = _all_links(rows, (rows.agg(F.max("block")).first()[0] or 0) + 1)
+    return in_cells(rows, links, _pairs_of(None), f"a {kind}, b {kind}, kl double")
+
+
+def _widest(rows: DataFrame) -> int:
+    """Place of the key whose share varies most over the profiles."""
+    every = rows.agg(F.count(F.lit(1)), F.sum("base"), F.sum(F.col("base") * F.col("base"))).first()
+    cells = rows.select("base", F.explode(F.arrays_zip("keys", "c")).alias("x")).select(
+        F.col("x.keys").alias("place"), F.col("x.c").alias("c"), "base")
+    # on its own keys a share differs from the background by c, its square by c * (c + 2 base)
+    mean = (F.lit(every[1]) + F.sum("c")) / every[0]
+    square = (F.lit(every[2]) + F.sum(F.col("c") * (F.col("c") + 2 * F.col("base")))) / every[0]
+    spread = cells.groupBy("place").agg((square - mean * mean).alias("d")).orderBy(F.desc("d"), "place").first()
+    return -1 if spread is None else spread.place
+
+
+def _share(place: int) -> Column:
+    """A profile's share of one key."""
+    at = F.array_position("keys", F.lit(place).cast("bigint")).cast("int")
+    return F.col("base") + F.when(at > 0, F.get("c", at - 1)).otherwise(F.lit(0.0))
 
 
-def pairwise_kl(vectors: DataFrame, group: str, vec: str = "vec", keep: Sequence[str] = ()) -> DataFrame:
-    """KL divergence between every two groups, as (a, b, kl)."""
-    pairs = group_pairs(vectors, group, [vec, *keep])
-    return pairs.select(
-        F.col(f"a_{group}").alias("a"), F.col(f"b_{group}").alias("b"),
-        *[F.col(f"{side}_{c}") for c in keep for side in "ab"],
-        kl(F.col(f"a_{vec}"), F.col(f"b_{vec}")).alias("kl"))
+def _width(below: float) -> float:
+    """Groups, or the means of clusters, under this divergence differ by no more in any share (Pinsker)."""
+    return float(np.sqrt(max(below, 1e-12) / 2)) * (1 + 1e-9)
 
 
-def near_pairs(vectors: DataFrame, group: str, below: float, vec: str = "vec", smooth: float = 0.0001) -> DataFrame:
+def near_pairs(
+    hist: DataFrame, group: str, below: float, key: str = "k", n: str = "n", smooth: float = SMOOTH
+) -> DataFrame:
     """The ordered pairs of groups whose KL divergence is under ``below`` nats, as (a, b, kl).
 
-    A divergence under t moves no share by more than sqrt(t / 2) (Pinsker), so
-    both groups lie in the same or neighbouring cells of that width, in every
-    component. Cells of the two widest-spread components are the join keys;
-    distant groups never meet and no pair below the threshold is missed.
+    A divergence under t moves no share by more than sqrt(t / 2) (Pinsker). Groups
+    are ordered by their share of the key that varies most; only blocks whose
+    intervals are that close meet, and no pair below the threshold is missed.
     """
-    total = F.aggregate(vec, F.lit(0.0), lambda a, x: a + x + smooth)
-    rows = vectors.select(F.col(group).alias("_g"), F.col(vec).alias("_v"), total.alias("_t")).select(
-        "_g", "_v", F.transform("_v", lambda x: (x + smooth) / F.col("_t")).alias("_s"))
-    spread = rows.select(F.posexplode("_s").alias("i", "x")).groupBy("i").agg(F.var_pop("x").alias("d"))
-    widest = [r.i for r in spread.orderBy(F.desc("d"), "i").limit(2).collect()]
-    width = float(np.sqrt(below / 2)) * (1 + 1e-9)
-    cells = [F.floor(F.get("_s", F.lit(i)) / width) for i in widest]
-    names = [f"_c{k}" for k in range(len(cells))]
-    a = rows.select(F.col("_g").alias("a"), F.col("_v").alias("_p"), *[c.alias(n) for c, n in zip(cells, names)])
-    b = rows.select(F.col("_g").alias("b"), F.col("_v").alias("_q"), *[c.alias(n) for c, n in zip(cells, names)])
-    for n in names:
-        b = b.withColumn(n, F.explode(F.array(F.col(n) - 1, F.col(n), F.col(n) + 1)))
-    met = a.join(b, names).filter(F.col("a") != F.col("b"))
-    return met.select("a", "b", kl(F.col("_p"), F.col("_q"), smooth).alias("kl")).filter(F.col("kl") < below)
+    rows = keep_table(profiles(hist, group, key, n, smooth), "profiles")
+    kind = rows.schema["g"].dataType.simpleString()
+    rows = keep_table(rows.withColumn("share", _share(_widest(rows))), "shares")
+    rows = number_rows(rows, [], ["share", "g"]).withColumn("block", F.floor(F.col("place") / BLOCK))
+    spans = rows.groupBy("block").agg(F.min("share").alias("lo"), F.max("share").alias("hi"))
+    return in_cells(rows, _near_links(spans, _width(below)), _pairs_of(below), f"a {kind}, b {kind}, kl double")
 
 
-def average_link_clusters(
-    vectors: DataFrame, group: str, volume: str, threshold: float, vec: str = "vec"
-) -> DataFrame:
-    """Agglomerative clusters by average linkage below a distance threshold.
-
-    KL is not symmetric; the distance of a pair is the one with the larger
-    group first. Each round merges all pairs that are nearest to each other,
-    which gives the same tree as merging one pair at a time. A pair of clusters
-    is one row, read from both sides, and equal distances go by the names, so the
-    nearest of all pairs always merges: no round ends early. The tables of a round
-    are checkpointed and shrink. Returns (group, tag), the tag being the smallest
-    group of the cluster.
+# average linkage ------------------------------------------------------------------------
+
+def _nearest(first: pa.Table, second: pa.Table | None) -> Iterator[pa.Table]:
+    """What a cell knows of the distances between clusters.
+
+    Sums of pairs for clusters that other cells hold parts of (``own`` is null),
+    and for every other cluster the nearest one that is whole in this cell.
     """
-    first = (F.col(f"a_{volume}") > F.col(f"b_{volume}")) | (
-        (F.col(f"a_{volume}") == F.col(f"b_{volume}")) & (F.col("a") < F.col("b")))
-    one_way = pairwise_kl(vectors, group, vec, [volume]).filter(first)
-    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    dist = cut_lineage(one_way.select(low, high, F.col("kl").alias("d"), F.lit(1).cast("bigint").alias("m")))
-    tags = vectors.select(F.col(group), F.col(group).alias("tag"))
+    a = Block(first)
+    b = a if second is None else Block(second)
+    one, two = divergence(a, b)
+    before = a.table.column("rank").to_numpy()[:, None] < b.table.column("rank").to_numpy()[None, :]
+    pairs = np.where(before, one, two)
+    (tags_a, at_a, n_a, whole_a), (tags_b, at_b, n_b, whole_b) = map(_clusters, (a.table, b.table))
+    sums = np.zeros((len(tags_a), b.size))
+    np.add.at(sums, at_a, pairs)
+    sums = np.add.reduceat(sums[:, np.argsort(at_b, kind="stable")], np.searchsorted(np.sort(at_b), np.arange(len(tags_b))), axis=1)
+    same = tags_a[:, None] == tags_b[None, :]
+    x, y = np.nonzero(~same & ~(whole_a[:, None] & whole_b[None, :]))
+    if second is None:  # each pair once
+        x, y = x[x < y], y[x < y]
+    parts = [(None, tags_a[i], tags_b[j], sums[i, j]) for i, j in zip(x, y)]
+    means = sums / (n_a[:, None] * n_b[None, :])
+    means[same | ~(whole_a[:, None] & whole_b[None, :])] = np.inf
+    found = []
+    for d, own, other in [(means, tags_a, tags_b)] if second is None else [(means, tags_a, tags_b), (means.T, tags_b, tags_a)]:
+        if not d.size:
+            continue
+        low = d.min(axis=1)
+        for i in np.nonzero(np.isfinite(low))[0]:
+            pair = min((min(own[i], other[j]), max(own[i], other[j])) for j in np.nonzero(d[i] == low[i])[0])
+            found.append((own[i], *pair, low[i]))
+    names = ("own", "a", "b", "v")
+    cols = list(zip(*parts)) if parts else [[], [], [], []]
+    yield pa.table({n: pa.array(list(c), t) for n, c, t in zip(names, cols, (pa.string(),) * 3 + (pa.float64(),))})
+    cols = list(zip(*found)) if found else [[], [], [], []]
+    yield pa.table({n: pa.array(list(c), t) for n, c, t in zip(names, cols, (pa.string(),) * 3 + (pa.float64(),))})
+
+
+def _clusters(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tags of a block, the tag of each row, and of each tag its size and whether the block holds all of it."""
+    tags, first, at = np.unique(np.array(table.column("tag").to_pylist(), dtype=object), return_index=True, return_inverse=True)
+    column = lambda name: table.column(name).to_numpy(zero_copy_only=False)[first]
+    return tags, at, column("members"), column("whole")
+
+
+def link_clusters(rows: DataFrame, threshold: float) -> DataFrame:
+    """Clusters (g, tag) of written profiles with their ``volume``, see ``average_link_clusters``."""
+    # a divergence goes from the larger group to the smaller one
+    ranked = keep_table(number_rows(rows, [], [F.desc("volume"), "g"], "rank"), "ranked")
+    ranked = keep_table(ranked.withColumn("share", _share(_widest(ranked))), "ranked-shares")
+    tags = ranked.select("g", F.col("g").alias("tag"))
     while True:
-        key = F.named_struct(F.lit("v"), F.col("d") / F.col("m"), F.lit("a"), F.col("a"), F.lit("b"), F.col("b"))
-        near = dist.select(F.explode(F.array("a", "b")).alias("own"), key.alias("_k")).groupBy("own").agg(F.min("_k").alias("_k"))
-        merges = cut_lineage(
-            near.filter(F.col("_k.v") < threshold).groupBy(F.col("_k.a").alias("new"), F.col("_k.b").alias("old"))
-            .agg(F.count(F.lit(1)).alias("_both")).filter(F.col("_both") == 2).select("old", "new"))
+        sizes = same_keys(ranked.select("g", "share"), tags, ["g"], "inner").groupBy("tag").agg(
+            F.count(F.lit(1)).alias("members"), F.avg("share").alias("centre"))
+        placed = keep_table(same_keys(tags, sizes, ["tag"], "inner"), "sized")
+        placed = number_rows(placed, [], ["centre", "tag", "g"])
+        starts = placed.groupBy("tag").agg(F.min("place").alias("start"))
+        # a cluster of up to half a block stays in one block, a larger one is cut by place
+        whole = F.col("members") <= BLOCK // 2
+        block = F.floor(F.when(whole, F.col("start")).otherwise(F.col("place")) / BLOCK)
+        blocks = same_keys(placed, starts, ["tag"], "inner").select(
+            "g", "tag", "members", "centre", whole.alias("whole"), block.alias("block"))
+        blocked = keep_table(same_keys(ranked, blocks, ["g"], "inner"), "blocked")
+        spans = blocked.groupBy("block").agg(F.min("centre").alias("lo"), F.max("centre").alias("hi"))
+        cells = in_cells(blocked, _near_links(spans, _width(threshold)), _nearest, "own string, a string, b string, v double")
+        cells = keep_table(cells, "nearest")
+        n = sizes.select("tag", "members")
+        low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+        sums = cells.filter(F.col("own").isNull()).groupBy(low, high).agg(F.sum("v").alias("v"))
+        for side in "ab":
+            sums = sums.join(n.withColumnsRenamed({"tag": side, "members": f"n_{side}"}), side)
+        split = sums.withColumn("v", F.col("v") / F.col("n_a") / F.col("n_b")).select(
+            F.explode(F.array("a", "b")).alias("own"), "a", "b", "v")
+        near = cells.filter(F.col("own").isNotNull()).unionByName(split).groupBy("own").agg(F.min(F.struct("v", "a", "b")).alias("k"))
+        merges = keep_table(
+            near.filter(F.col("k.v") < threshold).groupBy(F.col("k.a").alias("new"), F.col("k.b").alias("old"))
+            .agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") == 2).select("old", "new"), "merges")
         if merges.isEmpty():
             return tags
-        move = lambda df, c: df.join(merges, df[c] == merges["old"], "left").withColumn(
-            c, F.coalesce("new", c)).drop("old", "new")
-        tags = cut_lineage(move(tags, "tag"))
-        dist = cut_lineage(
-            move(move(dist, "a"), "b").filter(F.col("a") != F.col("b"))
-            .groupBy(low, high).agg(F.sum("d").alias("d"), F.sum("m").alias("m")))
+        tags = keep_table(tags.join(merges, tags["tag"] == merges["old"], "left").select(
+            "g", F.coalesce("new", "tag").alias("tag")), "tags")
+
+
+def average_link_clusters(
+    vectors: DataFrame, group: str, volume: str, threshold: float, vec: str = "vec", smooth: float = SMOOTH
+) -> DataFrame:
+    """Agglomerative clusters by average linkage below a distance threshold, as (group, tag).
+
+    The distance of two groups is the divergence from the one with the larger
+    volume (equal volumes: the smaller name) to the other. That direction belongs
+    to the pair, so sums per cluster do not give a cluster's distances; each round
+    computes the divergences again, in cells of two blocks, and a cell adds them up
+    by cluster: only the nearest cluster of each one leaves it, and for clusters of
+    more than half a block their part of the sums. Blocks of clusters whose mean
+    shares are too far apart for the threshold do not meet. Each round merges all
+    clusters that are nearest to each other, which gives the same tree as merging
+    one pair at a time; equal distances go by the names. The tag is the smallest
+    group of the cluster. Names of groups are texts.
+    """
+    rows = vectors.select(F.col(group).alias("g"), F.posexplode_outer(vec).alias("place", "n"))
+    size = vectors.agg(F.coalesce(F.max(F.size(vec)), F.lit(0))).first()[0]
+    entries = rows.select("g", F.col("place").cast("bigint").alias("place"), F.col("n").cast("double").alias("n"))
+    return _linked(_profiles(entries, size, smooth), vectors, group, volume, threshold)
+
+
+def average_link_histograms(
+    hist: DataFrame, sizes: DataFrame, group: str, volume: str, threshold: float, key: str = "k", n: str = "n",
+    smooth: float = SMOOTH,
+) -> DataFrame:
+    """``average_link_clusters`` of histograms in long form, with ``sizes`` (group, volume)."""
+    return _linked(profiles(hist, group, key, n, smooth), sizes, group, volume, threshold)
+
+
+def _linked(rows: DataFrame, sizes: DataFrame, group: str, volume: str, threshold: float) -> DataFrame:
+    volumes = sizes.select(F.col(group).alias("g"), F.col(volume).alias("volume"))
+    tags = link_clusters(keep_table(same_keys(rows, volumes, ["g"], "inner"), "profiles"), threshold)
+    return tags.withColumnRenamed("g", group)
 
 
 def cluster_stats(
     members: DataFrame, hist: DataFrame, group: str, tag: str, volume: str,
-    keys: Sequence[str], key: str = "k", n: str = "n", smooth: float = 0.0001,
+    keys: Sequence[str] = (), key: str = "k", n: str = "n", smooth: float = SMOOTH,
 ) -> DataFrame:
-    """Per cluster and key the mean and deviation, with size, volume and density.
-
-    ``members`` has (group, tag, volume). A group without a key counts 0 there.
-    The density is the mean KL divergence of the pairs of a cluster, the later
-    group first. It needs no pairs: in the order of the groups, a group at place
-    i adds its own sum of p ln p once for each of the i groups before it, less
-    p times the running sum of their ln q.
+    """Per cluster and key of ``hist`` the mean and deviation, with size, volume and density.
+
+    ``members`` has (group, tag, volume). A group without a key counts 0 there, which
+    the sums over the groups that have it already tell. The density is the mean KL
+    divergence of the pairs of a cluster, the later group first. It needs no pairs:
+    group i adds its sum of p ln p for each of the groups before it, less its shares
+    times the running sums of their ln q, which are a background sum of the cluster
+    and corrections by key. Running sums go over blocks of groups, so neither a
+    cluster nor a key is held by one task. A key that no group of a cluster has
+    gets a row of zeros if it is one of ``keys``, else none.
     """
-    sizes = members.groupBy(tag).agg(F.count(F.lit(1)).alias("nodes"), F.sum(volume).alias("volume"))
-    full = members.select(group, tag, F.explode(F.array(*[F.lit(k) for k in keys])).alias(key))
-    cells = full.join(hist.select(group, key, n), [group, key], "left").withColumn(
-        "_v", F.coalesce(F.col(n).cast("double"), F.lit(0.0)))
-    per_key = cells.groupBy(tag, key).agg(F.avg("_v").alias("mean"), F.stddev_pop("_v").alias("std"))
-    share = (F.col("_v") + smooth) / F.sum(F.col("_v") + smooth).over(Window.partitionBy(tag, group))
-    order = Window.partitionBy(tag, key).orderBy(group)
-    before = F.coalesce(F.sum(F.ln("_p")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    terms = cells.withColumn("_p", share).select(
-        tag, (F.col("_p") * (F.ln("_p") * (F.row_number().over(order) - 1) - before)).alias("_term"))
-    sums = terms.groupBy(tag).agg(F.sum("_term").alias("_sum"))
+    rows = profiles(hist, group, key, n, smooth)
+    named = members.select(F.col(group).alias("g"), F.col(tag).alias("tag"), F.col(volume).alias("volume"))
+    placed = number_rows(keep_table(same_keys(rows, named, ["g"], "inner"), "members"), ["tag"], ["g"])
+    placed = keep_table(placed, "placed-members")
+    sizes = placed.groupBy("tag").agg(F.count(F.lit(1)).alias("nodes"), F.sum("volume").alias("volume"))
+    scalars = running(placed.drop("keys", "c", "e"), ["tag"], "place", {
+        "logs": (F.sum, F.col("log_base")), "raised": (F.sum, F.col("e_sum"))})
+    own = F.col("entropy") * F.col("place") - F.col("logs") * (F.col("n_keys") * F.col("base") + F.col("c_sum")) \
+        - F.col("base") * F.col("raised")
+    back = scalars.groupBy("tag").agg(F.sum(F.coalesce(own, F.lit(0.0))).alias("_sum"))
+    cells = placed.select("tag", "place", F.explode(F.arrays_zip("keys", "c", "e")).alias("x")).select(
+        "tag", "place", F.col("x.keys").alias("at"), F.col("x.c").alias("c"), F.col("x.e").alias("e"))
+    crossed = running(cells, ["tag", "at"], "place", {"before": (F.sum, F.col("e"))})
+    common = crossed.groupBy("tag").agg(F.sum(F.coalesce(F.col("c") * F.col("before"), F.lit(0.0))).alias("_common"))
+    counted = same_keys(hist.select(F.col(group).alias("g"), F.col(key).alias("k"), F.col(n).cast("double").alias("v")),
+                        named.select("g", "tag"), ["g"], "inner").filter(F.col("v") != 0)
+    per_key = counted.groupBy("tag", "k").agg(
+        F.count(F.lit(1)).alias("_m"), F.avg("v").alias("_mean"), F.var_pop("v").alias("_var"))
+    if keys:
+        every = sizes.select("tag", F.explode(F.array(*[F.lit(k) for k in keys])).alias("k"))
+        per_key = same_keys(every, per_key, ["tag", "k"]).fillna(0, ["_m", "_mean", "_var"]).unionByName(
+            same_keys(per_key, every, ["tag", "k"], "left_anti"))
+    joined = same_keys(same_keys(same_keys(per_key, sizes, ["tag"]), back, ["tag"]), common, ["tag"])
+    part = F.col("_m") / F.col("nodes")  # of the groups that have the key; the others are zeros
+    deviation = F.sqrt(part * F.col("_var") + part * (1 - part) * F.col("_mean") * F.col("_mean"))
     pairs = F.col("nodes") * (F.col("nodes") - 1) / 2
-    return (
-        per_key.join(sizes, tag).join(sums, tag)
-        .select(tag, key, "mean", "std", "nodes", "volume",
-                F.coalesce(F.try_divide(F.col("_sum"), pairs), F.lit(0.0)).alias("density")))
+    density = F.coalesce(F.try_divide(F.col("_sum") - F.coalesce("_common", F.lit(0.0)), pairs), F.lit(0.0))
+    return joined.select(
+        F.col("tag").alias(tag), F.col("k").alias(key), (part * F.col("_mean")).alias("mean"), deviation.alias("std"),
+        "nodes", "volume", density.alias("density"))
 
 
 def sort_by_volume(df: DataFrame, volume: str, limit: int, tie: Sequence[str] = ()) -> DataFrame:
@@ -195,24 +434,57 @@ def keep_one_per_page(
 
     Channels go by falling volume; a run lasts while the volume differs by
     less than ``near`` from the run's first, relative to their sum. The last
-    channel of a run stays, and every channel of the unknown site. Channels
-    with the same volume are always in one run, so only the distinct volumes
-    of a site are walked: at most the square root of twice its total.
+    channel of a run stays, and every channel of the unknown site.
+
+    Channels with the same volume are always in one run, so distinct volumes are
+    numbered by site. Where a run that starts at a volume would end is the same
+    for every volume, an as-of search by running minima; the starts that the
+    walk from the largest volume meets are found by doubling the jumps. No task
+    holds a site.
     """
     known = df.filter(F.col(site) != unknown)
-    steps = known.groupBy(site, volume).agg(F.max(channel).alias("_last"))
-    walk = F.reverse(F.array_sort(F.collect_list(F.struct(F.col(volume).cast("double").alias("v"), "_last"))))
-    empty = F.array().cast("array<string>")
-    start = F.struct(F.lit(0.0).alias("anchor"), F.lit(None).cast("string").alias("last"), empty.alias("kept"))
-
-    def step(acc: Column, e: Column) -> Column:
-        same = F.abs((e["v"] - acc["anchor"]) / (e["v"] + acc["anchor"])) < near
-        closed = F.when(acc["last"].isNull(), acc["kept"]).otherwise(F.concat(acc["kept"], F.array(acc["last"])))
-        return F.struct(
-            F.when(same, acc["anchor"]).otherwise(e["v"]).alias("anchor"),
-            e["_last"].cast("string").alias("last"),
-            F.when(same, acc["kept"]).otherwise(closed).alias("kept"))
-
-    kept = unfold(steps.groupBy(site).agg(walk.alias("_w")), [site], F.aggregate(
-        F.col("_w"), start, step, lambda acc: F.concat(acc["kept"], F.array(acc["last"]))), channel)
+    steps = known.groupBy(F.col(site).alias("s"), F.col(volume).cast("double").alias("v")).agg(F.max(channel).alias("last"))
+    volumes = keep_table(number_rows(keep_table(steps, "volumes"), ["s"], [F.desc("v")]), "numbered-volumes")
+    jumps = keep_table(_run_ends(volumes, near), "jumps")
+    met = starts = jumps.filter(F.col("place") == 0).select("s", "place")
+    leaps = jumps.select("s", "place", "next")
+    while True:  # starts within 1, 2, 4, ... runs of the first
+        ahead = keep_table(_at(met, leaps).filter(F.col("next").isNotNull()).select("s", F.col("next").alias("place")), "met")
+        if ahead.isEmpty():
+            break
+        met = keep_table(met.unionByName(ahead).distinct(), "starts")
+        further = leaps.select(F.col("s").alias("_s"), F.col("place").alias("_p"), F.col("next").alias("_n"))
+        leaps = keep_table(leaps.join(further, (leaps["s"] == further["_s"]) & (leaps["next"] == further["_p"])).select(
+            "s", "place", F.col("_n").alias("next")).filter(F.col("next").isNotNull()), "leaps")
+    counts = volumes.groupBy("s").agg(F.max("place").alias("end"))
+    ends = same_keys(_at(met, jumps), counts, ["s"], "inner").select(
+        "s", F.coalesce(F.col("next") - 1, F.col("end")).alias("place"))
+    kept = _at(ends, volumes).select(F.col("s").alias(site), F.col("last").alias(channel))
     return same_keys(known, kept, [site, channel], "left_semi").unionByName(df.filter(F.col(site) == unknown))
+
+
+def _at(places: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows (s, place, ...) at the given places."""
+    return same_keys(places, rows, ["s", "place"], "inner")
+
+
+def _run_ends(volumes: DataFrame, near: float) -> DataFrame:
+    """(s, place, next): the place where the next run starts, if one starts at ``place``; null if none does.
+
+    The largest volume up to v (1 - near) / (1 + near) starts it. The bound is taken a
+    trifle wider, and the volume found then tested as it stands: the next one starts
+    the run if it is still near.
+    """
+    bound = F.col("v") * ((1 - near) / (1 + near) * (1 + 1e-9))
+    asked = volumes.select("s", bound.alias("x"), F.lit(1).alias("asks"), "place", "v")
+    given = volumes.select("s", F.col("v").alias("x"), F.lit(0).alias("asks"), "place", "v")
+    line = number_rows(keep_table(asked.unionByName(given), "line"), ["s"], ["x", "asks", "place"], "at")
+    # going up, the latest volume passed is the one with the smallest place
+    passed = running(line, ["s"], "at", {
+        "found": (F.min, F.when(F.col("asks") == 0, F.struct(F.col("place").alias("p"), F.col("v").alias("u"))))})
+    u = F.col("found.u")
+    still = F.abs((u - F.col("v")) / (u + F.col("v"))) < near
+    step = F.col("found.p") + F.when(still, 1).otherwise(0)
+    tops = volumes.groupBy("s").agg(F.max("place").alias("end"))
+    found = passed.filter(F.col("asks") == 1).select("s", "place", step.alias("step"))
+    return same_keys(found, tops, ["s"], "inner").select("s", "place", F.when(F.col("step") <= F.col("end"), F.col("step")).alias("next"))

@@ -38,3 +38,35 @@ def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[str | Colum
     on = [rows["__part"] == shifts["__p"], *[rows[g].eqNullSafe(shifts[f"__g{i}"]) for i, g in enumerate(group)]]
     return rows.join(shifts, reduce(lambda a, b: a & b, on)).select(
         *names[:-1], (F.col("__at") + F.col("__shift")).alias(name))
+
+
+def running(
+    df: DataFrame, group: Sequence[str], place: str, values: dict[str, tuple], block: int = 4096,
+) -> DataFrame:
+    """``df`` with running values over the rows before each row of its group.
+
+    ``values`` maps an output column to (aggregate, column): an aggregate that
+    merges, as ``F.sum``, ``F.min`` or ``F.bit_xor``. Rows are cut into blocks of
+    places; a window runs inside a block, another one over the blocks' totals, so
+    no task holds a group. The first row of a group gets null.
+    """
+    names = df.columns
+    rows = df.withColumn("__b", F.floor(F.col(place) / block))
+    inside = Window.partitionBy(*group, "__b").orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(*group, "__b").agg(*[f(c).alias(f"__{n}") for n, (f, c) in values.items()])
+    keys = [F.col(g).alias(f"__g{i}") for i, g in enumerate(group)]
+    before = totals.select(
+        *keys, F.col("__b").alias("__c"), *[f(F.col(f"__{n}")).over(across).alias(f"__{n}") for n, (f, _) in values.items()]
+    ).filter(F.col("__c") > 0)
+    rows = rows.select(*names, "__b", *[f(c).over(inside).alias(n) for n, (f, c) in values.items()])
+    on = [rows["__b"] == before["__c"], *[rows[g].eqNullSafe(before[f"__g{i}"]) for i, g in enumerate(group)]]
+    joined = rows.join(before, reduce(lambda a, b: a & b, on), "left")
+    return joined.select(*names, *[_merged(f, F.col(f"__{n}"), F.col(n)).alias(n) for n, (f, _) in values.items()])
+
+
+def _merged(aggregate, before: Column, here: Column) -> Column:
+    """An aggregate's value over two parts, either of which may be null."""
+    both = {F.sum: lambda: before + here, F.min: lambda: F.least(before, here), F.max: lambda: F.greatest(before, here),
+            F.bit_xor: lambda: before.bitwiseXOR(here)}[aggregate]()
+    return F.when(before.isNull(), here).when(here.isNull(), before).otherwise(both)

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from clicksieve.operators import aggregate as agg
 from clicksieve.operators import cluster
 from clicksieve.queries.base import CHECKS, HIST, checks, ctes, hist, query, rounded
 from clicksieve.session import cut_lineage
@@ -37,6 +36,13 @@ def histogram_vectors(spark, folder):
     return out.select("grp", F.array_join(F.col("vec").cast("array<bigint>").cast("array<string>"), ",").alias("vec"))
 
 
+@query("histogram_places", ctes(HIST) + """
+, ks AS (SELECT k, row_number() OVER (ORDER BY k) - 1 place FROM (SELECT DISTINCT k FROM hist))
+SELECT grp, k, place, n FROM hist JOIN ks USING (k)""")
+def histogram_places(spark, folder):
+    return cluster.histogram_places(_histograms(spark, folder), "grp")
+
+
 _DIST = """, f AS (SELECT g.grp, ks.k, coalesce(n, 0) + 0.0001 n FROM (SELECT DISTINCT grp FROM hist) g CROSS JOIN (SELECT DISTINCT k FROM hist) ks
    LEFT JOIN hist ON hist.grp = g.grp AND hist.k = ks.k)
 , p AS (SELECT grp, k, CAST(n AS DOUBLE) / sum(CAST(n AS DOUBLE)) OVER (PARTITION BY grp) p FROM f)
@@ -45,27 +51,41 @@ _DIST = """, f AS (SELECT g.grp, ks.k, coalesce(n, 0) + 0.0001 n FROM (SELECT DI
 
 @query("near_pairs", ctes(HIST) + _DIST + " SELECT a, b, round(kl, 6) kl FROM dist WHERE kl < 0.05")
 def near_pairs(spark, folder):
-    out = cluster.near_pairs(cluster.histogram_vectors(_histograms(spark, folder), "grp"), "grp", below=0.05)
+    out = cluster.near_pairs(_histograms(spark, folder), "grp", below=0.05)
     return out.select("a", "b", rounded("kl"))
 
 
 @query("pairwise_kl", ctes(HIST) + _DIST + " SELECT a, b, round(kl, 6) kl FROM dist")
 def pairwise_kl(spark, folder):
-    out = cluster.pairwise_kl(cluster.histogram_vectors(_histograms(spark, folder), "grp"), "grp")
+    out = cluster.pairwise_kl(_histograms(spark, folder), "grp")
     return out.select("a", "b", rounded("kl"))
 
 
-def _members(spark, folder):
+_LINK = """
+, v AS (SELECT grp, sum(n) volume FROM hist GROUP BY grp)
+, one AS (SELECT dist.a, dist.b, kl FROM dist JOIN v x ON x.grp = a JOIN v y ON y.grp = b
+          WHERE x.volume > y.volume OR (x.volume = y.volume AND a < b))
+, rounds AS (
+  SELECT 0 step, grp, grp tag FROM v
+  UNION ALL
+  SELECT step + 1, grp, coalesce(new, tag) FROM (
+    WITH means AS (
+      SELECT least(x.tag, y.tag) lo, greatest(x.tag, y.tag) hi, avg(kl) d
+      FROM one JOIN rounds x ON x.grp = one.a JOIN rounds y ON y.grp = one.b WHERE x.tag <> y.tag GROUP BY ALL)
+    , nearest AS (
+      SELECT own, arg_min(struct_pack(lo := lo, hi := hi), struct_pack(d := d, lo := lo, hi := hi)) p, min(d) d FROM (
+        SELECT lo own, lo, hi, d FROM means UNION ALL SELECT hi, lo, hi, d FROM means) GROUP BY own)
+    , merges AS (SELECT p.lo AS new, p.hi AS old FROM nearest WHERE d < 0.02 GROUP BY p HAVING count(*) = 2)
+    SELECT r.step, r.grp, r.tag, m.new FROM rounds r LEFT JOIN merges m ON m.old = r.tag
+    WHERE (SELECT count(*) FROM merges) > 0))
+SELECT grp, tag FROM rounds WHERE step = (SELECT max(step) FROM rounds)"""
+
+
+@query("average_link_clusters", ctes(HIST).replace("WITH", "WITH RECURSIVE", 1) + _DIST + _LINK)
+def average_link_clusters(spark, folder):
     rows = _histograms(spark, folder)
     sizes = rows.groupBy("grp").agg(F.sum("n").alias("volume"))
-    vectors = agg.same_keys(cluster.histogram_vectors(rows, "grp"), sizes, ["grp"])
-    return rows, vectors
-
-
-@query("average_link_clusters")
-def average_link_clusters(spark, folder):
-    _, vectors = _members(spark, folder)
-    return cluster.average_link_clusters(vectors, "grp", "volume", 0.02)
+    return cluster.average_link_histograms(rows, sizes, "grp", "volume", 0.02)
 
 
 @query("cluster_stats", ctes(HIST) + _DIST + """
