@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from clicksieve.functions.detail import is_digital
 from clicksieve.functions.unfold import bind, unfold_structs
 from clicksieve.operators.aggregate import same_keys
+from clicksieve.operators.ranks import number_rows, running
+from clicksieve.session import keep_table
 
 EPSILON = 1e-7
 
@@ -65,15 +67,26 @@ def timeline_events(
     return unfold_structs(rows, dims, F.concat(own, click_time, ad_time))
 
 
+def timeline_rows(events: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """The distinct (time, action) events of each group, numbered in time order from 0.
+
+    Long form (dims, time, action, place): a group's events are dealt by ranges of
+    time and numbered by running sums, so no task holds a user.
+    """
+    distinct = events.select(*dims, "time", "action").distinct()
+    return number_rows(keep_table(distinct, "events"), dims, ["time", "action"])
+
+
 def action_timeline(
     df: DataFrame, dims: Sequence[str], action: Column, time: Column,
     clicks: Column, ad_clicks: Column, *, second_time: Column | None = None, row_type: str = "tp",
     limit: int | None = None,
 ) -> DataFrame:
-    """All actions of each group in time order, as arrays of actions and times.
+    """The first ``limit`` actions of each group in time order, as arrays of actions and times.
 
-    Equal (time, action) pairs count once. ``limit`` keeps the first so many and
-    is for exports that want lists of a bounded length; models read the events.
+    Equal (time, action) pairs count once. For exports that want lists of a bounded
+    length; without a limit a list has all actions of its group and stands in one
+    row. ``timeline_rows`` has them all as rows, and models read the events.
     """
     events = timeline_events(df, dims, action, time, clicks, ad_clicks, second_time=second_time, row_type=row_type)
     return first_actions(events, dims, limit)
@@ -127,13 +140,38 @@ def time_gap_histogram(
     return unfold_structs(wide, dims, F.filter("_g", lambda e: e["n"] > 0))
 
 
+def _pause_token(millis: Column) -> Column:
+    """``t<p>`` with p the log-6 class of a pause, -1 below a second."""
+    seconds = F.floor(F.abs(millis) / 1000)
+    return F.concat(F.lit("t"), F.when(seconds == 0, F.lit(-1)).otherwise(
+        F.least(F.floor(F.ln(seconds) / F.ln(F.lit(6.0))), F.lit(5))).cast("string"))
+
+
+def think_time_rows(timeline: DataFrame, dims: Sequence[str], include_time: bool = True) -> DataFrame:
+    """Tokens (dims, pos, token) of numbered events: ``start``, a1, ``t<p>``, a2, ..., ``end``.
+
+    The pause before an event needs the time of the event before it, a running
+    maximum over blocks of places; the end needs the number of events only.
+    """
+    token = lambda pos, text: F.struct(pos.cast("bigint").alias("pos"), text.alias("token"))
+    place, action = F.col("place"), F.col("action")
+    first = F.array(token(F.lit(0), F.lit("start")), token(F.lit(1), action))
+    if include_time:
+        rows = running(timeline, dims, "place", {"before": (F.max, F.col("time"))})
+        later = F.array(token(2 * place, _pause_token(F.col("time") - F.col("before"))), token(2 * place + 1, action))
+    else:
+        rows, later = timeline, F.array(token(place + 1, action))
+    body = unfold_structs(rows, dims, F.when(place == 0, first).otherwise(later))
+    last = 2 * F.count(F.lit(1)) if include_time else F.count(F.lit(1)) + 1
+    ends = timeline.groupBy(*dims).agg(last.alias("pos")).withColumn("token", F.lit("end"))
+    return body.unionByName(ends)
+
+
 def think_time_tokens(actions: Column, times: Column, include_time: bool = True) -> Column:
-    """``start, a1, t<p>, a2, ..., end`` with p the log-6 class of the pause."""
+    """The tokens of ``think_time_rows`` for a list of bounded length, as an array."""
     rest = F.greatest(F.size(times) - 1, F.lit(0))
-    seconds = F.zip_with(
-        F.slice(times, 2, rest), F.slice(times, 1, rest), lambda after, before: F.floor(F.abs(after - before) / 1000))
-    pauses = F.transform(seconds, lambda s: F.concat(F.lit("t"), F.when(s == 0, F.lit(-1)).otherwise(
-        F.least(F.floor(F.ln(s) / F.ln(F.lit(6.0))), F.lit(5))).cast("string")))
+    pauses = F.zip_with(
+        F.slice(times, 2, rest), F.slice(times, 1, rest), lambda after, before: _pause_token(after - before))
     if include_time:  # the last action has no pause: its partner is null
         body = F.flatten(F.zip_with(actions, pauses, lambda a, t: F.when(t.isNull(), F.array(a)).otherwise(F.array(a, t))))
     else:
@@ -143,12 +181,17 @@ def think_time_tokens(actions: Column, times: Column, include_time: bool = True)
         F.array().cast("array<string>"))
 
 
-def token_ids(tokens: Column, vocabulary: dict[str, int]) -> Column:
-    """Ids of tokens by vocabulary; an unknown token is an error."""
+def token_id(token: Column, vocabulary: dict[str, int]) -> Column:
+    """Id of a token by vocabulary; an unknown token is an error."""
     table = F.create_map(*[F.lit(v) for pair in vocabulary.items() for v in pair])
-    return F.transform(tokens, lambda t: F.coalesce(
-        F.try_element_at(table, t),
-        F.raise_error(F.concat(F.lit("token not in vocabulary: "), t)).cast("int")))
+    return F.coalesce(
+        F.try_element_at(table, token),
+        F.raise_error(F.concat(F.lit("token not in vocabulary: "), token)).cast("int"))
+
+
+def token_ids(tokens: Column, vocabulary: dict[str, int]) -> Column:
+    """Ids of an array of tokens by vocabulary."""
+    return F.transform(tokens, lambda t: token_id(t, vocabulary))
 
 
 # Variable-order Markov model ---------------------------------------------------

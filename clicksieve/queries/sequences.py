@@ -24,9 +24,14 @@ def _rows(spark, folder):
     return log(spark, folder), F.concat(F.lit("search_"), F.substring("act", 1, 1)), F.col("t_ms").cast("string")
 
 
-def _timeline(spark, folder):
+def _events(spark, folder):
     rows, action, time = _rows(spark, folder)
-    return sequence.action_timeline(rows, ["srcg", "guid"], action, time, _clicks(), _ad_clicks())
+    return sequence.timeline_events(rows, ["srcg", "guid"], action, time, _clicks(), _ad_clicks())
+
+
+def _timeline(spark, folder):
+    """All events, numbered by user, as a table: tokens read it twice."""
+    return keep_table(sequence.timeline_rows(_events(spark, folder), ["srcg", "guid"]), "timeline")
 
 
 TIMELINE = """ev AS (
@@ -37,10 +42,21 @@ TIMELINE = """ev AS (
 tl AS (SELECT *, row_number() OVER (PARTITION BY srcg, guid ORDER BY t, a) r FROM ev)"""
 
 
-@query("action_timeline", ctes(LOG, TIMELINE) + """
-SELECT srcg, guid, string_agg(a, '->' ORDER BY r) actions, string_agg(CAST(t AS VARCHAR), ',' ORDER BY r) times FROM tl GROUP BY ALL""")
+@query("action_timeline", ctes(LOG, TIMELINE) + 'SELECT srcg, guid, r - 1 place, t "time", a "action" FROM tl')
 def action_timeline(spark, folder):
-    return _timeline(spark, folder).select(
+    return sequence.timeline_rows(_events(spark, folder), ["srcg", "guid"])
+
+
+LIST = 20  # actions in an exported list
+
+
+@query("action_lists", ctes(LOG, TIMELINE) + f"""
+SELECT srcg, guid, string_agg(a, '->' ORDER BY r) actions, string_agg(CAST(t AS VARCHAR), ',' ORDER BY r) times
+FROM tl WHERE r <= {LIST} GROUP BY ALL""")
+def action_lists(spark, folder):
+    rows, action, time = _rows(spark, folder)
+    lists = sequence.action_timeline(rows, ["srcg", "guid"], action, time, _clicks(), _ad_clicks(), limit=LIST)
+    return lists.select(
         "srcg", "guid", F.array_join("actions", "->").alias("actions"),
         F.array_join(F.col("times").cast("array<string>"), ",").alias("times"))
 
@@ -64,11 +80,14 @@ def time_gap_histogram(spark, folder):
         log(spark, folder), ["guid"], "t_ms", step=3_600_000, session_gap=24, max_step=10)
 
 
-TOKENS = """nx AS (SELECT *, lead(t) OVER (PARTITION BY srcg, guid ORDER BY r) nt FROM tl),
-tk AS (SELECT srcg, guid, r, a, CASE WHEN nt IS NULL THEN NULL WHEN (nt - t) // 1000 = 0 THEN 't-1'
-  ELSE concat('t', CAST(least(CAST(floor(ln((nt - t) // 1000) / ln(6.0)) AS BIGINT), 5) AS VARCHAR)) END p FROM nx),
-tokens AS (SELECT srcg, guid, concat('start,', string_agg(concat(a, CASE WHEN p IS NULL THEN '' ELSE concat(',', p) END), ',' ORDER BY r), ',end') tokens
-  FROM tk GROUP BY srcg, guid)"""
+TOKENS = """nx AS (SELECT *, t - lag(t) OVER w gap, lead(t) OVER w IS NULL ends FROM tl
+  WINDOW w AS (PARTITION BY srcg, guid ORDER BY r)),
+tokens AS (
+  SELECT srcg, guid, 0 pos, 'start' token FROM nx WHERE r = 1
+  UNION ALL SELECT srcg, guid, 2 * r - 2, CASE WHEN gap // 1000 = 0 THEN 't-1'
+    ELSE concat('t', CAST(least(CAST(floor(ln(gap // 1000) / ln(6.0)) AS BIGINT), 5) AS VARCHAR)) END FROM nx WHERE r > 1
+  UNION ALL SELECT srcg, guid, 2 * r - 1, a FROM nx
+  UNION ALL SELECT srcg, guid, 2 * r, 'end' FROM nx WHERE ends)"""
 
 VOCABULARY = {t: i for i, t in enumerate(
     ["start", "end", "click", "adclick", *(f"search_{c}" for c in "cepsv"), *(f"t{i}" for i in range(-1, 6))])}
@@ -76,19 +95,14 @@ VOCABULARY = {t: i for i, t in enumerate(
 
 @query("think_time_tokens", ctes(LOG, TIMELINE, TOKENS) + "SELECT * FROM tokens")
 def think_time_tokens(spark, folder):
-    tokens = sequence.think_time_tokens(F.col("actions"), F.col("times"))
-    return _timeline(spark, folder).select("srcg", "guid", F.array_join(tokens, ",").alias("tokens"))
+    return sequence.think_time_rows(_timeline(spark, folder), ["srcg", "guid"])
 
 
 @query("token_ids", ctes(LOG, TIMELINE, TOKENS) + ", v(w, i) AS (VALUES " + ", ".join(
-    f"('{w}', {i})" for w, i in VOCABULARY.items()) + """)
-, x AS (SELECT srcg, guid, unnest(string_split(tokens, ',')) w, generate_subscripts(string_split(tokens, ','), 1) p FROM tokens)
-SELECT srcg, guid, string_agg(CAST(i AS VARCHAR), ',' ORDER BY p) ids FROM x JOIN v USING (w) GROUP BY ALL""")
+    f"('{w}', {i})" for w, i in VOCABULARY.items()) + ") SELECT srcg, guid, pos, i id FROM tokens JOIN v ON w = token")
 def token_ids(spark, folder):
-    tokens = _timeline(spark, folder).select(
-        "srcg", "guid", sequence.think_time_tokens(F.col("actions"), F.col("times")).alias("tokens"))
-    ids = sequence.token_ids(F.col("tokens"), VOCABULARY)
-    return tokens.select("srcg", "guid", F.array_join(ids.cast("array<string>"), ",").alias("ids"))
+    rows = sequence.think_time_rows(_timeline(spark, folder), ["srcg", "guid"])
+    return rows.select("srcg", "guid", "pos", sequence.token_id(F.col("token"), VOCABULARY).alias("id"))
 
 
 # Markov ------------------------------------------------------------------------
@@ -111,9 +125,7 @@ probs AS (SELECT srcg, len, ctx, "next", n, n / total p FROM tot WHERE total > {
 
 def _contexts(spark, folder):
     """One row per action with the actions before it, as a table: fitting and scoring read it."""
-    rows, action, time = _rows(spark, folder)
-    events = sequence.timeline_events(rows, ["srcg", "guid"], action, time, _clicks(), _ad_clicks())
-    return keep_table(sequence.event_contexts(events, ["srcg", "guid"], DEPTH), "contexts")
+    return keep_table(sequence.event_contexts(_events(spark, folder), ["srcg", "guid"], DEPTH), "contexts")
 
 
 def _counts(contexts):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clicksieve.operators import entropy, sequence
+from clicksieve.session import keep_table
 
 
 def frame(spark, rows, schema):
@@ -50,6 +51,38 @@ def test_timeline_keeps_the_first_actions(spark):
     assert out.times == list(range(200))
 
 
+def test_a_user_with_a_million_events(spark):
+    """A third of all events belong to one user; places, pauses and tokens stay right and spread."""
+    times = F.when(F.col("id") < 1_000_000, (F.col("id") * 7919 % 1_000_003) * 3000).otherwise(F.col("id") % 50 * 90_000)
+    user = F.when(F.col("id") < 1_000_000, "hot").otherwise((F.col("id") % 40_000).cast("string"))
+    events = spark.range(0, 3_000_000, 1, 12).select(user.alias("u"), times.alias("time"), F.lit("a").alias("action"))
+    timeline = keep_table(sequence.timeline_rows(events, ["u"]), "timeline")
+    sizes = timeline.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in sizes) < 600_000
+    hot = timeline.filter("u = 'hot'").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("place").alias("d"), F.max("place").alias("m")).first()
+    assert hot == (1_000_000, 1_000_000, 999_999)
+    steps = timeline.filter("u = 'hot'").select("place", "time").orderBy("place").limit(1000).collect()
+    assert all(x.time < y.time for x, y in zip(steps, steps[1:]))
+    rows = sequence.think_time_rows(timeline, ["u"])
+    counts = {r.token: r["count"] for r in rows.filter("u = 'hot'").groupBy("token").count().collect()}
+    assert (counts["start"], counts["end"], counts["a"]) == (1, 1, 1_000_000)
+    assert sum(n for t, n in counts.items() if t[0] == "t") == 999_999 and rows.filter("u = 'hot'").agg(F.max("pos")).first()[0] == 2_000_000
+
+
+@pytest.mark.parametrize("include", [True, False])
+def test_token_rows_equal_token_lists(spark, include):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, "x", "y", "z"]), rng.choice([5, rng.randrange(10 ** 7)]), rng.choice("abc")) for _ in range(200)] + [("one", 1, "a")]
+    events = frame(spark, rows, "u string, time bigint, action string")
+    got = defaultdict(list)
+    for r in sequence.think_time_rows(sequence.timeline_rows(events, ["u"]), ["u"], include).orderBy("pos").collect():
+        got[r.u].append(r.token)
+        assert len(got[r.u]) == r.pos + 1
+    lists = sequence.first_actions(events, ["u"])
+    assert got == {r.u: r.t for r in lists.select("u", sequence.think_time_tokens(F.col("actions"), F.col("times"), include).alias("t")).collect()}
+
+
 def tokens(spark, actions, times, include=True):
     df = frame(spark, [(actions, times)], "a array<string>, t array<bigint>")
     return df.select(sequence.think_time_tokens(F.col("a"), F.col("t"), include)).first()[0]
