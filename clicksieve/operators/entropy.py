@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicksieve.operators.aggregate import same_keys
+from clicksieve.session import keep_table
 
 
 def _clog(c: Column) -> Column:
@@ -114,7 +115,9 @@ def general_entropy(
 
     The top key goes while the entropy is below the threshold; the rest must
     stay above ``limit`` and a group must hold at least ``limit`` to start.
-    Only peeled keys are returned: every other key scores 100.
+    Only peeled keys are returned: every other key scores 100. The counts are read
+    twice, for their blocks and for the ranks of the peeled keys; the steps between
+    are a small table that carries the last rank and its count.
     """
     blocks = count_blocks(counts, dims, n)
     top = _normal(_entropy_of(F.col("s"), F.col("l")), F.col("s"), F.col("keys") - F.col("start")) \
@@ -130,13 +133,16 @@ def general_entropy(
     rank = F.col("start") + F.col("_j") + 1
     h = _entropy_of(s, l)
     value = _normal(h, s, F.col("keys") - rank + 1) if normed else h
-    trail = steps.select(*dims, rank.alias("rank"), s.alias("_s"), value.alias("entropy"))
+    trail = steps.select(*dims, rank.alias("rank"), s.alias("_s"), value.alias("entropy"), "c")
     # Step 1 always runs; step r > 1 runs while more than the limit is left.
     stops = (F.col("entropy") >= threshold) | ((F.col("rank") > 1) & (F.col("_s") <= limit))
     by_rank = Window.partitionBy(*dims).orderBy("rank")
     peeled = trail.withColumn("_stop", F.max(stops.cast("int")).over(by_rank)).filter(F.col("_stop") == 0)
-    last = peeled.groupBy(*dims).agg(F.max("rank").alias("_need"))
-    ranked = _ranked(counts, dims, key, n, _needed(blocks, dims, last), salts)
+    group = Window.partitionBy(*dims)
+    peeled = keep_table(peeled.select(*dims, "rank", "entropy", F.max("rank").over(group).alias("_need"),
+                                      F.min("c").over(group).alias("_floor")), "peeled")
+    need = peeled.filter(F.col("rank") == 1).select(*dims, "_need", "_floor")
+    ranked = _ranked(counts, dims, key, n, need, salts)
     return same_keys(ranked, peeled.select(*dims, "rank", "entropy"), [*dims, "rank"], "inner")
 
 
@@ -169,7 +175,7 @@ def action_entropy(
     """
     if threshold > 1:
         raise ValueError("the threshold compares with a normalised entropy: at most 1")
-    blocks = count_blocks(chains, dims, n)
+    blocks = keep_table(count_blocks(chains, dims, n), "blocks")
     padded = F.greatest(F.col("keys"), F.floor(F.col("total") / 4)).cast("bigint")
     first = blocks.filter(F.col("start") == 0)
     channels = first.select(
@@ -197,11 +203,29 @@ def action_entropy(
         .filter(F.col("_stop") == 0)
         .select(*dims, F.col("r").alias("rank"), (F.lit(threshold) - F.col("_h")).alias("delta"))
     )
+    deltas = keep_table(deltas, "deltas")
     last = deltas.groupBy(*dims).agg(F.max("rank").alias("_need"))
     ranked = _ranked(chains, dims, key, n, _needed(blocks, dims, last), salts)
     return channels, same_keys(ranked, deltas, [*dims, "rank"], "inner")
 
 
+def user_chains(timeline: DataFrame, keys: Sequence[str], head: int = 200) -> DataFrame:
+    """(keys, chain) of numbered events: what tells the whole chain of a user's actions from others.
+
+    A chain is the xor of its actions' hashes, each taken with its place, so parts of
+    a user's events merge in any order and no list of all actions is made. The first
+    ``head`` actions stand before the hashes as text, which orders chains like their
+    texts; chains equal so far go by the hashes.
+    """
+    place, action = F.col("place"), F.col("action")
+    first = F.sort_array(F.collect_list(F.when(place < head, F.struct("place", "action"))))
+    parts = timeline.groupBy(*keys).agg(
+        F.bit_xor(F.xxhash64(place, action)).alias("_x"), F.bit_xor(F.xxhash64(F.lit("second"), action, place)).alias("_y"),
+        F.count(F.lit(1)).alias("_n"), first.alias("_h"))
+    text = F.array_join(F.transform("_h.action", lambda a: F.coalesce(a, F.lit(""))), "->")
+    return parts.select(*keys, F.concat_ws("\u0001", text, F.hex("_x"), F.hex("_y"), F.col("_n").cast("string")).alias("chain"))
+
+
 def chain_counts(df: DataFrame, dims: Sequence[str], actions: str, attention: Sequence[str] = ()) -> DataFrame:
     """Users per action chain and channel; with a list, only chains that hold one of it."""
     chains = df.select(*dims, F.array_join(actions, "->").alias("chain"))

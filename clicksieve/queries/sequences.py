@@ -235,11 +235,13 @@ ch AS (SELECT srcg, chain, count(*) n FROM cu GROUP BY ALL)"""
 
 
 def _chains(spark, folder):
+    """The chain of each user and day part, and how many have it, as tables."""
     rows = log(spark, folder).select(
         "srcg", "guid", F.floor(F.col("t_ms") / 43_200_000).alias("part"), F.col("t_ms").alias("time"),
         F.col("act").alias("action"))
-    lists = sequence.first_actions(rows, ["srcg", "guid", "part"])
-    return lists, entropy.chain_counts(lists, ["srcg"], "actions")
+    keys = ["srcg", "guid", "part"]
+    users = keep_table(entropy.user_chains(sequence.timeline_rows(rows, keys), keys), "user-chains")
+    return users, keep_table(users.groupBy("srcg", "chain").agg(F.count(F.lit(1)).alias("n")), "chains")
 
 
 @query("action_entropy", "WITH RECURSIVE " + ",\n".join([LOG, _CHAINS]) + """
@@ -256,9 +258,8 @@ def _chains(spark, folder):
 SELECT cu.srcg, cu.guid, cu.part, round(coalesce(delta, 0.0), 6) user_score, total, keys "distinct", round(h.e, 6) entropy
 FROM cu JOIN g USING (srcg) JOIN h ON h.srcg = cu.srcg AND h.step = 1 LEFT JOIN top ON top.srcg = cu.srcg AND top.chain = cu.chain""")
 def action_entropy(spark, folder):
-    lists, chains = _chains(spark, folder)
+    users, chains = _chains(spark, folder)
     channels, scored = entropy.action_entropy(chains, ["srcg"], "chain", threshold=0.75)
-    users = lists.select("srcg", "guid", "part", F.array_join("actions", "->").alias("chain"))
     scored = scored.select("srcg", "chain", F.col("delta").alias("user_score"))
     out = distribution.lookup(users, scored, ["srcg", "chain"], {"user_score": F.lit(0.0)})
     return agg.same_keys(out, channels, ["srcg"]).select(

@@ -282,3 +282,17 @@ def test_attention_list(spark):
     df = frame(spark, [("g", ["a", "b"]), ("g", ["c"]), ("g", ["a", "b"])], "g string, acts array<string>")
     rows = entropy.chain_counts(df, ["g"], "acts", ["b"]).collect()
     assert [(r.chain, r.n) for r in rows] == [("a->b", 2)]
+
+
+def test_chains_are_told_apart_without_lists(spark):
+    """Equal hashes for equal sequences only, ordered like the texts."""
+    rng = random.Random(6)
+    rows = [(u, t, rng.choice("ab")) for u in range(300) for t in range(rng.randint(1, 4))] + [(900 + u, t, "a" if t else "b") for u in (0, 1) for t in range(400)]
+    rows += [(999, t, "a" if 0 < t < 399 else "b") for t in range(400)]
+    timeline = sequence.timeline_rows(frame(spark, rows, "u int, time bigint, action string"), ["u"])
+    got = {r.u: r.chain for r in entropy.user_chains(timeline, ["u"]).collect()}
+    text = {u: "->".join(a for v, t, a in sorted(rows) if v == u) for u in got}
+    assert {(got[u] == got[v]) == (text[u] == text[v]) for u in got for v in got} == {True}
+    short = sorted((u for u in got if u < 900), key=lambda u: text[u])
+    assert [got[u] for u in short] == sorted(got[u] for u in short)
+    assert max(map(len, got.values())) < 1000
