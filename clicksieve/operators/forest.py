@@ -1,24 +1,31 @@
 """Isolation forest: hash-drawn samples, trees trained in tasks, scored in batches.
 
-All draws come from hashes of the tree number and the row id, so a re-run
-gives the same forest. Sizes are fixed by the parameters: a tree sees
-``max_samples`` rows and has at most 2^(max_depth+1) nodes.
+All draws are digests of the tree number and the row id, so a re-run gives the
+same forest. Sizes are fixed by the parameters: a tree sees ``max_samples`` rows and
+has at most 2^(max_depth+1) nodes. The forest itself stays in files: scoring tasks
+read it from the shared folder, the driver never holds it.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicksieve.session import cut_lineage
+from clicksieve.operators.ranks import number_rows
+from clicksieve.session import cut_lineage, scratch_path
 
 EULER = 0.5772156649  # fixed value
-MAX_TREE_ROWS = 1_000_000
+# Nodes that a scoring worker keeps; a larger forest is read file by file for each batch of rows.
+KEPT_NODES = 2_000_000
 NODE_SCHEMA = (
     "tree int, node int, feature int, split double, left int, right int, size int, depth int"
 )
@@ -36,50 +43,64 @@ class ForestParams:
     seed: int = 7
 
 
-def _unit(*parts: Column) -> Column:
-    """Hash of the parts as a number in [0, 1)."""
-    return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(1 << 53))
+def _digest(*parts: Column | str | int) -> Column:
+    """MD5 of the parts as text."""
+    texts = [p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts]
+    return F.md5(F.concat_ws(":", *texts).cast("binary"))
+
+
+def _unit(*parts: Column | str | int) -> Column:
+    """A number in [0, 1) from the first 52 bits of the digest."""
+    return F.conv(F.substring(_digest(*parts), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
+
+
+def unit(*parts: str | int) -> float:
+    """``_unit`` of plain values."""
+    return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:13], 16) / (1 << 52)
 
 
 def tree_rows(rows: int, params: ForestParams) -> int:
     n = int(params.max_samples if params.max_samples > 1 else params.max_samples * rows)
     if n > rows:
         raise ValueError("a tree cannot sample more rows than there are")
-    if n > MAX_TREE_ROWS:
-        raise ValueError(f"a tree of {n} rows does not fit one task; lower max_samples")
     return n
 
 
 def iforest_sample(df: DataFrame, id_col: str, cols: Sequence[str], params: ForestParams) -> DataFrame:
     """Training rows (tree, pos, features) of every tree.
 
-    A pool of trees x max_samples rows with the smallest hashes is a uniform
-    sample of the table; each tree draws its rows from the pool by hashes of
-    its own. Only the pool, whose size the parameters set, meets the trees.
-    The pool is sorted out of the rows below a hash bound that should leave
-    twice as many; should it leave too few, all rows are sorted.
+    A pool of trees x max_samples rows with the smallest digests is a uniform
+    sample of the table; each tree draws its rows from the pool by digests of
+    its own. Only the pool, whose size the parameters set, meets the trees; it
+    is numbered by ranges and offsets. The pool is taken out of the rows below a
+    bound that should leave twice as many; should it leave too few, all rows are
+    numbered. A tree is trained in one task, so ``max_samples`` bounds its memory.
     """
     rows = df.count()
     n = tree_rows(rows, params)
-    seed = F.lit(params.seed)
+    seed = params.seed
     size = min(rows, n * params.trees)
     hashed = df.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(c) for c in cols]).withColumn(
-        "_h", _unit(seed, F.col("_id")))
+        "_h", _digest(seed, F.col("_id")))
     bound = (2 * size + 100) / rows
     if bound < 1:
-        near = cut_lineage(hashed.filter(F.col("_h") < bound))
+        near = cut_lineage(hashed.filter(F.col("_h") < f"{int(bound * 16 ** 13):013x}"))
         hashed = near if near.count() >= size else hashed
-    pool = hashed.orderBy("_h", "_id").limit(size)
+    return _draw(hashed, cols, params, n, size)
+
+
+def _draw(hashed: DataFrame, cols: Sequence[str], params: ForestParams, n: int, size: int) -> DataFrame:
+    seed = params.seed
+    pool = number_rows(hashed, [], ["_h", "_id"], "_i").filter(F.col("_i") < size)
     trees = F.explode(F.sequence(F.lit(0), F.lit(params.trees - 1))).alias("tree")
     if params.bootstrap:
-        numbered = pool.withColumn("_i", F.row_number().over(Window.orderBy("_h", "_id")) - 1)
-        draws = df.sparkSession.range(params.trees * n).select(
+        draws = hashed.sparkSession.range(params.trees * n).select(
             F.floor(F.col("id") / n).cast("int").alias("tree"),
-            F.floor(_unit(seed, F.col("id"), F.lit("draw")) * size).cast("int").alias("_i"),
+            F.floor(_unit(seed, F.col("id"), "draw") * size).cast("bigint").alias("_i"),
             (F.col("id") % n).cast("int").alias("pos"))
-        sample = draws.join(numbered, "_i").select("tree", "pos", "_id", *cols)
+        sample = draws.join(pool, "_i").select("tree", "pos", "_id", *cols)
     else:
-        order = Window.partitionBy("tree").orderBy(F.xxhash64(seed, "tree", "_id"), "_id")
+        order = Window.partitionBy("tree").orderBy(_digest(seed, F.col("tree"), F.col("_id")), "_id")
         sample = (
             pool.select(trees, "_id", *cols)
             .withColumn("pos", F.row_number().over(order) - 1).filter(F.col("pos") < n)
@@ -88,7 +109,7 @@ def iforest_sample(df: DataFrame, id_col: str, cols: Sequence[str], params: Fore
     if params.shuffle_columns:
         long = sample.select("tree", "pos", F.inline(F.array(*[
             F.struct(F.lit(c).alias("_f"), F.col(c).alias("_v")) for c in cols])))
-        mixed = Window.partitionBy("tree", "_f").orderBy(F.xxhash64(seed, "tree", "_f", "pos"), "pos")
+        mixed = Window.partitionBy("tree", "_f").orderBy(_digest(seed, F.col("tree"), F.col("_f"), F.col("pos")), "pos")
         sample = (
             long.withColumn("pos", F.row_number().over(mixed) - 1)
             .groupBy("tree", "pos").pivot("_f", list(cols)).agg(F.first("_v"))
@@ -97,35 +118,38 @@ def iforest_sample(df: DataFrame, id_col: str, cols: Sequence[str], params: Fore
     for c in cols:
         v = F.col(c)
         if params.clamp is not None:
-            jitter = _unit(seed, F.col("tree"), F.col("pos"), F.lit(c)) - 0.5
+            jitter = _unit(seed, F.col("tree"), F.col("pos"), c) - 0.5
             v = F.when(v > params.clamp, F.lit(params.clamp) + jitter).otherwise(v)
         out.append(v.alias(c))
     return sample.select("tree", "pos", *out)
 
 
 def _grow(data: np.ndarray, tree: int, params: ForestParams) -> list[tuple]:
-    rng = np.random.default_rng([params.seed, tree])
+    """Nodes of a tree, numbered by place: those below node i are 2i + 1 and 2i + 2.
+
+    Feature and split of a node are drawn by digests of seed, tree and node.
+    """
     width = data.shape[1]
     take = int(params.max_features * width if params.max_features <= 1 else min(params.max_features, width))
-    features = np.arange(width) if take == width else np.sort(rng.permutation(width)[:take])
+    order = sorted(range(width), key=lambda f: unit(params.seed, tree, "column", f))
+    features = np.sort(order[:take])
     deepest = min(params.max_depth, int(np.ceil(np.log2(max(2, len(data))))))
     nodes: list[tuple] = []
     todo = [(0, np.arange(len(data)), 0)]
-    ids = 1
     while todo:
         node, rows, depth = todo.pop()
-        part = data[rows]
-        usable = features
+        usable = features[:0]
         if depth < deepest and len(rows) > 1:
-            low, high = part[:, features].min(axis=0), part[:, features].max(axis=0)
-            usable = features[low < high]
-        if depth >= deepest or len(rows) <= 1 or not len(usable):
+            part = data[rows]
+            usable = features[part[:, features].min(axis=0) < part[:, features].max(axis=0)]
+        if not len(usable):
             nodes.append((tree, node, -1, None, -1, -1, len(rows), depth))
             continue
-        f = int(rng.choice(usable))
+        f = int(usable[int(unit(params.seed, tree, node, "feature") * len(usable))])
         values = part[:, f]
-        split = float(rng.uniform(values.min(), values.max()))
-        left, right, ids = ids, ids + 1, ids + 2
+        low, high = values.min(), values.max()
+        split = float(low + unit(params.seed, tree, node, "split") * (high - low))
+        left, right = 2 * node + 1, 2 * node + 2
         nodes.append((tree, node, f, split, left, right, len(rows), depth))
         todo += [(right, rows[values >= split], depth + 1), (left, rows[values < split], depth + 1)]
     return nodes
@@ -152,46 +176,86 @@ def average_path(size: np.ndarray | float) -> np.ndarray:
     return np.where(n > 2, long, np.where(n == 2, 1.0, 0.0))
 
 
-def iforest_score(
-    df: DataFrame, nodes: DataFrame, cols: Sequence[str], samples: int, *, adjust: bool = True,
-    max_nodes: int = 4_000_000,
-) -> DataFrame:
-    """Rows with ``score`` = 2^(-mean path / c(samples)).
+def write_forest(nodes: DataFrame) -> str:
+    """Nodes as files below the shared folder, whole trees in a file; the folder's path."""
+    path = scratch_path(nodes.sparkSession, "forest")
+    nodes.repartitionByRange("tree").sortWithinPartitions("tree", "node").write.parquet(path)
+    return path
 
-    ``adjust`` shortens the paths of a tree: at most 2 counts as 0, at most 5
-    as one less. The node table is bounded by the forest parameters and
-    travels with the task; rows are scored in Arrow batches.
-    """
-    table = nodes.limit(max_nodes + 1).toPandas().sort_values(["tree", "node"])
-    if len(table) > max_nodes:
-        raise ValueError(f"more than {max_nodes} nodes: score with fewer or shallower trees")
+
+def _tree_arrays(table: pd.DataFrame, adjust: bool) -> list[tuple]:
+    """Per tree the arrays feature, split, left, right, path length and the root's place."""
     trees = []
     for _, t in table.groupby("tree"):
-        ids = t["node"].to_numpy()
-        place = {int(v): i for i, v in enumerate(ids)}
+        place = {int(v): i for i, v in enumerate(t["node"].to_numpy())}
         at = lambda c: np.array([place.get(int(v), -1) for v in t[c]])
         path = t["depth"].to_numpy(float) + average_path(t["size"].to_numpy())
         if adjust:
             path = np.where(path <= 2, 0.0, np.where(path <= 5, path - 1.0, path))
         trees.append((
             t["feature"].to_numpy(int), t["split"].to_numpy(float), at("left"), at("right"), path, place[0]))
+    return trees
+
+
+class ForestFiles:
+    """The trees of a folder, read in the scoring task with Arrow's own file systems."""
+
+    def __init__(self, path: str, adjust: bool, kept: int):
+        self.path, self.adjust, self.kept = path, adjust, kept
+        self.held: dict[str, list[tuple]] = {}
+        self.nodes = 0
+
+    def blocks(self) -> Iterator[list[tuple]]:
+        """Trees of one file after another; as many as fit stay in memory."""
+        # a plain or file: path is one that all executors mount
+        local = self.path.startswith(("/", "file:"))
+        fs, root = (pa.fs.LocalFileSystem(), "/" + self.path.removeprefix("file:").lstrip("/")) if local \
+            else pa.fs.FileSystem.from_uri(self.path)
+        files = sorted(f.path for f in fs.get_file_info(pa.fs.FileSelector(root)) if f.path.endswith(".parquet"))
+        for file in files:
+            trees = self.held.get(file)
+            if trees is None:
+                table = pq.read_table(file, filesystem=fs).to_pandas()
+                trees = _tree_arrays(table, self.adjust)
+                if self.nodes + len(table) <= self.kept:
+                    self.held[file] = trees
+                    self.nodes += len(table)
+            yield trees
+
+
+def iforest_score(
+    df: DataFrame, nodes: DataFrame, cols: Sequence[str], samples: int, *, adjust: bool = True,
+    kept_nodes: int = KEPT_NODES,
+) -> DataFrame:
+    """Rows with ``score`` = 2^(-mean path / c(samples)).
+
+    ``adjust`` shortens the paths of a tree: at most 2 counts as 0, at most 5
+    as one less. The forest is written once below the shared folder; each worker
+    reads it there and keeps up to ``kept_nodes`` nodes. A larger forest is read
+    again, file by file, for each Arrow batch. The shared folder must be one that
+    Arrow reads (a mounted path, or a store it knows).
+    """
+    path = write_forest(nodes)
     norm = float(average_path(samples))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        forest = ForestFiles(path, adjust, kept_nodes)
         for batch in batches:
             x = np.column_stack([s.to_numpy(float) for s in batch])
-            total = np.zeros(len(x))
+            total, count = np.zeros(len(x)), 0
             rows = np.arange(len(x))
-            for feature, split, left, right, path, root in trees:
-                here = np.full(len(x), root)
-                inner = feature[here] >= 0
-                while inner.any():
-                    f = np.maximum(feature[here], 0)
-                    down = np.where(x[rows, f] < split[here], left[here], right[here])
-                    here = np.where(inner, down, here)
+            for trees in forest.blocks():
+                count += len(trees)
+                for feature, split, left, right, lengths, root in trees:
+                    here = np.full(len(x), root)
                     inner = feature[here] >= 0
-                total += path[here]
-            yield pd.Series(np.power(2.0, -(total / len(trees)) / norm))
+                    while inner.any():
+                        f = np.maximum(feature[here], 0)
+                        down = np.where(x[rows, f] < split[here], left[here], right[here])
+                        here = np.where(inner, down, here)
+                        inner = feature[here] >= 0
+                    total += lengths[here]
+            yield pd.Series(np.power(2.0, -(total / count) / norm))
 
     return df.select("*", score(*[F.col(c).cast("double") for c in cols]).alias("score"))

@@ -115,13 +115,62 @@ def _features(spark, folder):
     return rows.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(cols)]), cols
 
 
-@query("iforest_sample")
+# The draws are digests, so SQL can repeat the sample and grow the same trees.
+_WIDTH = 64  # components of a vector of the test tables
+_DIGEST = "md5(concat_ws(':', {}))"
+_UNIT = "CAST(concat('0x', substr(md5(concat_ws(':', {})), 1, 13)) AS BIGINT) / 4503599627370496::DOUBLE"
+
+
+def _sample_sql(params: forest.ForestParams) -> str:
+    return f"""pool AS (
+  SELECT vec_id, embedding FROM embeddings
+  ORDER BY {_DIGEST.format(f"{params.seed}, vec_id")}, vec_id LIMIT {params.trees * int(params.max_samples)})
+, drawn AS (
+  SELECT tree, embedding, row_number() OVER (PARTITION BY tree ORDER BY {_DIGEST.format(f"{params.seed}, tree, vec_id")}, vec_id) - 1 pos
+  FROM pool, range({params.trees}) t(tree) QUALIFY pos < {int(params.max_samples)})
+, long AS (SELECT tree, pos, f, CAST(embedding[f + 1] AS DOUBLE) v FROM drawn, range({_WIDTH}) c(f))
+, mixed AS (
+  SELECT tree, f, v, row_number() OVER (PARTITION BY tree, f ORDER BY {_DIGEST.format(f"{params.seed}, tree, concat('f', f), pos")}, pos) - 1 pos
+  FROM long)
+, smp AS (
+  SELECT tree, pos, f, CASE WHEN v > {params.clamp} THEN {params.clamp}::DOUBLE + ({_UNIT.format(f"{params.seed}, tree, pos, concat('f', f)")} - 0.5::DOUBLE)
+         ELSE v END v FROM mixed)"""
+
+
+@query("iforest_sample", "WITH " + _sample_sql(PARAMS) + " SELECT CAST(tree AS INT) tree, CAST(pos AS INT) pos, " + ", ".join(
+    f"max(v) FILTER (f = {i}) f{i}" for i in range(_WIDTH)) + " FROM smp GROUP BY tree, pos")
 def iforest_sample(spark, folder):
     rows, cols = _features(spark, folder)
     return forest.iforest_sample(rows, "vec_id", cols, PARAMS)
 
 
-@query("iforest_fit")
+def _picked_sql(rows: str) -> str:
+    """The open nodes of ``rows`` (tree, node, depth, x) with their feature and split."""
+    seed = PARAMS.seed
+    return f"""cells AS (
+    SELECT tree, node, f, min(x[f + 1]) lo, max(x[f + 1]) hi FROM {rows}, range({_WIDTH}) c(f)
+    WHERE depth < {PARAMS.max_depth} GROUP BY tree, node, f HAVING min(x[f + 1]) < max(x[f + 1]))
+  , usable AS (SELECT tree, node, list(struct_pack(f := f, lo := lo, hi := hi) ORDER BY f) fs FROM cells GROUP BY tree, node)
+  , picked AS (
+    SELECT tree, node, p.f f, p.lo + {_UNIT.format(f"{seed}, tree, node, 'split'")} * (p.hi - p.lo) split FROM (
+      SELECT tree, node, fs[1 + CAST(floor({_UNIT.format(f"{seed}, tree, node, 'feature'")} * len(fs)) AS BIGINT)] p FROM usable))"""
+
+
+@query("iforest_fit", "WITH RECURSIVE " + _sample_sql(PARAMS) + f"""
+, vecs AS (SELECT tree, pos, list(v ORDER BY f) x FROM smp GROUP BY tree, pos)
+, grown AS (
+  SELECT tree, pos, x, 0 node, 0 depth FROM vecs
+  UNION ALL
+  SELECT tree, pos, x, below, depth + 1 FROM (
+    WITH {_picked_sql('grown')}
+    SELECT g.tree, g.pos, g.x, g.depth, CASE WHEN g.x[p.f + 1] < p.split THEN 2 * g.node + 1 ELSE 2 * g.node + 2 END below
+    FROM grown g JOIN picked p ON p.tree = g.tree AND p.node = g.node))
+, {_picked_sql('grown')}
+SELECT CAST(g.tree AS INT) tree, CAST(g.node AS INT) node, CAST(coalesce(any_value(f), -1) AS INT) feature, any_value(split) split,
+       CAST(CASE WHEN any_value(f) IS NULL THEN -1 ELSE 2 * g.node + 1 END AS INT) "left",
+       CAST(CASE WHEN any_value(f) IS NULL THEN -1 ELSE 2 * g.node + 2 END AS INT) "right",
+       CAST(count(*) AS INT) size, CAST(any_value(depth) AS INT) depth
+FROM grown g LEFT JOIN picked p ON p.tree = g.tree AND p.node = g.node GROUP BY g.tree, g.node""")
 def iforest_fit(spark, folder):
     rows, cols = _features(spark, folder)
     return forest.iforest_fit(forest.iforest_sample(rows, "vec_id", cols, PARAMS), cols, PARAMS)

@@ -459,3 +459,12 @@ def test_model_for_an_absent_group(spark):
     group = pipeline.Group("g", ["g"], scalars=[agg.Scalar("n", "count", F.lit(1))], models=[model])
     with pytest.raises(ValueError, match="later"):
         pipeline.run(log, [group])
+
+
+def test_a_forest_too_large_to_keep_is_read_from_its_files(spark):
+    rng = np.random.default_rng(1)
+    df = frame(spark, [(i, *map(float, rng.normal(size=2))) for i in range(200)], "i int, a double, b double")
+    params = forest.ForestParams(trees=9, max_samples=50, max_depth=4)
+    nodes = forest.iforest_fit(forest.iforest_sample(df, "i", ["a", "b"], params), ["a", "b"], params)
+    scores = [{r.i: r.score for r in forest.iforest_score(df, nodes, ["a", "b"], 50, kept_nodes=k).collect()} for k in (0, 60, 10 ** 6)]
+    assert scores[0] == scores[1] == scores[2] and len(set(scores[0].values())) > 100
