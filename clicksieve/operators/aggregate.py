@@ -7,7 +7,7 @@ log therefore reaches one task as its distinct keys, already counted.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -34,22 +34,64 @@ class Scalar:
     value: Column
 
 
+@dataclass(frozen=True)
+class Part:
+    """One field of a user's own statistic.
+
+    ``value`` is what a row adds, ``merge`` the aggregate that joins two values, in
+    any order and grouping (``F.sum``, ``F.max``, ``F.bit_or``, ...), ``start`` the
+    value of a group without any.
+    """
+
+    value: Column
+    merge: Callable[[Column], Column]
+    start: Column | None = None
+
+
+@dataclass(frozen=True)
+class Statistic:
+    """A user's own statistic: fields that merge, and what they give in the end.
+
+    Spark sums the fields up on the map side, as it does for its own aggregates.
+    """
+
+    name: str
+    parts: dict[str, Part]
+    finish: Callable[[dict[str, Column]], Column]
+
+
 @dataclass(frozen=True)
 class Keyed:
     """Statistics over the histogram of ``key``; rows with a null key are skipped.
 
     ``outputs`` maps an output column to distinct, total, max, min, mean, dev,
-    share (of the top key) or top (the key with the largest weight).
+    share (of the top key) or top (the key with the largest weight), or to a
+    function of weight and key that aggregates them. userTotal, userShare and
+    userTop are total, share and top with the distinct users of a key as weight.
     """
 
     name: str
     key: Column
-    outputs: dict[str, str]
+    outputs: dict[str, str | Callable[[Column, Column], Column]]
     weight: Column | None = None
 
+    @property
+    def counts_users(self) -> bool:
+        return any(isinstance(kind, str) and kind.startswith("user") for kind in self.outputs.values())
+
 
-def _keyed_output(kind: str, here: Column) -> Column:
+def _keyed_output(kind: str | Callable[[Column, Column], Column], here: Column) -> Column:
     n, k = F.when(here, F.col("_w")), F.when(here, F.col("_k"))
+    if callable(kind):
+        return kind(n, k)
+    if kind.startswith("user"):
+        users = F.col("_users").cast("double")
+        n = F.when(here, users)
+        return {
+            "userTotal": lambda: F.coalesce(F.sum(n), F.lit(0.0)),
+            "userShare": lambda: F.coalesce(F.try_divide(F.max(n), F.sum(n)), F.lit(0.0)),
+            "userTop": lambda: F.min_by(k, F.when(here, F.struct(-users, F.col("_k")))),
+        }[kind]()
     return {
         "distinct": lambda: F.count(k),
         "total": lambda: F.coalesce(F.sum(n), F.lit(0.0)),
@@ -63,40 +105,80 @@ def _keyed_output(kind: str, here: Column) -> Column:
     }[kind]()
 
 
+def _fields(scalars: Sequence[Scalar | Statistic]) -> tuple[list[tuple], list[Callable[[], Column]]]:
+    """(row value, first aggregate, merging aggregate) of every field, and each statistic over the merged fields."""
+    first = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+    fields, results = [], []
+    for s in scalars:
+        at = len(fields)
+        if isinstance(s, Scalar):
+            fields.append((s.value, first[s.kind], F.sum if s.kind == "count" else first[s.kind]))
+            results.append(F.col(f"_s{at}").alias(s.name))
+            continue
+        fields += [(p.value, p.merge, p.merge) for p in s.parts.values()]
+        merged = {n: F.col(f"_s{at + i}") if p.start is None else F.coalesce(f"_s{at + i}", p.start)
+                  for i, (n, p) in enumerate(s.parts.items())}
+        results.append(s.finish(merged).alias(s.name))
+    return fields, results
+
+
 def group_features(
-    df: DataFrame, dims: Sequence[str], scalars: Sequence[Scalar] = (), keyed: Sequence[Keyed] = ()
+    df: DataFrame, dims: Sequence[str], scalars: Sequence[Scalar | Statistic] = (), keyed: Sequence[Keyed] = (),
+    user: Column | None = None,
 ) -> DataFrame:
     """All scalar and keyed statistics of a grouping from one scan.
 
     A row turns into one entry for the scalars and one per keyed feature. The
-    entries are summed by (dims, feature, key), then by dims.
+    entries are summed by (dims, feature, key), then by dims. Outputs that count
+    users need ``user``: entries of their features are summed by (dims, feature,
+    key, user) first, so each user of a key is one row.
     """
-    first = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
-    merge = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+    fields, results = _fields(scalars)
     if not keyed:
-        return df.groupBy(*dims).agg(*[first[s.kind](s.value).alias(s.name) for s in scalars])
+        summed = df.groupBy(*dims).agg(*[first(value).alias(f"_s{i}") for i, (value, first, _) in enumerate(fields)])
+        return summed.select(*dims, *results)
+    by_user = any(s.counts_users for s in keyed)
+    if by_user and user is None:
+        raise ValueError("outputs that count users need the user column")
+    who = lambda s: [(user.cast("string") if s is not None and s.counts_users else F.lit(None).cast("string")).alias("u")] \
+        if by_user else []
     base = df.select(
         *dims,
-        *[s.value.alias(f"_s{i}") for i, s in enumerate(scalars)],
+        *[value.alias(f"_s{i}") for i, (value, _, _) in enumerate(fields)],
         F.explode(F.array(
-            F.struct(F.lit(-1).alias("f"), F.lit(None).cast("string").alias("k"), F.lit(0.0).alias("w")),
+            F.struct(F.lit(-1).alias("f"), F.lit(None).cast("string").alias("k"), F.lit(0.0).alias("w"), *who(None)),
             *[
                 F.struct(
                     F.lit(i).alias("f"), s.key.cast("string").alias("k"),
-                    (F.lit(1.0) if s.weight is None else s.weight.cast("double")).alias("w"))
+                    (F.lit(1.0) if s.weight is None else s.weight.cast("double")).alias("w"), *who(s))
                 for i, s in enumerate(keyed)
             ],
         )).alias("_e"),
     ).filter((F.col("_e.f") == -1) | F.col("_e.k").isNotNull())
     own = F.col("_e.f") == -1
-    counted = base.groupBy(*dims, F.col("_e.f").alias("_f"), F.col("_e.k").alias("_k")).agg(
+    keys = [F.col("_e.f").alias("_f"), F.col("_e.k").alias("_k")] + ([F.col("_e.u").alias("_u")] if by_user else [])
+    counted = base.groupBy(*dims, *keys).agg(
         F.sum("_e.w").alias("_w"),
-        *[first[s.kind](F.when(own, F.col(f"_s{i}"))).alias(f"_s{i}") for i, s in enumerate(scalars)],
+        *[first(F.when(own, F.col(f"_s{i}"))).alias(f"_s{i}") for i, (_, first, _) in enumerate(fields)],
     )
-    outs = [merge[s.kind](f"_s{i}").alias(s.name) for i, s in enumerate(scalars)]
-    for i, s in enumerate(keyed):
-        outs += [_keyed_output(kind, F.col("_f") == i).alias(name) for name, kind in s.outputs.items()]
-    return counted.groupBy(*dims).agg(*outs)
+    merged = [merge(f"_s{i}").alias(f"_s{i}") for i, (_, _, merge) in enumerate(fields)]
+    if by_user:
+        counted = counted.groupBy(*dims, "_f", "_k").agg(F.sum("_w").alias("_w"), F.count("_u").alias("_users"), *merged)
+    outs = [(name, _keyed_output(kind, F.col("_f") == i)) for i, s in enumerate(keyed) for name, kind in s.outputs.items()]
+    rows = counted.groupBy(*dims).agg(*merged, *[c.alias(name) for name, c in outs])
+    return rows.select(*dims, *results, *[name for name, _ in outs])
+
+
+def key_distributions(df: DataFrame, dims: Sequence[str], user: Column, keys: dict[str, Column]) -> DataFrame:
+    """Distributions of many keys by rows and by users, as (dims, feature, k, n, users), from one scan.
+
+    Rows are summed by (dims, feature, key, user) first, so a frequent key of a hot
+    group spreads over its users. Rows without a user count in ``n`` only.
+    """
+    entries_ = F.array(*[F.struct(F.lit(n).alias("feature"), c.cast("string").alias("k")) for n, c in keys.items()])
+    rows = unfold_structs(df.select(*dims, user.cast("string").alias("_u"), entries_.alias("_e")), [*dims, "_u"], F.col("_e"))
+    per_user = rows.filter(F.col("k").isNotNull()).groupBy(*dims, "feature", "k", "_u").agg(F.count(F.lit(1)).alias("n"))
+    return per_user.groupBy(*dims, "feature", "k").agg(F.sum("n").alias("n"), F.count("_u").alias("users"))
 
 
 # A2-A7 ------------------------------------------------------------------------
@@ -346,25 +428,36 @@ def channel_features(
 
 def channel_catalogue(
     df: DataFrame, dims: Sequence[str], user: Column, classes: dict[str, Column], tops: dict[str, Column],
-    per_value: dict[str, Column],
+    per_value: dict[str, Column], *, user_classes: dict[str, Column] | None = None,
+    rates: dict[str, tuple[Column, Column]] | None = None, by_users: bool = False,
 ) -> DataFrame:
     """The shares of a channel's catalogue, from one scan.
 
     ``classes`` are conditions: the share of rows that meet them (second search,
-    suggestion, paging). ``tops`` are keys: the share of the most frequent value
-    (click position, ad-click hour, industry, query). ``per_value`` are keys: the
-    users per distinct value (users per address, per query).
+    suggestion, paging). ``user_classes`` likewise: the share of users with a row that
+    meets them (age, life stage). ``rates`` are a sum over another one (ad clicks over
+    shown ads). ``tops`` are keys: the share of the most frequent value (click
+    position, ad-click hour, industry, query), with ``by_users`` also the share of the
+    value that most users have. ``per_value`` are keys: the users per distinct value
+    (users per address, per query).
     """
+    user_classes, rates = user_classes or {}, rates or {}
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0.0))
     scalars = [Scalar("_rows", "count", F.lit(1))]
     scalars += [Scalar(f"_c_{n}", "sum", F.when(c, 1).otherwise(0)) for n, c in classes.items()]
-    keyed = [Keyed("_user", user, {"_users": "distinct"})]
-    keyed += [Keyed(n, c, {f"{n}TopRatio": "share"}) for n, c in tops.items()]
+    scalars += [Statistic(f"{n}Rate", {"a": Part(a.cast("double"), total), "b": Part(b.cast("double"), total)},
+                          lambda p: F.try_divide(p["a"], p["b"])) for n, (a, b) in rates.items()]
+    keyed = [Keyed("_user", user, {"_users_": "distinct"})]
+    keyed += [Keyed(f"_u_{n}", F.when(c, user), {f"_u_{n}": "distinct"}) for n, c in user_classes.items()]
+    keyed += [Keyed(n, c, {f"{n}TopRatio": "share", **({f"{n}UserTopRatio": "userShare"} if by_users else {})})
+              for n, c in tops.items()]
     keyed += [Keyed(f"_v_{n}", c, {f"_v_{n}": "distinct"}) for n, c in per_value.items()]
-    out = group_features(df, dims, scalars, keyed)
+    out = group_features(df, dims, scalars, keyed, user)
     return out.select(
         *dims, *[F.try_divide(F.col(f"_c_{n}"), F.col("_rows")).alias(f"{n}Ratio") for n in classes],
-        *[f"{n}TopRatio" for n in tops],
-        *[F.try_divide(F.col("_users"), F.col(f"_v_{n}")).alias(f"usersPer{n}") for n in per_value])
+        *[F.try_divide(F.col(f"_u_{n}"), F.col("_users_")).alias(f"{n}UserRatio") for n in user_classes],
+        *[f"{n}Rate" for n in rates], *[c for n in tops for c in (f"{n}TopRatio", f"{n}UserTopRatio") if c in out.columns],
+        *[F.try_divide(F.col("_users_"), F.col(f"_v_{n}")).alias(f"usersPer{n}") for n in per_value])
 
 
 def user_features(

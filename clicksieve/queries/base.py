@@ -144,6 +144,8 @@ def adlog(spark: SparkSession, folder: str) -> DataFrame:
     li = table(spark, folder, "lineitem").selectExpr(
         "l_orderkey", "l_suppkey", "l_partkey", "l_returnflag", "l_linenumber", "l_quantity",
         "unix_millis(cast(l_shipdate as timestamp)) day_ms")
+    # the test table is one row group: without this one task would write and parse all the JSON
+    li = li.repartition("l_orderkey", "l_linenumber")
     shown = [f"case when l_linenumber % 3 >= {k - 1} then {_ad_text(k, place)} end"
              for k, place in enumerate(["top", "right", "bottom"], 1)]
     return li.selectExpr(
@@ -171,6 +173,37 @@ ADLOG = """adrows AS (
   WHERE l_quantity <> 50)"""
 
 
+# adviews: one row per shown ad with all that the feature catalogue asks of it ----
+# A customer is its order here; its age in days follows from the number. Line 1 is
+# a first search, line 2 a second one, line 3 a suggestion, the rest are pages.
+
+_ADVIEWS = {
+    "site": "l_returnflag",
+    "srcg": "concat('s', CAST(l_suppkey % 5 AS STRING))",
+    "guid": "CAST(l_orderkey % 900 AS STRING)",
+    "age": "l_orderkey % 900 % 11",
+    "industry": "concat('i', CAST(l_partkey % 25 AS STRING))",
+    "sub_industry": "concat('u', CAST(l_partkey % 140 AS STRING))",
+    "clicks": "(l_linenumber + l_partkey) % 3",
+    "pos": "l_linenumber",
+    "hr": "(l_partkey + l_orderkey) % 24",
+    "address": "concat('a', CAST(l_suppkey % 60 AS STRING))",
+    "q": "CASE WHEN l_quantity > 3 THEN concat('q', CAST(l_partkey % 80 AS STRING)) END",
+    "city": "concat('c', CAST(l_suppkey % 17 AS STRING))",
+    "area": "concat('r', CAST((l_suppkey + l_linenumber) % 6 AS STRING))",
+    "browser": "concat('b', CAST(l_orderkey % 7 AS STRING))",
+    "kind": "CASE l_linenumber WHEN 1 THEN 'first' WHEN 2 THEN 'second' WHEN 3 THEN 'suggestion' ELSE 'page' END",
+    "gap": "(l_partkey * 7 + l_linenumber) % 100",
+}
+
+
+def adviews(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem").selectExpr(*[f"{e} {n}" for n, e in _ADVIEWS.items()])
+
+
+ADVIEWS = "adviews AS (SELECT " + ", ".join(f"{e} {n}" for n, e in _ADVIEWS.items()) + " FROM lineitem)"
+
+
 # hist, vec --------------------------------------------------------------------
 
 def hist(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from clicksieve.functions import detail
 from clicksieve.functions.unfold import unfold_structs
 from clicksieve.operators import aggregate as agg
-from clicksieve.queries.base import ADLOG, CHECKS, LOG, RULES, adlog, checks, ctes, log, query, rounded, table
+from clicksieve.queries.base import ADLOG, ADVIEWS, CHECKS, LOG, RULES, adlog, adviews, checks, ctes, log, query, rounded, table
 
 DIMS = ["site", "srcg"]
 
@@ -228,3 +228,89 @@ def user_features(spark, folder):
     return agg.user_features(
         log(spark, folder), "guid", {"spv": F.lit(1), "cpv": F.when(F.col("act") == "click", 1).otherwise(0)},
         {"hourCount": _hour(), "clickedQueryCount": clicked}, {"queryCount": F.col("q"), "channelCount": F.col("srcg")})
+
+
+# The catalogue of a channel's ads: what is counted, as a key that is null for rows that don't count.
+_CLICKED = ["pos", "hr", "industry", "sub_industry", "address", "q", "city", "area", "gap"]
+_SHOWN = ["industry", "sub_industry", "address", "q", "city", "browser", "kind"]
+_AD_KEYS = {f"adShow_{k}": k for k in _SHOWN} | {f"adClick_{k}": f"CASE WHEN clicks > 0 THEN {k} END" for k in _CLICKED}
+_AD_KEYS["adClick_gap"] = "CASE WHEN clicks > 0 THEN gap - gap % 10 END"
+_AD_ENTRIES = ", d AS (" + " UNION ALL ".join(
+    f"SELECT site, srcg, guid, '{n}' feature, CAST({e} AS VARCHAR) k FROM adviews" for n, e in _AD_KEYS.items()) + """)
+, dist AS (SELECT site, srcg, feature, k, count(*) n, count(DISTINCT guid) users FROM d WHERE k IS NOT NULL GROUP BY ALL)"""
+
+
+@query("channel_distributions", ctes(ADVIEWS) + _AD_ENTRIES + " SELECT * FROM dist")
+def channel_distributions(spark, folder):
+    return agg.key_distributions(adviews(spark, folder), DIMS, F.col("guid"), {n: F.expr(e) for n, e in _AD_KEYS.items()})
+
+
+_STAGES = {"newUser": "age = 0", "youngUser": "age <= 3", "oldUser": "age >= 4"}
+
+
+@query("channel_ad_catalogue", ctes(ADVIEWS) + _AD_ENTRIES + """
+, top AS (SELECT site, srcg, feature, max(n) / sum(n) r, max(users) / sum(users) u FROM dist GROUP BY ALL)
+, base AS (SELECT site, srcg, round(sum(clicks) / count(*), 6) adClickRate,
+    round(count(*) FILTER (kind = 'second') / count(*), 6) secondSearchRatio, """ + ", ".join(
+    f"round(count(DISTINCT guid) FILTER ({c}) / count(DISTINCT guid), 6) {n}UserRatio" for n, c in _STAGES.items()) + """,
+    round(count(DISTINCT guid) / count(DISTINCT address), 6) "usersPerAddress",
+    round(count(DISTINCT guid) / count(DISTINCT q), 6) "usersPerQuery" FROM adviews GROUP BY site, srcg)
+SELECT base.*, """ + ", ".join(
+    f"(SELECT round(any_value({c}), 6) FROM top WHERE top.site = base.site AND top.srcg = base.srcg AND feature = '{n}') {n}{t}TopRatio"
+    for n in _AD_KEYS for c, t in (("r", ""), ("u", "User"))) + " FROM base")
+def channel_ad_catalogue(spark, folder):
+    out = agg.channel_catalogue(
+        adviews(spark, folder), DIMS, F.col("guid"), {"secondSearch": F.col("kind") == "second"},
+        {n: F.expr(e) for n, e in _AD_KEYS.items()}, {"Address": F.col("address"), "Query": F.col("q")},
+        user_classes={n: F.expr(c) for n, c in _STAGES.items()}, rates={"adClick": (F.col("clicks"), F.lit(1))}, by_users=True)
+    return out.select(*DIMS, *[rounded(c) for c in out.columns if c not in DIMS])
+
+
+_USER_COUNTS = {f"adShow{k}": k for k in ("industry", "sub_industry")} | {
+    f"adClick{k}": f"CASE WHEN clicks > 0 THEN {k} END" for k in ("industry", "sub_industry")} | {
+    f"{k}Count": k for k in ("address", "city", "browser", "hr", "srcg")}
+_USER_SUMS = {"adshow": "1", "adclick": "clicks"} | {
+    f"{k}Count": f"CASE WHEN kind = '{k}' THEN 1 ELSE 0 END" for k in ("first", "second", "suggestion", "page")}
+
+
+@query("user_catalogue", ctes(ADVIEWS) + """
+, hq AS (SELECT guid, q, count(*) n FROM adviews WHERE q IS NOT NULL GROUP BY ALL)
+, fq AS (SELECT guid, count(*) queryCount, CAST(max(n) AS DOUBLE) queryCountMax, CAST(min(n) AS DOUBLE) queryCountMin FROM hq GROUP BY guid)
+, hc AS (SELECT guid, srcg, count(*) n FROM adviews GROUP BY ALL)
+, fc AS (SELECT guid, count(*) channelCount, CAST(max(n) AS DOUBLE) channelCountMax, CAST(min(n) AS DOUBLE) channelCountMin FROM hc GROUP BY guid)
+, base AS (SELECT guid, """ + ", ".join([f"CAST(sum({e}) AS DOUBLE) {n}" for n, e in _USER_SUMS.items()] + [
+    f"count(DISTINCT {e}) {n}" for n, e in _USER_COUNTS.items()]) + """ FROM adviews GROUP BY guid)
+SELECT base.*, coalesce(queryCount, 0) queryCount, coalesce(queryCountMax, -1.0::DOUBLE) queryCountMax,
+       coalesce(queryCountMin, -1.0::DOUBLE) queryCountMin, channelCount, channelCountMax, channelCountMin
+FROM base JOIN fc USING (guid) LEFT JOIN fq USING (guid)""")
+def user_catalogue(spark, folder):
+    exprs = lambda specs: {n: F.expr(e) for n, e in specs.items()}
+    return agg.user_features(adviews(spark, folder), "guid", exprs(_USER_SUMS), exprs(_USER_COUNTS),
+                             {"queryCount": F.col("q"), "channelCount": F.col("srcg")})
+
+
+# A statistic of this query's own: the hours seen as bits, and the mean gap of clicked ads with its spread.
+def _own_statistics():
+    clicked = F.when(F.col("clicks") > 0, F.col("gap").cast("double"))
+    moments = {"n": agg.Part(F.when(F.col("clicks") > 0, 1), F.sum, F.lit(0)), "s": agg.Part(clicked, F.sum, F.lit(0.0)),
+               "q": agg.Part(clicked * clicked, F.sum, F.lit(0.0))}
+    bit = F.expr("shiftleft(1L, cast(hr as int))")
+    return [
+        agg.Statistic("gapMean", moments, lambda p: F.try_divide(p["s"], p["n"])),
+        agg.Statistic("gapVariance", moments, lambda p: F.try_divide(p["q"], p["n"]) - F.pow(F.try_divide(p["s"], p["n"]), F.lit(2))),
+        agg.Statistic("hoursSeen", {"bits": agg.Part(bit, F.bit_or)}, lambda p: F.bit_count(p["bits"])),
+    ]
+
+
+@query("own_statistics", ctes(ADVIEWS) + """
+, w AS (SELECT site, srcg, industry, count(*) n FROM adviews GROUP BY ALL)
+, k AS (SELECT site, srcg, count(*) FILTER (n >= 20) usualIndustries, sum(n * n) / (sum(n) * sum(n)) concentration FROM w GROUP BY ALL)
+SELECT site, srcg, round(avg(gap) FILTER (clicks > 0), 6) gapMean, round(var_pop(gap) FILTER (clicks > 0), 4) gapVariance,
+       CAST(count(DISTINCT hr) AS INT) hoursSeen, any_value(usualIndustries) usualIndustries, round(any_value(concentration), 6) concentration
+FROM adviews JOIN k USING (site, srcg) GROUP BY site, srcg""")
+def own_statistics(spark, folder):
+    keyed = agg.Keyed("industry", F.col("industry"), {
+        "usualIndustries": lambda n, k: F.count(F.when(n >= 20, 1)),
+        "concentration": lambda n, k: F.sum(n * n) / (F.sum(n) * F.sum(n))})
+    out = agg.group_features(adviews(spark, folder), DIMS, _own_statistics(), [keyed])
+    return out.select(*DIMS, rounded("gapMean"), rounded("gapVariance", 4), "hoursSeen", "usualIndustries", rounded("concentration"))

@@ -468,3 +468,27 @@ def test_a_forest_too_large_to_keep_is_read_from_its_files(spark):
     nodes = forest.iforest_fit(forest.iforest_sample(df, "i", ["a", "b"], params), ["a", "b"], params)
     scores = [{r.i: r.score for r in forest.iforest_score(df, nodes, ["a", "b"], 50, kept_nodes=k).collect()} for k in (0, 60, 10 ** 6)]
     assert scores[0] == scores[1] == scores[2] and len(set(scores[0].values())) > 100
+
+
+# statistics of groups ---------------------------------------------------------------------
+
+
+def test_own_statistics_and_outputs_by_users(spark):
+    rows = [("a", "u1", "x", 2.0), ("a", "u1", "x", 3.0), ("a", "u2", "y", 4.0), ("a", "u3", "y", 1.0), ("a", None, "z", 9.0),
+            ("a", "u1", None, 5.0), ("b", None, None, None), (None, "u9", "x", 7.0)]
+    df = frame(spark, rows, "g string, u string, k string, v double")
+    product = agg.Statistic(
+        "product", {"logs": agg.Part(F.ln("v"), F.sum, F.lit(0.0)), "n": agg.Part(F.when(F.col("v").isNotNull(), 1), F.sum, F.lit(0))},
+        lambda p: F.when(p["n"] > 0, F.round(F.exp(p["logs"]), 6)))
+    keyed = agg.Keyed("k", F.col("k"), {"top": "top", "userTop": "userTop", "userShare": "userShare", "userTotal": "userTotal",
+                                       "pairs": lambda n, k: F.sum(n * (n - 1) / 2)})
+    plain = {r.g: r.product for r in agg.group_features(df, ["g"], [product]).collect()}
+    got = {r.g: r for r in agg.group_features(df, ["g"], [product, agg.Scalar("n", "count", F.lit(1))], [keyed], F.col("u")).collect()}
+    assert plain == {g: r["product"] for g, r in got.items()} == {"a": 1080.0, "b": None, None: 7.0}
+    # rows: x 2, y 2, z 1; users: x 1, y 2, z none
+    assert (got["a"].n, got["a"].top, got["a"].userTop, got["a"].userShare, got["a"].userTotal, got["a"].pairs) == (6, "x", "y", 2 / 3, 3.0, 2.0)
+    assert (got["b"].userTop, got["b"].userShare, got["b"].userTotal) == (None, 0.0, 0.0)
+    with pytest.raises(ValueError):
+        agg.group_features(df, ["g"], [], [keyed])
+    spread = {(r.g, r.feature, r.k): (r.n, r.users) for r in agg.key_distributions(df, ["g"], F.col("u"), {"k": F.col("k"), "v": F.col("v")}).collect()}
+    assert spread["a", "k", "x"] == (2, 1) and spread["a", "k", "z"] == (1, 0) and spread[None, "v", "7.0"] == (1, 1) and len(spread) == 11
