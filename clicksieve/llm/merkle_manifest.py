@@ -68,15 +68,15 @@ class Forest:
         return self.levels[level].groupBy("digest").agg(F.first("children").alias("children"))
 
 
+def height_of(leaves: Column) -> Column:
+    """Levels of runs over so many leaves."""
+    return sum(((leaves > RUN ** k).cast("int") for k in range(_MAX_HEIGHT)), F.lit(0))
+
+
 def grow(leaves: DataFrame) -> Forest:
-    """Trees over leaves (tree, place, digest), places from 0 without gaps."""
-    sizes = leaves.groupBy("tree").agg(F.count(F.lit(1)).alias("_n"))
-    height = sum(((F.col("_n") > RUN ** k).cast("int") for k in range(_MAX_HEIGHT)), F.lit(0))
-    heights = sizes.select(F.col("tree").alias("_t"), height.alias("height"))
-    top = heights.agg(F.max("height")).first()[0] or 0
-    nodes = leaves.join(heights, leaves["tree"] == heights["_t"]).drop("_t")
-    levels = [keep_table(nodes, "merkle-0")]
-    for level in range(1, top + 1):
+    """Trees over written leaves (tree, place, digest, height), places from 0 without gaps."""
+    levels = [leaves]
+    for level in range(1, (leaves.agg(F.max("height")).first()[0] or 0) + 1):
         runs = levels[-1].filter(F.col("height") >= level).groupBy("tree", "height", _above(F.col("place"), 1).alias("up")).agg(
             F.array_sort(F.collect_list(F.struct("place", "digest"))).alias("run"))
         nodes = runs.select("tree", F.col("up").alias("place"), "height", F.col("run.digest").alias("children"))
@@ -128,6 +128,11 @@ def siblings_digest(path: Column) -> Column:
     return F.sha2(F.array_join(F.transform(path, lambda s: F.concat(s["left"], s["right"])), "").cast("binary"), 256)
 
 
+def _one_tree(column: str) -> Column:
+    """0 for the tree of the groups, made from data so that joins on it stay joins on a key."""
+    return (F.col(column) * 0).alias("tree")
+
+
 @dataclass(frozen=True)
 class Manifest:
     """``leaves`` (tree, place, group, key, leaf and what came along), trees of groups and the tree of their roots."""
@@ -144,7 +149,7 @@ class Manifest:
         """Rows of ``leaves`` (or of a part of them) with ``found``, ``subroot`` and ``path``, from the bottom up."""
         requests = self.leaves if wanted is None else wanted
         none = F.array().cast("array<struct<left:string,right:string>>")
-        trees = requests.select("tree").distinct().select(F.lit(0).cast("bigint").alias("tree"), F.col("tree").alias("place"))
+        trees = requests.select("tree").distinct().select(_one_tree("tree"), F.col("tree").alias("place"))
         groups = descend(self.top, self.top.roots().withColumn("path", none), trees).select(
             F.col("place").alias("_t"), F.col("digest").alias("subroot"), "path")
         heights = self.groups.roots().select("tree", "height")
@@ -163,14 +168,16 @@ def build_manifest(rows: DataFrame) -> Manifest:
     from ranges and running sums, so no task holds a group.
     """
     leaves = keep_table(rows, "leaves")
-    groups = number_rows(keep_table(leaves.select("group").distinct(), "groups"), [], ["group"], "tree")
-    names = groups.withColumnRenamed("group", "_g")
+    sizes = keep_table(leaves.groupBy("group").agg(F.count(F.lit(1)).alias("n")), "groups")
+    groups = number_rows(sizes, [], ["group"], "tree")
+    names = groups.select(F.col("group").alias("_g"), "tree", height_of(F.col("n")).alias("height"))
     placed = number_rows(leaves, ["group"], ["key", "leaf"], "place")
-    # the number of a group and the place in it meet once; hot groups are split by AQE at the join
+    # what is known of a group meets its leaves once; hot groups are split by AQE at the join
     placed = keep_table(placed.join(names, placed["group"].eqNullSafe(names["_g"])).drop("_g"), "placed")
-    trees = grow(placed.select("tree", "place", F.col("leaf").alias("digest")))
-    roots = trees.roots().select(F.lit(0).cast("bigint").alias("tree"), F.col("tree").alias("place"), "digest")
-    return Manifest(placed, trees, grow(roots))
+    trees = grow(placed.select("tree", "place", F.col("leaf").alias("digest"), "height"))
+    height = height_of(F.lit(sizes.count())).alias("height")
+    roots = trees.roots().select(_one_tree("tree"), F.col("tree").alias("place"), "digest", height)
+    return Manifest(placed.drop("height"), trees, grow(keep_table(roots, "subroots")))
 
 
 def lower_ascii(text: Column) -> Column:
