@@ -111,8 +111,8 @@ def descend(forest: Forest, starts: DataFrame, requests: DataFrame) -> DataFrame
         if level == 1:
             found.append(chosen.select("tree", F.col("at").alias("place"), "digest", "path", *carried))
             front = None
-        else:
-            front = chosen
+        else:  # written, so that a proof's plan is as short as one level
+            front = keep_table(chosen, f"front-{level}")
     lone = begun.drop("at").withColumnRenamed("tree", "_tree")
     found.append(requests.join(lone, requests["tree"] == lone["_tree"]).select("tree", "place", "digest", "path", *carried))
     return reduce(DataFrame.unionByName, found)
