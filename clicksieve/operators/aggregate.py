@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from clicksieve.functions.histogram import clean_key, entries, write_entries, write_shares
 from clicksieve.functions.unfold import unfold_structs
 
+# Keys in the text of a group by default.
+TEXT_KEYS = 1000
+
 _STATS = {
     "Max": lambda n: F.max(n), "Min": lambda n: F.min(n),
     "Mean": lambda n: F.avg(n), "Dev": lambda n: F.var_pop(n),
@@ -295,13 +298,14 @@ def _sorted_entries() -> Column:
 
 
 def value_distribution(
-    df: DataFrame, dims: Sequence[str], key: Column, *, limit: int | None = None,
+    df: DataFrame, dims: Sequence[str], key: Column, *, limit: int | None = TEXT_KEYS,
     bernoulli: bool = False, **options,
 ) -> DataFrame:
     """Histogram and share texts by falling count, total, and share of the top value.
 
-    Without a limit the text of a group holds all its keys: for keys of many
-    values (queries, addresses) give one, or use the long ``histogram``.
+    The texts show the ``limit`` most frequent keys, so a group's row stays small;
+    total and share are over all keys, and ``histogram`` has them all as rows. With
+    ``limit=None`` the text of a group holds all its keys.
     """
     hist = histogram(df, dims, key, **options)
     pairs = _sorted_entries()

@@ -258,6 +258,7 @@ def context_counts(contexts: DataFrame, dims: Sequence[str], depth: int, limit:
     """
     grams = contexts.filter(F.col("next").isNotNull()).groupBy(*dims, "prev", "next").agg(F.count(F.lit(1)).alias("_n"))
     if limit is not None and dims:
+        grams = keep_table(grams, "grams")  # read for the sizes of groups and for the counts
         roots = grams.groupBy(*dims).agg(F.sum("_n").alias("_root"))
         grams = same_keys(grams, roots.filter(F.col("_root") > limit).select(*dims), dims, "left_semi")
     return _suffixes(grams, [*dims, "next", "_n"], depth).groupBy(*dims, "len", "ctx", "next").agg(F.sum("_n").alias("n"))

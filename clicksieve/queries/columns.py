@@ -557,3 +557,17 @@ def rule(spark, folder):
     return checks(spark, folder).select(
         "l_orderkey", "l_linenumber", check_rule("l_quantity >= 48", "l_discount >= 0.07", remit=["^s1"]).alias("rule"),
         guarded_rule(verdict, remit=["^s1"]).alias("guarded"))
+
+
+_AGENT = "concat('Mozilla/5.0 (X11) ', CASE event_id % 3 WHEN 0 THEN 'Gecko/1 Alpha' WHEN 1 THEN 'Beta' ELSE 'Gamma Delta' END, '/', CAST(event_id % 9 AS STRING), '.2')"
+
+
+@query("product_scores", ctes(LOG) + ", a AS (SELECT " + _AGENT + """ agent, value, q FROM log)
+SELECT split_part(string_split(agent, ' ')[-1], '/', 1) product, count(*) n, round(avg(1 / (1 + exp(-value / 100))), 6) score,
+       max(length(coalesce(CAST(q AS VARCHAR), ''))) longest FROM a GROUP BY 1""")
+def product_scores(spark, folder):
+    rows = log(spark, folder).withColumn("agent", F.expr(_AGENT))
+    out = rows.groupBy(text.product_token(F.col("agent")).alias("product")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(text.sigmoid(F.col("value") / 100)).alias("score"),
+        F.max(F.length(text.text_or_empty(F.col("q")))).cast("bigint").alias("longest"))
+    return out.select("product", "n", rounded("score"), "longest")

@@ -54,7 +54,25 @@ def _mahalanobis_sums(rows, model):
     return sums.select("rows", "width", F.round("_n", 3).alias("squares"), F.round(F.col("_s") - F.col("_n") / F.col("_u"), 3).alias("shifted"))
 
 
-@query("mahalanobis_scores")
+# The inverse of the covariances by Gauss-Jordan steps, one per component.
+_INVERSE = """m AS (SELECT c, avg(x) m, stddev_samp(x) s FROM l GROUP BY c)
+, cov AS (SELECT p.c i, q.c j, covar_samp(p.x, q.x) v FROM l p JOIN l q USING (vec_id) GROUP BY p.c, q.c)
+, ks AS (SELECT c, row_number() OVER (ORDER BY c) r FROM m)
+, steps AS (
+  SELECT 0 k, i, j, v FROM cov
+  UNION ALL
+  SELECT a.k + 1, a.i, a.j, CASE WHEN a.i = ks.c AND a.j = ks.c THEN 1 / p.v WHEN a.i = ks.c THEN a.v / p.v
+    WHEN a.j = ks.c THEN -a.v / p.v ELSE a.v - ic.v * jr.v / p.v END
+  FROM steps a JOIN ks ON ks.r = a.k + 1 JOIN steps p ON p.i = ks.c AND p.j = ks.c
+  JOIN steps ic ON ic.i = a.i AND ic.j = ks.c JOIN steps jr ON jr.i = ks.c AND jr.j = a.j)
+, inv AS (SELECT i, j, v FROM steps WHERE k = (SELECT max(k) FROM steps))"""
+
+
+@query("mahalanobis_scores", ctes(CELLS, _INVERSE).replace("WITH", "WITH RECURSIVE", 1) + """
+, unit AS (SELECT sum(p.s * v * q.s) u FROM inv JOIN m p ON p.c = i JOIN m q ON q.c = j)
+, z AS (SELECT vec_id, c, x - m - 3 * s z FROM l JOIN m USING (c))
+, d AS (SELECT p.vec_id, sum(p.z * v * q.z) d FROM z p JOIN inv ON inv.i = p.c JOIN z q ON q.vec_id = p.vec_id AND q.c = inv.j GROUP BY p.vec_id)
+SELECT vec_id, round(sqrt(d / u), 5) score FROM d, unit""")
 def mahalanobis_scores(spark, folder):
     rows = _vectors(spark, folder)
     model = vectors.fit_moments(rows, "v")
@@ -156,7 +174,7 @@ def _picked_sql(rows: str) -> str:
       SELECT tree, node, fs[1 + CAST(floor({_UNIT.format(f"{seed}, tree, node, 'feature'")} * len(fs)) AS BIGINT)] p FROM usable))"""
 
 
-@query("iforest_fit", "WITH RECURSIVE " + _sample_sql(PARAMS) + f"""
+_GROWN = _sample_sql(PARAMS) + f"""
 , vecs AS (SELECT tree, pos, list(v ORDER BY f) x FROM smp GROUP BY tree, pos)
 , grown AS (
   SELECT tree, pos, x, 0 node, 0 depth FROM vecs
@@ -166,11 +184,16 @@ def _picked_sql(rows: str) -> str:
     SELECT g.tree, g.pos, g.x, g.depth, CASE WHEN g.x[p.f + 1] < p.split THEN 2 * g.node + 1 ELSE 2 * g.node + 2 END below
     FROM grown g JOIN picked p ON p.tree = g.tree AND p.node = g.node))
 , {_picked_sql('grown')}
-SELECT CAST(g.tree AS INT) tree, CAST(g.node AS INT) node, CAST(coalesce(any_value(f), -1) AS INT) feature, any_value(split) split,
-       CAST(CASE WHEN any_value(f) IS NULL THEN -1 ELSE 2 * g.node + 1 END AS INT) "left",
-       CAST(CASE WHEN any_value(f) IS NULL THEN -1 ELSE 2 * g.node + 2 END AS INT) "right",
-       CAST(count(*) AS INT) size, CAST(any_value(depth) AS INT) depth
-FROM grown g LEFT JOIN picked p ON p.tree = g.tree AND p.node = g.node GROUP BY g.tree, g.node""")
+, nodes AS (
+  SELECT CAST(g.tree AS INT) tree, CAST(g.node AS INT) node, CAST(coalesce(any_value(f), -1) AS INT) f, any_value(split) split,
+         CAST(CASE WHEN any_value(f) IS NULL THEN -1 ELSE 2 * g.node + 1 END AS INT) l,
+         CAST(CASE WHEN any_value(f) IS NULL THEN -1 ELSE 2 * g.node + 2 END AS INT) r,
+         CAST(count(*) AS INT) size, CAST(any_value(depth) AS INT) depth
+  FROM grown g LEFT JOIN picked p ON p.tree = g.tree AND p.node = g.node GROUP BY g.tree, g.node)"""
+
+
+@query("iforest_fit", "WITH RECURSIVE " + _GROWN + """
+SELECT tree, node, f feature, split, l "left", r "right", size, depth FROM nodes""")
 def iforest_fit(spark, folder):
     rows, cols = _features(spark, folder)
     return forest.iforest_fit(forest.iforest_sample(rows, "vec_id", cols, PARAMS), cols, PARAMS)
@@ -190,12 +213,16 @@ _NODE_SQL = ", ".join(
     "(" + ", ".join("NULL" if v is None else f"{v}::DOUBLE" if isinstance(v, float) else str(v) for v in n) + ")"
     for n in NODES)
 _C = "CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + 0.5772156649::DOUBLE) - 2 * ({n} - 1) / {n} WHEN {n} = 2 THEN 1.0 ELSE 0.0 END"
-_SCORED = f"""nodes(tree, node, f, split, l, r, size, depth) AS (VALUES {_NODE_SQL})
-, walk AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) x, nodes.* FROM embeddings, nodes WHERE node = 0
+def _walk_sql(samples: int) -> str:
+    """Scores of all rows of embeddings by a table ``nodes``."""
+    return f"""walk AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) x, nodes.* FROM embeddings, nodes WHERE node = 0
    UNION ALL SELECT walk.vec_id, walk.x, n.* FROM walk JOIN nodes n ON n.tree = walk.tree
      AND n.node = CASE WHEN walk.x[walk.f + 1] < walk.split THEN walk.l ELSE walk.r END WHERE walk.f >= 0)
 , leaf AS (SELECT vec_id, depth + {_C.format(n='size::DOUBLE')} p FROM walk WHERE f < 0)
-, scored AS (SELECT vec_id, pow(2, -avg(CASE WHEN p <= 2 THEN 0 WHEN p <= 5 THEN p - 1 ELSE p END) / ({_C.format(n='64::DOUBLE')})) score FROM leaf GROUP BY vec_id)"""
+, scored AS (SELECT vec_id, pow(2, -avg(CASE WHEN p <= 2 THEN 0 WHEN p <= 5 THEN p - 1 ELSE p END) / ({_C.format(n=f'{samples}::DOUBLE')})) score FROM leaf GROUP BY vec_id)"""
+
+
+_SCORED = f"nodes(tree, node, f, split, l, r, size, depth) AS (VALUES {_NODE_SQL})\n, " + _walk_sql(64)
 
 
 def _scored(spark, folder):
@@ -209,12 +236,17 @@ def iforest_score(spark, folder):
     return _scored(spark, folder).select("vec_id", rounded("score"))
 
 
-@query("iforest_detect")
+@query("iforest_detect", "WITH RECURSIVE " + _GROWN + "\n, " + _walk_sql(int(PARAMS.max_samples)) + """
+, q AS (SELECT vec_id, round(score, 9) score FROM scored)
+, o AS (SELECT score, row_number() OVER (ORDER BY score) r, count(*) OVER () n FROM q)
+, c AS (SELECT min(score) cut FROM o WHERE r >= ceil((1.0::DOUBLE - 0.05::DOUBLE) * n))
+SELECT vec_id, score, cut, CASE WHEN score > cut THEN 1 ELSE 0 END anomaly FROM q, c""")
 def iforest_detect(spark, folder):
-    """Sample, fit, score and cut on one table."""
+    """Sample, fit, score and cut on one table; scores are equal up to nine digits."""
     rows, cols = _features(spark, folder)
     nodes = keep_table(forest.iforest_fit(forest.iforest_sample(rows, "vec_id", cols, PARAMS), cols, PARAMS), "forest")
-    scored = keep_table(forest.iforest_score(rows, nodes, cols, int(PARAMS.max_samples)).select("vec_id", "score"), "scores")
+    scored = forest.iforest_score(rows, nodes, cols, int(PARAMS.max_samples))
+    scored = keep_table(scored.select("vec_id", F.round("score", 9).alias("score")), "scores")
     return vectors.anomaly_cut(scored, "score", 0.05)
 
 

@@ -129,7 +129,7 @@ def _contexts(spark, folder):
 
 
 def _counts(contexts):
-    return sequence.context_counts(contexts, ["srcg"], DEPTH, MIN_ROOT)
+    return keep_table(sequence.context_counts(contexts, ["srcg"], DEPTH, MIN_ROOT), "context-counts")
 
 
 @query("context_counts", ctes(LOG, TIMELINE, GRAMS) + 'SELECT srcg, len, ctx, "next", n FROM counts')
