@@ -5,9 +5,9 @@ group with its own keys. Smoothing adds the same small count to every key, so a
 share is a background value of the group plus a correction on the group's own
 keys; sums over all keys follow from both, and the number of keys has no limit.
 
-Divergences of groups are computed in cells: groups are numbered and cut into
-blocks, two blocks meet in one task, and the task hands on only what is asked:
-all pairs, the near ones, or the nearest cluster of each cluster.
+Divergences of listed pairs come from joins on keys. Average linkage lists no pairs:
+groups are numbered and cut into blocks, two blocks meet in one task, and the task
+hands on only the nearest cluster of each cluster.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from clicksieve.operators.ranks import number_rows, running
 from clicksieve.session import keep_table
 
 SMOOTH = 0.0001  # fixed value
+# Blocks per side of the join that lists all pairs.
+PAIR_BLOCKS = 16
 # Groups in a block; two blocks and the matrix between them are held by a task.
 BLOCK = 1024
 
@@ -147,11 +149,6 @@ def in_cells(
     return left.unionByName(right).groupBy("i", "j").applyInArrow(run, schema)
 
 
-def _all_links(rows: DataFrame, blocks: int) -> DataFrame:
-    return rows.sparkSession.range(blocks).select(
-        F.col("id").alias("i"), F.explode(F.sequence(F.col("id"), F.lit(blocks - 1))).alias("j"))
-
-
 def _near_links(spans: DataFrame, width: float) -> DataFrame:
     """Links (i, j) of blocks whose intervals (block, lo, hi) are at most ``width`` apart."""
     cell = lambda c: F.floor(F.col(c) / width).cast("bigint")
@@ -164,44 +161,63 @@ def _near_links(spans: DataFrame, width: float) -> DataFrame:
     return met.select("i", "j").distinct()
 
 
-def _pairs_of(below: float | None) -> Callable[[pa.Table, pa.Table | None], Iterator[pa.Table]]:
-    def what(first: pa.Table, second: pa.Table | None) -> Iterator[pa.Table]:
-        a = Block(first)
-        b = a if second is None else Block(second)
-        one, two = divergence(a, b)
-        for d, p, q in [(one, a, b)] if second is None else [(one, a, b), (two.T, b, a)]:
-            x, y = np.nonzero(np.isfinite(d) if below is None else d < below)
-            if second is None:
-                x, y = x[x != y], y[x != y]
-            yield pa.table({"a": p.table.column("g").take(pa.array(x)), "b": q.table.column("g").take(pa.array(y)),
-                            "kl": pa.array(d[x, y])})
+# pairs of groups ---------------------------------------------------------------------
 
-    return what
+_SCALARS = ["base", "log_base", "c_sum", "e_sum", "entropy"]
 
 
-def pairwise_kl(hist: DataFrame, group: str, key: str = "k", n: str = "n", smooth: float = SMOOTH) -> DataFrame:
-    """KL divergence in nats between every two groups, as (a, b, kl): all pairs are the result asked for."""
-    rows = keep_table(profiles(hist, group, key, n, smooth), "profiles")
-    rows = number_rows(rows, [], ["g"]).withColumn("block", F.floor(F.col("place") / (BLOCK // 2)))
-    kind = rows.schema["g"].dataType.simpleString()
-    links = _all_links(rows, (rows.agg(F.max("block")).first()[0] or 0) + 1)
-    return in_cells(rows, links, _pairs_of(None), f"a {kind}, b {kind}, kl double")
+def _entries(rows: DataFrame) -> DataFrame:
+    """Corrections of profiles in long form: (g, at, c, e)."""
+    cells = rows.select("g", F.explode(F.arrays_zip("keys", "c", "e")).alias("x"))
+    return cells.select("g", F.col("x.keys").alias("at"), F.col("x.c").alias("c"), F.col("x.e").alias("e"))
+
+
+def _sided(rows: DataFrame, side: str, columns: Sequence[str]) -> DataFrame:
+    return rows.select(F.col("g").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns])
 
 
-def _widest(rows: DataFrame) -> int:
-    """Place of the key whose share varies most over the profiles."""
+def _with_kl(pairs: DataFrame, common: DataFrame) -> DataFrame:
+    """(a, b, kl) of pairs with both profiles' scalars, and what common keys add (a, b, dot)."""
+    background = F.col("a_base") * (F.col("a_n_keys") * F.col("b_log_base") + F.col("b_e_sum")) + F.col("a_c_sum") * F.col("b_log_base")
+    joined = same_keys(pairs, common, ["a", "b"])
+    return joined.select("a", "b", (F.col("a_entropy") - background - F.coalesce("dot", F.lit(0.0))).alias("kl"))
+
+
+def pairwise_kl(hist: DataFrame, group: str, key: str = "k", n: str = "n", smooth: float = SMOOTH) -> DataFrame:
+    """KL divergence in nats between every two groups, as (a, b, kl): all pairs are the result asked for.
+
+    The background of a pair follows from sums of both groups, what common keys add
+    from a join on the key. Groups fall into hash blocks, and each pair of blocks is
+    one key of the join that lists the pairs, so these spread over many tasks.
+    """
+    rows = keep_table(profiles(hist, group, key, n, smooth), "profiles")
+    own = F.pmod(F.xxhash64("g"), F.lit(PAIR_BLOCKS)).cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.lit(PAIR_BLOCKS - 1)))
+    a = _sided(rows, "a", [*_SCALARS, "n_keys"]).join(rows.select(F.col("g").alias("a"), own.alias("_i"), others.alias("_j")), "a")
+    b = _sided(rows, "b", _SCALARS).join(rows.select(F.col("g").alias("b"), others.alias("_i"), own.alias("_j")), "b")
+    pairs = a.join(b, ["_i", "_j"]).filter(F.col("a") != F.col("b")).drop("_i", "_j")
+    cells = _entries(rows)
+    common = _sided(cells, "a", ["at", "c"]).join(_sided(cells, "b", ["at", "e"]), F.col("a_at") == F.col("b_at")).filter(
+        F.col("a") != F.col("b")).groupBy("a", "b").agg(F.sum(F.col("a_c") * F.col("b_e")).alias("dot"))
+    return _with_kl(pairs, common)
+
+
+def _widest(rows: DataFrame, count: int) -> list[int]:
+    """Places of the keys whose shares vary most over the profiles."""
     every = rows.agg(F.count(F.lit(1)), F.sum("base"), F.sum(F.col("base") * F.col("base"))).first()
     cells = rows.select("base", F.explode(F.arrays_zip("keys", "c")).alias("x")).select(
         F.col("x.keys").alias("place"), F.col("x.c").alias("c"), "base")
     # on its own keys a share differs from the background by c, its square by c * (c + 2 base)
     mean = (F.lit(every[1]) + F.sum("c")) / every[0]
     square = (F.lit(every[2]) + F.sum(F.col("c") * (F.col("c") + 2 * F.col("base")))) / every[0]
-    spread = cells.groupBy("place").agg((square - mean * mean).alias("d")).orderBy(F.desc("d"), "place").first()
-    return -1 if spread is None else spread.place
+    widest = cells.groupBy("place").agg((square - mean * mean).alias("d")).orderBy(F.desc("d"), "place").limit(count)
+    return [r.place for r in widest.collect()]
 
 
-def _share(place: int) -> Column:
-    """A profile's share of one key."""
+def _share(place: int | Sequence[int]) -> Column:
+    """A profile's share of one key; the background without one."""
+    if not isinstance(place, int):
+        return _share(place[0]) if place else F.col("base")
     at = F.array_position("keys", F.lit(place).cast("bigint")).cast("int")
     return F.col("base") + F.when(at > 0, F.get("c", at - 1)).otherwise(F.lit(0.0))
 
@@ -216,16 +232,29 @@ def near_pairs(
 ) -> DataFrame:
     """The ordered pairs of groups whose KL divergence is under ``below`` nats, as (a, b, kl).
 
-    A divergence under t moves no share by more than sqrt(t / 2) (Pinsker). Groups
-    are ordered by their share of the key that varies most; only blocks whose
-    intervals are that close meet, and no pair below the threshold is missed.
+    A divergence under t moves no share by more than sqrt(t / 2) (Pinsker), so
+    both groups lie in the same or neighbouring cells of that width, for every key.
+    Cells of the two keys whose shares vary most are the join keys; distant groups
+    never meet and no pair below the threshold is missed. What common keys add is
+    summed over the entries of the pairs that met.
     """
     rows = keep_table(profiles(hist, group, key, n, smooth), "profiles")
-    kind = rows.schema["g"].dataType.simpleString()
-    rows = keep_table(rows.withColumn("share", _share(_widest(rows))), "shares")
-    rows = number_rows(rows, [], ["share", "g"]).withColumn("block", F.floor(F.col("place") / BLOCK))
-    spans = rows.groupBy("block").agg(F.min("share").alias("lo"), F.max("share").alias("hi"))
-    return in_cells(rows, _near_links(spans, _width(below)), _pairs_of(below), f"a {kind}, b {kind}, kl double")
+    width = _width(below)
+    names = [f"_c{i}" for i in range(2)]
+    cells = [F.floor(_share(p) / width) for p in _widest(rows, 2)]
+    cells += [F.lit(0).cast("bigint")] * (2 - len(cells))
+    placed = rows.withColumns(dict(zip(names, cells)))
+    a = _sided(placed, "a", [*_SCALARS, "n_keys", *names]).withColumnsRenamed({f"a_{n}": n for n in names})
+    b = _sided(placed, "b", [*_SCALARS, *names]).withColumnsRenamed({f"b_{n}": n for n in names})
+    for n in names:
+        b = b.withColumn(n, F.explode(F.array(F.col(n) - 1, F.col(n), F.col(n) + 1)))
+    pairs = keep_table(a.join(b, names).filter(F.col("a") != F.col("b")).drop(*names), "near-pairs")
+    entries = _entries(rows)
+    left, right = _sided(entries, "a", ["at", "c"]), _sided(entries, "b", ["at", "e"]).withColumnRenamed("b", "_b")
+    met = pairs.select("a", "b").join(left, "a")
+    common = met.join(right, (met["b"] == right["_b"]) & (met["a_at"] == right["b_at"])).groupBy("a", "b").agg(
+        F.sum(F.col("a_c") * F.col("b_e")).alias("dot"))
+    return _with_kl(pairs, common).filter(F.col("kl") < below)
 
 
 # average linkage ------------------------------------------------------------------------
@@ -278,7 +307,7 @@ def link_clusters(rows: DataFrame, threshold: float) -> DataFrame:
     """Clusters (g, tag) of written profiles with their ``volume``, see ``average_link_clusters``."""
     # a divergence goes from the larger group to the smaller one
     ranked = keep_table(number_rows(rows, [], [F.desc("volume"), "g"], "rank"), "ranked")
-    ranked = keep_table(ranked.withColumn("share", _share(_widest(ranked))), "ranked-shares")
+    ranked = keep_table(ranked.withColumn("share", _share(_widest(ranked, 1))), "ranked-shares")
     tags = ranked.select("g", F.col("g").alias("tag"))
     while True:
         sizes = same_keys(ranked.select("g", "share"), tags, ["g"], "inner").groupBy("tag").agg(
