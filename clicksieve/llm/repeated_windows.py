@@ -1,26 +1,25 @@
-"""Repeated windows of texts by a depth-limited radix sort of their suffixes.
+"""Repeated windows of texts by two passes of winnowed anchors and full windows.
 
-Suffixes are put in order only as far as ``DEPTH`` bytes, by passes from the most
-significant digits on; suffixes that are equal to that depth are the repeated
-windows. A pass deals suffixes out by a digit (``groups`` parts, any number of
-machines), orders each part by the next, and settles all it can:
+Windows of ``DEPTH`` bytes that stand in several documents are found by digits that
+are hashes, dealt out to ``groups`` parts: no suffix is ordered by its leading bytes
+(the README says why no radix sort was built).
 
-1. Digit: ``GRAM`` bytes. Of the suffixes a window holds, those with the least
-   hashed digit stand for it (winnowing: equal windows keep equal ones, and about
+1. Digit: a hash of ``GRAM`` bytes. Of the suffixes a window holds, those with the
+   least digit stand for it (winnowing: equal windows keep equal ones, and about
    one suffix in sixteen moves). Digits in one place only are done. Suffixes with
    one digit are told apart by the next: all bytes a window around may have. Where
    these are equal too, every window is, and all but the first document's are
    found repeated.
 2. What is left has equal digits in differing surroundings. All its windows are
-   dealt out and ordered to the full depth; equal groups are repeated windows.
+   dealt out by two hashes of the full depth; equal groups are repeated windows.
 
 Texts do not move. They are written once in the pieces Spark reads them in, each
 row with a number, and passes send only digits, about 15 bytes each. Answers come
 back in one table a pass, parted by piece, and a task reads those of its own.
 
 Within a task only the first document of equal suffixes asks; the others are
-settled by it. So no digit, however common, gives a part more than one row per
-task and document range.
+settled by it. A common digit in differing surroundings still sends one row per
+occurrence to one part of the first pass.
 """
 
 from __future__ import annotations
