@@ -1,23 +1,28 @@
 """Mixing sources to target weights by entropy balancing.
 
-Among all non-negative document rates r, the mix takes the one closest to
-"every document once" that gives each source its number of target words:
+Among all document rates r between 0 and the ceiling c, the mix takes the one
+closest in entropy to the base rate b ("every document once") that gives each
+source its number of target words:
 
-    minimise  sum_i size_i (r_i ln r_i - r_i)   over documents i
+    minimise  sum_i KL(r_i / c, b / c)   over documents i, KL between two coins
     so that   sum_{i in s} size_i r_i = T_s     for every source s
 
-The convex dual is  g(l) = sum_s (S_s exp(l_s) - T_s l_s), S_s being the words
-of a source, and r_i = exp(l_s(i)). Newton's method minimises it. A document
-bears the constraint of its own source alone, so the Hessian is diagonal, and
-gradient and curvature of a source need no more than S_s: the documents are
-summed per source once, by partial sums, and all sources take their Newton
-steps side by side in that small table. Weighting the entropy by words makes
-the rates of a source equal, so none passes ``ceiling`` while T_s <= ceiling S_s.
-
-Rates become copies by systematic rounding along the sizes of a source: the
-document at rank k gets floor(k r + u) - floor((k-1) r + u) copies. Sizes are
-monotone along the ranks, so the words a source gets differ from its target by
-at most the size of one document (Abel summation).
+The dual is convex, and its minimiser tilts every document by its own size:
+
+    r_i = c / (1 + (c - b) / b exp(-l_s z_i)),   z_i = size_i / mean size of s
+
+so a source that needs more words takes its long documents sooner, and none
+passes the ceiling. A document bears the constraint of its own source alone, so
+the Hessian is diagonal. Each Newton step is one distributed aggregation over the
+counts per (source, size): the gradient sum size r - T and the curvature
+sum size z r (1 - r / c) of all sources at once. A bracket around the minimiser
+keeps the steps safe. Sums are exact decimals, so reruns agree to the last bit.
+
+Rates become copies by systematic rounding along the sizes of a source: a document
+gets floor(R + 1/2) copies less those of the documents before it, R being the sum
+of the rates up to it, in fixed point. Sizes are monotone along the ranks, so the
+words a source gets differ from its target by at most the size of one document
+(Abel summation).
 """
 
 from __future__ import annotations
@@ -27,9 +32,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicksieve.llm.common import null_join, replace_columns, words_of
+from clicksieve.llm.common import keep_table, null_join, replace_columns, words_of
 
-NEWTON_STEPS = 64  # about one per unit of ln(target / words), then a few that double the digits
+NEWTON_STEPS = 100  # at most; with a bracket, more would not move a double any further
+NEWTON_GAP = 1e-9  # steps end when every source is this near its target, as a share of it
+UNIT = 1 << 24  # parts of a copy in fixed-point rates
 BLOCK = 256  # documents ranked together
 
 
@@ -59,15 +66,46 @@ def source_targets(sources: DataFrame, weights: Sequence[float], share: float, c
     return free.select("source", "words", target.alias("target"))
 
 
-def newton_rate(words: Column, target: Column, steps: int = NEWTON_STEPS) -> Column:
-    """exp of the dual's minimiser: l <- l - g'(l) / g''(l), from l = 0 upwards.
+def tilted_rate(size: Column, mean: Column, tilt: Column, ceiling: float) -> Column:
+    """Rate of a document of some size: the base rate, tilted, below the ceiling."""
+    base = min(1.0, ceiling / 2)
+    return F.lit(float(ceiling)) / (1.0 + F.lit((ceiling - base) / base) * F.exp(-tilt * size / mean))
+
+
+def newton_tilts(sizes: DataFrame, targets: DataFrame, ceiling: float) -> DataFrame:
+    """(source, words, mean, target, tilt) that gives each source its target.
 
-    The first step is cut to 2, as far above the minimum as a step may lead, so
-    that every later step descends on the convex dual.
+    ``sizes``: (source, size, n), ``targets``: (source, words, mean, target). A
+    source whose target is its ceiling, or nothing, has an infinite tilt.
     """
-    step = lambda l, _: l + F.least(target / (words * F.exp(l)) - 1.0, F.lit(2.0))
-    return F.when((words > 0) & (target > 0),
-                  F.exp(F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(0.0), step))).otherwise(F.lit(0.0))
+    least, most = F.lit(float("-inf")), F.lit(float("inf"))
+    full = F.col("target") >= F.col("words") * ceiling * (1 - 1e-12)
+    start = F.when(F.col("target") <= 0, least).when(full, most).otherwise(F.lit(0.0))
+    state = keep_table(targets.select("*", start.alias("tilt"), least.alias("low"), most.alias("high")), "tilts")
+    exact = lambda value: F.sum(value.cast("decimal(38,10)")).cast("double")
+    for _ in range(NEWTON_STEPS):
+        inside = null_join(sizes.filter("size > 0"), state.filter(F.abs("tilt") < most), ["source"])
+        rate = tilted_rate(F.col("size"), F.col("mean"), F.col("tilt"), ceiling)
+        mass = F.col("n") * F.col("size") * rate
+        sums = inside.groupBy("source").agg(
+            exact(mass).alias("got"), exact(mass * F.col("size") / F.col("mean") * (1.0 - rate / ceiling)).alias("curve"))
+        now = null_join(state, sums, ["source"], "left")
+        gap = F.col("got") - F.col("target")
+        now = now.withColumns({
+            "gap": F.coalesce(F.abs(gap) / F.col("target"), F.lit(0.0)),
+            "low": F.when(gap < 0, F.col("tilt")).otherwise(F.col("low")),
+            "high": F.when(gap > 0, F.col("tilt")).otherwise(F.col("high"))})
+        reach = 4.0 + 3.0 * F.abs("tilt")  # where the curve is flat, a step goes no further
+        step = F.when(F.col("curve") > 0, F.greatest(-reach, F.least(reach, -gap / F.col("curve")))) \
+            .otherwise(F.when(gap < 0, reach).otherwise(-reach))
+        aim = F.col("tilt") + step
+        middle = (F.col("low") + F.col("high")) / 2
+        aim = F.when((aim > F.col("low")) & (aim < F.col("high")), aim).otherwise(middle)
+        moved = F.when(F.col("gap") <= NEWTON_GAP, F.col("tilt")).otherwise(aim)
+        state = keep_table(now.select(*targets.columns, moved.alias("tilt"), "low", "high", "gap"), "tilts")
+        if (state.agg(F.max("gap")).first()[0] or 0.0) <= NEWTON_GAP:
+            break
+    return state.select(*targets.columns, "tilt")
 
 
 def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, ceiling: float = 2.0,
@@ -92,13 +130,19 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
                          F.size(words_of(F.col(text_col))).cast("long").alias("size"))
     keys = keys.groupBy("__h1", "__h2", "source", "size").agg(F.count("*").alias("m"))
 
-    sizes = keys.groupBy("source", "size").agg(F.sum("m").alias("n"))
-    sources = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words"))
-    rates = source_targets(sources, weights, share, ceiling).withColumn(
-        "rate", F.least(newton_rate(F.col("words"), F.col("target")), F.lit(float(ceiling))))
-    runs = null_join(sizes, rates, ["source"])
-    before = F.sum("n").over(Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1))
-    runs = runs.withColumn("before", F.coalesce(before, F.lit(0)))
+    keys = keep_table(keys, "mix-keys")
+    sizes = keep_table(keys.groupBy("source", "size").agg(F.sum("m").alias("n")), "mix-sizes")
+    sources = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words"),
+                                          F.sum(F.when(F.col("size") > 0, F.col("n"))).alias("docs"))
+    targets = source_targets(sources.select("source", "words"), weights, share, ceiling)
+    means = sources.select("source", F.greatest(F.col("words") / F.col("docs"), F.lit(1.0)).alias("mean"))
+    tilts = newton_tilts(sizes, null_join(targets, means, ["source"]), ceiling)
+    exact_rate = F.when((F.col("size") <= 0) | (F.col("tilt") == float("-inf")), 0.0) \
+        .when(F.col("tilt") == float("inf"), float(ceiling)) \
+        .otherwise(tilted_rate(F.col("size"), F.col("mean"), F.col("tilt"), ceiling))
+    runs = null_join(sizes, tilts, ["source"]).withColumn("units", F.round(exact_rate * UNIT).cast("long"))
+    smaller = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("before", F.coalesce(F.sum(F.col("n") * F.col("units")).over(smaller), F.lit(0)))
 
     placed = null_join(keys, runs, ["source", "size"]).withColumn(
         "block", F.pmod(F.col("__h1"), F.ceil(F.col("n") / BLOCK)))
@@ -110,18 +154,18 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
     ranked = placed.withColumn("inside", F.sum("m").over(upto_here))
     ranked = null_join(ranked, starts, ["source", "size", "block"]).select(
         F.col("__h1"), F.col("__h2"), F.struct(
-            "size", "words", "target", "rate", "m",
-            (F.col("before") + F.col("start") + F.col("inside")).alias("last")).alias("__mix"))
+            "size", "words", "target", "units", "before", "m",
+            (F.col("start") + F.col("inside")).alias("last")).alias("__mix"))
 
     out = tagged.join(ranked, ["__h1", "__h2"])
     # rows with the same id and text follow each other; each takes its own rank
     twin = F.row_number().over(Window.partitionBy("__h1", "__h2").orderBy("__h1"))
     rank = F.col("__mix.last") - F.col("__mix.m") + F.when(F.col("__mix.m") > 1, twin).otherwise(F.lit(1))
-    upto = lambda k: F.floor(k * F.col("__mix.rate") + 0.5)
+    upto = lambda k: F.shiftright(F.col("__mix.before") + k * F.col("__mix.units") + UNIT // 2, UNIT.bit_length() - 1)
     copies = F.when(F.col("__mix.size") > 0, upto(rank) - upto(rank - 1)).otherwise(F.lit(0)).cast("long")
     return replace_columns(out.withColumn("__copies", copies), {
         "size": F.col("__mix.size"), "source_size": F.col("__mix.words"), "target": F.col("__mix.target"),
-        "rate": F.col("__mix.rate"), "copies": F.col("__copies"),
+        "rate": F.col("__mix.units") / F.lit(float(UNIT)), "copies": F.col("__copies"),
         "taken": F.col("__copies") * F.col("__mix.size")}).drop("__mix", "__copies", "__h1", "__h2")
 
 

@@ -109,6 +109,12 @@ SELECT doc_id, size, words source_size,
 FROM sized JOIN leveled ON sized.source IS NOT DISTINCT FROM leveled.source"""
 
 
+@query("mix_targets", OP5_SQL)
+def mix_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """What SQL can say of op5_mixing: sizes, the words of the sources and their targets."""
+    return mix_sources(documents(spark, folder)).select("doc_id", "size", "source_size", "target")
+
+
 @query("op5_mixing")
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "rate", "copies", "taken")

@@ -283,6 +283,34 @@ def test_mixing(spark, texts):
     assert {r.doc_id: r.taken for r in again} == {r.doc_id: r.taken for r in got}
 
 
+def dense_tilt(sizes, target, ceiling=2.0):
+    """Rates of one source by bisection on the tilt, all documents in one array."""
+    z = sizes / sizes[sizes > 0].mean()
+    low, high = -1e4, 1e4
+    with np.errstate(over="ignore"):
+        rates = lambda tilt: np.where(sizes > 0, ceiling / (1 + np.exp(-tilt * z)), 0.0)
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (middle, high) if (rates(middle) * sizes).sum() < target else (low, middle)
+        return rates(low)
+
+
+def test_mixing_rates_equal_a_dense_solver(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, " ".join(["w"] * int(n)), "abc"[k % 3]) for k, n in enumerate(rng.lognormal(3, 1.2, 900))]
+    rows += [(1000, "w " * 60_000, "a"), (1001, "", "a"), (1002, None, "b"), (1003, "w " * 20_000, "c")]
+    got = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(1, 5, 3), share=1.2).collect()
+    for source in "abc":
+        own = sorted((r for r in got if r.source == source), key=lambda r: r.doc_id)
+        sizes = np.array([float(r.size) for r in own])
+        want = dense_tilt(sizes, own[0].target)
+        assert np.allclose([r.rate for r in own], want, atol=1e-6)
+        if own[0].target < 1.99 * sizes.sum():
+            assert len({round(r.rate, 4) for r in own if r.size}) > 10
+        assert abs(sum(r.taken for r in own) - own[0].target) <= sizes.max() + 1
+        assert all(r.copies <= 2 for r in own)
+
+
 def test_mixing_awkward(spark, awkward, nothing):
     got = mix_sources(awkward)
     assert got.count() == len(AWKWARD) and got.filter("taken > 2 * size").count() == 0
