@@ -1,11 +1,17 @@
 """SentencePiece encoding and decoding by streaming Viterbi.
 
-Encoding looks for the segmentation of a text into pieces with the greatest sum
-of the piece scores in the model file. The text is read once. Only the window of
-positions that a piece may still reach is open, at most the longest piece long.
-As soon as the backpointer paths of all open positions meet at one boundary, the
-pieces before it are final: their ids are committed and their positions
-forgotten, so memory follows the window and not the text.
+The model file is a list of merges: the adjacent pair whose piece scores best is
+merged first, the leftmost of equals. Of a beginning of a text that way knows one
+last piece. It is the longest one that ends there and that its neighbour allows:
+the two stay apart when their joined characters are merged on their own. So every
+position gets one backpointer, to the start of the last piece before it, from the
+positions that a piece reaches back to, and the ids are those of the library.
+
+The text is read once. Only positions that a piece may still start from are open,
+the longest piece being the window. As soon as the backpointer paths of all open
+positions meet at one boundary, the pieces before it are final: their ids are
+committed and their positions forgotten, so memory follows the window and not the
+text.
 
 No piece leads from a letter over a blank, nor over a line end, when the model's
 pieces say so; such places are boundaries on every path. What lies between two of
@@ -18,7 +24,9 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,7 +35,8 @@ from pyspark.sql import functions as F
 from clicksieve.llm.common import replace_columns
 
 BLANK = "▁"  # fixed value: stands for a blank in pieces
-UNKNOWN_BELOW = 10.0  # fixed value: an uncovered character scores this much below the worst piece
+UNCOVERED = -1  # in place of an id: a character without a piece, or no piece at all
+PAIRS = 1_000_000  # neighbours a worker remembers
 REMEMBERED = 250_000  # segments in a generation of what a worker remembers
 SHORT = 48  # characters of a segment worth remembering
 
@@ -53,10 +62,13 @@ class Codec:
                 self.scores[piece] = (vocab.get_score(i), i)
                 self.bytes_of.append(piece.replace(BLANK, " ").encode())
         self.unknown = vocab.unk_id()
-        # every beginning of a piece; the value is the piece's score and id, None where it only begins one
-        self.table = {p[:k]: None for p in self.scores for k in range(1, len(p) + 1)} | self.scores
+        self.pieces = {i: p for p, (_, i) in self.scores.items()}
+        self.matcher = ahocorasick.Automaton()  # the pieces that end at each position, longest first
+        for piece, (_, i) in self.scores.items():
+            self.matcher.add_word(piece, (len(piece), i))
+        self.matcher.make_automaton()
         self.longest = max(map(len, self.scores), default=1)
-        self.floor = min((s for s, _ in self.scores.values()), default=0.0) - UNKNOWN_BELOW
+        self.pairs: dict[tuple[int, int], bool] = {}
         long = [p for p in self.scores if len(p) > 1]
         over_blank = any(re.search(f"[^{BLANK}]{BLANK}", p) for p in long)
         over_line = any("\n" in p for p in long)
@@ -70,85 +82,68 @@ class Codec:
         ids = [self.byte_ids.get(b, self.unknown) for b in char.encode("utf-8", "surrogatepass")]
         return ids if self.unknown not in ids else [self.unknown]
 
+    def merged(self, text: str) -> list[str]:
+        """Pieces of a few characters by merging them, best score first, leftmost of equals."""
+        parts, scores = list(text), self.scores
+        while True:
+            pairs = [(-scores[p][0], k) for k in range(len(parts) - 1) if (p := parts[k] + parts[k + 1]) in scores]
+            if not pairs:
+                return parts
+            k = min(pairs)[1]
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+
+    def stay_apart(self, left: int, right: int) -> bool:
+        """True when two pieces side by side come out of the merges as they are."""
+        known = self.pairs.get((left, right))
+        if known is None:
+            pair = [self.pieces[i] for i in (left, right) if i != UNCOVERED]
+            if len(self.pairs) >= PAIRS:
+                self.pairs.clear()
+            known = self.pairs[left, right] = self.merged("".join(pair)) == pair
+        return known
+
     def stream(self, text: str) -> Iterator[int]:
         """Ids of one segment, each committed as soon as no later character can change it."""
-        n, longest, table = len(text), self.longest, self.table
-        best = {0: 0.0}  # open position -> best score of a path to it
-        back: dict[int, tuple[int, int]] = {}  # position -> (start, id) of its last piece; -1 for bytes
-        done = 0  # boundary up to which ids are committed
-        for i in range(n):
-            here = best.pop(i, None)
-            if here is None:
-                continue
-            single = False
-            for end in range(i + 1, min(i + longest, n) + 1):
-                found = table.get(text[i:end], False)
-                if found is False:
-                    break
-                if found is not None:
-                    single |= end == i + 1
-                    if end not in best or here + found[0] > best[end]:
-                        best[end] = here + found[0]
-                        back[end] = (i, found[1])
-            if not single and (i + 1 not in best or here + self.floor > best[i + 1]):
-                best[i + 1] = here + self.floor
-                back[i + 1] = (i, -1)
-            if len(best) > 1 and len(back) < 2 * longest:
-                continue  # the paths are compared when one is left or the window has filled
-            heads = set(best)
+        n, longest, pairs, stay_apart = len(text), self.longest, self.pairs, self.stay_apart
+        done = 0  # boundary up to which ids are committed; the lists begin with it
+        start, last = [0], [UNCOVERED]  # by open position: where its last piece starts, and its id
+        filled, full = 0, 4 * longest
+        for end, (size, piece) in chain(self.matcher.iter(text) if self.scores else (), [(n, (0, UNCOVERED))]):
+            if end < filled:
+                continue  # the position at ``end`` + 1 has its last piece
+            while filled < end:  # no piece fits
+                start.append(filled)
+                last.append(UNCOVERED)
+                filled += 1
+            before = last[end + 1 - size - done] if size else UNCOVERED
+            fits = pairs.get((before, piece))
+            if size and (fits or fits is None and stay_apart(before, piece)):
+                start.append(end + 1 - size)
+                last.append(piece)
+                filled += 1
+            if filled - done < full:
+                continue  # the paths are compared when so many positions are open
+            heads = set(range(filled - longest + 1, filled + 1))
             while len(heads) > 1:
-                last = max(heads)
-                heads.discard(last)
-                heads.add(back[last][0])
+                latest = max(heads)
+                heads.discard(latest)
+                heads.add(start[latest - done])
             meet = heads.pop()
-            if meet > done:
-                yield from self._commit(text, back, done, meet)
-                for p in [p for p in back if p <= meet]:
-                    del back[p]
-                base = best.get(meet, 0.0) if len(best) == 1 else min(best.values())
-                best = {p: s - base for p, s in best.items()}  # keeps sums small on long texts
-                done = meet
-
-    def _commit(self, text: str, back: dict[int, tuple[int, int]], start: int, end: int) -> Iterator[int]:
-        path = []
-        while end > start:
-            begin, piece = back[end]
-            path.append(self._fallback(text[begin:end]) if piece < 0 else [piece])
-            end = begin
-        for ids in reversed(path):
-            yield from ids
-
-    def window(self, text: str) -> list[int]:
-        """Ids of a segment that fits into the window: nothing can be final before its end."""
-        n, longest, table, floor = len(text), self.longest, self.table, self.floor
-        best: list[float | None] = [0.0] + [None] * n
-        back = [(0, -1)] * (n + 1)
-        for i in range(n):
-            here = best[i]
-            if here is None:
-                continue
-            single = False
-            for end in range(i + 1, min(i + longest, n) + 1):
-                found = table.get(text[i:end], False)
-                if found is False:
-                    break
-                if found is not None:
-                    single = single or end == i + 1
-                    score = here + found[0]
-                    if best[end] is None or score > best[end]:
-                        best[end] = score
-                        back[end] = (i, found[1])
-            if not single and (best[i + 1] is None or here + floor > best[i + 1]):
-                best[i + 1] = here + floor
-                back[i + 1] = (i, -1)
+            yield from self._commit(text, start, last, done, meet)
+            start, last, done = start[meet - done:], last[meet - done:], meet
+            full = filled - done + longest
+        yield from self._commit(text, start, last, done, n)
+
+    def _commit(self, text: str, start: list[int], last: list[int], done: int, end: int) -> list[int]:
+        """Ids of the path from the last committed boundary to another one."""
         ids: list[int] = []
-        while n > 0:
-            start, piece = back[n]
-            if piece < 0:
-                ids += self._fallback(text[start:n])[::-1]
+        while end > done:
+            begin, piece = start[end - done], last[end - done]
+            if piece == UNCOVERED:
+                ids += self._fallback(text[begin:end])[::-1]
             else:
                 ids.append(piece)
-            n = start
+            end = begin
         return ids[::-1]
 
     def segment(self, part: str) -> bytes:
@@ -157,7 +152,7 @@ class Codec:
             return np.fromiter(self.stream(part), np.int32).tobytes()
         ids = self.older.get(part)
         if ids is None:
-            ids = array("i", self.window(part) if len(part) <= 2 * self.longest else self.stream(part)).tobytes()
+            ids = array("i", self.stream(part)).tobytes()
         if len(self.known) >= REMEMBERED:  # keep the last two generations
             self.older = dict(self.known)
             self.known.clear()
