@@ -11,7 +11,11 @@ the wildcards would say nothing: such a line recurs by its unmasked text only.
 
 A template that occurs in at least ``min_docs`` documents recurs. Its lines are
 dropped from every document but the first (smallest id), so a text that many
-documents share stays in the corpus once.
+documents share stays in the corpus once. Short templates say less, since running
+text repeats a word or a greeting by itself: lines without a rest below the leaf,
+and open templates of lines with fewer than two tokens a part, recur from
+``SHORT_TIMES`` times ``min_docs`` documents and ``SHORT_PERCENT`` of all documents
+on, whichever is more.
 """
 
 from __future__ import annotations
@@ -25,17 +29,19 @@ from clicksieve.llm.common import BLANK, keep_table, replace_columns, words_of
 WILDCARD = "<*>"  # fixed value
 DEPTH = 3  # leading tokens that are levels of the tree
 PARTS = 4  # parts of the rest; one of them may vary
-MIN_TOKENS = 4  # shorter lines are never dropped
 MIN_CONSTANT = 0.5  # least share of constant tokens in a masked template
 MIN_DOCS = 5
+SHORT_TIMES = 4  # so many times MIN_DOCS for a short template
+SHORT_PERCENT = 1  # and so many of a hundred documents
 
 
 def template_keys(line: Column, depth: int = DEPTH, parts: int = PARTS) -> Column:
-    """Hashes of the templates a line belongs to; none for a short line.
+    """Hashes of the templates a line belongs to; none for a blank line.
 
     The first is the line with its variable fields as wildcards, the others leave
-    one part open. Lines without at least two tokens a part have the first only,
-    lines of mostly variable fields the hash of their unmasked tokens.
+    one part open. Lines that end within the leaf have the first only, lines of
+    mostly variable fields the hash of their unmasked tokens. The lowest bit of a
+    hash is 1 for a short template.
     """
     variable = r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*"
     masked = F.when(line.rlike("[0-9@]"), F.regexp_replace(line, variable, WILDCARD)).otherwise(line)
@@ -47,25 +53,29 @@ def template_keys(line: Column, depth: int = DEPTH, parts: int = PARTS) -> Colum
         pieces = F.array(*[F.xxhash64(F.slice(tokens, at[i], at[i + 1] - at[i])) for i in range(parts)],
                          F.xxhash64(n, *[F.element_at(tokens, i + 1) for i in range(depth)]))
 
+        def flagged(key: Column, short: Column) -> Column:
+            return F.shiftleft(key, 1).bitwiseOR(F.when(short, F.lit(1)).otherwise(F.lit(0)).cast("long"))
+
         def combine(p: Column) -> Column:
             opened = [F.xxhash64(F.lit(i), p[parts], *[p[j] for j in range(parts) if j != i]) for i in range(parts)]
-            return F.array(F.xxhash64(F.lit(-1), p), *opened)
+            return F.array(F.shiftleft(F.xxhash64(F.lit(-1), p), 1), *[flagged(o, rest < 2 * parts) for o in opened])
 
         none = F.array().cast("array<bigint>")
         constant = F.size(F.array_remove(tokens, WILDCARD))
-        return F.when(n < max(MIN_TOKENS, depth + 1), none).when(
-            constant < n * MIN_CONSTANT, F.array(F.xxhash64(F.lit(-2), words_of(line)))).when(
-            rest < 2 * parts, F.array(F.xxhash64(F.lit(-1), n, tokens))).otherwise(bind(pieces, combine))
+        return F.when(n == 0, none).when(
+            constant < n * MIN_CONSTANT, F.array(flagged(F.xxhash64(F.lit(-2), words_of(line)), rest <= 0))).when(
+            rest <= 0, F.array(flagged(F.xxhash64(F.lit(-1), n, tokens), F.lit(True)))).otherwise(bind(pieces, combine))
 
     return bind(words_of(masked), keys)
 
 
-def recurring_lines(lines: DataFrame, min_docs: int) -> DataFrame:
+def recurring_lines(lines: DataFrame, min_docs: int, short_docs: int) -> DataFrame:
     """(id, hash, pos) of the lines to drop from a table (id, hash, pos, keys)."""
+    least = F.when(F.col("key").bitwiseAND(1) == 1, short_docs).otherwise(min_docs)
     keyed = unfold(lines, ["id", "hash", "pos"], F.col("keys"), "key")
     per_doc = keyed.filter(F.col("id").isNotNull()).groupBy("key", "id").agg(F.lit(1).alias("one"))
     recurring = per_doc.groupBy("key").agg(F.count("*").alias("docs"), F.min("id").alias("first")) \
-        .filter(F.col("docs") >= min_docs).select("key", "first")
+        .filter(F.col("docs") >= least).select("key", "first")
     return keyed.join(recurring, "key").filter(F.col("id") > F.col("first")).select("id", "hash", "pos")
 
 
@@ -73,7 +83,7 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          min_docs: int = MIN_DOCS) -> DataFrame:
     """Documents without recurring lines, with n_lines and n_dropped added.
 
-    Lines end at ``\\n``. Blank lines and lines below ``MIN_TOKENS`` tokens stay.
+    Lines end at ``\\n``. Blank lines stay. Rows with an id count as documents.
     A null text stays null with 0 lines, an empty text is one line. A document
     with a null id keeps its lines and counts for no template. Rows that share an
     id count as one document and keep the lines that are first in it. An empty
@@ -86,7 +96,9 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         .filter(F.col("line").isNotNull())
     lines = keep_table(lines.select("id", "hash", "pos", template_keys(F.col("line")).alias("keys"))
                        .filter(F.size("keys") > 0), "lines")
-    gone = recurring_lines(lines, min_docs).groupBy("id", "hash").agg(F.collect_set("pos").alias("__gone"))
+    n_docs = docs.select(F.count(id_col)).first()[0]
+    short_docs = max(SHORT_TIMES * min_docs, -(-SHORT_PERCENT * n_docs // 100))
+    gone = recurring_lines(lines, min_docs, short_docs).groupBy("id", "hash").agg(F.collect_set("pos").alias("__gone"))
     out = tagged.join(gone, (tagged[id_col] == gone.id) & (tagged["__hash"] == gone.hash), "left") \
         .drop(gone.id, gone.hash)
     rows = F.split(text, "\n")

@@ -12,7 +12,7 @@ from clicksieve.llm.id_store import scan_store, write_store
 from clicksieve.llm.language_id import fit_languages, identify_language
 from clicksieve.llm.licence_scan import scan_licences
 from clicksieve.llm.line_crf import fit_on_labels, quality_score
-from clicksieve.llm.line_dedup import MIN_DOCS, drop_recurring_lines
+from clicksieve.llm.line_dedup import MIN_CONSTANT, MIN_DOCS, SHORT_PERCENT, SHORT_TIMES, drop_recurring_lines
 from clicksieve.llm.merkle_manifest import audit
 from clicksieve.llm.mixing import mix_sources
 from clicksieve.llm.near_dedup import near_duplicates
@@ -30,22 +30,27 @@ WITH lines AS (
          generate_subscripts(string_split(text, chr(10)), 1) pos
   FROM documents),
 tokens AS (
-  SELECT doc_id, pos, regexp_extract_all(regexp_replace(line,
+  SELECT doc_id, pos, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') raw,
+         regexp_extract_all(regexp_replace(line,
            '[^\\x20\\x09-\\x0D]*[0-9@][^\\x20\\x09-\\x0D]*', '<*>', 'g'), '[^\\x20\\x09-\\x0D]+') t
   FROM lines),
 cut AS (
-  SELECT doc_id, pos, t, len(t) n, array_to_string(t[1:3], ' ') leaf,
+  SELECT doc_id, pos, raw, t, len(t) n, len(list_filter(t, lambda x: x <> '<*>')) constant, array_to_string(t[1:3], ' ') leaf,
          [array_to_string(t[4 + (n - 3) * i // 4 : 3 + (n - 3) * (i + 1) // 4], ' ') FOR i IN [0, 1, 2, 3]] p
-  FROM tokens WHERE len(t) >= 4),
+  FROM tokens WHERE len(t) >= 1),
 keys AS (
-  SELECT DISTINCT doc_id, pos, unnest([concat('w|', array_to_string(t, ' '))] || CASE WHEN n - 3 < 8 THEN [] ELSE
-    [concat('0|', n, '|', leaf, '|', p[2], '|', p[3], '|', p[4]),
-     concat('1|', n, '|', leaf, '|', p[1], '|', p[3], '|', p[4]),
-     concat('2|', n, '|', leaf, '|', p[1], '|', p[2], '|', p[4]),
-     concat('3|', n, '|', leaf, '|', p[1], '|', p[2], '|', p[3])] END) key
+  SELECT DISTINCT doc_id, pos, unnest(CASE
+    WHEN constant < n * {MIN_CONSTANT} THEN [{{'short': n <= 3, 'of': concat('u|', array_to_string(raw, ' '))}}]
+    WHEN n <= 3 THEN [{{'short': true, 'of': concat('w|', array_to_string(t, ' '))}}]
+    ELSE [{{'short': false, 'of': concat('w|', array_to_string(t, ' '))}},
+          {{'short': n < 11, 'of': concat('0|', n, '|', leaf, '|', p[2], '|', p[3], '|', p[4])}},
+          {{'short': n < 11, 'of': concat('1|', n, '|', leaf, '|', p[1], '|', p[3], '|', p[4])}},
+          {{'short': n < 11, 'of': concat('2|', n, '|', leaf, '|', p[1], '|', p[2], '|', p[4])}},
+          {{'short': n < 11, 'of': concat('3|', n, '|', leaf, '|', p[1], '|', p[2], '|', p[3])}}] END) key
   FROM cut),
 recurring AS (
-  SELECT key, min(doc_id) first FROM keys GROUP BY key HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
+  SELECT key, min(doc_id) first FROM keys GROUP BY key HAVING count(DISTINCT doc_id) >= CASE WHEN key.short
+    THEN greatest({SHORT_TIMES * MIN_DOCS}, (SELECT (count(doc_id) * {SHORT_PERCENT} + 99) // 100 FROM documents)) ELSE {MIN_DOCS} END),
 gone AS (
   SELECT DISTINCT doc_id, pos FROM keys JOIN recurring USING (key) WHERE doc_id > first)
 SELECT l.doc_id, CAST(count(*) AS INT) n_lines, CAST(count(g.pos) AS INT) n_dropped,

@@ -61,6 +61,35 @@ def test_rows_of_numbers_recur_by_their_text_only(spark):
     assert all(out[i].text.split("\n") == rows[i][1].split("\n")[:2] for i in range(1, 7))
 
 
+def test_short_lines_recur_in_many_documents(spark):
+    """Short templates need 4 times the documents, and 1% of them."""
+    names = ("ann", "bob", "cyd", "dee", "eve")
+    rows = [(i, "\n".join(["All rights reserved.", "Yes." if i < 19 else f"word{chr(97 + i % 26)}{chr(97 + i // 26)} x",
+                           f"Posted here by {names[i % 5]}{chr(97 + i // 5)}", "", f"own {'z' * (i + 1)}"])) for i in range(50)]
+    out = {r.doc_id: r for r in drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[0].text == rows[0][1]
+    for i in range(1, 50):
+        lines = rows[i][1].split("\n")
+        assert out[i].text.split("\n") == [lines[1], "", lines[4]] and out[i].n_dropped == 2
+
+
+def test_lines_equal_the_sql(spark, tmp_path):
+    """Rows of numbers, short lines and open parts: the operator and its SQL on the same table."""
+    duckdb = pytest.importorskip("duckdb")
+    rng = np.random.default_rng(8)
+    vocab = ["a", "b", "7", "x9", "the", "end"]
+    rows = [(i, "\n".join(" ".join(rng.choice(vocab, rng.integers(0, 14) if rng.random() < .3 else rng.integers(0, 5)))
+                          for _ in range(rng.integers(1, 9)))) for i in range(400)]
+    rows += [(500 + i, "\n".join([f"201{i} 1{i}.5 13.{i} 9.2", "2019 12.5 13.1 9.2", "12 13"])) for i in range(30)]
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    got = {(r.doc_id, r.n_lines, r.n_dropped, r.text) for r in QUERIES["op1_line_dedup"](spark, folder).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    want = con.execute(f"SELECT doc_id, n_lines, n_dropped, text FROM ({queries.OP1_SQL})").fetchall()
+    assert got == set(want) and sum(r[2] for r in want) > 300
+
+
 def test_lines_awkward(spark, awkward, nothing):
     out = drop_recurring_lines(awkward, min_docs=2)
     assert out.count() == len(AWKWARD)
