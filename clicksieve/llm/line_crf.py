@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from clicksieve.llm.common import held_out
 
 SAMPLE_DOCS = 6000  # labelled documents a fit may use, by least hash of their id
-SAMPLE_LINES = 4000  # documents with more lines are not fitted on (all are scored)
+SAMPLE_LINES = 128  # lines of a document that a fit may use, so at most 43 MB of features reach the driver
+SAMPLE_BLOCK = 16  # a longer document gives blocks of so many neighbouring lines, evenly spread
 STEPS = 250
 PENALTY = 1e-3
 
@@ -161,13 +162,24 @@ def fit_field(samples: list[tuple[np.ndarray, int]], steps: int = STEPS, penalty
     return LineField(mean, scale, w, trans)
 
 
+def fit_blocks(features: np.ndarray) -> list[np.ndarray]:
+    """Chains of lines to fit on: the whole document, or evenly spread blocks of a long one."""
+    n, blocks = len(features), SAMPLE_LINES // SAMPLE_BLOCK
+    if n <= SAMPLE_LINES:
+        return [features]
+    starts = [k * (n - SAMPLE_BLOCK) // (blocks - 1) for k in range(blocks)]
+    return [features[at:at + SAMPLE_BLOCK] for at in starts]
+
+
 def fit_on_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   label_col: str = "quality", sample_docs: int = SAMPLE_DOCS) -> LineField:
     """Fit on the labelled, not held-out documents with the least id hashes.
 
-    At most ``sample_docs`` labels reach the join (a bounded, so broadcast, side)
-    and as many feature blocks the driver. Labels other than 0 and 1 and null ids
-    do not count; of several labels of an id the least holds.
+    At most ``sample_docs`` labels reach the join (a bounded, so broadcast, side).
+    Features are those of whole texts; of a document with more than
+    ``SAMPLE_LINES`` lines, blocks from its first to its last line reach the
+    driver. Labels other than 0 and 1 and null ids do not count; of several labels
+    of an id the least holds. Rows of one id are fitted on as often as they stand.
     """
     chosen = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))) \
         .groupBy(F.col(id_col).alias("__of")).agg(F.min(label_col).cast("int").alias("label")) \
@@ -175,11 +187,10 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [line_features(t.as_py())[0] for t in batch.column(0)]
-            small = [len(f) <= SAMPLE_LINES for f in made]
+            made = [(block.tobytes(), label.as_py()) for text, label in zip(batch.column(0), batch.column(1))
+                    for block in fit_blocks(line_features(text.as_py())[0])]
             yield pa.RecordBatch.from_arrays([
-                pa.array([f.tobytes() for f, s in zip(made, small) if s], pa.binary()),
-                batch.column(1).filter(pa.array(small, pa.bool_()))], ["features", "label"])
+                pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.int32())], ["features", "label"])
 
     rows = docs.select(F.col(id_col).alias("__of"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "__of") \
         .select("text", "label").mapInArrow(run, "features binary, label int").collect()

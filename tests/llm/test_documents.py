@@ -1,6 +1,7 @@
 """Operators on documents against brute force."""
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -17,7 +18,7 @@ from clicksieve.llm import queries  # noqa: F401  registers the queries
 from clicksieve.llm.components import connected_components
 from clicksieve.llm.id_store import PerfectHash, Shard, fingerprints, lookup, scan_store, write_store
 from clicksieve.llm.language_id import SuffixAutomaton, fit_languages, identify_language
-from clicksieve.llm.line_crf import fit_on_labels, good_lines, quality_score
+from clicksieve.llm.line_crf import WIDTH, LineField, fit_blocks, fit_on_labels, good_lines, quality_score
 from clicksieve.llm.line_dedup import drop_recurring_lines
 from clicksieve.llm.mixing import mix_sources, repeat_copies
 from clicksieve.llm.near_dedup import drop_near_duplicates, near_duplicates
@@ -487,6 +488,36 @@ def test_classifier_on_held_out_documents(spark):
     assert sum(r.predicted == r.quality for r in held) / len(held) > 0.95
 
 
+def test_marginals_equal_all_labelings():
+    """Forward-backward of short chains against the sum over every labeling."""
+    rng = np.random.default_rng(6)
+    for n in range(1, 7):
+        field = LineField(np.zeros(WIDTH), np.ones(WIDTH), rng.normal(0, .6, 3 * WIDTH + 1), rng.normal(0, 1, (2, 2)))
+        x = rng.normal(0, 1, (n, WIDTH))
+        padded = np.vstack([np.zeros(WIDTH), x, np.zeros(WIDTH)])
+        evidence = [np.concatenate([padded[k + 1], padded[k], padded[k + 2], [1.0]]) @ field.weights for k in range(n)]
+        good, total = np.zeros(n), 0.0
+        for labels in itertools.product((0, 1), repeat=n):
+            mass = math.exp(sum(e for e, y in zip(evidence, labels) if y)
+                            + sum(field.trans[a, b] for a, b in zip(labels, labels[1:])))
+            good += mass * np.array(labels)
+            total += mass
+        assert np.allclose(1 / (1 + np.exp(-field.line_odds(x))), good / total)
+
+
+def test_fit_learns_from_long_documents(spark):
+    """Labelled documents of thousands of lines, spam only at their ends: no document is left out, and no prefix taken."""
+    fine = "the quiet river runs below the old mill and the fields"
+    rows = [(i, "\n".join([fine] * 6000 if i % 2 else [fine] * 3000 + ["$$$ buy buy buy ### |||"] * 3000)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    field = fit_on_labels(docs, labels)
+    assert field.score("$$$ buy buy buy ### |||\n" * 3) < 0.3 < field.score(fine)
+    blocks = fit_blocks(np.arange(6000.0).reshape(-1, 1))
+    assert sum(map(len, blocks)) == 128 and blocks[0][0] == 0 and blocks[-1][-1] == 5999
+    assert len(fit_blocks(np.zeros((128, 1)))) == 1
+
+
 def test_classifier_awkward(spark, awkward, nothing):
     labels = spark.createDataFrame([(1, 1), (5, 0), (7, None), (None, 1), (6, 0), (6, 1)], "doc_id long, quality int")
     field = fit_on_labels(awkward, labels)
