@@ -4,13 +4,13 @@ Windows of ``DEPTH`` bytes that stand in several documents are found by digits t
 are hashes, dealt out to ``groups`` parts: no suffix is ordered by its leading bytes
 (the README says why no radix sort was built).
 
-1. Digit: a hash of ``GRAM`` bytes. Of the suffixes a window holds, those with the
-   least digit stand for it (winnowing: equal windows keep equal ones, and about
+1. Digit: a hash of ``GRAM`` bytes. Of the suffixes a window holds, the first with
+   the least digit owns it (winnowing: equal windows have equal owners, and about
    one suffix in sixteen moves). Digits in one place only are done. Suffixes with
-   one digit are told apart by the next: all bytes a window around may have. Where
+   one digit are told apart by the next: all bytes of the windows they own. Where
    these are equal too, every window is, and all but the first document's are
    found repeated.
-2. What is left has equal digits in differing surroundings. All its windows are
+2. What is left has equal digits in differing surroundings. The windows it owns are
    dealt out by two hashes of the full depth; equal groups are repeated windows.
 
 Texts do not move. They are written once in the pieces Spark reads them in, each
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,8 @@ PIECE = 33  # bits of a row's number below the number of its piece
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
 _TOP = np.iinfo(np.uint64).max
+_UPPER = np.array([int(_TOP) >> 8 * n << 8 * n for n in range(9)], np.uint64)  # without the first n bytes
+_LOWER = np.array([int(_TOP) >> 8 * n for n in range(9)], np.uint64)  # without the last n bytes
 
 
 def _round(t: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -60,6 +63,23 @@ def _round(t: np.ndarray, x: np.ndarray) -> np.ndarray:
     return t ^ (t >> np.uint64(29))
 
 
+@dataclass
+class Anchors:
+    """Places of digits, their hashes, the first and last start of the windows they own, and rows."""
+
+    places: np.ndarray
+    digits: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    rows: np.ndarray
+
+    def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and rows of the windows that the chosen ones own; no window has two owners."""
+        first, n = self.first[which], (self.last - self.first)[which] + 1
+        ends = np.cumsum(n)
+        return np.arange(n.sum()) + np.repeat(first - ends + n, n), np.repeat(self.rows[which], n)
+
+
 class Texts:
     """The texts of some rows in one buffer, with zeros around each."""
 
@@ -88,9 +108,9 @@ class Texts:
             t = _round(t, self.words[at + k])
         return t
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the digits that stand for their windows, and hashes of the digits."""
-        places, found = [], []
+    def anchors(self) -> Anchors:
+        """Places that own windows, with the hashes of their digits and the windows they own."""
+        found = []
         span = SIDE + 1  # digits in a window
         n = len(self.words) - GRAM
         for core in range(0, max(n, 0), SLICE):
@@ -102,32 +122,44 @@ class Texts:
             low = _sliding(h, span, np.minimum)
             # the greatest of the minima of all windows that hold a digit; equal to its hash if one picks it
             high = _sliding(np.concatenate([np.zeros(span - 1, np.uint64), low, np.zeros(span - 1, np.uint64)]), span, np.maximum)
-            own = np.flatnonzero((high[:len(h)] == h) & self.whole[a:b]) + a
-            own = own[(own >= core) & (own < core + SLICE)]
-            places.append(own)
-            found.append(h[own - a])
-        if not places:
-            return np.empty(0, np.int64), np.empty(0, np.uint64)
-        return np.concatenate(places), np.concatenate(found)
+            at = np.flatnonzero((high[:len(h)] == h) & self.whole[a:b])
+            first, last = np.full(len(at), b, np.int64), np.full(len(at), -1, np.int64)
+            for k in range(span - 1, -1, -1):  # windows whose least digit this is; they are neighbours
+                start = at - k
+                least = low[np.clip(start, 0, len(low) - 1)] == h[at]
+                least &= (start >= 0) & (start < len(low))
+                first = np.where(least, np.minimum(first, start), first)
+                last = np.where(least, start, last)
+            tied = np.flatnonzero(h[at[1:]] == h[at[:-1]]) + 1  # the first of equal digits owns a window
+            first[tied] = np.maximum(first[tied], at[tied - 1] + 1)
+            own = (at + a >= core) & (at + a < core + SLICE)
+            found.append((at[own] + a, h[at[own]], first[own] + a, last[own] + a))
+        if not found:
+            return Anchors(*[np.empty(0, t) for t in (np.int64, np.uint64, np.int64, np.int64, np.int64)])
+        places, digits, first, last = (np.concatenate(x) for x in zip(*found))
+        rows = self.of(places)
+        first = np.maximum(first, self.starts[rows])
+        last = np.minimum(last, self.starts[rows] + self.sizes[rows] - DEPTH)
+        own = first <= last
+        return Anchors(places[own], digits[own], first[own], last[own], rows[own])
 
     def of(self, places: np.ndarray) -> np.ndarray:
         """Row of each place."""
         return np.searchsorted(self.starts, places, "right") - 1
 
-    def surroundings(self, places: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Hash of all bytes the windows around a digit may have, ends of the text included."""
-        left = np.minimum(places - self.starts[rows], SIDE)
-        right = np.minimum(self.starts[rows] + self.sizes[rows] - GRAM - places, SIDE)
-        return _round(self.hashes(places - SIDE, GRAM + 2 * SIDE, 11), (left * 256 + right).astype(np.uint64))
-
-    def windows(self, places: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Distinct starts of the windows that hold one of the digits."""
-        lo = np.maximum(places - SIDE, self.starts[rows])
-        hi = np.minimum(places, self.starts[rows] + self.sizes[rows] - DEPTH)
-        mark = np.zeros(len(self.buffer) + 1, np.int32)
-        np.add.at(mark, lo, 1)
-        np.add.at(mark, hi + 1, -1)
-        return np.flatnonzero(np.cumsum(mark) > 0)
+    def surroundings(self, anchors: Anchors) -> np.ndarray:
+        """Hash of all bytes of the windows an anchor owns, and of its place among them."""
+        left = anchors.places - anchors.first
+        right = anchors.last + SIDE - anchors.places
+        t = np.full(len(left), 11, np.uint64)
+        for k in range(-SIDE, GRAM + SIDE, 8):
+            word = self.words[anchors.places + k]
+            if k < 0:
+                word = word & _UPPER[np.clip(-left - k, 0, 8)]
+            if k + 8 > GRAM:
+                word = word & _LOWER[np.clip(k + 8 - GRAM - right, 0, 8)]
+            t = _round(t, word)
+        return _round(t, (left * 256 + right).astype(np.uint64))
 
 
 def _sliding(x: np.ndarray, span: int, take: np.ufunc) -> np.ndarray:
@@ -295,18 +327,17 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def anchors_of(batch: pa.RecordBatch):
         texts = Texts(batch.column(2))
-        places, digits = texts.anchors()
-        rows = texts.of(places)
-        return texts, places, digits, rows, texts.surroundings(places, rows)
+        anchors = texts.anchors()
+        return texts, anchors, texts.surroundings(anchors)
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asking = None
         for batch in batches:
             for part in _by_size(batch):
-                texts, places, digits, rows, around = anchors_of(part)
+                texts, anchors, around = anchors_of(part)
                 asking = asking or Asking(groups, int(part.column(0)[0].as_py()) >> PIECE)
                 number, ids = part.column(0).to_numpy(), part.column(1).to_numpy()
-                asking.add(digits, around, ids[rows], number[rows], len(texts.buffer))
+                asking.add(anchors.digits, around, ids[anchors.rows], number[anchors.rows], len(texts.buffer))
                 if asking.bytes >= FLUSH:
                     yield asking.flush()
         if asking and asking.held:
@@ -314,22 +345,21 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     first = _ask(long.mapInArrow(first_pass, ASKED), groups)
 
-    def open_windows(texts: Texts, number: np.ndarray, places, rows, around, answers: Answers):
-        """Places settled as repeated, and starts, rows and hashes of the windows still open."""
+    def open_windows(texts: Texts, number: np.ndarray, anchors: Anchors, around: np.ndarray, answers: Answers):
+        """Anchors settled as repeated, and starts, rows and hashes of the windows still open."""
         told = [answers.get(int(n)) for n in number]
-        repeated = _member(around, rows, [t[0] for t in told])
-        asked = _member(around, rows, [t[1] for t in told])
-        starts = texts.windows(places[asked], rows[asked])
-        return repeated, starts, texts.of(starts), texts.hashes(starts, DEPTH, 23)
+        repeated = _member(around, anchors.rows, [t[0] for t in told])
+        starts, own = anchors.windows(_member(around, anchors.rows, [t[1] for t in told]))
+        return repeated, starts, own, texts.hashes(starts, DEPTH, 23)
 
     def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asking, answers = None, Answers(first)
         for batch in batches:
             for part in _by_size(batch):
-                texts, places, _, rows, around = anchors_of(part)
+                texts, anchors, around = anchors_of(part)
                 asking = asking or Asking(groups, int(part.column(0)[0].as_py()) >> PIECE)
                 number, ids = part.column(0).to_numpy(), part.column(1).to_numpy()
-                _, starts, own, fine = open_windows(texts, number, places, rows, around, answers)
+                _, starts, own, fine = open_windows(texts, number, anchors, around, answers)
                 asking.add(texts.hashes(starts, DEPTH, 37), fine, ids[own], number[own], len(starts) * DEPTH)
                 if asking.bytes >= FLUSH:
                     yield asking.flush()
@@ -342,14 +372,13 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         before, after = Answers(first), Answers(second)
         for batch in batches:
             for part in _by_size(batch):
-                texts, places, _, rows, around = anchors_of(part)
+                texts, anchors, around = anchors_of(part)
                 number = part.column(0).to_numpy()
-                repeated, starts, own, fine = open_windows(texts, number, places, rows, around, before)
+                repeated, starts, own, fine = open_windows(texts, number, anchors, around, before)
                 again = _member(fine, own, [after.get(int(n))[0] for n in number])
                 mark = np.zeros(len(texts.buffer) + 1, np.int32)
-                p, r = places[repeated], rows[repeated]
-                np.add.at(mark, np.maximum(p - SIDE, texts.starts[r]), 1)
-                np.add.at(mark, np.minimum(p + DEPTH, texts.starts[r] + texts.sizes[r]), -1)
+                np.add.at(mark, anchors.first[repeated], 1)
+                np.add.at(mark, anchors.last[repeated] + DEPTH, -1)
                 np.add.at(mark, starts[again], 1)
                 np.add.at(mark, starts[again] + DEPTH, -1)
                 gone = np.cumsum(mark)[:-1] > 0
