@@ -44,7 +44,7 @@ DEPTH = 50
 GRAM = 20
 SIDE = DEPTH - GRAM  # bytes a window may have on either side of a digit
 PAD = SIDE + 10  # zeros between texts in a buffer
-SLICE = 1 << 20  # bytes hashed at a time
+SLICE = 1 << 16  # bytes or places hashed at a time
 FLUSH = 1 << 24  # bytes of text whose suffixes are settled together
 PART_BYTES = 1 << 25  # bytes of text per part of a pass
 LEAST_PARTS = 64
@@ -52,8 +52,10 @@ PIECE = 33  # bits of a row's number below the number of its piece
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
 _TOP = np.iinfo(np.uint64).max
-_UPPER = np.array([int(_TOP) >> 8 * n << 8 * n for n in range(9)], np.uint64)  # without the first n bytes
-_LOWER = np.array([int(_TOP) >> 8 * n for n in range(9)], np.uint64)  # without the last n bytes
+_AROUND = range(-SIDE, GRAM + SIDE, 8)  # places of the words around a digit
+# of each such word, the bytes among the first before a digit and among the first behind it
+_LEFT = {k: np.array([int(_TOP) << 8 * min(max(-n - k, 0), 8) & int(_TOP) for n in range(SIDE + 1)], np.uint64) for k in _AROUND}
+_RIGHT = {k: np.array([int(_TOP) >> 8 * min(max(k + 8 - GRAM - n, 0), 8) for n in range(SIDE + 1)], np.uint64) for k in _AROUND}
 
 
 def _round(t: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -103,10 +105,13 @@ class Texts:
 
     def hashes(self, at: np.ndarray, length: int, seed: int) -> np.ndarray:
         """Hash of the ``length`` bytes from each place."""
-        t = np.full(len(at), seed, np.uint64)
-        for k in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]:
-            t = _round(t, self.words[at + k])
-        return t
+        out = np.full(len(at), seed, np.uint64)
+        for a in range(0, len(at), SLICE):
+            own, t = at[a:a + SLICE], out[a:a + SLICE]
+            for k in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]:
+                t = _round(t, self.words[own + k])
+            out[a:a + SLICE] = t
+        return out
 
     def anchors(self) -> Anchors:
         """Places that own windows, with the hashes of their digits and the windows they own."""
@@ -123,17 +128,20 @@ class Texts:
             # the greatest of the minima of all windows that hold a digit; equal to its hash if one picks it
             high = _sliding(np.concatenate([np.zeros(span - 1, np.uint64), low, np.zeros(span - 1, np.uint64)]), span, np.maximum)
             at = np.flatnonzero((high[:len(h)] == h) & self.whole[a:b])
-            first, last = np.full(len(at), b, np.int64), np.full(len(at), -1, np.int64)
-            for k in range(span - 1, -1, -1):  # windows whose least digit this is; they are neighbours
-                start = at - k
-                least = low[np.clip(start, 0, len(low) - 1)] == h[at]
-                least &= (start >= 0) & (start < len(low))
-                first = np.where(least, np.minimum(first, start), first)
-                last = np.where(least, start, last)
-            tied = np.flatnonzero(h[at[1:]] == h[at[:-1]]) + 1  # the first of equal digits owns a window
-            first[tied] = np.maximum(first[tied], at[tied - 1] + 1)
+            if not len(at):
+                continue
+            # runs of windows with one least digit, in the order of the places that pick it
+            cuts = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1], [True]]))
+            held = low[cuts[:-1]] != _TOP
+            begin, end = cuts[:-1][held], cuts[1:][held] - 1
+            digit = h[at]
+            tied = np.concatenate([[False], (digit[1:] == digit[:-1]) & (np.diff(at) <= span)])
+            run = np.cumsum(~tied) - 1
+            first, last = begin[run], np.minimum(end[run], at)
+            t = np.flatnonzero(tied)  # the first of equal digits owns a window
+            first[t] = np.maximum(first[t], at[t - 1] + 1)
             own = (at + a >= core) & (at + a < core + SLICE)
-            found.append((at[own] + a, h[at[own]], first[own] + a, last[own] + a))
+            found.append((at[own] + a, digit[own], first[own] + a, last[own] + a))
         if not found:
             return Anchors(*[np.empty(0, t) for t in (np.int64, np.uint64, np.int64, np.int64, np.int64)])
         places, digits, first, last = (np.concatenate(x) for x in zip(*found))
@@ -152,12 +160,12 @@ class Texts:
         left = anchors.places - anchors.first
         right = anchors.last + SIDE - anchors.places
         t = np.full(len(left), 11, np.uint64)
-        for k in range(-SIDE, GRAM + SIDE, 8):
+        for k in _AROUND:
             word = self.words[anchors.places + k]
             if k < 0:
-                word = word & _UPPER[np.clip(-left - k, 0, 8)]
+                word &= _LEFT[k][left]
             if k + 8 > GRAM:
-                word = word & _LOWER[np.clip(k + 8 - GRAM - right, 0, 8)]
+                word &= _RIGHT[k][right]
             t = _round(t, word)
         return _round(t, (left * 256 + right).astype(np.uint64))
 
