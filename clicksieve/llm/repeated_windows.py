@@ -14,8 +14,8 @@ are hashes, dealt out to ``groups`` parts: no suffix is ordered by its leading b
    dealt out by two hashes of the full depth; equal groups are repeated windows.
 
 Texts do not move. They are written once in the pieces Spark reads them in, each
-row with a number, and passes send only digits, about 15 bytes each. Answers come
-back in one table a pass, parted by piece, and a task reads those of its own.
+row with a number, and passes send only digits, 12 bytes each in the first and 10
+in the second, with the numbers and ids of their rows. Answers come back in one table a pass, parted by piece, and a task reads those of its own.
 
 Within a task only the first document of equal suffixes asks; the others are
 settled by it. A common digit in differing surroundings still sends one row per
@@ -24,7 +24,6 @@ occurrence to one part of the first pass.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,7 +35,6 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicksieve.llm.common import keep_table
 from clicksieve.llm.id_store import filesystem
 from clicksieve.session import scratch_path
 
@@ -48,6 +46,7 @@ SLICE = 1 << 16  # bytes or places hashed at a time
 FLUSH = 1 << 24  # bytes of text whose suffixes are settled together
 PART_BYTES = 1 << 25  # bytes of text per part of a pass
 LEAST_PARTS = 64
+WIDTHS = 4, 2  # bytes of the coarse digit sent in each pass, beside 8 of the fine one and the part
 PIECE = 33  # bits of a row's number below the number of its piece
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
@@ -180,10 +179,14 @@ def _sliding(x: np.ndarray, span: int, take: np.ufunc) -> np.ndarray:
 
 
 class Asking:
-    """Collects (coarse digit, fine digit) of rows and packs them by part."""
+    """Collects (coarse digit, fine digit) of rows and packs them by part.
 
-    def __init__(self, groups: int, salt: int):
-        self.groups, self.salt = groups, salt
+    Of a coarse digit the upper ``width`` bytes are sent, and none where the task
+    itself has settled the suffix. A bit tells where the next row's digits begin.
+    """
+
+    def __init__(self, groups: int, salt: int, width: int):
+        self.groups, self.salt, self.width = groups, salt, width
         self.held: list[tuple[np.ndarray, ...]] = []
         self.bytes = 0
 
@@ -213,12 +216,12 @@ class Asking:
         cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1)) if len(part) else np.empty(0, np.int64)
         out = {"part": [], "owners": [], "which": [], "coarse": [], "fine": []}
         for a, b in zip(cuts[:-1], cuts[1:]):
-            own, which = np.unique(rows[a:b], return_inverse=True)
-            first_at = np.unique(which, return_index=True)[1]
+            next_row = np.diff(rows[a:b], prepend=-1) != 0
             out["part"].append(int(part[a]))
-            out["owners"].append(np.stack([own, ids[a:b][first_at]]).astype("<i8").tobytes())
-            out["which"].append(which.astype("<u4" if len(own) > 65535 else "<u2").tobytes())
-            out["coarse"].append((coarse[a:b] >> np.uint64(32)).astype("<u4").tobytes())
+            out["owners"].append(np.stack([rows[a:b][next_row], ids[a:b][next_row]]).astype("<i8").tobytes())
+            out["which"].append(np.packbits(next_row).tobytes())
+            out["coarse"].append(b"" if part[a] >= self.groups else
+                                 (coarse[a:b] >> np.uint64(64 - 8 * self.width)).astype(f"<u{self.width}").tobytes())
             out["fine"].append(fine[a:b].astype("<u8").tobytes())
         return pa.RecordBatch.from_pydict(out, pa.schema(
             [("part", pa.int32())] + [(c, pa.binary()) for c in ("owners", "which", "coarse", "fine")]))
@@ -228,18 +231,18 @@ ASKED = "part int, owners binary, which binary, coarse binary, fine binary"
 ANSWERS = "piece int, row long, repeated binary, open binary"
 
 
-def _answer(groups: int):
-    """Settles one part: which of its suffixes are repeated, and which stay open."""
+def _answer(groups: int, width: int, last: bool):
+    """Settles one part: which of its suffixes are repeated, and which stay open (none in the last pass)."""
 
     def run(table: pa.Table) -> pa.Table:
         rows, ids, coarse, fine = [], [], [], []
         for r in table.to_pylist():
             f = np.frombuffer(r["fine"], "<u8")
             own = np.frombuffer(r["owners"], "<i8").reshape(2, -1)
-            which = np.frombuffer(r["which"], "<u4" if own.shape[1] > 65535 else "<u2")
+            which = np.cumsum(np.unpackbits(np.frombuffer(r["which"], np.uint8), count=len(f)), dtype=np.int64) - 1
             rows.append(own[0][which])
             ids.append(own[1][which])
-            coarse.append(np.frombuffer(r["coarse"], "<u4"))
+            coarse.append(np.frombuffer(r["coarse"], f"<u{width}"))
             fine.append(f)
         rows, ids, coarse, fine = (np.concatenate(x) for x in (rows, ids, coarse, fine))
         if table.column("part")[0].as_py() >= groups:
@@ -254,7 +257,7 @@ def _answer(groups: int):
             repeated = ids > first
             group = np.cumsum(start) - 1
             kinds = np.bincount(group, weights=new)
-            is_open = ~repeated & (kinds[group] > 1)
+            is_open = ~repeated & (kinds[group] > 1) & (not last)
         told = repeated | is_open
         rows, fine, repeated = rows[told], fine[told], repeated[told]
         order = np.lexsort((fine, ~repeated, rows))
@@ -308,9 +311,9 @@ def _member(values: np.ndarray, rows: np.ndarray, sets: list[np.ndarray]) -> np.
     return out
 
 
-def _ask(asked: DataFrame, groups: int) -> str:
+def _ask(asked: DataFrame, groups: int, width: int, last: bool) -> str:
     """Deals out what a pass asks and writes the answers, parted by piece."""
-    answers = asked.groupBy("part").applyInArrow(_answer(groups), ANSWERS)
+    answers = asked.groupBy("part").applyInArrow(_answer(groups, width, last), ANSWERS)
     path = scratch_path(asked.sparkSession, "answers")
     answers.repartition("piece").write.partitionBy("piece").parquet(path)
     return path
@@ -327,8 +330,10 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     An empty table gives an empty table.
     """
     spark = docs.sparkSession
-    pieces = keep_table(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
-                                    F.col(text_col).alias("text")), "pieces")
+    path = scratch_path(spark, "pieces")
+    docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
+                F.col(text_col).alias("text")).write.option("compression", "zstd").parquet(path)
+    pieces = spark.read.schema("row long, id long, text string").parquet(path)
     size = pieces.select(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(LEAST_PARTS, size // PART_BYTES)
     long = pieces.filter(F.col("id").isNotNull() & (F.octet_length("text") >= DEPTH))
@@ -343,7 +348,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             for part in _by_size(batch):
                 texts, anchors, around = anchors_of(part)
-                asking = asking or Asking(groups, int(part.column(0)[0].as_py()) >> PIECE)
+                asking = asking or Asking(groups, int(part.column(0)[0].as_py()) >> PIECE, WIDTHS[0])
                 number, ids = part.column(0).to_numpy(), part.column(1).to_numpy()
                 asking.add(anchors.digits, around, ids[anchors.rows], number[anchors.rows], len(texts.buffer))
                 if asking.bytes >= FLUSH:
@@ -351,7 +356,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if asking and asking.held:
             yield asking.flush()
 
-    first = _ask(long.mapInArrow(first_pass, ASKED), groups)
+    first = _ask(long.mapInArrow(first_pass, ASKED), groups, WIDTHS[0], last=False)
 
     def open_windows(texts: Texts, number: np.ndarray, anchors: Anchors, around: np.ndarray, answers: Answers):
         """Anchors settled as repeated, and starts, rows and hashes of the windows still open."""
@@ -365,7 +370,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             for part in _by_size(batch):
                 texts, anchors, around = anchors_of(part)
-                asking = asking or Asking(groups, int(part.column(0)[0].as_py()) >> PIECE)
+                asking = asking or Asking(groups, int(part.column(0)[0].as_py()) >> PIECE, WIDTHS[1])
                 number, ids = part.column(0).to_numpy(), part.column(1).to_numpy()
                 _, starts, own, fine = open_windows(texts, number, anchors, around, answers)
                 asking.add(texts.hashes(starts, DEPTH, 37), fine, ids[own], number[own], len(starts) * DEPTH)
@@ -374,7 +379,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if asking and asking.held:
             yield asking.flush()
 
-    second = _ask(long.mapInArrow(second_pass, ASKED), groups)
+    second = _ask(long.mapInArrow(second_pass, ASKED), groups, WIDTHS[1], last=True)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, after = Answers(first), Answers(second)
