@@ -145,6 +145,8 @@ def group_features(
         raise ValueError("outputs that count users need the user column")
     who = lambda s: [(user.cast("string") if s is not None and s.counts_users else F.lit(None).cast("string")).alias("u")] \
         if by_user else []
+    if by_user:
+        df, user = _users_together(df, dims, user), F.col("_u")
     base = df.select(
         *dims,
         *[value.alias(f"_s{i}") for i, (value, _, _) in enumerate(fields)],
@@ -172,6 +174,17 @@ def group_features(
     return rows.select(*dims, *results, *[name for name, _ in outs])
 
 
+def _users_together(df: DataFrame, dims: Sequence[str], user: Column) -> DataFrame:
+    """The rows with the user as text in ``_u``, those of one user of a group side by side.
+
+    A row has an entry per feature, and the entries of a user repeat the same keys: on
+    rows that lie together Spark combines them before the shuffle, where rows in any
+    order would send nearly every entry on. A rebalance moves the rows, not their
+    entries, and AQE splits the part of a user that holds much of the log.
+    """
+    return df.withColumn("_u", user.cast("string")).hint("rebalance", *[F.col(d) for d in dims], F.col("_u"))
+
+
 def key_distributions(df: DataFrame, dims: Sequence[str], user: Column, keys: dict[str, Column]) -> DataFrame:
     """Distributions of many keys by rows and by users, as (dims, feature, k, n, users), from one scan.
 

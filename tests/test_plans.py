@@ -127,3 +127,12 @@ def test_timeline_shuffles_once(spark):
 def test_mix_reads_the_log_once(spark):
     text = plan(entry.queries()["browser_mix"](spark, FOLDER), "simple")
     assert text.count("FileScan") == 1
+
+
+def test_shares_by_users_gather_a_users_rows_first(spark):
+    """A row has many entries: its user's rows meet before them, in parts that AQE may split."""
+    rows = spark.read.parquet(f"{FOLDER}/events.parquet")
+    by_users = agg.Keyed("p", F.col("props"), {"p": "share", "u": "userShare"})
+    by_rows = agg.Keyed("p", F.col("props"), {"p": "share"})
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(agg.group_features(rows, ["event_type"], [], [by_users], F.col("user_id")), "simple")
+    assert "REBALANCE" not in plan(agg.group_features(rows, ["event_type"], [], [by_rows]), "simple")
