@@ -191,10 +191,13 @@ def key_distributions(df: DataFrame, dims: Sequence[str], user: Column, keys: di
     Rows are summed by (dims, feature, key, user) first, so a frequent key of a hot
     group spreads over its users. Rows without a user count in ``n`` only.
     """
-    entries_ = F.array(*[F.struct(F.lit(n).alias("feature"), c.cast("string").alias("k")) for n, c in keys.items()])
-    rows = unfold_structs(df.select(*dims, user.cast("string").alias("_u"), entries_.alias("_e")), [*dims, "_u"], F.col("_e"))
-    per_user = rows.filter(F.col("k").isNotNull()).groupBy(*dims, "feature", "k", "_u").agg(F.count(F.lit(1)).alias("n"))
-    return per_user.groupBy(*dims, "feature", "k").agg(F.sum("n").alias("n"), F.count("_u").alias("users"))
+    entries_ = F.array(*[F.struct(F.lit(i).alias("_f"), c.cast("string").alias("k")) for i, c in enumerate(keys.values())])
+    near = _users_together(df, dims, user)
+    rows = unfold_structs(near.select(*dims, "_u", entries_.alias("_e")), [*dims, "_u"], F.col("_e"))
+    per_user = rows.filter(F.col("k").isNotNull()).groupBy(*dims, "_f", "k", "_u").agg(F.count(F.lit(1)).alias("n"))
+    per_key = per_user.groupBy(*dims, "_f", "k").agg(F.sum("n").alias("n"), F.count("_u").alias("users"))
+    name = F.get(F.array(*[F.lit(n) for n in keys]), F.col("_f"))
+    return per_key.select(*dims, name.alias("feature"), "k", "n", "users")
 
 
 # A2-A7 ------------------------------------------------------------------------

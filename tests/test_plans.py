@@ -136,3 +136,8 @@ def test_shares_by_users_gather_a_users_rows_first(spark):
     by_rows = agg.Keyed("p", F.col("props"), {"p": "share"})
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(agg.group_features(rows, ["event_type"], [], [by_users], F.col("user_id")), "simple")
     assert "REBALANCE" not in plan(agg.group_features(rows, ["event_type"], [], [by_rows]), "simple")
+
+
+def test_distributions_gather_a_users_rows_first(spark):
+    rows = spark.read.parquet(f"{FOLDER}/events.parquet")
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(agg.key_distributions(rows, ["event_type"], F.col("user_id"), {"p": F.col("props")}), "simple")
