@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clicksieve.functions.unfold import bind, unfold
-from clicksieve.llm.common import BLANK, keep_table, replace_columns, words_of
+from clicksieve.llm.common import BLANK, BLANKS, keep_table, replace_columns, words_of
 
 WILDCARD = "<*>"  # fixed value
 DEPTH = 3  # leading tokens that are levels of the tree
@@ -66,7 +66,8 @@ def template_keys(line: Column, depth: int = DEPTH, parts: int = PARTS) -> Colum
             constant < n * MIN_CONSTANT, F.array(flagged(F.xxhash64(F.lit(-2), words_of(line)), rest <= 0))).when(
             rest <= 0, F.array(flagged(F.xxhash64(F.lit(-1), n, tokens), F.lit(True)))).otherwise(bind(pieces, combine))
 
-    return bind(words_of(masked), keys)
+    # bound, since words_of reads its text twice
+    return bind(masked, lambda m: bind(words_of(m), keys))
 
 
 def recurring_lines(lines: DataFrame, min_docs: int, short_docs: int) -> DataFrame:
@@ -94,8 +95,9 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     lines = tagged.select(F.col(id_col).alias("id"), F.col("__hash").alias("hash"),
                           F.posexplode_outer(F.split(text, "\n")).alias("pos", "line")) \
         .filter(F.col("line").isNotNull())
-    lines = keep_table(lines.select("id", "hash", "pos", template_keys(F.col("line")).alias("keys"))
-                       .filter(F.size("keys") > 0), "lines")
+    # blank lines have no keys; a filter on the keys would compute them twice
+    full = lines.filter(F.trim("line", F.lit(BLANKS)) != "")
+    lines = keep_table(full.select("id", "hash", "pos", template_keys(F.col("line")).alias("keys")), "lines")
     n_docs = docs.select(F.count(id_col)).first()[0]
     short_docs = max(SHORT_TIMES * min_docs, -(-SHORT_PERCENT * n_docs // 100))
     gone = recurring_lines(lines, min_docs, short_docs).groupBy("id", "hash").agg(F.collect_set("pos").alias("__gone"))
