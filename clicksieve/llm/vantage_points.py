@@ -7,6 +7,10 @@ max(lo - d, d - hi), by the triangle inequality, so a part whose bound passes th
 k-th best distance found so far times ``factor`` is left out. With factor 1 the
 search is exact; smaller factors leave out more.
 
+In a leaf one matrix product gives all squared distances up to rounding. Only pairs
+that may still be among the k nearest are measured component by component, so an
+exact distance is computed for few pairs even where the tree leaves out nothing.
+
 Queries run in blocks against shards: both are hash parts of bounded size, joined
 on (shard, block). All queries of a block walk a tree together.
 """
@@ -23,9 +27,11 @@ from pyspark.sql import functions as F
 
 SHARD = 4096  # vectors of a tree
 BLOCK = 4096  # queries that walk together
-LEAF = 48
+LEAF = 512  # vectors that meet their queries in one matrix product
+TOGETHER = 512  # queries of one product
 LEAST_SHARDS = 32  # a small table is still spread over as many tasks, of 256 vectors or more
 SLACK = 1e-9  # relative room for rounding in the bounds
+TINY = 1e-300  # room for what underflows in a product
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -36,6 +42,14 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
+def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distance of each row to the row beside it, summed as in ``distances``."""
+    total = np.zeros(len(a))
+    for d in range(a.shape[1]):
+        total += (a[:, d] - b[:, d]) ** 2
+    return np.sqrt(total)
+
+
 @dataclass
 class Node:
     rows: np.ndarray | None = None  # of a leaf
@@ -75,7 +89,9 @@ class Search:
                 self._leaf(node.rows[k:k + 1024], active)
             return
         d = distances(self.queries[active], node.vantage[None, :])[:, 0]
-        bounds = [np.maximum(lo - d, d - hi) - SLACK * (1 + d + hi) for lo, hi, _ in node.parts]
+        with np.errstate(invalid="ignore"):  # infinite distances bound nothing
+            bounds = [np.maximum(lo - d, d - hi) - SLACK * (1 + d + hi) for lo, hi, _ in node.parts]
+        bounds = [np.where(np.isnan(x), -np.inf, x) for x in bounds]
         first = np.argmin(bounds, axis=0)
         # the nearer part first, for each query on its own
         for turn in (0, 1):
@@ -85,12 +101,33 @@ class Search:
                 self.walk(child, active[go])
 
     def _leaf(self, rows: np.ndarray, active: np.ndarray) -> None:
-        d = distances(self.queries[active], self.vectors[rows])
-        ids = np.broadcast_to(self.ids[rows], d.shape)
-        d = np.where(ids == self.query_ids[active, None], np.inf, d)
-        d, ids = np.hstack([self.best[active], d]), np.hstack([self.best_ids[active], ids])
-        order = np.lexsort((ids, d), axis=-1)[:, :self.best.shape[1]]
-        self.best[active], self.best_ids[active] = np.take_along_axis(d, order, 1), np.take_along_axis(ids, order, 1)
+        for at in range(0, len(active), TOGETHER):
+            self._meet(rows, active[at:at + TOGETHER])
+
+    def _meet(self, rows: np.ndarray, active: np.ndarray) -> None:
+        k = self.best.shape[1]
+        a, b = self.queries[active], self.vectors[rows]
+        with np.errstate(over="ignore", invalid="ignore"):  # what overflows is measured below
+            lengths = (a * a).sum(1)[:, None] + (b * b).sum(1)
+            squares = lengths - 2 * (a @ b.T)
+            room = lengths * (8 * (a.shape[1] + 4) * np.finfo(float).eps) + TINY
+            own = self.ids[rows] == self.query_ids[active, None]
+            most = np.where(own, np.inf, squares + room)
+            limit = self.best[active, -1] ** 2
+            if most.shape[1] > k:
+                limit = np.fmin(limit, np.partition(most, k - 1, axis=1)[:, k - 1])
+            far = squares - room > (limit * (1 + SLACK))[:, None]
+        i, j = np.nonzero(~(far | own))
+        if not len(i):
+            return
+        # the pairs left beside the nearest so far, by query, distance and id
+        at = np.concatenate([np.repeat(np.arange(len(active)), k), i])
+        d = np.concatenate([self.best[active].ravel(), paired(a[i], b[j])])
+        ids = np.concatenate([self.best_ids[active].ravel(), self.ids[rows[j]]])
+        order = np.lexsort((ids, d, at))
+        first = np.searchsorted(at[order], np.arange(len(active)))
+        order = order[first[:, None] + np.arange(k)]
+        self.best[active], self.best_ids[active] = d[order], ids[order]
 
 
 def usable(vector: Column) -> Column:

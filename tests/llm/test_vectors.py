@@ -5,6 +5,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
+from clicksieve.llm import vantage_points as vp
 from clicksieve.llm.vantage_points import nearest
 
 
@@ -58,3 +59,33 @@ def test_awkward(spark):
     assert by[0] == [(1, 8, 0.0), (2, 7, 1.0), (3, 100, 1.0)]
     assert [x[1] for x in by[100]] == [0, 8, 7]
     assert nearest(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_few_exact_distances_where_nothing_is_left_out(monkeypatch):
+    """Near random vectors of 64 dimensions: the tree opens every leaf, yet few pairs are measured in full."""
+    rng = np.random.default_rng(6)
+    data, ids, asked = rng.normal(size=(3000, 64)), np.arange(3000), np.arange(0, 3000, 20)
+    measured = []
+    count = lambda f, size: lambda a, b: measured.append(size(a, b)) or f(a, b)
+    monkeypatch.setattr(vp, "distances", count(vp.distances, lambda a, b: len(a) * len(b)))
+    monkeypatch.setattr(vp, "paired", count(getattr(vp, "paired", None), lambda a, b: len(a)), raising=False)
+    tree = vp.build(data, ids)
+    measured.clear()
+    search = vp.Search(ids, data, asked, data[asked], 10, 1.0)
+    search.walk(tree, np.arange(len(asked)))
+    assert sum(measured) < 0.1 * len(asked) * len(data)
+    for q, near in zip(asked, search.best_ids):
+        assert near.tolist() == [j for _, j in sorted((distance(data[q], data[j]), j) for j in ids if j != q)[:10]]
+
+
+def test_huge_tiny_and_equal_vectors():
+    """Squares that overflow or underflow, and ties, are told by the exact distance."""
+    data = np.vstack([np.full((700, 3), 1e155), np.full((5, 3), 1e-170) * np.arange(1, 6)[:, None], np.full((700, 3), 2.0)])
+    data[3, 0] *= 1 + 1e-15
+    ids = np.arange(len(data))[::-1].copy()
+    search = vp.Search(ids, data, ids, data, 4, 1.0)
+    with np.errstate(over="ignore"):
+        search.walk(vp.build(data, np.arange(len(ids))), np.arange(len(ids)))
+        for q in (0, 3, 699, 700, 704, 705, 1404):
+            d = np.sqrt(((data - data[q]) ** 2).sum(1))
+            assert search.best_ids[q].tolist() == [i for _, i in sorted(zip(d, ids)) if i != ids[q]][:4]
