@@ -9,11 +9,18 @@ from pyspark.sql import functions as F
 
 from clicksieve.functions.unfold import bind
 
-# A field such as ``ads_details.industry`` is read once with a minimal schema.
-AD_SCHEMA = (
-    "array<struct<industry:string,sub_industry:string,location:string,pos:string,"
-    "ad_clicknum:string,ad_clickdetails:array<struct<click_time:string>>>>"
-)
+_AD_FIELDS = {
+    "industry": "string", "sub_industry": "string", "location": "string", "pos": "string", "ad_clicknum": "string",
+    "ad_clickdetails": "array<struct<click_time:string>>",
+}
+
+
+def ad_schema(*fields: str) -> str:
+    """Schema of the details with some of their fields; parsing skips the others."""
+    return f"array<struct<{','.join(f'{f}:{_AD_FIELDS[f]}' for f in fields)}>>"
+
+
+AD_SCHEMA = ad_schema(*_AD_FIELDS)
 _DIGITS = "0123456789."
 
 _OPS = {

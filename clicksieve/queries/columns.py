@@ -72,7 +72,7 @@ SELECT srcg, count(*) FILTER (clicknum > 0) clicked,
        count(*) FILTER (l_quantity > 20) guarded
 FROM adrows GROUP BY srcg""")
 def inline_predicate(spark, folder):
-    rows = adlog(spark, folder).select("srcg", "qty", detail.parse_details(F.col("ads_details")).alias("ads"))
+    rows = _ads(spark, folder, "industry", "sub_industry", "location", "ad_clicknum")
     leaf = lambda path: detail.leaf_values(F.col("ads"), path)
     cond = detail.Condition
     kept = {
@@ -263,8 +263,9 @@ def complete_keys(spark, folder):
 # F: column functions ----------------------------------------------------------
 
 
-def _ads(spark, folder):
-    return adlog(spark, folder).withColumn("ads", detail.parse_details(F.col("ads_details")))
+def _ads(spark, folder, *fields):
+    """The log with its ads parsed, of which only the named fields are read."""
+    return adlog(spark, folder).withColumn("ads", detail.parse_details(F.col("ads_details"), detail.ad_schema(*fields)))
 
 
 @query("click_hours", ctes(ADLOG) + """
@@ -273,7 +274,7 @@ SELECT srcg, CAST(hour(to_timestamp(epoch(l_shipdate) + l_linenumber * 7200 + k
 FROM adrows, unnest(range(0, clicknum)) AS c(j) WHERE l_quantity <> 1 GROUP BY ALL""")
 def click_hours(spark, folder):
     hours = detail.click_hours(detail.leaf_values(F.col("ads"), "ad_clickdetails.click_time"))
-    return unfold(_ads(spark, folder), ["srcg"], hours, "hour").groupBy("srcg", "hour").agg(one())
+    return unfold(_ads(spark, folder, "ad_clickdetails"), ["srcg"], hours, "hour").groupBy("srcg", "hour").agg(one())
 
 
 @query("day_of_week", ctes(LOG) + """
@@ -497,7 +498,7 @@ def json_path_values(spark, folder):
         F.transform(detail.leaf_values(F.col("ads"), "industry"), lambda v: F.struct(F.lit("industry").alias("leaf"), v.alias("value"))),
         F.transform(F.filter(times_, lambda v: v == "null"),
                     lambda v: F.struct(F.lit("ad_clickdetails.click_time").alias("leaf"), v.alias("value"))))
-    return unfold_structs(_ads(spark, folder), ["srcg"], parts).groupBy("srcg", "leaf", "value").agg(one())
+    return unfold_structs(_ads(spark, folder, "industry", "ad_clickdetails"), ["srcg"], parts).groupBy("srcg", "leaf", "value").agg(one())
 
 
 @query("click_location", ctes(ADLOG) + """
@@ -505,7 +506,7 @@ SELECT srcg, concat("location", '(', CAST(pos AS VARCHAR), ')') loc, CAST(sum(cl
 FROM adrows WHERE clicknum > 0 GROUP BY ALL""")
 def click_location(spark, folder):
     places = detail.click_locations(F.col("ads"))
-    return unfold(_ads(spark, folder), ["srcg"], places, "loc").groupBy("srcg", "loc").agg(one())
+    return unfold(_ads(spark, folder, "location", "pos", "ad_clicknum"), ["srcg"], places, "loc").groupBy("srcg", "loc").agg(one())
 
 
 @query("action_count_token", ctes(LOG) + """
@@ -522,7 +523,7 @@ def action_count_token(spark, folder):
 SELECT srcg, CASE WHEN sold AND NOT first_shown THEN 5 ELSE 3 END status, count(*) n FROM shown GROUP BY ALL""")
 def top_ad_missing(spark, folder):
     status = detail.top_ad_missing(F.col("tg"), detail.leaf_values(F.col("ads"), "pos"))
-    return _ads(spark, folder).groupBy("srcg", status.alias("status")).agg(one())
+    return _ads(spark, folder, "pos").groupBy("srcg", status.alias("status")).agg(one())
 
 
 @query("histogram_explode", ctes(LOG) + """

@@ -141,3 +141,10 @@ def test_shares_by_users_gather_a_users_rows_first(spark):
 def test_distributions_gather_a_users_rows_first(spark):
     rows = spark.read.parquet(f"{FOLDER}/events.parquet")
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(agg.key_distributions(rows, ["event_type"], F.col("user_id"), {"p": F.col("props")}), "simple")
+
+
+@pytest.mark.parametrize("name, unread", [("json_path_values", "location"), ("click_hours", "industry"),
+                                          ("inline_predicate", "ad_clickdetails")])
+def test_only_asked_fields_are_parsed(spark, name, unread):
+    text = plan(entry.queries()[name](spark, FOLDER), "extended")
+    assert "StructField(" in text and f"StructField({unread}" not in text
