@@ -83,9 +83,12 @@ def inline_predicate(spark, folder):
     # plain counts are sizes, summed by row; only what is counted distinct is unfolded
     sized = rows.select("srcg", *[v.alias(n) for n, v in kept.items()]).select(
         "srcg", "clicked", F.size("side").alias("side"), F.size("guarded").alias("guarded"))
-    kinds = F.coalesce(F.transform("clicked", lambda v: F.struct(v.alias("kind"), F.lit(0).alias("side"), F.lit(0).alias("guarded"))),
-                       F.array().cast("array<struct<kind: string, side: int, guarded: int>>"))
-    entries = F.concat(F.array(F.struct(F.lit(None).cast("string").alias("kind"), "side", "guarded")), kinds)
+    # one entry per kind, the sizes with the first; a row without kinds gives them a null kind
+    entry = lambda kind, side, guarded: F.struct(kind.alias("kind"), side.alias("side"), guarded.alias("guarded"))
+    size_at = lambda i, name: F.when(i == 0, F.col(name)).otherwise(0)
+    entries = F.when(F.size("clicked") > 0, F.transform(
+        "clicked", lambda v, i: entry(v, size_at(i, "side"), size_at(i, "guarded")))).otherwise(
+        F.array(entry(F.lit(None).cast("string"), F.col("side"), F.col("guarded"))))
     counted = unfold_structs(sized, ["srcg"], entries).groupBy("srcg", "kind").agg(
         one(), F.sum("side").alias("side"), F.sum("guarded").alias("guarded"))
     return counted.groupBy("srcg").agg(

@@ -148,3 +148,9 @@ def test_distributions_gather_a_users_rows_first(spark):
 def test_only_asked_fields_are_parsed(spark, name, unread):
     text = plan(entry.queries()[name](spark, FOLDER), "extended")
     assert "StructField(" in text and f"StructField({unread}" not in text
+
+
+def test_a_row_gives_one_entry_per_clicked_kind(spark):
+    """The sizes ride on the first kind instead of an entry of their own."""
+    text = plan(entry.queries()["inline_predicate"](spark, FOLDER), "extended")
+    assert not re.search(r"posexplode\(concat\(array", text)
