@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicksieve.llm.common import keep_table, replace_columns
-from clicksieve.llm.components import connected_components
+from clicksieve.llm.components import connected_components, merge_components
 
 BANDS, ROWS, BITS = 48, 6, 2
 SMALL = 8  # nodes of a bucket whose pairs are listed, 28 at most
@@ -225,7 +225,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     across = near.union(far).distinct().join(star, ["a", "b"], "left_anti")
     more = keep_table(_confirmed(plausible(across), sets, percent), "confirmed")
     if not more.isEmpty():
-        labels = connected_components(links.union(more))
+        labels = merge_components(labels, more)
 
     named = nodes.select("id", "node").join(labels, "node", "left").select(
         "id", "node", F.coalesce("label", "node").alias("label"))

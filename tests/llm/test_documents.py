@@ -13,9 +13,10 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from clicksieve.llm import near_dedup
+from clicksieve.llm import components, near_dedup
 from clicksieve.llm import queries  # noqa: F401  registers the queries
-from clicksieve.llm.components import connected_components
+from clicksieve.llm.common import keep_table
+from clicksieve.llm.components import connected_components, merge_components
 from clicksieve.llm.id_store import PerfectHash, Shard, fingerprints, lookup, scan_store, write_store
 from clicksieve.llm.language_id import SuffixAutomaton, fit_languages, identify_language
 from clicksieve.llm.line_crf import WIDTH, LineField, fit_blocks, fit_on_labels, good_lines, quality_score
@@ -181,6 +182,44 @@ def test_components_of_a_long_chain(spark):
     assert sorted(map(len, groups.values())) == [2, n + 1]
 
 
+def test_links_are_gone_through_once(spark, monkeypatch):
+    """Links of a large group are one row each, and later ones do not take the first through the rounds again."""
+    rows = Counter()
+
+    def counted(df, name):
+        out = keep_table(df, name)
+        rows[name] += out.count()
+        return out
+
+    monkeypatch.setattr(components, "keep_table", counted)
+    monkeypatch.setattr(near_dedup, "keep_table", counted)
+    monkeypatch.setattr(near_dedup, "SMALL", 1)
+    rng = np.random.default_rng(5)
+    texts = []
+    for k in range(200):
+        words = [f"w{i}" for i in range(120)]
+        for at in rng.integers(0, 120, int(rng.integers(1, 9))):
+            words[at] = f"x{rng.integers(0, 10 ** 6)}"
+        texts.append((k, " ".join(words)))
+    got = near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), width=2).collect()
+    assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts, 2)
+    assert 1000 < rows["links"] < 1.1 * rows["confirmed"]
+
+
+def test_merged_components(spark):
+    """Further links: within a component, between two, to new nodes, between new nodes, of a node with itself."""
+    first = [(1, 2), (2, 3), (3, 1), (10, 11), (20, 21), (30, 31)]
+    more = [(1, 3), (11, 2), (2, 11), (21, 40), (50, 51), (51, 52), (60, 60)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    for start in (first, []):
+        groups = defaultdict(set)
+        for r in merge_components(connected_components(frame(start)), frame(more)).collect():
+            assert r.node not in groups[r.label]
+            groups[r.label].add(r.node)
+        want = [{1, 2, 3, 10, 11}, {20, 21, 40}, {30, 31}, {50, 51, 52}] if start else [{1, 3}, {2, 11}, {21, 40}, {50, 51, 52}]
+        assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want))
+
+
 # repeated windows -----------------------------------------------------------------
 
 def brute_windows(rows, depth=50):
