@@ -240,14 +240,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _far_pairs(rows: DataFrame, links: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) across components that may be linked, from large buckets (key, node, label).
 
-    A bucket's nodes are set against a reference: the union of the sets of the
-    most linked nodes of its largest component and of a few nodes by hash. Any
-    reference gives all pairs; a good one few others. A node has n shingles, f of them
-    in the reference. Two nodes either share a shingle outside it, and those are
-    rare, so they are joined on it; or all they share lies inside, at most
-    min(f, f'), and that must reach the similarity. The second test needs n and f
-    alone, so it runs on distinct (component, n, f) and only what passes is
-    expanded. No pair of the two kinds is left out.
+    A bucket's nodes are set against a reference: the shingles of most of the most
+    linked nodes of its largest component and of a few nodes by hash. Any reference
+    gives all pairs; a good one few others. A node of n shingles differs from it in
+    d, held or missing; two nodes that share c of these differ in d + d' - 2c, so
+    they are linked when ``score + score' <= 2 * (100 + percent) * c`` with
+    ``score = (100 + percent) * d - (100 - percent) * n``.
+
+    With c = 0 that is a sum alone: who is linked so with any node is so with the
+    node of the least score, and is set against that one only (the core). All other
+    pairs share a difference. A node's differences are ordered, those of few nodes
+    first; the first one shared has all others after it in both, so c is at most
+    what remains from there, and the join on a difference keeps only pairs that can
+    still be linked. No pair that components need is left out.
     """
     main = rows.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(
         F.max(F.struct("c", "label"))["label"].alias("main"))
@@ -260,34 +265,53 @@ def _far_pairs(rows: DataFrame, links: DataFrame, labels: DataFrame, sets: DataF
     turn = F.row_number().over(Window.partitionBy("main").orderBy(F.xxhash64("node"), "node"))
     some = group.select("main", "node").withColumn("turn", turn).filter(F.col("turn") <= CENTRES).select("main", "node")
     centres = central.join(group.select("main").distinct(), "main", "left_semi").union(some).distinct()
-    reference = centres.join(sets, "node").groupBy("main").agg(F.collect_list("set").alias("reference"))
+    gathered = centres.join(sets, "node").groupBy("main").agg(F.collect_list("set").alias("parts"))
+
+    def usual(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for parts in batch.column(1):
+                held = [np.frombuffer(x, np.int64) for x in parts.as_py()]
+                values, counts = np.unique(np.concatenate(held), return_counts=True)
+                out.append(values[2 * counts > len(held)].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["main", "reference"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, f, rare = [], [], []
-            for mine, parts in zip(batch.column(3), batch.column(4)):
+            n, differ = [], []
+            for mine, common in zip(batch.column(3), batch.column(4)):
                 own = np.frombuffer(mine.as_py(), np.int64)
-                inside = np.isin(own, np.concatenate([np.frombuffer(x, np.int64) for x in parts.as_py()]))
                 n.append(len(own))
-                f.append(int(inside.sum()))
-                rare.append(own[~inside])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n, pa.int64()), pa.array(f, pa.int64()),
-                                              pa.array(rare, pa.list_(pa.int64()))], ["main", "node", "label", "n", "f", "rare"])
-
-    placed = keep_table(group.join(sets, "node").join(reference, "main").select("main", "node", "label", "set", "reference")
-                        .mapInArrow(run, "main binary, node binary, label binary, n long, f long, rare array<long>"), "placed")
-    side = lambda df, mark, *keep: df.select(*keep, *[F.col(c).alias(f"{c}_{mark}") for c in df.columns if c not in keep])
-    shared = placed.select("main", "node", "label", F.explode("rare").alias("s"))
-    outside = side(shared, "x", "main", "s").join(side(shared, "y", "main", "s"), ["main", "s"]) \
-        .filter("node_x < node_y and label_x <> label_y").select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
-
-    kinds = placed.select("main", "label", "n", "f").distinct()
-    least = F.least("f_x", "f_y")
-    pair = side(kinds, "x", "main").join(side(kinds, "y", "main"), "main").filter(
-        (F.col("label_x") < F.col("label_y")) & (100 * least >= percent * (F.col("n_x") + F.col("n_y") - least)))
-    nodes = placed.select("main", "node", "label", "n", "f")
-    inside = pair.join(side(nodes, "x", "main"), ["main", "label_x", "n_x", "f_x"]) \
-        .join(side(nodes, "y", "main"), ["main", "label_y", "n_y", "f_y"]) \
+                differ.append(np.setxor1d(own, np.frombuffer(common.as_py(), np.int64), assume_unique=True))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n, pa.int64()), pa.array(differ, pa.list_(pa.int64()))],
+                                             ["main", "node", "label", "n", "differ"])
+
+    reference = gathered.select("main", "parts").mapInArrow(usual, "main binary, reference binary")
+    placed = group.join(sets, "node").join(reference, "main").select("main", "node", "label", "set", "reference") \
+        .mapInArrow(run, "main binary, node binary, label binary, n long, differ array<long>")
+    score = (100 + percent) * F.size("differ").cast("long") - (100 - percent) * F.col("n")
+    placed = keep_table(placed.withColumn("score", score), "placed")
+    least = placed.groupBy("main").agg(F.min(F.struct("score", "node", "label")).alias("z")).select(
+        "main", F.col("z.score").alias("least"), F.col("z.node").alias("centre"), F.col("z.label").alias("label_c"))
+    scored = placed.join(least, "main").withColumn("core", F.col("score") + F.col("least") <= 0)
+    inside = scored.filter("core and label <> label_c").select(
+        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+
+    held = scored.select("main", "node", "label", "score", "least", "core", F.explode("differ").alias("s"))
+    often = held.groupBy("main", "s").agg(F.count("*").alias("of")).filter(F.col("of") > 1)
+    ordered = held.join(often, ["main", "s"]).groupBy("main", "node", "label", "score", "least", "core").agg(
+        F.sort_array(F.collect_list(F.struct("of", "s"))).alias("differ"))
+    step = 2 * (100 + percent)
+    shared = keep_table(ordered.select("main", "node", "label", "score", "least", "core", F.size("differ").alias("all"),
+                                       F.posexplode("differ").alias("at", "e")).select(
+        "main", "node", "label", "score", "least", "core", F.col("e.s").alias("s"), (F.col("all") - F.col("at")).alias("left")), "shared")
+    # the other node's score is the least at best, and above minus the least where this one is in the core
+    outer = shared.filter(~F.col("core") & (F.col("score") + F.col("least") <= step * F.col("left")))
+    any_ = shared.filter(F.col("score") - F.col("least") < step * F.col("left"))
+    side = lambda df, mark: df.select("main", "s", *[F.col(c).alias(f"{c}_{mark}") for c in ("node", "label", "score", "core", "left")])
+    outside = side(outer, "x").join(side(any_, "y"), ["main", "s"]).filter(
+        (F.col("label_x") != F.col("label_y")) & (F.col("core_y") | (F.col("node_x") < F.col("node_y")))
+        & (F.col("score_x") + F.col("score_y") <= step * F.least("left_x", "left_y"))) \
         .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
     return outside.union(inside)
 

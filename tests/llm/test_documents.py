@@ -206,6 +206,37 @@ def test_links_are_gone_through_once(spark, monkeypatch):
     assert 1000 < rows["links"] < 1.1 * rows["confirmed"]
 
 
+def changed_copies(n, seed=7):
+    """Copies of one text with up to 12 of 120 words changed, some changes in many copies."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for k in range(n):
+        words = [f"w{i}" for i in range(120)]
+        for at in rng.integers(0, 120, int(rng.integers(0, 13))):
+            words[at] = f"x{rng.integers(0, 10 if rng.random() < .2 else 10 ** 6)}"
+        rows.append((k, " ".join(words)))
+    return rows
+
+
+def test_search_across_components_lists_few_pairs(spark, monkeypatch):
+    """Far copies are not set against all near ones: pairs grow with the nodes, not with their square."""
+    listed, far = [], near_dedup._far_pairs
+
+    def counted(*args):
+        out = far(*args)
+        listed.append(out.distinct().count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "_far_pairs", counted)
+    monkeypatch.setattr(near_dedup, "SMALL", 1)
+    for n in (100, 300):
+        rows = changed_copies(n)
+        got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=2).collect()
+        assert {r.id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 2)
+    print("pairs", listed)
+    assert listed[1] <= 300 and listed[0] <= 100
+
+
 def test_merged_components(spark):
     """Further links: within a component, between two, to new nodes, between new nodes, of a node with itself."""
     first = [(1, 2), (2, 3), (3, 1), (10, 11), (20, 21), (30, 31)]
