@@ -493,14 +493,14 @@ def edge_bin(spark, folder):
 
 @query("json_path_values", ctes(ADLOG) + """
 SELECT srcg, 'industry' leaf, industry "value", count(*) n FROM adrows GROUP BY ALL
-UNION ALL SELECT srcg, 'ad_clickdetails.click_time', 'null', count(*) FROM adrows, unnest(range(0, clicknum)) AS c(j)
-WHERE l_quantity = 1 GROUP BY ALL""")
+UNION ALL SELECT srcg, 'ad_clickdetails.click_time', CASE WHEN l_quantity = 1 THEN 'null' ELSE
+  CAST(epoch_ms(l_shipdate) + (l_linenumber * 7200 + k * 600 + j * 3000) * 1000 AS VARCHAR) END, count(*)
+FROM adrows, unnest(range(0, clicknum)) AS c(j) GROUP BY ALL""")
 def json_path_values(spark, folder):
-    times_ = detail.leaf_values(F.col("ads"), "ad_clickdetails.click_time")
-    parts = F.concat(
-        F.transform(detail.leaf_values(F.col("ads"), "industry"), lambda v: F.struct(F.lit("industry").alias("leaf"), v.alias("value"))),
-        F.transform(F.filter(times_, lambda v: v == "null"),
-                    lambda v: F.struct(F.lit("ad_clickdetails.click_time").alias("leaf"), v.alias("value"))))
+    def leaves(path):
+        return F.transform(detail.leaf_values(F.col("ads"), path), lambda v: F.struct(F.lit(path).alias("leaf"), v.alias("value")))
+
+    parts = F.concat(leaves("industry"), leaves("ad_clickdetails.click_time"))
     return unfold_structs(_ads(spark, folder, "industry", "ad_clickdetails"), ["srcg"], parts).groupBy("srcg", "leaf", "value").agg(one())
 
 

@@ -1,12 +1,14 @@
 import math
 import re
 import random
+from datetime import datetime
 from itertools import combinations
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from clicksieve import status
 from clicksieve.functions import agents, detail, histogram, text, times
 from clicksieve.operators import aggregate as agg
@@ -78,6 +80,25 @@ def test_json_paths(spark):
     assert value(spark, leaf("pn"), j=(None, "string"), z=(1, "int")) == []
 
 
+def test_leaves_of_all_rows_are_counted(spark, tmp_path):
+    """Click times of every row that can be read; only broken texts have no leaves."""
+    duckdb = pytest.importorskip("duckdb")
+    day = datetime(2024, 1, 2)
+    line = lambda order, part, number, quantity: (order, part, 21, "A", number, quantity, day)
+    rows = [line(1, 26, 1, 7.0), line(1, 26, 1, 7.0), line(2, 27, 1, 1.0), line(3, 28, 1, 50.0), line(4, 29, 3, 49.0)]
+    folder, sql = str(tmp_path), entry.oracle_sql()["json_path_values"]
+    frame(spark, rows, "l_orderkey long, l_partkey long, l_suppkey long, l_returnflag string, l_linenumber int, "
+                       "l_quantity double, l_shipdate timestamp_ntz").write.parquet(f"{folder}/lineitem.parquet")
+    got = {(r.leaf, r.value): r.n for r in entry.queries()["json_path_values"](spark, folder).collect()}
+    at = lambda seconds: ("ad_clickdetails.click_time", str(1704153600000 + seconds * 1000))
+    assert got == {
+        ("industry", "i1"): 4, ("industry", "i2"): 2, ("industry", "i4"): 1, ("ad_clickdetails.click_time", "null"): 2,
+        at(7200 + 600): 2, at(7200 + 600 + 3000): 2, at(3 * 7200 + 600): 1}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{folder}/lineitem.parquet/*.parquet'")
+    assert got == {(leaf, value): n for leaf, value, n in con.execute(f"SELECT leaf, value, n FROM ({sql})").fetchall()}
+
+
 def test_top_ad_missing(spark):
     rule = lambda tg, pos: value(
         spark, detail.top_ad_missing(F.col("t"), F.col("p")), t=(tg, "string"), p=(pos, "array<string>"))
